@@ -1,0 +1,115 @@
+"""Streams give what the batch forms give, also across micro-batches and restarts."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from fitledger import schemas
+from fitledger.catalog import tables
+from fitledger.operators import metrics as m
+from fitledger.streaming import (
+    drain, read_log_stream, stream_checkpoint_events, stream_metrics, stream_time_per_step,
+    table_sink, tee_sink,
+)
+from conftest import SMALL
+
+
+@pytest.fixture(scope="module")
+def logs(spark):
+    rows = tables.logs(spark, SMALL).select(*schemas.LOG_EVENTS.names)
+    # One run ends half way and goes on later.
+    ended = (F.col("run_id") == 3) & (F.col("step") == 300)
+    return rows.withColumn("kind", F.when(ended, "end").otherwise(F.col("kind"))).cache()
+
+
+def land(logs, path, first, last):
+    """Events in their order of arrival, a file per 100 events."""
+    for low in range(first, last, 100):
+        part = logs.filter(F.col("event_id").between(low, low + 99)).coalesce(1)
+        part.write.mode("append").parquet(path)
+
+
+def run(spark, stream, place, name="run"):
+    drain(stream, [table_sink(f"{place}/out", name)], f"{place}/progress")
+    return spark.read.parquet(f"{place}/out")
+
+
+def rows(df, *columns):
+    return sorted(map(tuple, df.select(*columns).collect()))
+
+
+def test_step_times_across_micro_batches_and_a_restart(spark, logs, tmp_path):
+    source, place = str(tmp_path / "in"), str(tmp_path / "run")
+    expected = rows(m.time_per_step(logs), "run_id", "event_id", "time_per_step")
+
+    def stream():
+        return stream_time_per_step(read_log_stream(spark, source, max_bytes_per_trigger=8_000))
+
+    land(logs, source, 0, 500)
+    run(spark, stream(), place)
+    land(logs, source, 500, 1000)
+    out = run(spark, stream(), place)
+    assert rows(out, "run_id", "event_id", "time_per_step") == expected
+    assert out.select("batch_id").distinct().count() > 2
+    again = run(spark, stream(), place)
+    assert rows(again, "run_id", "event_id", "time_per_step") == expected
+
+
+def test_metrics_and_checkpoints(spark, logs, tmp_path):
+    source = str(tmp_path / "in")
+    land(logs, source, 0, 1000)
+    limited = read_log_stream(spark, source, max_bytes_per_trigger=20_000)
+    got = run(spark, stream_metrics(limited), str(tmp_path / "metrics"))
+    expected = m.hook_metrics(logs)
+    assert rows(got, "event_id", "key", "value", "step") == rows(expected, "event_id", "key", "value", "step")
+    due = run(spark, stream_checkpoint_events(limited), str(tmp_path / "due"))
+    assert rows(due, "run_id", "step") == rows(logs.filter("step % 200 = 0"), "run_id", "step")
+
+
+def test_malformed_lines_do_not_stop_the_stream(spark, logs, tmp_path):
+    source = str(tmp_path / "in")
+    logs.withColumn("logs", F.lit("{bad")).write.parquet(source)
+    drain(stream_metrics(read_log_stream(spark, source)),
+          [table_sink(str(tmp_path / "out"), "s")], str(tmp_path / "progress"))
+
+
+def test_tee_writes_the_same_to_both(spark, logs, tmp_path):
+    source = str(tmp_path / "in")
+    land(logs, source, 0, 400)
+    lines = read_log_stream(spark, source).select("run_id", "event_id")
+    paths = [str(tmp_path / "a"), str(tmp_path / "b")]
+    drain(lines, [table_sink(p, "s") for p in paths], str(tmp_path / "progress"))
+    first, second = (rows(spark.read.parquet(p), "run_id", "event_id") for p in paths)
+    assert first == second and len(first) == 400
+
+
+def test_sink_modes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    one, two = spark.range(3), spark.range(10, 15)
+    table_sink(path, "s1", "w")(one, 0)
+    table_sink(path, "s1", "w")(two, 1)
+    table_sink(path, "s1", "w")(two, 1)
+    assert spark.read.parquet(path).count() == 8
+    table_sink(path, "s2", "a")(one, 0)
+    assert spark.read.parquet(path).count() == 11
+    table_sink(path, "s3", "w")(two, 0)
+    assert spark.read.parquet(path).count() == 5
+    with pytest.raises(ValueError):
+        table_sink(path, "s", "x")
+
+
+def test_a_failing_sink_fails_the_stream_and_is_retried(spark, logs, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
+    land(logs, source, 0, 200)
+    write, failed = table_sink(path, "s"), []
+
+    def unreliable(batch, batch_id):
+        write(batch, batch_id)
+        if not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost after writing")
+
+    lines = read_log_stream(spark, source).select("run_id", "event_id")
+    with pytest.raises(Exception, match="lost after writing"):
+        tee_sink(lines, [unreliable], str(tmp_path / "progress"), available_now=True).awaitTermination()
+    drain(lines, [unreliable], str(tmp_path / "progress"))
+    assert spark.read.parquet(path).count() == 200
