@@ -21,11 +21,8 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fit(spark, sf_dir):
     labelled = _labelled(spark, sf_dir)
-    scored = batch_score(labelled, supervised_fit(labelled, "quality"), "doc_id")
-    return (
-        labelled.select("doc_id", "quality").join(scored, "doc_id")
-        .groupBy("quality", "prediction").agg(F.count(F.lit(1)).alias("documents"))
-    )
+    scored = batch_score(labelled, supervised_fit(labelled, "quality"), "doc_id", keep=["quality"])
+    return scored.groupBy("quality", "prediction").agg(F.count(F.lit(1)).alias("documents"))
 
 
 def saved_model(spark, sf_dir):

@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fitledger import schemas
 from fitledger.catalog.tables import examples, path_of, table
 from fitledger.functions import (
-    apply_chat_template, build_messages, build_user_text, decode_tokens, literal_messages,
-    null_to_empty, py_strip, tokenize,
+    apply_chat_template, build_messages, build_user_text, decode_tokens, null_to_empty, py_strip, tokenize,
 )
 from fitledger.functions.chat import SYSTEM_PROMPT
 from fitledger.functions.text import WHITESPACE
-from fitledger.operators.examples import render_examples, replace_columns, token_examples
+from fitledger.operators.examples import (
+    render_examples, render_prompts, replace_columns, token_examples,
+)
 from fitledger.operators.vocabulary import build_vocabulary, decode_ids, encode, length_profile
 from fitledger.session import saved, scratch_path
 from fitledger.sources.readers import inline_messages, read_examples
@@ -80,14 +81,14 @@ def chat_text(spark, sf_dir):
     return render_examples(examples(spark, sf_dir))
 
 
+def listed_chat_text(spark, sf_dir):
+    messages = build_messages(F.col("instruction"), F.col("input"), F.col("output"))
+    listed = examples(spark, sf_dir).select("example_id", messages.alias("messages"))
+    return listed.select("example_id", apply_chat_template(F.col("messages")).alias("text"))
+
+
 def prompts(spark, sf_dir):
-    asked = build_user_text(F.col("instruction"), F.col("input"))
-    messages = F.concat(
-        literal_messages([("system", SYSTEM_PROMPT)]),
-        F.array(F.struct(F.lit("user").alias("role"), asked.alias("content"))),
-    )
-    return examples(spark, sf_dir).select(
-        "example_id", apply_chat_template(messages, add_generation_prompt=True).alias("prompt"))
+    return render_prompts(examples(spark, sf_dir))
 
 
 def training_text(spark, sf_dir):
@@ -156,7 +157,8 @@ QUERIES = {
     "build_user_text": user_text,
     "replace_columns": replaced_columns,
     "build_messages": message_rows,
-    "apply_chat_template": chat_text,
+    "render_examples": chat_text,
+    "apply_chat_template": listed_chat_text,
     "generation_prompt": prompts,
     "write_training_text": training_text,
     "tokenize": tokens,
@@ -239,6 +241,7 @@ with {_PARTS}
 select example_id, cast(0 as bigint) as pos, 'system' as role, '/no_think' as content from parts
 union all select example_id, 1, 'user', asked from parts
 union all select example_id, 2, 'assistant', answer from parts""",
+    "render_examples": _CHAT,
     "apply_chat_template": _CHAT,
     "generation_prompt": f"""with {_PARTS}
 select example_id, '<|system|>/no_think<|end|>' || chr(10) || '<|user|>' || asked || '<|end|>'

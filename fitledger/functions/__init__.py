@@ -1,7 +1,8 @@
 """Column functions: text cleaning, chat rendering, tokens, numbers, schedules."""
 
 from fitledger.functions.chat import (
-    ChatTemplate, apply_chat_template, build_messages, literal_messages,
+    ChatTemplate, apply_chat_template, build_messages, example_turns, literal_messages,
+    prompt_turns, render_turns,
 )
 from fitledger.functions.numbers import is_number, number_of
 from fitledger.functions.schedule import learning_rate, total_steps
@@ -10,7 +11,7 @@ from fitledger.functions.tokens import decode_tokens, is_truncated, tokenize, tr
 
 __all__ = [
     "ChatTemplate", "apply_chat_template", "build_messages", "build_user_text",
-    "decode_tokens", "first_present", "is_number", "is_truncated", "learning_rate",
-    "literal_messages", "null_to_empty", "number_of", "py_strip", "tokenize",
-    "total_steps", "truncate_tokens",
+    "decode_tokens", "example_turns", "first_present", "is_number", "is_truncated", "learning_rate",
+    "literal_messages", "null_to_empty", "number_of", "prompt_turns", "py_strip",
+    "render_turns", "tokenize", "total_steps", "truncate_tokens",
 ]

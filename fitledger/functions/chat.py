@@ -24,18 +24,30 @@ class ChatTemplate:
     answering_role: str = "assistant"
 
 
+Turns = Sequence[tuple[str, Column]]
+
+
 def literal_messages(rows: Sequence[tuple[str, str]]) -> Column:
     """A message list given in the program: ``[(role, content), ..]``."""
-    return F.array(*[_message(F.lit(role), F.lit(content)) for role, content in rows])
+    return _as_list([(role, F.lit(content)) for role, content in rows])
 
 
-def build_messages(instruction: Column, input_text: Column, output: Column) -> Column:
+def example_turns(instruction: Column, input_text: Column, output: Column) -> Turns:
     """System, user and assistant turn of an example; an empty answer keeps its turn."""
-    return F.array(
-        _message(F.lit("system"), F.lit(SYSTEM_PROMPT)),
-        _message(F.lit("user"), build_user_text(instruction, input_text)),
-        _message(F.lit("assistant"), py_strip(null_to_empty(output))),
-    )
+    return [
+        *prompt_turns(instruction, input_text),
+        ("assistant", py_strip(null_to_empty(output))),
+    ]
+
+
+def prompt_turns(instruction: Column, input_text: Column) -> Turns:
+    """The turns a model is asked with."""
+    return [("system", F.lit(SYSTEM_PROMPT)), ("user", build_user_text(instruction, input_text))]
+
+
+def build_messages(instruction: Column, input_text: Column, output: Column) -> Column:
+    """The turns of an example as a message list."""
+    return _as_list(example_turns(instruction, input_text, output))
 
 
 def apply_chat_template(
@@ -45,18 +57,37 @@ def apply_chat_template(
 ) -> Column:
     """Render a message list; the generation prompt opens the assistant's turn for inference."""
     lines = F.transform(
-        messages,
-        lambda m: F.concat(
-            F.lit(template.role_prefix), m["role"], F.lit(template.role_suffix),
-            null_to_empty(m["content"]), F.lit(template.end),
-        ),
-    )
-    text = F.array_join(lines, template.separator)
+        messages, lambda m: _line(template, m["role"], null_to_empty(m["content"])))
+    return _closed(template, F.array_join(lines, template.separator), add_generation_prompt)
+
+
+def render_turns(
+    turns: Turns,
+    template: ChatTemplate = ChatTemplate(),
+    add_generation_prompt: bool = False,
+) -> Column:
+    """What :func:`apply_chat_template` gives when the number of turns is known.
+
+    Plain concatenation, which is compiled together with the rest of the stage;
+    a higher-order function over an array would not be.
+    """
+    lines = [_line(template, F.lit(role), content) for role, content in turns]
+    return _closed(template, F.concat_ws(template.separator, *lines), add_generation_prompt)
+
+
+def _line(template: ChatTemplate, role: Column, content: Column) -> Column:
+    return F.concat(F.lit(template.role_prefix), role, F.lit(template.role_suffix),
+                    content, F.lit(template.end))
+
+
+def _closed(template: ChatTemplate, text: Column, add_generation_prompt: bool) -> Column:
     if not add_generation_prompt:
         return text
     opening = template.role_prefix + template.answering_role + template.role_suffix
     return F.concat(text, F.lit(template.separator + opening))
 
 
-def _message(role: Column, content: Column) -> Column:
-    return F.struct(role.alias("role"), content.alias("content"))
+def _as_list(turns: Turns) -> Column:
+    return F.array(*[
+        F.struct(F.lit(role).alias("role"), content.alias("content")) for role, content in turns
+    ])

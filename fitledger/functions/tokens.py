@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from fitledger.functions.text import WHITESPACE_RANGES
+from fitledger.functions.text import WHITESPACE, WHITESPACE_RANGES
 
 # Fixed value: the longest example, in tokens, that is kept uncut.
 MAX_LENGTH = 2048
 
-TOKEN_BREAK = "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in WHITESPACE_RANGES) + "]+"
+# One or more whitespace characters. Java looks single Latin-1 characters up in a
+# bit set, and the intersection turns other letters away with one comparison, which
+# makes this several times faster than the plain list of ranges.
+_LATIN = "".join(rf"\x{{{ord(c):X}}}" for c in WHITESPACE if c <= "\xff")
+_WIDE = [r for r in WHITESPACE_RANGES if r[0] > 0xFF]
+_WIDE_LIST = "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in _WIDE)
+TOKEN_BREAK = rf"[{_LATIN}[\x{{{_WIDE[0][0]:X}}}-\x{{{_WIDE[-1][1]:X}}}&&[{_WIDE_LIST}]]]+"
 
 
 def tokenize(text: Column) -> Column:

@@ -11,13 +11,17 @@ from fitledger.functions.tokens import TOKEN_BREAK
 
 
 def supervised_fit(df: DataFrame, label_column: str, text_column: str = "text",
-                   features: int = 1 << 16, iterations: int = 20) -> PipelineModel:
-    """Fit a linear classifier; gradients are summed over the executors in a tree."""
+                   features: int = 1 << 16, iterations: int = 20, tree_depth: int = 2) -> PipelineModel:
+    """Fit a linear classifier; gradients are summed over the executors in a tree.
+
+    The hashed features, not the text, are kept in memory or on disk between the
+    iterations. With thousands of partitions a deeper tree relieves the driver.
+    """
     labelled = df.select(text_column, F.col(label_column).cast("double").alias("label"))
     return Pipeline(stages=[
         RegexTokenizer(inputCol=text_column, outputCol="words", pattern=TOKEN_BREAK),
         HashingTF(inputCol="words", outputCol="features", numFeatures=features),
-        LogisticRegression(maxIter=iterations, regParam=0.01, aggregationDepth=3),
+        LogisticRegression(maxIter=iterations, regParam=0.01, aggregationDepth=tree_depth),
     ]).fit(labelled)
 
 

@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, functions as F
 MAX_NEW_TOKENS = 100
 
 
-def batch_score(df: DataFrame, model: PipelineModel, id_column: str) -> DataFrame:
-    """``id, prediction, score`` for every row; score is the probability of class 1."""
+def batch_score(df: DataFrame, model: PipelineModel, id_column: str,
+                keep: Sequence[str] = ()) -> DataFrame:
+    """``id, prediction, score`` and the kept columns for every row; score is P(class 1)."""
     return model.transform(df).select(
-        id_column,
+        id_column, *keep,
         F.col("prediction").cast("int").alias("prediction"),
         vector_to_array("probability")[1].alias("score"),
     )

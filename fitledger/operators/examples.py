@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fitledger.functions import ChatTemplate, apply_chat_template, build_messages, tokenize
+from fitledger.functions import ChatTemplate, example_turns, prompt_turns, render_turns, tokenize
 from fitledger.functions.tokens import MAX_LENGTH, is_truncated, truncate_tokens
 from fitledger.operators.ordered import ROWS_PER_SLOT, with_neighbour
 
@@ -24,10 +24,20 @@ def field(df: DataFrame, name: str) -> Column:
 def render_examples(df: DataFrame, template: ChatTemplate = ChatTemplate(),
                     id_column: str = "example_id") -> DataFrame:
     """``example_id, text``: one chat-formatted string per example, no row dropped."""
-    messages = build_messages(field(df, "instruction"), field(df, "input"), field(df, "output"))
+    turns = example_turns(field(df, "instruction"), field(df, "input"), field(df, "output"))
     return replace_columns(df, {
         id_column: F.col(id_column),
-        "text": apply_chat_template(messages, template),
+        "text": render_turns(turns, template),
+    })
+
+
+def render_prompts(df: DataFrame, template: ChatTemplate = ChatTemplate(),
+                   id_column: str = "example_id") -> DataFrame:
+    """``example_id, prompt``: the example without its answer, opened for one."""
+    turns = prompt_turns(field(df, "instruction"), field(df, "input"))
+    return replace_columns(df, {
+        id_column: F.col(id_column),
+        "prompt": render_turns(turns, template, add_generation_prompt=True),
     })
 
 

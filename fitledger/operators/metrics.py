@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fitledger.functions.numbers import number_of
+from fitledger.functions.numbers import is_number, number_of
 from fitledger.operators.ordered import ROWS_PER_SLOT, with_neighbour, with_row_number
 
 # Fixed values of the training recipe and of the metric names.
@@ -48,6 +48,8 @@ def metrics_long(df: DataFrame, key_prefix: Column | None = None) -> DataFrame:
     return (
         df.filter(F.col("run_id").isNotNull())
         .lateralJoin(entries)
+        # A top-level array explodes without keys.
+        .filter(F.col("key").isNotNull() & is_number(F.col("value")))
         .select(
             "run_id", "event_id",
             F.concat(prefix, F.col("key")).alias("key"),
@@ -55,8 +57,6 @@ def metrics_long(df: DataFrame, key_prefix: Column | None = None) -> DataFrame:
             "step",
             F.col("ts").alias("log_time"),
         )
-        # A top-level array explodes without keys.
-        .filter(F.col("key").isNotNull() & F.col("value").isNotNull())
     )
 
 

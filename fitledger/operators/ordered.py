@@ -2,12 +2,14 @@
 
 A plain ``row_number`` or ``lag`` sends each group to one task. Here a cheap
 pass counts the rows per group first. Groups above ``rows_per_slot`` are cut
-into consecutive slots of their ordering value; the window runs per slot, and
-what crosses a slot's edge comes from a small per-slot summary. With no such
-group the plan is the plain window.
+into consecutive slots of their ordering value, and slots that are still
+crowded are cut again; the window runs per slot, and what crosses a slot's
+edge comes from a small per-slot summary. With no such group the plan is the
+plain window.
 
 The first ordering column must be numeric or a timestamp, the rest break ties.
-Ordering is ascending. Group keys should not be null.
+Ordering is ascending. Group keys should not be null. Rows that share a group
+and the first ordering value stay together.
 """
 
 from __future__ import annotations
@@ -19,27 +21,28 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from fitledger.session import MAX_BROADCAST_ROWS, saved
 
 ROWS_PER_SLOT = 1_000_000
-SLOT = "__slot"
+# A slot is cut again when it has this many times its share of rows.
+CROWDED = 4
 
 
 def with_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
                     rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
     """Number the rows of each group from 1."""
-    slotted = _cut_hot_groups(df, keys, order[0], rows_per_slot)
-    if slotted is None:
-        return df.withColumn(out, F.row_number().over(_window(keys, order)).cast("bigint"))
-    earlier = Window.partitionBy(*keys).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
+    number = F.row_number()
+    cut, slots = _cut_hot_groups(df, keys, order[0], rows_per_slot)
+    if not slots:
+        return df.withColumn(out, number.over(_window(keys, order)).cast("bigint"))
     edges = (
-        slotted.filter(F.col(SLOT).isNotNull())
-        .groupBy(*keys, SLOT).agg(F.count(F.lit(1)).alias("__rows"))
-        .withColumn("__before", F.sum("__rows").over(earlier))
+        cut.filter(F.col(slots[0]).isNotNull())
+        .groupBy(*keys, *slots).agg(F.count(F.lit(1)).alias("__rows"))
+        .withColumn("__before", F.sum("__rows").over(
+            _window(keys, slots).rowsBetween(Window.unboundedPreceding, -1)))
         .drop("__rows")
     )
-    number = F.row_number().over(_window([*keys, SLOT], order))
     return (
-        slotted.join(edges, [*keys, SLOT], "left")
-        .withColumn(out, number + F.coalesce("__before", F.lit(0)))
-        .drop(SLOT, "__before")
+        cut.join(edges, [*keys, *slots], "left")
+        .withColumn(out, number.over(_window([*keys, *slots], order)) + F.coalesce("__before", F.lit(0)))
+        .drop("__before", *slots)
     )
 
 
@@ -51,20 +54,20 @@ def with_neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         raise ValueError("offset must be -1 or 1")
     step, edge = (F.lag, F.max_by) if offset < 0 else (F.lead, F.min_by)
     row = F.struct(*columns)
-    slotted = _cut_hot_groups(df, keys, order[0], rows_per_slot)
-    if slotted is None:
+    cut, slots = _cut_hot_groups(df, keys, order[0], rows_per_slot)
+    if not slots:
         return df.withColumn(out, step(row).over(_window(keys, order)))
     edges = (
-        slotted.filter(F.col(SLOT).isNotNull())
-        .groupBy(*keys, SLOT).agg(edge(row, F.struct(*order)).alias("__edge"))
-        .withColumn("__beyond", step("__edge").over(_window(keys, [SLOT])))
+        cut.filter(F.col(slots[0]).isNotNull())
+        .groupBy(*keys, *slots).agg(edge(row, F.struct(*order)).alias("__edge"))
+        .withColumn("__beyond", step("__edge").over(_window(keys, slots)))
         .drop("__edge")
     )
-    inside = step(row).over(_window([*keys, SLOT], order))
+    inside = step(row).over(_window([*keys, *slots], order))
     return (
-        slotted.join(edges, [*keys, SLOT], "left")
+        cut.join(edges, [*keys, *slots], "left")
         .withColumn(out, F.coalesce(inside, F.col("__beyond")))
-        .drop(SLOT, "__beyond")
+        .drop("__beyond", *slots)
     )
 
 
@@ -73,29 +76,37 @@ def _window(keys: Sequence[str], order: Sequence[str]):
 
 
 def _cut_hot_groups(df: DataFrame, keys: Sequence[str], lead: str,
-                    rows_per_slot: int) -> DataFrame | None:
-    """Add a slot number to the rows of large groups (null elsewhere); None if there are none."""
-    place = _place(df, lead)
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"), F.min(place).alias("__lo"), F.max(place).alias("__hi"))
-        .filter(F.col("__n") > rows_per_slot)
-    )
-    n_hot = hot.count()
-    if n_hot == 0:
-        return None
-    # At most rows(df) / rows_per_slot groups pass the filter.
-    hot = saved(hot)
-    if n_hot <= MAX_BROADCAST_ROWS:
-        hot = F.broadcast(hot)
-    n_slots = F.ceil(F.col("__n") / F.lit(rows_per_slot))
-    width = F.col("__hi") - F.col("__lo") + F.lit(1)
-    slot = F.floor((place - F.col("__lo")) / width * n_slots)
-    return (
-        df.join(hot, list(keys), "left")
-        .withColumn(SLOT, F.when(F.col("__n").isNotNull(), F.coalesce(slot, F.lit(0))))
-        .drop("__n", "__lo", "__hi")
-    )
+                    rows_per_slot: int) -> tuple[DataFrame, list[str]]:
+    """Add slot columns, set for the rows of large groups only; no columns if there are none."""
+    slots: list[str] = []
+    limit = rows_per_slot
+    while True:
+        group = [*keys, *slots]
+        counted = df.filter(F.col(slots[-1]).isNotNull()) if slots else df
+        place = _place(df, lead)
+        hot = (
+            counted.groupBy(*group)
+            .agg(F.count(F.lit(1)).alias("__n"), F.min(place).alias("__lo"), F.max(place).alias("__hi"))
+            .filter((F.col("__n") > limit) & (F.col("__hi") > F.col("__lo")))
+        )
+        n_hot = hot.count()
+        if n_hot == 0:
+            return df, slots
+        # At most rows(df) / rows_per_slot groups are this large.
+        hot = saved(hot)
+        if n_hot <= MAX_BROADCAST_ROWS:
+            hot = F.broadcast(hot)
+        width = F.col("__hi") - F.col("__lo") + F.lit(1)
+        slot = F.floor((place - F.col("__lo")) / width * F.ceil(F.col("__n") / F.lit(rows_per_slot)))
+        is_cut = F.col(slots[-1]).isNotNull() if slots else F.col("__n").isNotNull()
+        name = f"__slot{len(slots)}"
+        df = (
+            df.join(hot, group, "left")
+            .withColumn(name, F.when(is_cut, F.coalesce(slot, F.lit(0))))
+            .drop("__n", "__lo", "__hi")
+        )
+        slots.append(name)
+        limit = CROWDED * rows_per_slot
 
 
 def _place(df: DataFrame, name: str) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from fitledger.session import broadcast_if_small, saved, saved_table
+from fitledger.session import MAX_BROADCAST_ROWS, broadcast_if_small, saved, saved_table
 
 # Rare tokens dominate a corpus, so one frequency can hold most of the types.
 # The types of a frequency are ranked in this many parts first.
@@ -52,38 +52,68 @@ def build_vocabulary(df: DataFrame, size: int, tokens_column: str = "tokens",
     )
 
 
-def encode_long(df: DataFrame, vocabulary: DataFrame, id_column: str,
-                tokens_column: str = "tokens") -> DataFrame:
-    """``id, pos, token_id`` per token; tokens outside the vocabulary get -1.
+def encode(df: DataFrame, vocabulary: DataFrame, id_column: str, tokens_column: str = "tokens",
+           max_words: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``id, ids``: token lists as id lists; tokens outside the vocabulary get -1.
 
-    Pass a vocabulary that is already saved: it is counted before it is broadcast.
+    The vocabulary goes to every executor when it has at most ``max_words`` words,
+    and whole Arrow batches are looked up with no shuffle. A larger one is joined.
+    Pass a vocabulary that is already saved: it is counted first.
     """
-    words = broadcast_if_small(vocabulary.select("token", "token_id"))
-    return (
-        df.select(id_column, F.posexplode(tokens_column).alias("pos", "token"))
-        .join(words, "token", "left")
-        .select(id_column, "pos", F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("token_id"))
-    )
-
-
-def encode(df: DataFrame, vocabulary: DataFrame, id_column: str,
-           tokens_column: str = "tokens") -> DataFrame:
-    """``id, ids``: one array per example, as long as the example's own token list."""
-    return _gather(encode_long(df, vocabulary, id_column, tokens_column),
-                   id_column, "token_id", "ids")
-
-
-def decode_ids(df: DataFrame, vocabulary: DataFrame, id_column: str,
-               ids_column: str = "ids") -> DataFrame:
-    """``id, text`` from token ids; unknown ids become a marker."""
-    words = broadcast_if_small(vocabulary.select("token_id", "token"))
-    long = (
-        df.select(id_column, F.posexplode(ids_column).alias("pos", "token_id"))
-        .join(words, "token_id", "left")
-        .select(id_column, "pos", F.coalesce("token", F.lit(UNKNOWN_TOKEN)).alias("token"))
-    )
-    words_in_order = _gather(long, id_column, "token", "tokens")
-    return words_in_order.select(id_column, F.array_join("tokens", " ").alias("text"))
+    words = vocabulary.select("token", "token_id")
+    if words.limit(max_words + 1).count() > max_words:
+        found = _join_words(df, words, id_column, tokens_column, "token")
+        known = F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("token_id")
+        return _gather(found.select(id_column, "pos", known), id_column, "token_id", "ids")
+    return _look_up(df, words.withColumnsRenamed({"token": "key", "token_id": "value"}),
+                    id_column, tokens_column, UNKNOWN_ID, "ids", "array<bigint>")
+
+
+def decode_ids(df: DataFrame, vocabulary: DataFrame, id_column: str, ids_column: str = "ids",
+               max_words: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``id, text`` from id lists; unknown ids become a marker."""
+    words = vocabulary.select("token_id", "token")
+    if words.limit(max_words + 1).count() > max_words:
+        found = _join_words(df, words, id_column, ids_column, "token_id")
+        known = F.coalesce("token", F.lit(UNKNOWN_TOKEN)).alias("token")
+        tokens = _gather(found.select(id_column, "pos", known), id_column, "token", "tokens")
+    else:
+        tokens = _look_up(df, words.withColumnsRenamed({"token_id": "key", "token": "value"}),
+                          id_column, ids_column, UNKNOWN_TOKEN, "tokens", "array<string>")
+    return tokens.select(id_column, F.array_join("tokens", " ").alias("text"))
+
+
+def _look_up(df: DataFrame, words: DataFrame, id_column: str, list_column: str,
+             unknown, out: str, out_type: str) -> DataFrame:
+    """Replace every list element by the value of its key, a batch at a time."""
+    shared = df.sparkSession.sparkContext.broadcast(words.select("key", "value").toArrow())
+    id_type = dict(df.dtypes)[id_column]
+
+    def replace(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        table = shared.value
+        keys = table["key"].combine_chunks()
+        values = table["value"].combine_chunks()
+        for batch in batches:
+            lists = batch.column(1)
+            found = values.take(pc.index_in(lists.flatten(), value_set=keys)).fill_null(unknown)
+            lengths = pc.fill_null(pc.list_value_length(lists), 0)
+            ends = pc.cumulative_sum(lengths.cast(pa.int32()))
+            offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
+            replaced = pa.ListArray.from_arrays(offsets, found, mask=lists.is_null())
+            yield pa.RecordBatch.from_arrays([batch.column(0), replaced], [id_column, out])
+
+    return df.select(id_column, list_column).mapInArrow(
+        replace, f"`{id_column}` {id_type}, {out} {out_type}")
+
+
+def _join_words(df: DataFrame, words: DataFrame, id_column: str, list_column: str,
+                key: str) -> DataFrame:
+    """One row per list element with its word, null when unknown."""
+    elements = df.select(id_column, F.posexplode_outer(list_column).alias("pos", key))
+    return elements.join(words, key, "left")
 
 
 def length_profile(df: DataFrame, caps: Sequence[int], percentiles: Sequence[float] = (0.5, 0.9, 0.99),
@@ -104,7 +134,8 @@ def length_profile(df: DataFrame, caps: Sequence[int], percentiles: Sequence[flo
     )
 
 
-def _gather(long: DataFrame, id_column: str, value: str, out: str) -> DataFrame:
-    """Rows of one example back to an array, by position."""
-    ordered = F.sort_array(F.collect_list(F.struct("pos", value)))
-    return long.groupBy(id_column).agg(F.transform(ordered, lambda x: x[value]).alias(out))
+def _gather(elements: DataFrame, id_column: str, value: str, out: str) -> DataFrame:
+    """The elements of one example back to its list, by position."""
+    placed = F.when(F.col("pos").isNotNull(), F.struct("pos", value))
+    ordered = F.sort_array(F.collect_list(placed))
+    return elements.groupBy(id_column).agg(F.transform(ordered, lambda x: x[value]).alias(out))

@@ -9,7 +9,8 @@ from fitledger.functions.schedule import (
 )
 
 SEED = 42
-HEX_DIGITS = 3
+# 65,536 parts: enough for every task of a large cluster, and a small broadcast.
+HEX_DIGITS = 4
 
 
 def example_index(df: DataFrame, id_column: str, seed: int = SEED,

@@ -64,6 +64,31 @@ def test_timestamps(spark):
     assert all(r["n"] == r["id"] + 1 for r in got.collect())
 
 
+def test_a_burst_is_cut_again(spark):
+    """Nearly all rows of the group fall into a thousandth of its time span."""
+    spread = [i * 100_000 for i in range(20)]
+    burst = [500_000 + i for i in range(400)]
+    df = spark.createDataFrame([(1, at) for at in spread + burst], "key int, at bigint")
+    got = with_row_number(df, ["key"], ["at"], "n", rows_per_slot=20)
+    plan = got._jdf.queryExecution().toString()
+    assert "__slot1" in plan
+    expected = {at: n for n, at in enumerate(sorted(set(spread + burst)), 1)}
+    rows = got.collect()
+    assert sorted(r["n"] for r in rows) == list(range(1, 421))
+    assert [r["at"] for r in sorted(rows, key=lambda r: r["n"])] == sorted(spread + burst)
+    before = with_neighbour(df.distinct(), ["key"], ["at"], ["at"], "prev", -1, rows_per_slot=20)
+    places = sorted(expected)
+    for r in before.collect():
+        n = expected[r["at"]]
+        assert (r["prev"] and r["prev"]["at"]) == (places[n - 2] if n > 1 else None)
+
+
+def test_ties_are_not_cut_for_ever(spark):
+    df = spark.range(200).select(F.lit(1).alias("key"), F.lit(5).alias("at"), "id")
+    got = with_row_number(df, ["key"], ["at", "id"], "n", rows_per_slot=10)
+    assert all(r["n"] == r["id"] + 1 for r in got.collect())
+
+
 def test_hot_group_is_cut_and_shuffled_by_slot(spark):
     df = spark.range(1000).select(F.lit(1).alias("key"), F.col("id").alias("at"))
     plan = with_row_number(df, ["key"], ["at"], "n", rows_per_slot=100)._jdf.queryExecution().toString()
