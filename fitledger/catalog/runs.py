@@ -8,7 +8,7 @@ from fitledger.catalog.tables import examples, logs, table
 from fitledger.functions import is_number
 from fitledger.operators import checkpoints as ck, metrics as m, registry as reg
 from fitledger.operators.examples import render_examples
-from fitledger.session import saved_table, scratch_path
+from fitledger.session import scratch_path
 from fitledger.sources import sinks
 from fitledger.sources.artifacts import artifact_manifest
 from fitledger.sources.derived import checkpoint_manifest, run_settings
@@ -68,13 +68,20 @@ def final_points(spark, sf_dir):
     return _points(m.final_metrics(logs(spark, sf_dir)))
 
 
+def _stored_metrics(spark, sf_dir):
+    """The metric table, so that what follows does not parse the logs again."""
+    path = scratch_path(spark, "metrics")
+    sinks.append_metrics(m.metrics_long(logs(spark, sf_dir)), path)
+    return sinks.read_metrics(spark, path)
+
+
 def history(spark, sf_dir):
-    numbered = m.metric_history(m.metrics_long(logs(spark, sf_dir)))
+    numbered = m.metric_history(_stored_metrics(spark, sf_dir))
     return numbered.select("run_id", "key", "seq", "step", F.round("value", 6).alias("value"))
 
 
 def blocks(spark, sf_dir):
-    numbered = m.metric_history(m.metrics_long(logs(spark, sf_dir)))
+    numbered = m.metric_history(_stored_metrics(spark, sf_dir))
     return m.history_blocks(numbered, 20).select(
         "run_id", "key", "block",
         F.size("points").cast("bigint").alias("n_points"),
@@ -165,9 +172,11 @@ def all_experiments(spark, sf_dir):
 
 
 def experiment_names(spark, sf_dir):
-    suffix = F.concat(F.lit("run-"), "user_id")
+    name = reg.experiment_name(F.concat(F.lit("run-"), "user_id"))
+    # The user differs from machine to machine.
+    below_user = F.regexp_replace(name, "^/Workspace/Users/[^/]+/", "~/")
     return table(spark, sf_dir, "events").select("user_id").distinct().select(
-        "user_id", reg.experiment_name(suffix).alias("experiment"))
+        "user_id", below_user.alias("experiment"))
 
 
 def artifacts(spark, sf_dir):
@@ -324,5 +333,6 @@ where (select count(*) from plan q where q.run_id = p.run_id and q.step > p.step
     "existing_only": f"with {_PLAN} select run_id, step, path from plan where event_type <> 'error'",
     "pending_uploads": f"with {_PLAN} select run_id, step, path from plan where event_type = 'error'",
     "new_experiments": f"with {_NAMES} select experiment from created",
+    "experiment_name": "select distinct user_id, '~/run-' || user_id as experiment from events",
     "register_experiments": f"with {_NAMES} select experiment from existing union select experiment from created",
 }

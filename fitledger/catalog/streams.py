@@ -10,8 +10,8 @@ from fitledger.catalog.tables import logs, path_of
 from fitledger.session import scratch_path
 from fitledger.sources.derived import log_entries
 from fitledger.streaming import (
-    drain, read_log_stream, stream_checkpoint_events, stream_metrics, stream_time_per_step,
-    table_sink,
+    drain, read_log_stream, step_time_sink, stream_checkpoint_events, stream_metrics,
+    stream_time_per_step, table_sink,
 )
 
 
@@ -44,6 +44,16 @@ def step_times(spark, sf_dir):
     return rows.select("run_id", "event_id", F.round("time_per_step", 7).alias("time_per_step"))
 
 
+def carried_step_times(spark, sf_dir):
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    events = read_log_stream(spark, path_of(sf_dir, "events"), schemas.EVENTS)
+    place = scratch_path(spark, "carried-step-times")
+    sink = step_time_sink(f"{place}/times", f"{place}/carry", "times")
+    drain(log_entries(events), [sink], f"{place}/progress")
+    rows = spark.read.parquet(f"{place}/times")
+    return rows.select("run_id", "event_id", F.round("time_per_step", 7).alias("time_per_step"))
+
+
 def checkpoint_events(spark, sf_dir):
     rows, = _drained(spark, stream_checkpoint_events(_log_stream(spark, sf_dir)), "checkpoints")
     return rows
@@ -58,19 +68,23 @@ def tee(spark, sf_dir):
 QUERIES = {
     "stream_metrics": metrics,
     "stream_time_per_step": step_times,
+    "step_time_sink": carried_step_times,
     "stream_checkpoint_events": checkpoint_events,
     "tee_sink": tee,
 }
 
+_STEP_TIMES = """
+select user_id as run_id, event_id,
+  round((epoch_us(ts) - lag(epoch_us(ts)) over (partition by user_id order by ts, event_id)) / 1e7, 7) as time_per_step
+from events qualify time_per_step is not null"""
+
 SQL = {
     "stream_metrics": f"""
 with {POINTS_SQL}
 select run_id, event_id, case kind when 'evaluate' then 'eval_' else '' end || key as key, value, step
 from points""",
-    "stream_time_per_step": """
-select user_id as run_id, event_id,
-  round((epoch_us(ts) - lag(epoch_us(ts)) over (partition by user_id order by ts, event_id)) / 1e7, 7) as time_per_step
-from events qualify time_per_step is not null""",
+    "stream_time_per_step": _STEP_TIMES,
+    "step_time_sink": _STEP_TIMES,
     "stream_checkpoint_events": f"""
 with {LOG_SQL}
 select run_id, step, 'checkpoint-' || step as path from log_events where step % 200 = 0""",

@@ -36,6 +36,12 @@ def existing_only(plan: DataFrame, manifest: DataFrame) -> DataFrame:
     return plan.join(manifest, ["run_id", "path"], "left_semi")
 
 
+def checkpoint_folders(manifest: DataFrame) -> DataFrame:
+    """``run_id, path`` of the checkpoint folders that hold at least one listed file."""
+    folder = F.regexp_extract("path", "/(checkpoint-[0-9]+)/", 1)
+    return manifest.select("run_id", folder.alias("path")).filter(F.col("path") != "").distinct()
+
+
 def pending_uploads(started: DataFrame, finished: DataFrame) -> DataFrame:
     """Uploads that were started and are not finished."""
     return started.join(finished, ["run_id", "path"], "left_anti")

@@ -7,6 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from fitledger.operators.metrics import END, LOGGING_STEPS, TIME_PER_STEP, time_per_step
+from fitledger.operators.ordered import ROWS_PER_SLOT
+
 Sink = Callable[[DataFrame, int], None]
 
 
@@ -32,6 +35,39 @@ def table_sink(path: str, stream_name: str, mode: str = "a") -> Sink:
     return write
 
 
+def step_time_sink(path: str, carry_path: str, stream_name: str,
+                   logging_steps: int = LOGGING_STEPS,
+                   rows_per_slot: int = ROWS_PER_SLOT) -> Sink:
+    """Step times of log entries, for streams in which one run may hold much of a micro-batch.
+
+    The micro-batch goes through the batch operator, which cuts a large run into
+    slots. Each run's last entry is carried to the next micro-batch in a small
+    table of one row per running run. It is kept in two folders by turns, so a
+    micro-batch that is run again finds what it read the first time.
+    """
+    write = table_sink(path, stream_name)
+    columns = ["run_id", "event_id", "ts", "kind"]
+
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        entries = batch.filter(F.col("run_id").isNotNull() & F.col("ts").isNotNull())
+        entries = entries.select(*columns, F.lit(True).alias("is_new"))
+        if batch_id > 0:
+            carried = batch.sparkSession.read.schema(entries.schema).parquet(
+                f"{carry_path}/{(batch_id - 1) % 2}")
+            entries = carried.unionByName(entries)
+        timed = time_per_step(entries, logging_steps, rows_per_slot)
+        write(timed.filter("is_new").select("run_id", "event_id", TIME_PER_STEP), batch_id)
+        last = entries.groupBy("run_id").agg(
+            F.max_by(F.struct("event_id", "ts", "kind"), F.struct("ts", "event_id")).alias("last"))
+        (
+            last.select("run_id", "last.*").filter(F.col("kind") != END)
+            .withColumn("is_new", F.lit(False))
+            .write.mode("overwrite").parquet(f"{carry_path}/{batch_id % 2}")
+        )
+
+    return deliver
+
+
 def tee_sink(stream: DataFrame, sinks: Sequence[Sink], checkpoint: str,
              available_now: bool = False) -> StreamingQuery:
     """Send every micro-batch to all sinks; it is computed once."""

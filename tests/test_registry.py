@@ -41,6 +41,18 @@ def test_missing_and_pending(spark):
     assert [r["step"] for r in ck.pending_uploads(plan, there).collect()] == [200]
 
 
+def test_folders_of_a_manifest(spark, tmp_path):
+    for name in ("checkpoint-200", "checkpoint-400", "other"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "weights.bin").write_bytes(b"1")
+    (tmp_path / "checkpoint-200" / "state.bin").write_bytes(b"1")
+    manifest = artifact_manifest(spark, str(tmp_path), "r1", "checkpoints")
+    plan = spark.createDataFrame(
+        [("r1", s, f"checkpoint-{s}") for s in (200, 400, 600)], "run_id string, step bigint, path string")
+    there = ck.existing_only(plan, ck.checkpoint_folders(manifest))
+    assert sorted(r["step"] for r in there.collect()) == [200, 400]
+
+
 def test_experiments_are_created_once(spark):
     existing = spark.createDataFrame([("a",), ("b",)], "experiment string")
     incoming = spark.createDataFrame([("b",), ("c",), ("c",), ("d",)], "experiment string")

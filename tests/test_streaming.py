@@ -7,8 +7,8 @@ from fitledger import schemas
 from fitledger.catalog import tables
 from fitledger.operators import metrics as m
 from fitledger.streaming import (
-    drain, read_log_stream, stream_checkpoint_events, stream_metrics, stream_time_per_step,
-    table_sink, tee_sink,
+    drain, read_log_stream, step_time_sink, stream_checkpoint_events, stream_metrics,
+    stream_time_per_step, table_sink, tee_sink,
 )
 from conftest import SMALL
 
@@ -54,6 +54,32 @@ def test_step_times_across_micro_batches_and_a_restart(spark, logs, tmp_path):
     assert rows(again, "run_id", "event_id", "time_per_step") == expected
 
 
+def test_carried_step_times_survive_failures(spark, logs, tmp_path):
+    """One run holds most rows; every second micro-batch fails once after its work is done."""
+    source, place = str(tmp_path / "in"), str(tmp_path / "run")
+    skewed = logs.withColumn("run_id", F.when(F.col("event_id") % 3 > 0, 3).otherwise(F.col("run_id")))
+    land(skewed, source, 0, 1000)
+    expected = rows(m.time_per_step(skewed), "run_id", "event_id", "time_per_step")
+    sink, failed = step_time_sink(f"{place}/out", f"{place}/carry", "s", rows_per_slot=10), set()
+
+    def unreliable(batch, batch_id):
+        sink(batch, batch_id)
+        if batch_id % 2 and batch_id not in failed:
+            failed.add(batch_id)
+            raise RuntimeError("lost after writing")
+
+    stream = read_log_stream(spark, source, max_bytes_per_trigger=20_000)
+    done = False
+    while not done:
+        try:
+            drain(stream, [unreliable], f"{place}/progress")
+            done = True
+        except Exception as error:
+            assert "lost after writing" in str(error)
+    assert failed
+    assert rows(spark.read.parquet(f"{place}/out"), "run_id", "event_id", "time_per_step") == expected
+
+
 def test_metrics_and_checkpoints(spark, logs, tmp_path):
     source = str(tmp_path / "in")
     land(logs, source, 0, 1000)
