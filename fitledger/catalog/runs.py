@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fitledger.catalog.tables import examples, logs, table
+from fitledger.catalog.tables import logs, table
 from fitledger.functions import is_number
 from fitledger.operators import checkpoints as ck, metrics as m, registry as reg
-from fitledger.operators.examples import render_examples
 from fitledger.session import scratch_path
 from fitledger.sources import sinks
 from fitledger.sources.artifacts import artifact_manifest
@@ -181,8 +180,11 @@ def experiment_names(spark, sf_dir):
 
 def artifacts(spark, sf_dir):
     path = scratch_path(spark, "artifacts")
-    render_examples(examples(spark, sf_dir)).write.parquet(path)
-    return artifact_manifest(spark, path, "run-0", "training_text")
+    table(spark, sf_dir, "documents").write.partitionBy("lang").parquet(path)
+    files = artifact_manifest(spark, path, "run-0", "documents")
+    language = F.regexp_extract("path", "/lang=([a-z]+)/", 1).alias("lang")
+    return files.groupBy("run_id", "artifact_path", language).agg(
+        (F.min("length") > 0).alias("has_bytes"))
 
 
 QUERIES = {
@@ -334,5 +336,7 @@ where (select count(*) from plan q where q.run_id = p.run_id and q.step > p.step
     "pending_uploads": f"with {_PLAN} select run_id, step, path from plan where event_type = 'error'",
     "new_experiments": f"with {_NAMES} select experiment from created",
     "experiment_name": "select distinct user_id, '~/run-' || user_id as experiment from events",
+    "artifact_manifest": """
+select distinct 'run-0' as run_id, 'documents' as artifact_path, lang, true as has_bytes from documents""",
     "register_experiments": f"with {_NAMES} select experiment from existing union select experiment from created",
 }

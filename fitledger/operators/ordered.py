@@ -54,16 +54,24 @@ def with_neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         raise ValueError("offset must be -1 or 1")
     step, edge = (F.lag, F.max_by) if offset < 0 else (F.lead, F.min_by)
     row = F.struct(*columns)
+
+    def beside(window):
+        # Column by column: a struct would be a second copy of its columns in the shuffle.
+        return F.when(
+            step(F.lit(True)).over(window),
+            F.struct(*[step(c).over(window).alias(c) for c in columns]),
+        )
+
     cut, slots = _cut_hot_groups(df, keys, order[0], rows_per_slot)
     if not slots:
-        return df.withColumn(out, step(row).over(_window(keys, order)))
+        return df.withColumn(out, beside(_window(keys, order)))
     edges = (
         cut.filter(F.col(slots[0]).isNotNull())
         .groupBy(*keys, *slots).agg(edge(row, F.struct(*order)).alias("__edge"))
         .withColumn("__beyond", step("__edge").over(_window(keys, slots)))
         .drop("__edge")
     )
-    inside = step(row).over(_window([*keys, *slots], order))
+    inside = beside(_window([*keys, *slots], order))
     return (
         cut.join(edges, [*keys, *slots], "left")
         .withColumn(out, F.coalesce(inside, F.col("__beyond")))

@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from fitledger.session import MAX_BROADCAST_ROWS, broadcast_if_small, saved, saved_table
+from fitledger.session import (
+    MAX_BROADCAST_ROWS, broadcast_if_small, saved, saved_table, text_fits,
+)
 
 # Rare tokens dominate a corpus, so one frequency can hold most of the types.
 # The types of a frequency are ranked in this many parts first.
@@ -56,12 +58,12 @@ def encode(df: DataFrame, vocabulary: DataFrame, id_column: str, tokens_column:
            max_words: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``id, ids``: token lists as id lists; tokens outside the vocabulary get -1.
 
-    The vocabulary goes to every executor when it has at most ``max_words`` words,
-    and whole Arrow batches are looked up with no shuffle. A larger one is joined.
-    Pass a vocabulary that is already saved: it is counted first.
+    The vocabulary goes to every executor when it has at most ``max_words`` words
+    of bounded total length, and whole Arrow batches are looked up with no shuffle.
+    A larger one is joined. Pass a vocabulary that is already saved: it is measured first.
     """
     words = vocabulary.select("token", "token_id")
-    if words.limit(max_words + 1).count() > max_words:
+    if not text_fits(words, "token", max_words):
         found = _join_words(df, words, id_column, tokens_column, "token")
         known = F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("token_id")
         return _gather(found.select(id_column, "pos", known), id_column, "token_id", "ids")
@@ -73,7 +75,7 @@ def decode_ids(df: DataFrame, vocabulary: DataFrame, id_column: str, ids_column:
                max_words: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``id, text`` from id lists; unknown ids become a marker."""
     words = vocabulary.select("token_id", "token")
-    if words.limit(max_words + 1).count() > max_words:
+    if not text_fits(words, "token", max_words):
         found = _join_words(df, words, id_column, ids_column, "token_id")
         known = F.coalesce("token", F.lit(UNKNOWN_TOKEN)).alias("token")
         tokens = _gather(found.select(id_column, "pos", known), id_column, "token", "tokens")

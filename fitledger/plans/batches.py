@@ -22,8 +22,10 @@ def example_index(df: DataFrame, id_column: str, seed: int = SEED,
     numbers come from a table with one row per part, small enough to broadcast
     at any data size.
     """
-    hashed = df.withColumn("__hash", F.md5(F.concat_ws(":", F.lit(seed), F.col(id_column).cast("string"))))
-    hashed = hashed.withColumn("__part", F.substring("__hash", 1, hex_digits))
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.col(id_column).cast("string")))
+    # As bytes the digest sorts like its hex digits and takes half the space.
+    hashed = df.withColumns({
+        "__part": F.substring(digest, 1, hex_digits), "__hash": F.unhex(digest)})
     earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy("__part").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
@@ -37,9 +39,10 @@ def example_index(df: DataFrame, id_column: str, seed: int = SEED,
     )
     in_part = Window.partitionBy("__part").orderBy("__hash", id_column)
     return (
-        hashed.join(F.broadcast(starts), "__part")
-        .withColumn("idx", F.col("__start") + F.row_number().over(in_part) - 1)
-        .drop("__hash", "__part", "__start")
+        hashed.withColumn("__nth", F.row_number().over(in_part))
+        .join(F.broadcast(starts), "__part")
+        .withColumn("idx", F.col("__start") + F.col("__nth") - 1)
+        .drop("__hash", "__part", "__start", "__nth")
     )
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # A side of a join is broadcast only when it has at most this many rows.
 # The callers' rows are narrow (keys and a few counters), below 64 bytes each.
 MAX_BROADCAST_ROWS = 1_000_000
+# The same for rows that hold text, whose length is counted too.
+MAX_BROADCAST_BYTES = 256 << 20
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -73,3 +75,11 @@ def saved_table(df: DataFrame, label: str) -> DataFrame:
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` after counting it; beyond ``max_rows`` Spark picks a shuffle join."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def text_fits(df: DataFrame, column: str, max_rows: int = MAX_BROADCAST_ROWS,
+              max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether a table with a text column is small enough to go to every executor."""
+    rows, size = df.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(column)), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
