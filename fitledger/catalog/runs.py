@@ -41,6 +41,14 @@ def loggable_rows(spark, sf_dir):
     return m.loggable(logs(spark, sf_dir)).select("run_id", "event_id")
 
 
+def malformed(spark, sf_dir):
+    """Event properties are JSON, prose is not."""
+    shape = ["run_id", "event_id", "logs"]
+    props = table(spark, sf_dir, "events").select("user_id", "event_id", "props").toDF(*shape)
+    prose = table(spark, sf_dir, "documents").select(F.lit(-1).cast("bigint"), "doc_id", "text").toDF(*shape)
+    return m.malformed_logs(props.unionByName(prose)).select("run_id", "event_id")
+
+
 def _points(rows: DataFrame) -> DataFrame:
     # Seven places: a tenth of a microsecond, where step times end.
     return rows.select("run_id", "event_id", "key", F.round("value", 7).alias("value"), "step")
@@ -178,6 +186,14 @@ def experiment_names(spark, sf_dir):
         "user_id", below_user.alias("experiment"))
 
 
+def run_registry(spark, sf_dir):
+    runs = table(spark, sf_dir, "events").withColumnRenamed("user_id", "run_id")
+    registered = reg.register_runs(runs, F.lit("tuning"), F.concat(F.lit("run-"), "run_id"))
+    # The user differs from machine to machine.
+    at_home = F.endswith("experiment", F.concat(F.lit("/"), "username", F.lit("/tuning")))
+    return registered.select("run_id", "run_name", at_home.alias("in_own_folder"))
+
+
 def artifacts(spark, sf_dir):
     path = scratch_path(spark, "artifacts")
     table(spark, sf_dir, "documents").write.partitionBy("lang").parquet(path)
@@ -193,6 +209,7 @@ QUERIES = {
     "lead_rank_only": lead_rank,
     "every_n_steps": snapshots,
     "loggable": loggable_rows,
+    "malformed_logs": malformed,
     "metrics_long": long_metrics,
     "time_per_step": step_times,
     "timing_metrics": step_time_points,
@@ -212,6 +229,7 @@ QUERIES = {
     "new_experiments": created_experiments,
     "register_experiments": all_experiments,
     "experiment_name": experiment_names,
+    "register_runs": run_registry,
     "artifact_manifest": artifacts,
 }
 
@@ -274,6 +292,10 @@ union all select 'event_type', 0, count(event_type) from events""",
     "loggable": """
 select user_id as run_id, event_id from events
 where user_id is not null and (value is not null or event_type is not null or props is not null)""",
+    "malformed_logs": """
+select user_id as run_id, event_id from events where not json_valid(props)
+union all
+select -1, doc_id from documents where not json_valid(text)""",
     "metrics_long": f"with {POINTS_SQL} select run_id, event_id, key, value, step from points",
     "time_per_step": f"""
 with {_TIMES} select run_id, event_id, seconds as time_per_step from times where seconds is not null""",
@@ -336,6 +358,8 @@ where (select count(*) from plan q where q.run_id = p.run_id and q.step > p.step
     "pending_uploads": f"with {_PLAN} select run_id, step, path from plan where event_type = 'error'",
     "new_experiments": f"with {_NAMES} select experiment from created",
     "experiment_name": "select distinct user_id, '~/run-' || user_id as experiment from events",
+    "register_runs": """
+select distinct user_id as run_id, 'run-' || user_id as run_name, true as in_own_folder from events""",
     "artifact_manifest": """
 select distinct 'run-0' as run_id, 'documents' as artifact_path, lang, true as has_bytes from documents""",
     "register_experiments": f"with {_NAMES} select experiment from existing union select experiment from created",

@@ -33,6 +33,16 @@ def register_experiments(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return existing.select("experiment").unionByName(new_experiments(existing, incoming))
 
 
+def register_runs(runs: DataFrame, suffix: Column, run_name: Column) -> DataFrame:
+    """``run_id, experiment, run_name, username``: one row per run, in the current user's name."""
+    return runs.select("run_id").distinct().select(
+        "run_id",
+        experiment_name(suffix).alias("experiment"),
+        run_name.alias("run_name"),
+        F.current_user().alias("username"),
+    )
+
+
 def melt_params(df: DataFrame, id_column: str, columns: Sequence[str]) -> DataFrame:
     """``run_id, key, value, value_type``: one row per parameter that is set."""
     types = dict(df.dtypes)

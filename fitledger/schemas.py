@@ -49,12 +49,20 @@ LOG_EVENTS = T.StructType([
 
 METRICS = T.StructType([
     T.StructField("run_id", T.LongType()),
+    T.StructField("event_id", T.LongType()),
     T.StructField("key", T.StringType()),
     T.StructField("value", T.DoubleType()),
     T.StructField("step", T.LongType()),
     T.StructField("log_time", T.TimestampType()),
 ])
 
+RUNS = T.StructType([
+    T.StructField("run_id", T.LongType()),
+    T.StructField("experiment", T.StringType()),
+    T.StructField("run_name", T.StringType()),
+    T.StructField("username", T.StringType()),
+])
+
 PARAMS = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("key", T.StringType()),

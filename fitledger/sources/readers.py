@@ -25,6 +25,11 @@ def read_examples(spark: SparkSession, path: str, split: str | None = "train",
     return rows.select(*schema.names)
 
 
+def message_table(spark: SparkSession, rows: Sequence[tuple[str, str]]) -> DataFrame:
+    """A literal message list as a table, ``role, content``."""
+    return spark.createDataFrame(rows, schemas.MESSAGE)
+
+
 def inline_messages(df: DataFrame, rows: Sequence[tuple[str, str]], out: str = "messages") -> DataFrame:
     """Give every row the same literal message list."""
     return df.withColumn(out, literal_messages(rows))

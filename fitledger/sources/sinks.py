@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
+
+from fitledger import schemas
 
 # Runs are spread over this many folders: a folder per run would mean one
 # directory and at least one file per run.
@@ -33,9 +36,10 @@ def append_metrics(df: DataFrame, path: str, buckets: int = RUN_BUCKETS) -> None
 def read_metrics(spark: SparkSession, path: str, run_id: int | None = None,
                  buckets: int = RUN_BUCKETS) -> DataFrame:
     """The metric table; with a run given, only its folder is read."""
-    rows = spark.read.parquet(path)
+    schema = StructType([*schemas.METRICS.fields]).add(BUCKET, "integer")
+    rows = spark.read.schema(schema).parquet(path)
     if run_id is not None:
-        wanted = F.lit(run_id).cast(rows.schema["run_id"].dataType)
+        wanted = F.lit(run_id).cast("bigint")
         rows = rows.filter((F.col(BUCKET) == run_bucket(wanted, buckets)) & (F.col("run_id") == wanted))
     return rows.drop(BUCKET)
 

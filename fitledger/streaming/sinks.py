@@ -35,6 +35,15 @@ def table_sink(path: str, stream_name: str, mode: str = "a") -> Sink:
     return write
 
 
+def through(transform: Callable[[DataFrame], DataFrame], sink: Sink) -> Sink:
+    """A sink that receives the transformed micro-batch: good rows to one table, rejects to another."""
+
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        sink(transform(batch), batch_id)
+
+    return deliver
+
+
 def step_time_sink(path: str, carry_path: str, stream_name: str,
                    logging_steps: int = LOGGING_STEPS,
                    rows_per_slot: int = ROWS_PER_SLOT) -> Sink:

@@ -8,7 +8,7 @@ from fitledger.catalog import tables
 from fitledger.operators import metrics as m
 from fitledger.streaming import (
     drain, read_log_stream, step_time_sink, stream_checkpoint_events, stream_metrics,
-    stream_time_per_step, table_sink, tee_sink,
+    stream_time_per_step, table_sink, tee_sink, through,
 )
 from conftest import SMALL
 
@@ -98,6 +98,19 @@ def test_malformed_lines_do_not_stop_the_stream(spark, logs, tmp_path):
           [table_sink(str(tmp_path / "out"), "s")], str(tmp_path / "progress"))
 
 
+def test_bad_lines_go_to_quarantine(spark, logs, tmp_path):
+    source, good, bad = (str(tmp_path / name) for name in ("in", "good", "bad"))
+    spoiled = logs.withColumn("logs", F.when(F.col("event_id") < 100, "{bad").otherwise(F.col("logs")))
+    spoiled.write.parquet(source)
+    drain(
+        read_log_stream(spark, source),
+        [through(m.hook_metrics, table_sink(good, "s")), through(m.malformed_logs, table_sink(bad, "s"))],
+        str(tmp_path / "progress"),
+    )
+    assert spark.read.parquet(bad).count() == 100
+    assert spark.read.parquet(good).agg(F.min("event_id")).first()[0] == 100
+
+
 def test_tee_writes_the_same_to_both(spark, logs, tmp_path):
     source = str(tmp_path / "in")
     land(logs, source, 0, 400)

@@ -1,6 +1,7 @@
 """Golden rows of the text rules, and properties of chat text and tokens."""
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from fitledger import schemas
@@ -11,7 +12,7 @@ from fitledger.functions import (
 )
 from fitledger.functions.text import WHITESPACE
 from fitledger.operators.examples import conversation_examples, render_examples, token_examples
-from fitledger.sources.readers import read_examples
+from fitledger.sources.readers import message_table, read_examples
 from fitledger.sources.sinks import write_training_text
 from conftest import MEDIUM, SMALL
 
@@ -147,6 +148,19 @@ def test_training_text_formats(spark, tmp_path, golden):
     assert spark.read.text(str(tmp_path / "t")).count() == len(GOLDEN)
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(texts=st.lists(st.text(alphabet=WHITESPACE + "ab\u200b日\U0001f600", max_size=12), min_size=1, max_size=40))
+def test_strip_and_split_are_pythons(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = df.select("i", py_strip(F.col("text")), tokenize(F.col("text"))).collect()
+    assert sorted(map(tuple, got)) == [(i, t.strip(), t.split()) for i, t in enumerate(texts)]
+
+
+def test_literal_message_table(spark):
+    rows = [("system", "/no_think"), ("user", "hi")]
+    assert [tuple(r) for r in message_table(spark, rows).collect()] == rows
+
+
 def test_messages_shape(golden):
     df = golden.select(build_messages(F.col("instruction"), F.col("input"), F.col("output")).alias("m"))
     assert df.schema["m"].dataType.elementType.names == schemas.MESSAGE.names
