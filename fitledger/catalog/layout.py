@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fitledger.catalog.tables import table
-from fitledger.operators.examples import token_examples
+from fitledger.catalog.tables import examples, table
+from fitledger.catalog.text import SQL as TEXT_SQL
+from fitledger.operators.examples import render_examples, token_examples
 from fitledger.plans import (
     assign_rank, assign_step, batch_summary, epochs, example_index, lay_out, steps_per_epoch,
     with_learning_rate,
@@ -57,6 +58,15 @@ def layout(spark, sf_dir):
     )
 
 
+def conversation_layout(spark, sf_dir):
+    """The whole way from conversation turns to a batch plan of their rendered text."""
+    text = render_examples(examples(spark, sf_dir))
+    sized = token_examples(text, "example_id").select("example_id", "n_tokens")
+    plan = lay_out(sized, "example_id", WORLD)
+    return plan.select("example_id", "n_tokens", "idx", "rank", "opt_step",
+                       F.round("learning_rate", 12).alias("learning_rate"))
+
+
 def summary(spark, sf_dir):
     plan = assign_step(assign_rank(example_index(_sized(spark, sf_dir), "doc_id"), WORLD), WORLD)
     return batch_summary(plan)
@@ -71,6 +81,7 @@ QUERIES = {
     "learning_rate": rates,
     "batch_layout": layout,
     "batch_summary": summary,
+    "conversation_layout": conversation_layout,
 }
 
 _ORDERED = """
@@ -92,13 +103,11 @@ def _rate(step: str, total: str) -> str:
     else 0.0001 * (1 + cos(pi() * ({step} - {warm}) / greatest({total} - {warm}, 1))) end, 12)"""
 
 
-_SIZES = r"""
-sizes as (
-  select doc_id, least(2048, len(list_filter(
+_N_TOKENS = r"""least(2048, len(list_filter(
     regexp_split_to_array(text, '[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+'),
-    lambda w: w <> ''))) as n_tokens
-  from documents
-)"""
+    lambda w: w <> '')))"""
+
+_SIZES = f"sizes as (select doc_id, {_N_TOKENS} as n_tokens from documents)"
 
 SQL = {
     "example_index": f"with {_ORDERED} select doc_id, idx, n_examples from ordered",
@@ -115,6 +124,17 @@ with {_ORDERED}, {_SIZES}
 select doc_id, n_tokens, cast(e as integer) as epoch, idx, rank, micro, opt_step,
   {_rate("((e - 1) * steps + opt_step - 1)", "(2 * steps)")} as learning_rate
 from placed join sizes using (doc_id), range(1, 3) t(e)""",
+    "conversation_layout": f"""
+with texts as ({TEXT_SQL["render_examples"]}),
+ordered as (
+  select example_id, cast({_N_TOKENS} as integer) as n_tokens,
+    row_number() over (order by md5('42:' || example_id), example_id) - 1 as idx,
+    (count(*) over () + 31) // 32 as steps
+  from texts
+)
+select example_id, n_tokens, idx, cast(idx % 4 as integer) as rank, idx // 32 + 1 as opt_step,
+  {_rate("(idx // 32)", "steps")} as learning_rate
+from ordered""",
     "batch_summary": f"""
 with {_ORDERED}, {_SIZES}
 select opt_step, rank, count(*) as examples, cast(sum(n_tokens) as bigint) as tokens

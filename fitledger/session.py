@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 # The same for rows that hold text, whose length is counted too.
 MAX_BROADCAST_BYTES = 256 << 20
+PARTITION_BYTES = 256 << 20
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -36,6 +37,21 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
+def shuffle_settings(shuffled_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a job that shuffles about ``shuffled_bytes``, to pass to :func:`build_session`.
+
+    Partitions of some 256 MB fit an executor's memory without spilling, and three
+    per core even out stragglers. AQE merges what turns out to be small but cannot
+    raise the number, so it has to start high enough.
+    """
+    partitions = max(-(-shuffled_bytes // PARTITION_BYTES), 3 * cores)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
