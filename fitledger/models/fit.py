@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, RegexTokenizer
 from pyspark.sql import DataFrame, functions as F
@@ -14,15 +15,23 @@ def supervised_fit(df: DataFrame, label_column: str, text_column: str = "text",
                    features: int = 1 << 16, iterations: int = 20, tree_depth: int = 2) -> PipelineModel:
     """Fit a linear classifier; gradients are summed over the executors in a tree.
 
-    The hashed features, not the text, are kept in memory or on disk between the
-    iterations. With thousands of partitions a deeper tree relieves the driver.
+    The text is tokenized and hashed once: the features are kept on disk for the
+    two passes that precede the iterations, which run on the classifier's own
+    cached blocks. With thousands of partitions a deeper tree relieves the driver.
     """
     labelled = df.select(text_column, F.col(label_column).cast("double").alias("label"))
-    return Pipeline(stages=[
+    preparation = PipelineModel(stages=[
         RegexTokenizer(inputCol=text_column, outputCol="words", pattern=TOKEN_BREAK),
         HashingTF(inputCol="words", outputCol="features", numFeatures=features),
-        LogisticRegression(maxIter=iterations, regParam=0.01, aggregationDepth=tree_depth),
-    ]).fit(labelled)
+    ])
+    prepared = preparation.transform(labelled).select("features", "label")
+    prepared = prepared.persist(StorageLevel.DISK_ONLY)
+    try:
+        fitted = LogisticRegression(
+            maxIter=iterations, regParam=0.01, aggregationDepth=tree_depth).fit(prepared)
+    finally:
+        prepared.unpersist()
+    return PipelineModel(stages=[*preparation.stages, fitted])
 
 
 def save_model(model: PipelineModel, path: str) -> None:

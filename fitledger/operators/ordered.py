@@ -104,13 +104,16 @@ def _cut_hot_groups(df: DataFrame, keys: Sequence[str], lead: str,
         hot = saved(hot)
         if n_hot <= MAX_BROADCAST_ROWS:
             hot = F.broadcast(hot)
-        width = F.col("__hi") - F.col("__lo") + F.lit(1)
-        slot = F.floor((place - F.col("__lo")) / width * F.ceil(F.col("__n") / F.lit(rows_per_slot)))
+        # The lowest value gets the first slot and the highest the last: every cut divides.
+        n_slots = F.ceil(F.col("__n") / F.lit(rows_per_slot))
+        along = (place - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))
+        # Null sorts first, so it goes to the first slot.
+        slot = F.least(F.coalesce(F.floor(along * n_slots), F.lit(0)), n_slots - 1)
         is_cut = F.col(slots[-1]).isNotNull() if slots else F.col("__n").isNotNull()
         name = f"__slot{len(slots)}"
         df = (
             df.join(hot, group, "left")
-            .withColumn(name, F.when(is_cut, F.coalesce(slot, F.lit(0))))
+            .withColumn(name, F.when(is_cut, slot))
             .drop("__n", "__lo", "__hi")
         )
         slots.append(name)
@@ -118,7 +121,10 @@ def _cut_hot_groups(df: DataFrame, keys: Sequence[str], lead: str,
 
 
 def _place(df: DataFrame, name: str) -> Column:
-    """The ordering value as a number."""
-    if isinstance(df.schema[name].dataType, T.TimestampType):
-        return F.unix_micros(name)
-    return F.col(name)
+    """The ordering value as a double; values it cannot tell apart share a slot."""
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(name).cast("double")
+    if isinstance(dtype, T.NumericType):
+        return F.col(name).cast("double")
+    raise TypeError(f"{name} must be numeric or a timestamp, not {dtype.simpleString()}")

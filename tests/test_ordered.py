@@ -83,6 +83,21 @@ def test_a_burst_is_cut_again(spark):
         assert (r["prev"] and r["prev"]["at"]) == (places[n - 2] if n > 1 else None)
 
 
+@pytest.mark.parametrize("values,dtype", [
+    ([1 + i * 1e-12 for i in range(60)], "double"),
+    ([-(2 ** 63) + i for i in range(30)] + [2 ** 63 - 1 - i for i in range(30)], "bigint"),
+])
+def test_narrow_and_wide_ranges(spark, values, dtype):
+    df = spark.createDataFrame([(1, v) for v in values], f"key int, at {dtype}")
+    got = with_row_number(df, ["key"], ["at"], "n", rows_per_slot=5)
+    assert [r["at"] for r in sorted(got.collect(), key=lambda r: r["n"])] == sorted(values)
+
+
+def test_text_order_is_refused(spark):
+    with pytest.raises(TypeError):
+        with_row_number(spark.createDataFrame([(1, "a")], "key int, at string"), ["key"], ["at"], "n")
+
+
 def test_ties_are_not_cut_for_ever(spark):
     df = spark.range(200).select(F.lit(1).alias("key"), F.lit(5).alias("at"), "id")
     got = with_row_number(df, ["key"], ["at", "id"], "n", rows_per_slot=10)
