@@ -7,6 +7,9 @@ crowded are cut again; the window runs per slot, and what crosses a slot's
 edge comes from a small per-slot summary. With no such group the plan is the
 plain window.
 
+The counting pass reads the keys and one ordering column of ``df``; where those are
+costly to compute, pass a stored table. It runs when the function is called.
+
 The first ordering column must be numeric or a timestamp, the rest break ties.
 Ordering is ascending. Group keys should not be null. Rows that share a group
 and the first ordering value stay together.
