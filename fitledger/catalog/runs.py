@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fitledger.catalog.tables import logs, table
 from fitledger.functions import is_number
 from fitledger.operators import checkpoints as ck, metrics as m, registry as reg
-from fitledger.session import scratch_path
+from fitledger.session import saved_table, scratch_path
 from fitledger.sources import sinks
 from fitledger.sources.artifacts import artifact_manifest
 from fitledger.sources.derived import checkpoint_manifest, run_settings
@@ -152,13 +152,19 @@ def kept_checkpoints(spark, sf_dir):
     return ck.retain_latest(ck.checkpoint_plan(logs(spark, sf_dir)))
 
 
+def _due_rows(spark, sf_dir):
+    """The log rows of due checkpoints, kept so that plan and manifest share one pass."""
+    due = m.every_n_steps(logs(spark, sf_dir), ck.SAVE_STEPS)
+    return saved_table(due.select("run_id", "step", "logs"), "due-rows")
+
+
 def present_checkpoints(spark, sf_dir):
-    rows = logs(spark, sf_dir)
+    rows = _due_rows(spark, sf_dir)
     return ck.existing_only(ck.checkpoint_plan(rows), checkpoint_manifest(rows))
 
 
 def pending(spark, sf_dir):
-    rows = logs(spark, sf_dir)
+    rows = _due_rows(spark, sf_dir)
     return ck.pending_uploads(ck.checkpoint_plan(rows), checkpoint_manifest(rows))
 
 
