@@ -60,14 +60,12 @@ def shared_dir(spark: SparkSession) -> str:
     setting is an error there.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="fitledger-")
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named)
-    return named.rstrip("/")
+        if named is None and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="fitledger-"))
+    return (named or context.getCheckpointDir()).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
