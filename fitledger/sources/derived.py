@@ -41,13 +41,17 @@ def checkpoint_manifest(logs: DataFrame, every: int = SAVE_STEPS) -> DataFrame:
 
 def run_settings(logs: DataFrame) -> DataFrame:
     """One row of typed parameters per run, some fixed by the recipe, some seen in its log."""
-    entry = F.try_parse_json("logs")
-    event_type = F.try_variant_get(entry, "$.event_type", "string")
-    return logs.groupBy("run_id").agg(
+    # Parsed once, in a step of its own.
+    entries = logs.select("run_id", F.try_parse_json("logs").alias("entry")).select(
+        "run_id",
+        F.try_variant_get("entry", "$.value", "double").alias("value"),
+        F.try_variant_get("entry", "$.event_type", "string").alias("event_type"),
+    )
+    return entries.groupBy("run_id").agg(
         F.count(F.lit(1)).alias("n_events"),
-        F.max(F.try_variant_get(entry, "$.value", "double")).alias("max_value"),
-        F.min(event_type).alias("first_kind"),
-        F.bool_or(event_type == "error").alias("had_error"),
+        F.max("value").alias("max_value"),
+        F.min("event_type").alias("first_kind"),
+        F.bool_or(F.col("event_type") == "error").alias("had_error"),
     ).withColumns({
         "epochs": F.lit(1),
         "per_device_train_batch_size": F.lit(1),
