@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fitledger.session import scratch_path
+from fitledger.session import saved_table, scratch_path
 
 URL_RULES = [
     ("com", "/", "allow"),
@@ -36,8 +36,26 @@ def token_counts(spark, sf_dir):
     return count_tokens(_table(spark, sf_dir, "documents"), cache, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def source_mix(spark, sf_dir):
+    from fitledger.llm.mixing import mix
+
+    return mix(_table(spark, sf_dir, "documents"))
+
+
+def warc_packages(spark, sf_dir):
+    from fitledger.llm.archive import read_archives, urn_id, with_revisits, write_archives
+
+    records = with_revisits(_table(spark, sf_dir, "pages"))
+    manifest = saved_table(write_archives(records, scratch_path(spark, "packages")), "packages-manifest")
+    return read_archives(manifest).select(
+        urn_id("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        urn_id("refers_to").alias("refers_to"))
+
+
 QUERIES = {
     "op2_url_filters": url_filters,
+    "op4_source_mix": source_mix,
+    "op8_warc_packages": warc_packages,
     "op9_token_counts": token_counts,
 }
 
@@ -68,4 +86,56 @@ from cut left join (select * from fits where place = 1) best
   on cut.host = best.host and cut.path = best.path
 """
 
-SQL = {"op2_url_filters": URL_SQL}
+MIX_SQL = """
+with recursive sized as (
+    select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as size,
+           ('0x' || substr(md5('0:' || coalesce(doc_id::varchar, '')), 1, 15))::bigint as seeded
+    from documents
+), sources as (
+    select source, sum(size)::bigint as source_size,
+           [5, 2, 1][1 + (row_number() over (order by source nulls last) - 1) % 3] as weight
+    from sized group by source
+), shared as (
+    select 0 as step, source, source_size, weight, null::double as fixed,
+           (select sum(size) from sized)::double * weight / (select sum(weight) from sources) as want
+    from sources
+    union all
+    select step + 1, source, source_size, weight, fixed_now,
+           coalesce(fixed_now, ((select sum(size) from sized)::double - coalesce(sum(fixed_now) over (), 0)) * weight
+               / sum(case when fixed_now is null then weight end) over ())
+    from (select *, case when fixed is not null or want > 3 * source_size then 3.0 * source_size end as fixed_now,
+                 bool_or(fixed is null and want > 3 * source_size) over () as again
+          from shared)
+    where again
+), targets as (
+    select source, source_size, want as target, round(want)::bigint as tokens
+    from shared where step = (select max(step) from shared)
+), ordered as (
+    select s.*, t.source_size, t.target, t.tokens,
+           coalesce(sum(size) over (partition by s.source order by seeded, doc_id, size
+                                    rows between unbounded preceding and 1 preceding), 0)::bigint as before
+    from sized s join targets t on s.source is not distinct from t.source
+)
+select doc_id, size, source_size, target,
+       (case when source_size = 0 then 0
+             else size * (tokens // source_size)
+                  + least(size, greatest(tokens % source_size - before, 0)) end)::bigint as taken
+from ordered
+"""
+
+PACKAGES_SQL = """
+with paid as (
+    select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as digest,
+           min(page_id) over (partition by coalesce(html, '')) as first
+    from pages
+)
+select page_id, octet_length(encode(payload))::bigint as payload_bytes,
+       array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(digest, (i // 4 * 5 + 1)::int, 5))::bigint >> (15 - 5 * (i % 4))::int) & 31)::int + 1, 1)),
+           '') as payload_digest,
+       case when page_id = first then 'response' else 'revisit' end as record_type,
+       case when page_id <> first then first end as refers_to
+from paid
+"""
+
+SQL = {"op2_url_filters": URL_SQL, "op4_source_mix": MIX_SQL, "op8_warc_packages": PACKAGES_SQL}
