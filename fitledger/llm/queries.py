@@ -52,10 +52,17 @@ def warc_packages(spark, sf_dir):
         urn_id("refers_to").alias("refers_to"))
 
 
+def benchmark_decontamination(spark, sf_dir):
+    from fitledger.llm.decontaminate import contamination
+
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op2_url_filters": url_filters,
     "op4_source_mix": source_mix,
     "op8_warc_packages": warc_packages,
+    "op10_benchmark_decontamination": benchmark_decontamination,
     "op9_token_counts": token_counts,
 }
 
@@ -130,12 +137,45 @@ with paid as (
     from pages
 )
 select page_id, octet_length(encode(payload))::bigint as payload_bytes,
-       array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-           ((('0x' || substr(digest, (i // 4 * 5 + 1)::int, 5))::bigint >> (15 - 5 * (i % 4))::int) & 31)::int + 1, 1)),
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(digest, (i // 4 * 5 + 1)::int, 5))::bigint >> (15 - 5 * (i % 4))::int) & 31)::int + 1, 1) for i in range(32)],
            '') as payload_digest,
        case when page_id = first then 'response' else 'revisit' end as record_type,
        case when page_id <> first then first end as refers_to
 from paid
 """
 
-SQL = {"op2_url_filters": URL_SQL, "op4_source_mix": MIX_SQL, "op8_warc_packages": PACKAGES_SQL}
+_WORDS = (r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+DECONTAMINATION_SQL = f"""
+with items as (
+    select distinct item_id::varchar as item_id, {_WORDS.format("text")} as words
+    from benchmark where item_id is not null and text is not null
+), docs as (
+    select row_number() over () as row, doc_id, {_WORDS.format("coalesce(text, '')")} as words from documents
+), windows as (
+    select distinct item_id, n, array_to_string(words[k:k + n - 1], ' ') as window
+    from (select item_id, words, n, unnest(range(1, len(words) - n + 2)) as k
+          from (select item_id, words, least(len(words), 10) as n from items where len(words) > 0))
+), spots as (
+    select row, k, n, array_to_string(words[k:k + n - 1], ' ') as window
+    from (select row, words, n, unnest(range(1, len(words) - n + 2)) as k
+          from docs, (select distinct n from windows))
+), found as (
+    select row, k, spots.n, item_id from spots join windows on spots.n = windows.n and spots.window = windows.window
+), hit as (
+    select row, count(distinct word) as n_hit
+    from (select row, unnest(range(k, k + n)) as word from (select distinct row, k, n from found)) group by row
+), named as (
+    select row, count(*) as n_items, string_agg(item_id, ',' order by item_id) as names
+    from (select distinct row, item_id from found) group by row
+)
+select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+       coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(names, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 as contaminated
+from docs left join hit using (row) left join named using (row)
+"""
+
+SQL = {"op2_url_filters": URL_SQL, "op4_source_mix": MIX_SQL, "op8_warc_packages": PACKAGES_SQL,
+       "op10_benchmark_decontamination": DECONTAMINATION_SQL}
