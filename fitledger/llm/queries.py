@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fitledger.session import saved_table, scratch_path
 
@@ -58,9 +58,20 @@ def benchmark_decontamination(spark, sf_dir):
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def quality_scores(spark, sf_dir):
+    from fitledger.llm.quality import THRESHOLD, fit_quality, score_quality
+
+    documents = _table(spark, sf_dir, "documents")
+    weights = fit_quality(documents, _table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    return score_quality(documents, weights).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op2_url_filters": url_filters,
     "op4_source_mix": source_mix,
+    "op5_quality_scores": quality_scores,
     "op8_warc_packages": warc_packages,
     "op10_benchmark_decontamination": benchmark_decontamination,
     "op9_token_counts": token_counts,

@@ -6,7 +6,6 @@ import numpy as np
 import pyarrow as pa
 
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
-_MASK = (1 << 64) - 1
 
 
 def lowered_table() -> np.ndarray:
@@ -64,21 +63,28 @@ def runs(flags: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts[keep], ends[keep]
 
 
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """The multiplier's powers and those of its inverse, at least ``n`` of each, kept for the next batch."""
+    if len(_POWERS[0]) < n:
+        size = max(n, 2 * len(_POWERS[0]))
+        for k, base in enumerate((_MULTIPLIER, pow(_MULTIPLIER, -1, 1 << 64))):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            _POWERS[k] = np.multiply.accumulate(steps)
+    return _POWERS
+
+
 def spans_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """One 64-bit hash for each span of bytes: a polynomial, scrambled."""
+    """One 64-bit hash for each span of bytes: a polynomial from prefix sums, scrambled."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    lengths = ends - starts
-    powers = np.ones(int(lengths.max()), np.uint64)
-    if len(powers) > 1:
-        powers[1:] = np.uint64(_MULTIPLIER)
-        powers = np.multiply.accumulate(powers)
-    gaps = np.cumsum(lengths) - lengths
-    inner = np.repeat(starts - gaps, lengths) + np.arange(int(lengths.sum()))
-    values = data[inner].astype(np.uint64)
-    values += np.uint64(1)
-    values *= powers[np.arange(len(inner)) - np.repeat(gaps, lengths)]
-    return mix(np.add.reduceat(values, gaps) + lengths.astype(np.uint64))
+    powers, inverse = _powers(len(data))
+    prefix = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:len(data)], out=prefix[1:])
+    return mix((prefix[ends] - prefix[starts]) * inverse[starts])
 
 
 def words(column: pa.Array, member: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -103,7 +109,7 @@ def chained(hashes: np.ndarray, n: int) -> np.ndarray:
     return value
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20):
+def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20):
     """Cut a batch into parts of some ``limit`` bytes of text, one row at least, to bound memory."""
     lengths = np.array([0 if n is None else n for n in _lengths(batch.column(column))], np.int64)
     start, size = 0, 0
