@@ -68,10 +68,20 @@ def quality_scores(spark, sf_dir):
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def language_predictions(spark, sf_dir):
+    from fitledger.llm.language import fit_language, predict_language
+
+    documents = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    return predict_language(documents, fit_language(documents)).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op2_url_filters": url_filters,
     "op4_source_mix": source_mix,
     "op5_quality_scores": quality_scores,
+    "op7_language_predictions": language_predictions,
     "op8_warc_packages": warc_packages,
     "op10_benchmark_decontamination": benchmark_decontamination,
     "op9_token_counts": token_counts,
