@@ -77,10 +77,17 @@ def language_predictions(spark, sf_dir):
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def near_duplicate_documents(spark, sf_dir):
+    from fitledger.llm.near_dup import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_url_filters": url_filters,
     "op4_source_mix": source_mix,
     "op5_quality_scores": quality_scores,
+    "op6_near_duplicates": near_duplicate_documents,
     "op7_language_predictions": language_predictions,
     "op8_warc_packages": warc_packages,
     "op10_benchmark_decontamination": benchmark_decontamination,
