@@ -83,8 +83,15 @@ def near_duplicate_documents(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def nearest_vectors(spark, sf_dir):
+    from fitledger.llm.neighbours import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op2_url_filters": url_filters,
+    "op3_nearest_vectors": nearest_vectors,
     "op4_source_mix": source_mix,
     "op5_quality_scores": quality_scores,
     "op6_near_duplicates": near_duplicate_documents,
