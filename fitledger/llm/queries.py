@@ -89,7 +89,14 @@ def nearest_vectors(spark, sf_dir):
     return nearest(_table(spark, sf_dir, "embeddings"))
 
 
+def main_texts(spark, sf_dir):
+    from fitledger.llm.extraction import extract_main_text, fit_extraction
+
+    return extract_main_text(_table(spark, sf_dir, "pages"), fit_extraction())
+
+
 QUERIES = {
+    "op1_main_texts": main_texts,
     "op2_url_filters": url_filters,
     "op3_nearest_vectors": nearest_vectors,
     "op4_source_mix": source_mix,
