@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fitledger.catalog.tables import logs, table
+from fitledger.catalog.tables import entries, logs, table
 from fitledger.functions import is_number
 from fitledger.operators import checkpoints as ck, metrics as m, registry as reg
 from fitledger.session import saved_table, scratch_path
@@ -21,9 +21,9 @@ def log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def number_types(spark, sf_dir):
-    rows = logs(spark, sf_dir)
-    entries = spark.tvf.variant_explode(F.try_parse_json(F.col("logs").outer()))
-    return rows.lateralJoin(entries).groupBy("key").agg(
+    rows = entries(spark, sf_dir)
+    found = spark.tvf.variant_explode(F.try_parse_json(F.col("logs").outer()))
+    return rows.lateralJoin(found).groupBy("key").agg(
         F.count_if(is_number(F.col("value"))).alias("numbers"),
         F.count_if(~is_number(F.col("value"))).alias("dropped"),
     )
@@ -38,7 +38,7 @@ def snapshots(spark, sf_dir):
 
 
 def loggable_rows(spark, sf_dir):
-    return m.loggable(logs(spark, sf_dir)).select("run_id", "event_id")
+    return m.loggable(entries(spark, sf_dir)).select("run_id", "event_id")
 
 
 def malformed(spark, sf_dir):
@@ -78,13 +78,13 @@ def final_points(spark, sf_dir):
 def _stored_metrics(spark, sf_dir):
     """The metric table, so that what follows does not parse the logs again."""
     path = scratch_path(spark, "metrics")
-    sinks.append_metrics(m.metrics_long(logs(spark, sf_dir)), path)
+    sinks.append_metrics(m.recorded_metrics(logs(spark, sf_dir)), path)
     return sinks.read_metrics(spark, path)
 
 
 def history(spark, sf_dir):
     numbered = m.metric_history(_stored_metrics(spark, sf_dir))
-    return numbered.select("run_id", "key", "seq", "step", F.round("value", 6).alias("value"))
+    return numbered.select("run_id", "key", "seq", "step", F.round("value", 7).alias("value"))
 
 
 def blocks(spark, sf_dir):
@@ -93,18 +93,18 @@ def blocks(spark, sf_dir):
         "run_id", "key", "block",
         F.size("points").cast("bigint").alias("n_points"),
         F.element_at("points", 1)["step"].alias("first_step"),
-        F.round(F.element_at("points", -1)["value"], 6).alias("last_value"),
+        F.round(F.element_at("points", -1)["value"], 7).alias("last_value"),
     )
 
 
 def summaries(spark, sf_dir):
-    found = m.run_summary(m.metrics_long(logs(spark, sf_dir)), "value")
+    found = m.run_summary(_stored_metrics(spark, sf_dir), "value")
     return found.withColumns({
         c: F.round(c, 6) for c in ("first_value", "last_value", "best_value")})
 
 
 def _params(spark, sf_dir):
-    return reg.melt_params(run_settings(logs(spark, sf_dir)), "run_id", SETTINGS)
+    return reg.melt_params(run_settings(entries(spark, sf_dir)), "run_id", SETTINGS)
 
 
 def _params_checked(rows: DataFrame) -> DataFrame:
@@ -118,15 +118,21 @@ def _params_checked(rows: DataFrame) -> DataFrame:
 
 
 def side_by_side(spark, sf_dir):
-    wide = m.params_side_by_side(_params(spark, sf_dir), ["grad_accum", "n_events", "had_error"])
-    return wide
+    wide = m.params_side_by_side(_params(spark, sf_dir), SETTINGS)
+    numbers = {c: F.round(F.col(c).try_cast("double"), 6).alias(c) for c in ("lr", "max_value")}
+    return wide.select("run_id", *[numbers.get(c, F.col(c)) for c in SETTINGS])
+
+
+def hooked(spark, sf_dir):
+    return _points(m.log_hook(logs(spark, sf_dir)))
 
 
 def appended_metrics(spark, sf_dir):
+    """Two appends, dealt into different numbers of buckets."""
     path = scratch_path(spark, "metrics")
     rows = logs(spark, sf_dir)
-    sinks.append_metrics(m.metrics_long(rows), path)
-    sinks.append_metrics(m.timing_metrics(rows), path)
+    sinks.append_metrics(m.log_hook(rows), path)
+    sinks.append_metrics(m.eval_metrics(m.lead_rank_only(rows)), path, buckets=16)
     return _points(sinks.read_metrics(spark, path))
 
 
@@ -184,6 +190,16 @@ def all_experiments(spark, sf_dir):
     return reg.register_experiments(*_experiments(spark, sf_dir))
 
 
+def stored_experiments(spark, sf_dir):
+    """Get-or-create on a stored registry, and again with the same names: the second call adds no row."""
+    path = scratch_path(spark, "experiments")
+    existing, incoming = _experiments(spark, sf_dir)
+    reg.create_registry(spark, path)
+    for names in (existing, incoming, incoming):
+        reg.get_or_create(spark, path, names)
+    return spark.read.schema("experiment string").parquet(path)
+
+
 def experiment_names(spark, sf_dir):
     name = reg.experiment_name(F.concat(F.lit("run-"), "user_id"))
     # The user differs from machine to machine.
@@ -201,12 +217,14 @@ def run_registry(spark, sf_dir):
 
 
 def artifacts(spark, sf_dir):
+    """The files of a table that a job wrote anyway: all there, none empty, all listed once."""
     path = scratch_path(spark, "artifacts")
-    table(spark, sf_dir, "documents").write.partitionBy("lang").parquet(path)
-    files = artifact_manifest(spark, path, "run-0", "documents")
-    language = F.regexp_extract("path", "/lang=([a-z]+)/", 1).alias("lang")
-    return files.groupBy("run_id", "artifact_path", language).agg(
-        (F.min("length") > 0).alias("has_bytes"))
+    table(spark, sf_dir, "labels").write.partitionBy("quality").parquet(path)
+    files = artifact_manifest(spark, path, "run-0", "labels")
+    quality = F.regexp_extract("path", "/quality=([^/]+)/", 1).alias("quality")
+    return files.groupBy("run_id", "artifact_path", quality).agg(
+        (F.min("length") > 0).alias("has_bytes"), (F.count(F.lit(1)) == F.count_distinct("path")).alias("listed_once"),
+        (F.count("modificationTime") == F.count(F.lit(1))).alias("timed"))
 
 
 QUERIES = {
@@ -225,6 +243,7 @@ QUERIES = {
     "history_blocks": blocks,
     "run_summary": summaries,
     "params_side_by_side": side_by_side,
+    "log_hook": hooked,
     "append_metrics": appended_metrics,
     "append_params": appended_params,
     "append_tags": appended_tags,
@@ -234,6 +253,7 @@ QUERIES = {
     "pending_uploads": pending,
     "new_experiments": created_experiments,
     "register_experiments": all_experiments,
+    "get_or_create": stored_experiments,
     "experiment_name": experiment_names,
     "register_runs": run_registry,
     "artifact_manifest": artifacts,
@@ -251,21 +271,38 @@ log_events as (
 
 POINTS_SQL = f"""{LOG_SQL},
 points as (
-  select run_id, event_id, kind, 'value' as key, round(value, 6) as value, step from log_events where value is not null
+  select run_id, event_id, kind, rank, 'value' as key, round(value, 6) as value, step from log_events where value is not null
   union all
-  select run_id, event_id, kind, 'k', k, step from log_events where k is not null
+  select run_id, event_id, kind, rank, 'k', k, step from log_events where k is not null
 )"""
 
 _TIMES = f"""{LOG_SQL},
 times as (
   select run_id, event_id, step,
     round((epoch_us(ts) - lag(epoch_us(ts)) over (partition by run_id order by ts, event_id)) / 1e7, 7) as seconds
-  from log_events
+  from log_events where kind = 'log'
+)"""
+
+_HOOKED = f"""{POINTS_SQL},
+hooked as (
+  select run_id, event_id, key, value, step from points where rank = 0 and kind = 'log'
+  union all
+  select run_id, event_id, 'time_per_step', seconds, step from (
+    select run_id, event_id, step,
+      (epoch_us(ts) - lag(epoch_us(ts)) over (partition by run_id order by ts, event_id)) / 1e7 as seconds
+    from log_events where rank = 0 and kind = 'log'
+  ) where seconds is not null
+),
+recorded as (
+  select * from hooked
+  union all
+  select run_id, event_id, 'eval_' || key, value, step from points where rank = 0 and kind = 'evaluate'
 )"""
 
-_NUMBERED = f"""{POINTS_SQL},
+_NUMBERED = f"""{_HOOKED},
 numbered as (
-  select *, row_number() over (partition by run_id, key order by step, event_id) as seq from points
+  select run_id, event_id, key, round(value, 7) as value, step,
+    row_number() over (partition by run_id, key order by step, event_id) as seq from recorded
 )"""
 
 _SETTINGS = """
@@ -314,7 +351,7 @@ select run_id, event_id, 'eval_' || key as key, value, step from points where ki
     "final_metrics": f"""
 with {POINTS_SQL}
 select run_id, event_id, key, value, cast(0 as bigint) as step from points
-where step = (select max(step) from log_events l where l.run_id = points.run_id)""",
+where step = (select max(step) from log_events l where l.run_id = points.run_id and l.kind = 'log')""",
     "metric_history": f"with {_NUMBERED} select run_id, key, seq, step, value from numbered",
     "history_blocks": f"""
 with {_NUMBERED}
@@ -325,22 +362,15 @@ from numbered group by run_id, key, (seq - 1) // 20""",
 with {LOG_SQL}
 select run_id, count(*) as points, round(arg_min(value, step), 6) as first_value,
   round(arg_max(value, step), 6) as last_value, round(min(value), 6) as best_value, max(step) as last_step
-from log_events where value is not null group by run_id""",
+from log_events where value is not null and kind = 'log' and rank = 0 group by run_id""",
     "params_side_by_side": f"""
 with {_SETTINGS}
-select run_id, '8' as grad_accum, cast(n_events as varchar) as n_events,
+select run_id, '1' as epochs, '1' as per_device_train_batch_size, '8' as grad_accum, cast(0.0002 as double) as lr,
+  cast(n_events as varchar) as n_events, round(max_value, 6) as max_value, first_kind,
   case when had_error then 'True' else 'False' end as had_error
 from settings""",
-    "append_metrics": f"""
-with {POINTS_SQL},
-times as (
-  select run_id, event_id, step,
-    (epoch_us(ts) - lag(epoch_us(ts)) over (partition by run_id order by step)) / 1e7 as seconds
-  from log_events
-)
-select run_id, event_id, key, value, step from points
-union all
-select run_id, event_id, 'time_per_step', round(seconds, 7), step from times where seconds is not null""",
+    "log_hook": f"with {_HOOKED} select run_id, event_id, key, round(value, 7) as value, step from hooked",
+    "append_metrics": f"with {_HOOKED} select run_id, event_id, key, round(value, 7) as value, step from recorded",
     "append_params": f"""
 with {_SETTINGS}
 select run_id, 'epochs' as key, 'int' as value_type, cast(1 as double) as number, cast(null as varchar) as text from settings
@@ -367,6 +397,10 @@ where (select count(*) from plan q where q.run_id = p.run_id and q.step > p.step
     "register_runs": """
 select distinct user_id as run_id, 'run-' || user_id as run_name, true as in_own_folder from events""",
     "artifact_manifest": """
-select distinct 'run-0' as run_id, 'documents' as artifact_path, lang, true as has_bytes from documents""",
+select distinct 'run-0' as run_id, 'labels' as artifact_path,
+  coalesce(cast(quality as varchar), '__HIVE_DEFAULT_PARTITION__') as quality,
+  true as has_bytes, true as listed_once, true as timed
+from labels""",
+    "get_or_create": f"with {_NAMES} select experiment from existing union select experiment from created",
     "register_experiments": f"with {_NAMES} select experiment from existing union select experiment from created",
 }

@@ -10,19 +10,17 @@ from fitledger.catalog.tables import logs, path_of
 from fitledger.session import scratch_path
 from fitledger.sources.derived import log_entries
 from fitledger.streaming import (
-    drain, read_log_stream, step_time_sink, stream_checkpoint_events, stream_metrics,
+    drain, read_log_stream, read_sink, step_time_sink, stream_checkpoint_events, stream_metrics,
     stream_time_per_step, table_sink,
 )
+from fitledger.streaming.sinks import STEP_TIMES
 
 
 def _drained(spark: SparkSession, stream: DataFrame, label: str, n_sinks: int = 1) -> list[DataFrame]:
     place = scratch_path(spark, label)
     paths = [f"{place}/table-{i}" for i in range(n_sinks)]
     drain(stream, [table_sink(p, label) for p in paths], f"{place}/progress")
-    return [
-        spark.read.schema(stream.schema).parquet(f"{p}/stream={label}").select(*stream.columns)
-        for p in paths
-    ]
+    return [read_sink(spark, p, stream.schema, label) for p in paths]
 
 
 def _log_stream(spark, sf_dir):
@@ -32,25 +30,26 @@ def _log_stream(spark, sf_dir):
     return read_log_stream(spark, path)
 
 
+def _event_stream(spark, sf_dir):
+    return log_entries(read_log_stream(spark, path_of(sf_dir, "events"), schemas.EVENTS))
+
+
 def metrics(spark, sf_dir):
     rows, = _drained(spark, stream_metrics(_log_stream(spark, sf_dir)), "metrics")
     return rows.select("run_id", "event_id", "key", F.round("value", 6).alias("value"), "step")
 
 
 def step_times(spark, sf_dir):
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    events = read_log_stream(spark, path_of(sf_dir, "events"), schemas.EVENTS)
-    rows, = _drained(spark, stream_time_per_step(log_entries(events)), "step-times")
+    rows = stream_time_per_step(_event_stream(spark, sf_dir), scratch_path(spark, "step-times"))
     return rows.select("run_id", "event_id", F.round("time_per_step", 7).alias("time_per_step"))
 
 
 def carried_step_times(spark, sf_dir):
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    events = read_log_stream(spark, path_of(sf_dir, "events"), schemas.EVENTS)
+    """The sink alone, in a table beside another stream's."""
     place = scratch_path(spark, "carried-step-times")
     sink = step_time_sink(f"{place}/times", f"{place}/carry", "times")
-    drain(log_entries(events), [sink], f"{place}/progress")
-    rows = spark.read.parquet(f"{place}/times")
+    drain(_event_stream(spark, sf_dir), [sink], f"{place}/progress")
+    rows = read_sink(spark, f"{place}/times", STEP_TIMES, "times")
     return rows.select("run_id", "event_id", F.round("time_per_step", 7).alias("time_per_step"))
 
 
@@ -60,9 +59,12 @@ def checkpoint_events(spark, sf_dir):
 
 
 def tee(spark, sf_dir):
-    lines = _log_stream(spark, sf_dir).select("run_id", "event_id", "kind")
+    """Both tables, whole: each row with the tables that hold it."""
+    lines = _log_stream(spark, sf_dir).withColumn("ts", F.unix_micros("ts"))
     first, second = _drained(spark, lines, "lines", n_sinks=2)
-    return first.join(second, ["run_id", "event_id", "kind"])
+    both = first.withColumn("sink", F.lit(0)).unionByName(second.withColumn("sink", F.lit(1)))
+    return both.select("run_id", "event_id", "kind", "step", "rank", F.col("ts").alias("micros"),
+                       F.md5("logs").isNotNull().alias("has_logs"), "sink")
 
 
 QUERIES = {
@@ -76,7 +78,7 @@ QUERIES = {
 _STEP_TIMES = """
 select user_id as run_id, event_id,
   round((epoch_us(ts) - lag(epoch_us(ts)) over (partition by user_id order by ts, event_id)) / 1e7, 7) as time_per_step
-from events qualify time_per_step is not null"""
+from events where event_type <> 'signup' qualify time_per_step is not null"""
 
 SQL = {
     "stream_metrics": f"""
@@ -87,7 +89,10 @@ from points""",
     "step_time_sink": _STEP_TIMES,
     "stream_checkpoint_events": f"""
 with {LOG_SQL}
-select run_id, step, 'checkpoint-' || step as path from log_events where step % 200 = 0""",
-    "tee_sink": """
-select user_id as run_id, event_id, if(event_type = 'signup', 'evaluate', 'log') as kind from events""",
+select run_id, step, 'checkpoint-' || step as path, 'checkpoints/checkpoint-' || step as artifact_path
+from log_events where step % 200 = 0""",
+    "tee_sink": f"""
+with {LOG_SQL}
+select run_id, event_id, kind, step, rank, epoch_us(ts) as micros, true as has_logs, cast(sink as integer) as sink
+from log_events, range(2) as sinks(sink)""",
 }

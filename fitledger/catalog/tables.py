@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fitledger import schemas
 from fitledger.operators.examples import conversation_examples
-from fitledger.sources.derived import log_events
+from fitledger.sources.derived import log_entries, log_events
 
 SCHEMAS = {
     "conversations": schemas.CONVERSATIONS,
@@ -30,7 +30,10 @@ def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_examples(table(spark, sf_dir, "conversations"))
 
 
+def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run log without steps, which costs nothing to derive."""
+    return log_entries(table(spark, sf_dir, "events"))
+
+
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Event times carry no zone; they are read as UTC.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return log_events(table(spark, sf_dir, "events"))

@@ -12,14 +12,14 @@ from fitledger.functions import (
 from fitledger.functions.chat import SYSTEM_PROMPT
 from fitledger.functions.text import WHITESPACE
 from fitledger.operators.examples import (
-    render_examples, render_prompts, replace_columns, token_examples,
+    render_examples, render_prompts, replace_columns, token_examples, unused_turns,
 )
 from fitledger.operators.vocabulary import build_vocabulary, decode_ids, encode, length_profile
-from fitledger.session import saved, scratch_path
+from fitledger.session import saved_table, scratch_path
 from fitledger.sources.readers import inline_messages, read_examples
 from fitledger.sources.sinks import write_training_text
 
-VOCABULARY_SIZE = 2_000
+TOP_WORDS = 2_000
 
 
 def read_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +32,10 @@ def conversation_pairs(spark, sf_dir):
     return examples(spark, sf_dir)
 
 
+def turns_left_out(spark, sf_dir):
+    return unused_turns(table(spark, sf_dir, "conversations"))
+
+
 def inline_message_list(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
     opened = inline_messages(turns, [("system", SYSTEM_PROMPT)], "opening")
@@ -94,7 +98,7 @@ def prompts(spark, sf_dir):
 def training_text(spark, sf_dir):
     path = scratch_path(spark, "training-text")
     write_training_text(render_examples(examples(spark, sf_dir)), path)
-    return spark.read.schema("example_id bigint, text string").parquet(path)
+    return spark.read.schema("example_id string, text string").parquet(path)
 
 
 def document_tokens(spark, sf_dir):
@@ -104,7 +108,9 @@ def document_tokens(spark, sf_dir):
 def tokens(spark, sf_dir):
     return (
         document_tokens(spark, sf_dir)
-        .select("doc_id", F.posexplode("tokens").alias("pos", "token"))
+        # Filtered on the output: the optimizer's own filter below would split the text again.
+        .select("doc_id", F.posexplode_outer("tokens").alias("pos", "token"))
+        .filter(F.col("pos").isNotNull())
         .select("doc_id", F.col("pos").cast("bigint").alias("pos"), "token")
     )
 
@@ -128,11 +134,16 @@ def document_lengths(spark, sf_dir):
 
 
 def vocabulary(spark, sf_dir):
-    return build_vocabulary(document_tokens(spark, sf_dir), VOCABULARY_SIZE)
+    return build_vocabulary(document_tokens(spark, sf_dir))
+
+
+def top_words(spark, sf_dir):
+    """The feature is the limit: the most frequent words, ties by word."""
+    return build_vocabulary(document_tokens(spark, sf_dir), TOP_WORDS)
 
 
 def encoded_tokens(spark, sf_dir):
-    words = saved(vocabulary(spark, sf_dir))
+    words = saved_table(vocabulary(spark, sf_dir), "words")
     ids = encode(document_tokens(spark, sf_dir), words, "doc_id")
     return ids.select(
         "doc_id",
@@ -143,7 +154,7 @@ def encoded_tokens(spark, sf_dir):
 
 
 def decoded_ids(spark, sf_dir):
-    words = saved(vocabulary(spark, sf_dir))
+    words = saved_table(vocabulary(spark, sf_dir), "words")
     ids = encode(document_tokens(spark, sf_dir), words, "doc_id")
     return decode_ids(ids, words, "doc_id").select("doc_id", F.md5("text").alias("text_md5"))
 
@@ -151,6 +162,7 @@ def decoded_ids(spark, sf_dir):
 QUERIES = {
     "read_examples": read_split,
     "conversation_examples": conversation_pairs,
+    "unused_turns": turns_left_out,
     "inline_messages": inline_message_list,
     "null_to_empty": null_as_empty,
     "py_strip": strip_whitespace,
@@ -166,16 +178,19 @@ QUERIES = {
     "decode_tokens": decoded_tokens,
     "length_profile": document_lengths,
     "build_vocabulary": vocabulary,
+    "top_words": top_words,
     "encode_tokens": encoded_tokens,
     "decode_ids": decoded_ids,
 }
 
 _EXAMPLES = """
 examples as (
-  select conv_id * 1000 + turn as example_id, text as instruction, system as input, reply as output
+  select coalesce(cast(conv_id as varchar), '') || ':' || coalesce(cast(turn as varchar), '') as example_id,
+    text as instruction, system as input, reply as output
   from (
     select *,
-      max(case when role = 'system' then text end) over (partition by conv_id) as system,
+      arg_min(case when role = 'system' then text end, case when role = 'system' then turn end)
+        over (partition by conv_id) as system,
       case when lead(role) over next_turn = 'assistant' then lead(text) over next_turn end as reply
     from conversations
     window next_turn as (partition by conv_id order by turn)
@@ -209,7 +224,6 @@ _VOCABULARY = f"""{_TOKENS},
 vocabulary as (
   select token, n, row_number() over (order by n desc, token) - 1 as token_id
   from (select token, count(*) as n from (select unnest(tokens) as token from words) group by token)
-  order by n desc, token limit {VOCABULARY_SIZE}
 ),
 spread as (
   select doc_id, unnest(tokens) as token, generate_subscripts(tokens, 1) as pos from words
@@ -223,6 +237,17 @@ SQL = {
     "read_examples": """
 select doc_id, source, n_chars, md5(text) as text_md5 from documents where lang = 'en'""",
     "conversation_examples": f"with {_EXAMPLES} select example_id, instruction, input, output from examples",
+    "unused_turns": """
+select conv_id, turn, role, reason from (
+  select conv_id, turn, role,
+    case role when 'user' then null
+      when 'assistant' then case when lag(role) over next_turn is distinct from 'user' then 'no question before' end
+      when 'system' then case
+        when turn <> min(case when role = 'system' then turn end) over (partition by conv_id) then 'not the first'
+        when count(*) filter (where role = 'user') over (partition by conv_id) = 0 then 'no question at all' end
+      else 'unknown role' end as reason
+  from conversations window next_turn as (partition by conv_id order by turn)
+) where reason is not null""",
     "inline_messages": """
 select conv_id, turn,
   '<|system|>/no_think<|end|>' || chr(10) || '<|' || role || '|>' || text || '<|end|>' as text
@@ -265,12 +290,14 @@ select count(*) as examples, cast(sum(n) as bigint) as tokens, max(n) as longest
   count(*) filter (where n > 1024) as over_1024, count(*) filter (where n > 2048) as over_2048
 from (select len(tokens) as n from words)""",
     "build_vocabulary": f"with {_VOCABULARY} select token, n, token_id from vocabulary",
+    "top_words": f"with {_VOCABULARY} select token, n, token_id from vocabulary where token_id < {TOP_WORDS}",
     "encode_tokens": f"""
 with {_VOCABULARY}
-select doc_id, count(*) as n_tokens, count(*) filter (where token_id < 0) as n_unknown,
-  md5(string_agg(cast(token_id as varchar), ' ' order by pos)) as ids_md5
-from encoded group by doc_id""",
-    "decode_ids": f"""
-with {_VOCABULARY}
-select doc_id, md5(string_agg(token, ' ' order by pos)) as text_md5 from encoded group by doc_id""",
+select doc_id, len(tokens) as n_tokens, coalesce(n_unknown, 0) as n_unknown, md5(coalesce(ids, '')) as ids_md5
+from words left join (
+  select doc_id, count(*) filter (where token_id < 0) as n_unknown,
+    string_agg(cast(token_id as varchar), ' ' order by pos) as ids
+  from encoded group by doc_id) using (doc_id)""",
+    # Nothing is unknown to the whole vocabulary, so the texts come back.
+    "decode_ids": f"with {_TOKENS} select doc_id, md5(array_to_string(tokens, ' ')) as text_md5 from words",
 }

@@ -21,7 +21,8 @@ def supervised_fit(df: DataFrame, label_column: str, text_column: str = "text",
     """
     labelled = df.select(text_column, F.col(label_column).cast("double").alias("label"))
     preparation = PipelineModel(stages=[
-        RegexTokenizer(inputCol=text_column, outputCol="words", pattern=TOKEN_BREAK),
+        # The same tokens as everywhere else: case is kept.
+        RegexTokenizer(inputCol=text_column, outputCol="words", pattern=TOKEN_BREAK, toLowercase=False),
         HashingTF(inputCol="words", outputCol="features", numFeatures=features),
     ])
     prepared = preparation.transform(labelled).select("features", "label")

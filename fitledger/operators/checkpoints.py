@@ -14,7 +14,8 @@ FOLDER_FORMAT = "checkpoint-%d"
 
 def checkpoint_plan(df: DataFrame, every: int = SAVE_STEPS) -> DataFrame:
     """``run_id, step, path`` of the checkpoints due among the given run steps."""
-    due = every_n_steps(df.select("run_id", "step"), every).distinct()
+    # Saves follow updates: nothing is due at step 0.
+    due = every_n_steps(df.select("run_id", "step").filter(F.col("step") > 0), every).distinct()
     return due.withColumn("path", F.format_string(FOLDER_FORMAT, "step"))
 
 

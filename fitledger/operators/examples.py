@@ -53,20 +53,55 @@ def token_examples(df: DataFrame, id_column: str, text_column: str = "text",
     )
 
 
+def example_key(conversation: Column, turn: Column) -> Column:
+    """``conversation:turn``: different for all turns, however many a conversation has."""
+    return F.concat(*[part for column, end in ((conversation, F.lit(":")), (turn, F.lit("")))
+                      for part in (F.coalesce(column.cast("string"), F.lit("")), end)])
+
+
+def first_system_turns(turns: DataFrame) -> DataFrame:
+    """``conv_id, turn`` of each conversation's first system turn."""
+    return turns.filter(F.col("role") == "system").groupBy("conv_id").agg(F.min("turn").alias("turn"))
+
+
 def conversation_examples(turns: DataFrame, rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
     """One example per user turn: its text, the conversation's system text, the reply.
 
-    The output is null when the next turn is not the assistant's.
+    The output is null when the next turn is not the assistant's. Turns that no example
+    uses are what :func:`unused_turns` returns.
     """
+    # The text is joined to the number found by a hash aggregate: an aggregate of texts would sort them.
     system = (
-        turns.filter(F.col("role") == "system")
-        .groupBy("conv_id").agg(F.min_by("text", "turn").alias("input"))
+        turns.join(first_system_turns(turns), ["conv_id", "turn"]).filter(F.col("role") == "system")
+        .select("conv_id", F.col("text").alias("input"))
     )
     asked = with_neighbour(turns, ["conv_id"], ["turn"], ["role", "text"], "reply", +1,
                            rows_per_slot).filter(F.col("role") == "user")
     return asked.join(system, "conv_id", "left").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("example_id"),
+        example_key(F.col("conv_id"), F.col("turn")).alias("example_id"),
         F.col("text").alias("instruction"),
         "input",
         F.when(F.col("reply.role") == "assistant", F.col("reply.text")).alias("output"),
     )
+
+
+def unused_turns(turns: DataFrame, rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
+    """``conv_id, turn, role, reason`` of the turns that are in no example.
+
+    An assistant's turn is used right after a user's, a system turn when it is the first
+    of a conversation in which a user speaks, a user's turn always. Other roles are unknown.
+    """
+    placed = with_neighbour(turns, ["conv_id"], ["turn"], ["role"], "before", -1, rows_per_slot)
+    asked = turns.filter(F.col("role") == "user").select("conv_id").distinct().withColumn("asked", F.lit(True))
+    first = first_system_turns(turns).select("conv_id", F.col("turn").alias("first_turn"))
+    reason = (
+        F.when(F.col("role") == "user", None)
+        .when(F.col("role") == "assistant", F.when(~F.coalesce(F.col("before.role") == "user", F.lit(False)), "no question before"))
+        .when(F.col("role") == "system", F.when(F.col("turn") != F.col("first_turn"), "not the first").when(
+            F.col("asked").isNull(), "no question at all"))
+        .otherwise("unknown role")
+    )
+    return (
+        placed.join(first, "conv_id", "left").join(asked, "conv_id", "left")
+        .select("conv_id", "turn", "role", reason.alias("reason")).filter(F.col("reason").isNotNull())
+    )

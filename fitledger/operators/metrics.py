@@ -13,6 +13,7 @@ from fitledger.operators.ordered import ROWS_PER_SLOT, with_neighbour, with_row_
 LOGGING_STEPS = 10
 SNAPSHOT_STEPS = 100
 EVAL_PREFIX = "eval_"
+LOG = "log"
 EVALUATE = "evaluate"
 END = "end"
 TIME_PER_STEP = "time_per_step"
@@ -70,14 +71,25 @@ def hook_metrics(df: DataFrame) -> DataFrame:
     return metrics_long(df, F.when(F.col("kind") == EVALUATE, EVAL_PREFIX).otherwise(""))
 
 
+def log_entries_only(df: DataFrame) -> DataFrame:
+    """Loggable rows of log events: what the log hook records."""
+    return loggable(df.filter(F.col("kind") == LOG))
+
+
 def final_metrics(df: DataFrame) -> DataFrame:
-    """Numbers of each run's last log entry, recorded without a step of their own (step 0)."""
-    last = df.groupBy("run_id").agg(
-        F.max_by(F.struct("event_id", "ts", "logs"), F.struct("ts", "event_id")).alias("last")
-    )
-    return metrics_long(
-        last.select("run_id", "last.event_id", "last.ts", "last.logs", F.lit(0).cast("bigint").alias("step"))
-    )
+    """Numbers of each run's last loggable log entry, recorded without a step of their own (step 0).
+
+    The last time of a run comes from a hash aggregate; only entries of that time are
+    put in order, by event. Entries without a time come before all others.
+    """
+    entries = log_entries_only(df).select("run_id", "event_id", "ts", "logs")
+    micros = F.coalesce(F.unix_micros("ts"), F.lit(-(1 << 63)))
+    timed = entries.withColumn("micros", micros)
+    latest = timed.groupBy("run_id").agg(F.max("micros").alias("micros"))
+    at_last = timed.join(latest, ["run_id", "micros"])
+    newest = at_last.groupBy("run_id").agg(F.max("event_id").alias("event_id"))
+    last = at_last.join(newest, ["run_id", "event_id"])
+    return metrics_long(last.select("run_id", "event_id", "ts", "logs", F.lit(0).cast("bigint").alias("step")))
 
 
 def elapsed_per_step(micros: Column, logging_steps: int = LOGGING_STEPS) -> Column:
@@ -85,13 +97,28 @@ def elapsed_per_step(micros: Column, logging_steps: int = LOGGING_STEPS) -> Colu
     return micros / F.lit(1e6 * max(logging_steps, 1))
 
 
+def clock_events(df: DataFrame) -> DataFrame:
+    """Rows that move a run's clock: loggable log entries, and the end events that stop it."""
+    timed = df.filter(F.col("run_id").isNotNull() & F.col("ts").isNotNull() & F.col("kind").isin(LOG, END))
+    shape = F.schema_of_variant(F.try_parse_json("logs"))
+    return timed.filter(
+        (F.col("kind") == END) | (shape.startswith("OBJECT<") & (shape != "OBJECT<>")))
+
+
 def time_per_step(df: DataFrame, logging_steps: int = LOGGING_STEPS,
                   rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
     """Seconds per step since the run's previous log entry; none for the first entry.
 
-    An end event is not a log entry itself, and what follows it starts afresh.
+    Evaluate events, empty logs and rows without a time are no log entries. An end
+    event isn't one either, and what follows it starts afresh.
     """
-    timed = with_neighbour(df.filter(F.col("run_id").isNotNull()), ["run_id"], ["ts", "event_id"], ["ts", "kind"], "before", -1, rows_per_slot)
+    return step_times(clock_events(df), logging_steps, rows_per_slot)
+
+
+def step_times(clocked: DataFrame, logging_steps: int = LOGGING_STEPS,
+               rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
+    """The same for rows of :func:`clock_events`."""
+    timed = with_neighbour(clocked, ["run_id"], ["ts", "event_id"], ["ts", "kind"], "before", -1, rows_per_slot)
     elapsed = F.unix_micros("ts") - F.unix_micros("before.ts")
     return (
         timed.filter(F.col("before").isNotNull() & (F.col("kind") != END) & (F.col("before.kind") != END))
@@ -109,6 +136,20 @@ def timing_metrics(df: DataFrame, logging_steps: int = LOGGING_STEPS,
     )
 
 
+def log_hook(df: DataFrame, logging_steps: int = LOGGING_STEPS,
+             rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
+    """Everything the log hook records: on the lead rank, for each non-empty log entry of a run,
+    its numbers and its step time."""
+    lead = lead_rank_only(df)
+    return metrics_long(log_entries_only(lead)).unionByName(timing_metrics(lead, logging_steps, rows_per_slot))
+
+
+def recorded_metrics(df: DataFrame, logging_steps: int = LOGGING_STEPS,
+                     rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
+    """What the hooks of a run record: log entries and, under their own keys, evaluations."""
+    return log_hook(df, logging_steps, rows_per_slot).unionByName(eval_metrics(lead_rank_only(df)))
+
+
 def metric_history(metrics: DataFrame, rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
     """Number the points of each run and key in step order: ``.., seq``."""
     return with_row_number(metrics, ["run_id", "key"], ["step", "event_id"], "seq", rows_per_slot)
@@ -128,14 +169,25 @@ def history_blocks(history: DataFrame, block_points: int = BLOCK_POINTS) -> Data
 
 
 def run_summary(metrics: DataFrame, key: str) -> DataFrame:
-    """First, last and best (lowest) value of one metric per run."""
-    at = F.struct("step", "event_id")
-    return metrics.filter(F.col("key") == key).groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("points"),
-        F.min_by("value", at).alias("first_value"),
-        F.max_by("value", at).alias("last_value"),
-        F.min("value").alias("best_value"),
-        F.max("step").alias("last_step"),
+    """First, last and best (lowest) value of one metric per run; ties of a step by event.
+
+    Steps and counts come from one hash aggregate, the two values from the rows at the
+    first and last step, which are few.
+    """
+    rows = metrics.filter(F.col("key") == key).select("run_id", "event_id", "step", "value")
+    spans = rows.groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("points"), F.min("value").alias("best_value"),
+        F.min("step").alias("first_step"), F.max("step").alias("last_step"))
+
+    def value_at(step: str, pick, out: str) -> DataFrame:
+        ends = rows.join(spans.select("run_id", F.col(step).alias("step")), ["run_id", "step"])
+        chosen = ends.groupBy("run_id").agg(pick("event_id").alias("event_id"))
+        return ends.join(chosen, ["run_id", "event_id"]).groupBy("run_id").agg(pick("value").alias(out))
+
+    return (
+        spans.join(value_at("first_step", F.min, "first_value"), "run_id", "left")
+        .join(value_at("last_step", F.max, "last_value"), "run_id", "left")
+        .select("run_id", "points", "first_value", "last_value", "best_value", "last_step")
     )
 
 

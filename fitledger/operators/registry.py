@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from fitledger.session import saved
 
 # Fixed value: where a user's experiments live.
 EXPERIMENT_FORMAT = "/Workspace/Users/%s/%s"
@@ -29,8 +31,25 @@ def new_experiments(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def register_experiments(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """The registry after get-or-create."""
-    return existing.select("experiment").unionByName(new_experiments(existing, incoming))
+    """The registry after get-or-create, each name once."""
+    return existing.select("experiment").distinct().unionByName(new_experiments(existing, incoming))
+
+
+def get_or_create(spark: SparkSession, path: str, incoming: DataFrame) -> DataFrame:
+    """Append the names that the registry at ``path`` lacks, and return the registry.
+
+    The folder must exist: :func:`create_registry` makes an empty one. A second call with the same names
+    appends nothing, and two jobs that create one name at a time are read as one.
+    """
+    known = spark.read.schema("experiment string").parquet(path)
+    missing = saved(new_experiments(known, incoming))
+    if not missing.isEmpty():
+        missing.write.mode("append").parquet(path)
+    return spark.read.schema("experiment string").parquet(path).distinct()
+
+
+def create_registry(spark: SparkSession, path: str) -> None:
+    spark.createDataFrame([], "experiment string").write.parquet(path)
 
 
 def register_runs(runs: DataFrame, suffix: Column, run_name: Column) -> DataFrame:

@@ -6,85 +6,69 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from fitledger.operators.ordered import numbered
 from fitledger.session import (
     MAX_BROADCAST_ROWS, broadcast_if_small, saved, saved_table, text_fits,
 )
 
-# Rare tokens dominate a corpus, so one frequency can hold most of the types.
-# The types of a frequency are ranked in this many parts first.
-TIE_PARTS = 64
 UNKNOWN_ID = -1
 UNKNOWN_TOKEN = "<unk>"
 
 
-def build_vocabulary(df: DataFrame, size: int, tokens_column: str = "tokens",
-                     parts: int = TIE_PARTS) -> DataFrame:
-    """``token, n, token_id`` of the ``size`` most frequent tokens, ties by token.
+def build_vocabulary(df: DataFrame, size: int | None = None, tokens_column: str = "tokens") -> DataFrame:
+    """``token, n, token_id`` of all tokens, or of the ``size`` most frequent, ties by token.
 
-    Ids come from a histogram of the frequencies instead of a global sort: an id is
-    the number of types of higher frequency plus the position among those of equal
-    frequency. Only frequencies that reach into the first ``size`` ids are looked at.
+    Types are numbered by ranges of (frequency, token), so a frequency that most types
+    share is dealt over many tasks. With a ``size`` the types of frequencies that
+    can't be among the first are left out before: a histogram of the frequencies tells.
     """
-    # Read twice below; written out so that the text itself is read once.
-    counts = saved_table(
-        df.select(F.explode(tokens_column).alias("token"))
-        .groupBy("token").agg(F.count(F.lit(1)).alias("n")),
-        "token-counts",
-    )
-    # Every frequency has at least one type, so `size` frequencies always suffice.
-    higher = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
-    classes = saved(
-        counts.groupBy("n").agg(F.count(F.lit(1)).alias("types"))
-        .orderBy(F.desc("n")).limit(size)
-        .select("n", F.coalesce(F.sum("types").over(higher), F.lit(0)).alias("first_id"))
-        .filter(F.col("first_id") < size)
-    )
-    in_part = Window.partitionBy("n", "part").orderBy("token")
-    in_class = Window.partitionBy("n").orderBy("token")
-    return (
-        counts.join(broadcast_if_small(classes), "n")
-        # The first `size` of a class are among the first `size` of its parts.
-        .withColumn("part", F.pmod(F.xxhash64("token"), F.lit(parts)))
-        .withColumn("at", F.row_number().over(in_part))
-        .filter(F.col("first_id") + F.col("at") <= size)
-        .withColumn("at", F.row_number().over(in_class))
-        .withColumn("token_id", F.col("first_id") + F.col("at") - 1)
-        .filter(F.col("token_id") < size)
-        .select("token", "n", "token_id")
-    )
+    # Filtered on the output: a filter below would split the text again.
+    words = df.select(F.explode_outer(tokens_column).alias("token"))
+    counts = words.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("token").isNotNull())
+    if size is not None:
+        counts = saved_table(counts, "token-counts")
+        higher = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+        # Every frequency has at least one type, so `size` frequencies always suffice.
+        classes = saved(
+            counts.groupBy("n").agg(F.count(F.lit(1)).alias("types"))
+            .orderBy(F.desc("n")).limit(size)
+            .select("n", F.coalesce(F.sum("types").over(higher), F.lit(0)).alias("first_id"))
+            .filter(F.col("first_id") < size).select("n")
+        )
+        counts = counts.join(broadcast_if_small(classes), "n")
+    ids = numbered(counts.select("token", "n"), [F.desc("n"), F.asc("token")], "token_id", "vocabulary")
+    return ids if size is None else ids.filter(F.col("token_id") < size)
 
 
 def encode(df: DataFrame, vocabulary: DataFrame, id_column: str, tokens_column: str = "tokens",
            max_words: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``id, ids``: token lists as id lists; tokens outside the vocabulary get -1.
 
+    Each row gives one row: null lists stay null, and rows that share an id stay apart.
     The vocabulary goes to every executor when it has at most ``max_words`` words
     of bounded total length, and whole Arrow batches are looked up with no shuffle.
     A larger one is joined. Pass a vocabulary that is already saved: it is measured first.
     """
-    words = vocabulary.select("token", "token_id")
-    if not text_fits(words, "token", max_words):
-        found = _join_words(df, words, id_column, tokens_column, "token")
-        known = F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("token_id")
-        return _gather(found.select(id_column, "pos", known), id_column, "token_id", "ids")
-    return _look_up(df, words.withColumnsRenamed({"token": "key", "token_id": "value"}),
-                    id_column, tokens_column, UNKNOWN_ID, "ids", "array<bigint>")
+    words = vocabulary.select(F.col("token").alias("key"), F.col("token_id").alias("value"))
+    return _replaced(df, words, text_fits(words, "key", max_words), id_column, tokens_column,
+                     UNKNOWN_ID, "ids", "array<bigint>")
 
 
 def decode_ids(df: DataFrame, vocabulary: DataFrame, id_column: str, ids_column: str = "ids",
                max_words: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``id, text`` from id lists; unknown ids become a marker."""
-    words = vocabulary.select("token_id", "token")
-    if not text_fits(words, "token", max_words):
-        found = _join_words(df, words, id_column, ids_column, "token_id")
-        known = F.coalesce("token", F.lit(UNKNOWN_TOKEN)).alias("token")
-        tokens = _gather(found.select(id_column, "pos", known), id_column, "token", "tokens")
-    else:
-        tokens = _look_up(df, words.withColumnsRenamed({"token_id": "key", "token": "value"}),
-                          id_column, ids_column, UNKNOWN_TOKEN, "tokens", "array<string>")
+    """``id, text`` from id lists; unknown ids become a marker, a null list a null text."""
+    words = vocabulary.select(F.col("token_id").alias("key"), F.col("token").alias("value"))
+    tokens = _replaced(df, words, text_fits(words, "value", max_words), id_column, ids_column,
+                       UNKNOWN_TOKEN, "tokens", "array<string>")
     return tokens.select(id_column, F.array_join("tokens", " ").alias("text"))
 
 
+def _replaced(df: DataFrame, words: DataFrame, fits: bool, id_column: str, list_column: str,
+              unknown, out: str, out_type: str) -> DataFrame:
+    way = _look_up if fits else _join_words
+    return way(df, words, id_column, list_column, unknown, out, out_type)
+
+
 def _look_up(df: DataFrame, words: DataFrame, id_column: str, list_column: str,
              unknown, out: str, out_type: str) -> DataFrame:
     """Replace every list element by the value of its key, a batch at a time."""
@@ -95,12 +79,14 @@ def _look_up(df: DataFrame, words: DataFrame, id_column: str, list_column: str,
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        table = shared.value
-        keys = table["key"].combine_chunks()
-        values = table["value"].combine_chunks()
+        # Indexed once per task; a batch asks for each of its different words once.
+        place = {key: i for i, key in enumerate(shared.value["key"].to_pylist())}
+        values = shared.value["value"].combine_chunks()
         for batch in batches:
             lists = batch.column(1)
-            found = values.take(pc.index_in(lists.flatten(), value_set=keys)).fill_null(unknown)
+            coded = lists.flatten().dictionary_encode()
+            known = pa.array([place.get(word) for word in coded.dictionary.to_pylist()], pa.int64())
+            found = values.take(known.take(coded.indices)).fill_null(unknown)
             lengths = pc.fill_null(pc.list_value_length(lists), 0)
             ends = pc.cumulative_sum(lengths.cast(pa.int32()))
             offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
@@ -112,10 +98,19 @@ def _look_up(df: DataFrame, words: DataFrame, id_column: str, list_column: str,
 
 
 def _join_words(df: DataFrame, words: DataFrame, id_column: str, list_column: str,
-                key: str) -> DataFrame:
-    """One row per list element with its word, null when unknown."""
-    elements = df.select(id_column, F.posexplode_outer(list_column).alias("pos", key))
-    return elements.join(words, key, "left")
+                unknown, out: str, out_type: str) -> DataFrame:
+    """The same by a join: elements are gathered by a key that each row has for itself."""
+    # Written out, so that the key is the same whenever the rows are read.
+    rows = saved_table(
+        df.select(F.col(id_column).alias("id"), F.col(list_column).alias("list"))
+        .withColumn("row", F.monotonically_increasing_id()), "rows-to-replace")
+    elements = rows.select("row", F.posexplode("list").alias("pos", "key"))
+    found = elements.join(words, "key", "left").select(
+        "row", F.struct("pos", F.coalesce("value", F.lit(unknown)).alias("value")).alias("placed"))
+    gathered = found.groupBy("row").agg(F.sort_array(F.collect_list("placed")).alias("placed"))
+    replaced = F.coalesce(F.transform("placed", lambda x: x["value"]), F.array().cast(out_type))
+    return rows.join(gathered, "row", "left").select(
+        F.col("id").alias(id_column), F.when(F.col("list").isNotNull(), replaced).alias(out))
 
 
 def length_profile(df: DataFrame, caps: Sequence[int], percentiles: Sequence[float] = (0.5, 0.9, 0.99),
@@ -135,9 +130,3 @@ def length_profile(df: DataFrame, caps: Sequence[int], percentiles: Sequence[flo
         *[F.sum(F.when(length > cap, n).otherwise(0)).alias(f"over_{cap}") for cap in caps],
     )
 
-
-def _gather(elements: DataFrame, id_column: str, value: str, out: str) -> DataFrame:
-    """The elements of one example back to its list, by position."""
-    placed = F.when(F.col("pos").isNotNull(), F.struct("pos", value))
-    ordered = F.sort_array(F.collect_list(placed))
-    return elements.groupBy(id_column).agg(F.transform(ordered, lambda x: x[value]).alias(out))

@@ -26,7 +26,8 @@ def log_entries(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("user_id").alias("run_id"),
         "event_id",
-        F.col("ts").cast("timestamp").alias("ts"),
+        # Event times carry no zone and are read as UTC, whatever zone the session has.
+        F.convert_timezone(F.lit("UTC"), F.current_timezone(), "ts").cast("timestamp").alias("ts"),
         F.when(F.col("event_type") == "signup", EVALUATE).otherwise("log").alias("kind"),
         F.pmod(F.col("event_id"), F.lit(4)).cast("int").alias("rank"),
         logs.alias("logs"),

@@ -13,6 +13,8 @@ from fitledger import schemas
 # directory and at least one file per run.
 RUN_BUCKETS = 64
 BUCKET = "run_bucket"
+# The number of buckets is a folder, too, so a table always says how it was dealt.
+N_BUCKETS = "run_buckets"
 
 
 def run_bucket(run_id: Column, buckets: int = RUN_BUCKETS) -> Column:
@@ -23,25 +25,27 @@ def append_metrics(df: DataFrame, path: str, buckets: int = RUN_BUCKETS) -> None
     """Append metric rows, foldered by run bucket and clustered by run inside a file.
 
     The rebalance hint lets AQE merge small and split large write partitions, so a
-    run with a third of the rows is written by many tasks.
+    run with a third of the rows is written by many tasks. Appends with different numbers of
+    buckets may be mixed in one table.
     """
-    bucketed = df.withColumn(BUCKET, run_bucket(F.col("run_id"), buckets))
+    bucketed = df.withColumns({
+        N_BUCKETS: F.lit(buckets), BUCKET: run_bucket(F.col("run_id"), buckets)})
     (
         bucketed.hint("rebalance", BUCKET)
         .sortWithinPartitions(BUCKET, "run_id", "key", "step")
-        .write.mode("append").partitionBy(BUCKET).parquet(path)
+        .write.mode("append").partitionBy(N_BUCKETS, BUCKET).parquet(path)
     )
 
 
-def read_metrics(spark: SparkSession, path: str, run_id: int | None = None,
-                 buckets: int = RUN_BUCKETS) -> DataFrame:
-    """The metric table; with a run given, only its folder is read."""
-    schema = StructType([*schemas.METRICS.fields]).add(BUCKET, "integer")
+def read_metrics(spark: SparkSession, path: str, run_id: int | None = None) -> DataFrame:
+    """The metric table; with a run given, only its folder of each number of buckets is read."""
+    schema = StructType([*schemas.METRICS.fields]).add(N_BUCKETS, "integer").add(BUCKET, "integer")
     rows = spark.read.schema(schema).parquet(path)
     if run_id is not None:
         wanted = F.lit(run_id).cast("bigint")
-        rows = rows.filter((F.col(BUCKET) == run_bucket(wanted, buckets)) & (F.col("run_id") == wanted))
-    return rows.drop(BUCKET)
+        hashed = F.pmod(F.xxhash64(wanted), F.col(N_BUCKETS)).cast("int")
+        rows = rows.filter((F.col(BUCKET) == hashed) & (F.col("run_id") == wanted))
+    return rows.drop(BUCKET, N_BUCKETS)
 
 
 def append_params(df: DataFrame, path: str) -> None:

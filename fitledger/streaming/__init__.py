@@ -1,12 +1,11 @@
 """Run logs as streams."""
 
-from fitledger.streaming.logs import (
-    read_log_stream, stream_checkpoint_events, stream_metrics, stream_time_per_step,
+from fitledger.streaming.logs import read_log_stream, stream_checkpoint_events, stream_metrics
+from fitledger.streaming.sinks import (
+    drain, read_sink, step_time_sink, stream_time_per_step, table_sink, tee_sink, through,
 )
-from fitledger.streaming.sinks import drain, step_time_sink, table_sink, tee_sink, through
 
 __all__ = [
-    "drain", "read_log_stream", "step_time_sink", "stream_checkpoint_events", "stream_metrics",
-    "stream_time_per_step", "table_sink", "tee_sink",
-    "through",
+    "drain", "read_log_stream", "read_sink", "step_time_sink", "stream_checkpoint_events",
+    "stream_metrics", "stream_time_per_step", "table_sink", "tee_sink", "through",
 ]

@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from fitledger import schemas
 from fitledger.operators.checkpoints import FOLDER_FORMAT, SAVE_STEPS
-from fitledger.operators.metrics import (
-    END, LOGGING_STEPS, TIME_PER_STEP, every_n_steps, hook_metrics,
-)
+from fitledger.operators.metrics import every_n_steps, hook_metrics
 
 MAX_BYTES = 1 << 30
+# Fixed value: where a run's checkpoints are filed.
+ARTIFACT_FOLDER = "checkpoints/"
 
 
 def read_log_stream(spark: SparkSession, path: str, schema: StructType = schemas.LOG_EVENTS,
                     max_bytes_per_trigger: int = MAX_BYTES) -> DataFrame:
-    """Log files as they land. The byte limit also bounds what one run can bring at a time."""
+    """Log files as they land in a folder, or one file. Signs of patterns in the name are refused."""
+    plain = path.rstrip("/")
+    if re.search(r"[\[\]{}*?\\]", plain):
+        raise ValueError(f"{path} has signs that a file pattern gives a meaning")
     # As a pattern, so that a single file is as good as a folder.
-    pattern = f"{path[:-1]}[{path[-1]}]"
+    pattern = f"{plain[:-1]}[{plain[-1]}]"
     return (
         spark.readStream.schema(schema)
         .option("maxBytesPerTrigger", max_bytes_per_trigger)
@@ -32,51 +36,17 @@ def stream_metrics(stream: DataFrame) -> DataFrame:
     return hook_metrics(stream)
 
 
-def stream_time_per_step(stream: DataFrame, logging_steps: int = LOGGING_STEPS) -> DataFrame:
-    """``run_id, event_id, time_per_step``; the state is each run's last log time.
+def stream_checkpoint_events(stream: DataFrame, every: int = SAVE_STEPS,
+                             existing: DataFrame | None = None) -> DataFrame:
+    """``run_id, step, path, artifact_path`` as steps that are due for a checkpoint arrive, each once.
 
-    Rows are put in order inside a micro-batch; events are taken to land in time
-    order from one micro-batch to the next. An end event drops the run's state.
-    Three narrow columns go through Python, and the source's byte limit bounds
-    the rows a single run has in a micro-batch.
+    All ranks report a checkpoint; which ones have been seen is kept as two numbers for each.
+    With ``existing`` (run_id, path), checkpoints that aren't there are skipped.
     """
-    per_second = 1e6 * max(logging_steps, 1)
-
-    def advance(key, chunks, state):
-        import numpy as np
-        import pandas as pd
-
-        rows = pd.concat(list(chunks)).sort_values(["micros", "event_id"])
-        micros, ended = rows["micros"].to_numpy(), rows["ended"].to_numpy()
-        known = state.exists
-        last = state.get[0] if known else micros[0]
-        elapsed = np.diff(micros, prepend=last)
-        fresh = np.concatenate([[not known], ended[:-1]])
-        kept = ~(fresh.astype(bool) | ended.astype(bool))
-        if not ended[-1]:
-            state.update((int(micros[-1]),))
-        elif known:
-            state.remove()
-        yield pd.DataFrame({
-            "run_id": np.full(kept.sum(), key[0]),
-            "event_id": rows["event_id"].to_numpy()[kept],
-            TIME_PER_STEP: elapsed[kept] / per_second,
-        })
-
-    narrow = stream.filter(F.col("run_id").isNotNull() & F.col("ts").isNotNull()).select(
-        "run_id", "event_id", F.unix_micros("ts").alias("micros"),
-        (F.col("kind") == END).alias("ended"),
-    )
-    return narrow.groupBy("run_id").applyInPandasWithState(
-        advance,
-        f"run_id bigint, event_id bigint, {TIME_PER_STEP} double",
-        "last_micros bigint",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
-
-
-def stream_checkpoint_events(stream: DataFrame, every: int = SAVE_STEPS) -> DataFrame:
-    """``run_id, step, path`` as steps that are due for a checkpoint arrive."""
-    due = every_n_steps(stream.select("run_id", "step"), every)
-    return due.withColumn("path", F.format_string(FOLDER_FORMAT, "step"))
+    due = every_n_steps(stream.select("run_id", "step").filter(F.col("step") > 0), every)
+    named = due.withColumn("path", F.format_string(FOLDER_FORMAT, "step"))
+    if existing is not None:
+        there = existing.select("run_id", "path").distinct()
+        named = named.join(there, ["run_id", "path"])
+    return named.dropDuplicates(["run_id", "step"]).select(
+        "run_id", "step", "path", F.concat(F.lit(ARTIFACT_FOLDER), "path").alias("artifact_path"))

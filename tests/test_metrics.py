@@ -100,7 +100,7 @@ def test_one_huge_run(spark):
 
 def test_step_times_of_the_event_table(spark):
     rows = m.time_per_step(tables.logs(spark, MEDIUM))
-    assert rows.count() == 9850
+    assert rows.count() == 7833
 
 
 def test_history_blocks_are_bounded_and_whole(spark):
@@ -120,7 +120,55 @@ def test_metrics_table(spark, tmp_path):
     assert sinks.read_metrics(spark, path).count() == 2 * long.count()
     one = sinks.read_metrics(spark, path, run_id=3)
     assert one.count() == 2 * long.filter("run_id = 3").count() > 0
-    assert "PartitionFilters: [isnotnull(run_bucket" in one._jdf.queryExecution().toString()
+    plan = one._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(run_bucket" in plan and "PushedFilters: [IsNotNull(run_id)" in plan
+
+
+def test_metrics_table_of_several_bucket_counts(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    long = m.metrics_long(tables.logs(spark, SMALL)).cache()
+    for buckets in (256, 3, 64):
+        sinks.append_metrics(long, path, buckets)
+    for run in range(0, 15):
+        assert sinks.read_metrics(spark, path, run_id=run).count() == 3 * long.filter(f"run_id = {run}").count()
+
+
+EVENTS = [      # seconds, kind, rank, logs: all of run 1
+    (0, "log", 0, '{"loss":3}'), (0, "log", 1, '{"loss":9}'), (1, "evaluate", 0, '{"loss":0}'), (2, "log", 0, "{}"),
+    (None, "log", 0, '{"loss":8}'), (4, "log", 0, '{"loss":2}'), (4, "log", 2, '{"loss":9}'), (5, "end", 0, None),
+    (7, "log", 0, '{"loss":1}'), (8, "log", 0, '{"loss":5}'), (8, "log", 3, '{"loss":7}'), (9, "end", 0, "{}"),
+]
+
+
+@pytest.fixture
+def mixed(spark):
+    rows = [(1, i, None if s is None else START + dt.timedelta(seconds=s), 10 * i, kind, rank, logs)
+            for i, (s, kind, rank, logs) in enumerate(EVENTS)]
+    return spark.createDataFrame(rows, schemas.LOG_EVENTS)
+
+
+def test_log_hook_and_what_is_not_logged(mixed):
+    got = points(m.log_hook(mixed))
+    assert got == [(0, "loss", 3.0), (4, "loss", 8.0), (5, "loss", 2.0), (5, "time_per_step", 0.4), (8, "loss", 1.0),
+                   (9, "loss", 5.0), (9, "time_per_step", 0.1)]
+    assert points(m.recorded_metrics(mixed)) == sorted([*got, (2, "eval_loss", 0.0)])
+    row = m.run_summary(m.recorded_metrics(mixed), "loss").first()
+    assert row.asDict() == {"run_id": 1, "points": 5, "first_value": 3.0, "last_value": 5.0, "best_value": 1.0, "last_step": 90}
+
+
+def test_final_metrics_skip_the_end_event(mixed):
+    assert points(m.final_metrics(m.lead_rank_only(mixed))) == [(9, "loss", 5.0)]
+
+
+def test_session_zone_changes_no_event_time(spark):
+    before = [tuple(r) for r in tables.logs(spark, SMALL).selectExpr("event_id", "unix_micros(ts)").collect()]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        after = [tuple(r) for r in tables.logs(spark, SMALL).selectExpr("event_id", "unix_micros(ts)").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert sorted(before) == sorted(after)
 
 
 def test_melt_params_and_side_by_side(spark):

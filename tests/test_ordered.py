@@ -6,7 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from fitledger.operators.ordered import with_neighbour, with_row_number
+from fitledger.operators.ordered import _cut_hot_groups, numbered, with_neighbour, with_row_number
 
 ROWS = st.lists(st.tuples(st.sampled_from([1, 1, 1, 2, 3]), st.integers(-50, 50)), min_size=1, max_size=60)
 QUICK = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
@@ -116,3 +116,24 @@ def test_small_groups_use_the_plain_window(spark):
     df = spark.range(1000).select((F.col("id") % 100).alias("key"), F.col("id").alias("at"))
     plan = with_row_number(df, ["key"], ["at"], "n")._jdf.queryExecution().toString()
     assert "__slot" not in plan and "Join" not in plan
+
+
+def test_ties_and_null_keys_are_cut(spark):
+    rows = [(None, 5, i) for i in range(300)] + [(1, 7, i) for i in range(300)] + [(1, None, i) for i in range(300, 500)]
+    df = spark.createDataFrame(rows, "key int, at bigint, id int")
+    got = with_row_number(df, ["key"], ["at", "id"], "n", rows_per_slot=20)
+    numbers = {(r["key"], r["id"]): r["n"] for r in got.collect()}
+    assert numbers == {**{(None, i): i + 1 for i in range(300)}, **{(1, i): i - 299 for i in range(300, 500)},
+                       **{(1, i): i + 201 for i in range(300)}}
+    cut, slots = _cut_hot_groups(df, ["key"], ["at", "id"], 20)
+    assert cut.groupBy("key", *slots).count().agg(F.max("count")).first()[0] <= 80
+    before = with_neighbour(df, ["key"], ["at", "id"], ["id"], "before", -1, rows_per_slot=20)
+    found = {(r["key"], r["id"]): r["before"] and r["before"]["id"] for r in before.collect()}
+    assert found[None, 0] is None and found[None, 200] == 199 and found[1, 0] == 499 and found[1, 300] is None
+
+
+def test_numbered(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("x"))
+    got = numbered(df, [F.desc("x")], "at")
+    assert {r["x"]: r["at"] for r in got.collect()} == {x: 999 - x for x in range(1000)}
+    assert numbered(df.limit(0), [F.desc("x")], "at").isEmpty()

@@ -77,3 +77,19 @@ def test_manifest_walks_the_tree(spark, tmp_path):
     first = found.first()
     assert (first["run_id"], first["artifact_path"]) == ("r1", "checkpoints/checkpoint-200")
     assert isinstance(first["modificationTime"], dt.datetime)
+
+
+def test_a_second_call_creates_nothing(spark, tmp_path):
+    path = str(tmp_path / "experiments")
+    reg.create_registry(spark, path)
+    names = spark.createDataFrame([("a",), ("b",), ("b",)], "experiment string")
+    for _ in range(2):
+        assert sorted(r[0] for r in reg.get_or_create(spark, path, names).collect()) == ["a", "b"]
+        assert spark.read.parquet(path).count() == 2
+    more = spark.createDataFrame([("b",), ("c",)], "experiment string")
+    assert sorted(r[0] for r in reg.get_or_create(spark, path, more).collect()) == ["a", "b", "c"]
+
+
+def test_nothing_is_saved_at_step_zero(spark):
+    df = spark.createDataFrame([("r", 0), ("r", 200)], "run_id string, step bigint")
+    assert [r["step"] for r in ck.checkpoint_plan(df).collect()] == [200]

@@ -7,7 +7,7 @@ from fitledger import schemas
 from fitledger.catalog import tables
 from fitledger.operators import metrics as m
 from fitledger.streaming import (
-    drain, read_log_stream, step_time_sink, stream_checkpoint_events, stream_metrics,
+    drain, read_log_stream, read_sink, step_time_sink, stream_checkpoint_events, stream_metrics,
     stream_time_per_step, table_sink, tee_sink, through,
 )
 from conftest import SMALL
@@ -41,17 +41,52 @@ def test_step_times_across_micro_batches_and_a_restart(spark, logs, tmp_path):
     source, place = str(tmp_path / "in"), str(tmp_path / "run")
     expected = rows(m.time_per_step(logs), "run_id", "event_id", "time_per_step")
 
-    def stream():
-        return stream_time_per_step(read_log_stream(spark, source, max_bytes_per_trigger=8_000))
+    def times():
+        return stream_time_per_step(read_log_stream(spark, source, max_bytes_per_trigger=8_000), place)
 
     land(logs, source, 0, 500)
-    run(spark, stream(), place)
+    times()
     land(logs, source, 500, 1000)
-    out = run(spark, stream(), place)
-    assert rows(out, "run_id", "event_id", "time_per_step") == expected
-    assert out.select("batch_id").distinct().count() > 2
-    again = run(spark, stream(), place)
-    assert rows(again, "run_id", "event_id", "time_per_step") == expected
+    assert rows(times(), "run_id", "event_id", "time_per_step") == expected
+    assert spark.read.parquet(f"{place}/times").select("batch_id").distinct().count() > 2
+    assert rows(times(), "run_id", "event_id", "time_per_step") == expected
+
+
+@pytest.mark.parametrize("name", ["in", "in/", "ü é"])
+def test_paths_are_taken_as_they_are(spark, logs, tmp_path, name):
+    source = str(tmp_path / name.rstrip("/")) + ("/" if name.endswith("/") else "")
+    logs.write.parquet(source.rstrip("/"))
+    out = run(spark, read_log_stream(spark, source).select("event_id"), str(tmp_path / "run"))
+    assert out.count() == logs.count()
+
+
+def test_patterns_are_refused(spark):
+    for path in ("/tmp/a*", "/tmp/[b]", "/tmp/{c,d}", "/tmp/e?"):
+        with pytest.raises(ValueError):
+            read_log_stream(spark, path)
+
+
+def test_a_stream_without_rows_is_an_empty_table(spark, logs, tmp_path):
+    source, place = str(tmp_path / "in"), str(tmp_path / "run")
+    logs.filter("step < 200").write.parquet(source)
+    stream = stream_checkpoint_events(read_log_stream(spark, source))
+    assert run(spark, stream, place).count() == 0
+    assert read_sink(spark, f"{place}/out", stream.schema).isEmpty()
+    assert read_sink(spark, str(tmp_path / "nowhere"), stream.schema).isEmpty()
+
+
+def test_each_checkpoint_once_and_only_where_it_exists(spark, logs, tmp_path):
+    source = str(tmp_path / "in")
+    for _ in range(4):      # as four ranks report it
+        logs.write.mode("append").parquet(source)
+    lines = read_log_stream(spark, source)
+    due = run(spark, stream_checkpoint_events(lines), str(tmp_path / "due"))
+    assert rows(due, "run_id", "step") == rows(logs.filter("step % 200 = 0"), "run_id", "step")
+    assert {r["artifact_path"] for r in due.collect()} == {f"checkpoints/{r['path']}" for r in due.collect()}
+    there = spark.createDataFrame(
+        due.filter("run_id % 2 = 0").select("run_id", "path").collect(), "run_id bigint, path string")
+    kept = run(spark, stream_checkpoint_events(lines, existing=there), str(tmp_path / "kept"))
+    assert rows(kept, "run_id", "path") == rows(there, "run_id", "path")
 
 
 def test_carried_step_times_survive_failures(spark, logs, tmp_path):

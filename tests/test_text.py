@@ -11,7 +11,9 @@ from fitledger.functions import (
     literal_messages, null_to_empty, py_strip, tokenize,
 )
 from fitledger.functions.text import WHITESPACE
-from fitledger.operators.examples import conversation_examples, render_examples, token_examples
+from fitledger.operators.examples import (
+    conversation_examples, render_examples, token_examples, unused_turns,
+)
 from fitledger.sources.readers import message_table, read_examples
 from fitledger.sources.sinks import write_training_text
 from conftest import MEDIUM, SMALL
@@ -165,3 +167,24 @@ def test_messages_shape(golden):
     df = golden.select(build_messages(F.col("instruction"), F.col("input"), F.col("output")).alias("m"))
     assert df.schema["m"].dataType.elementType.names == schemas.MESSAGE.names
     assert {r[0] for r in df.select(F.size("m")).collect()} == {3}
+
+
+def test_keys_of_long_conversations_differ(spark):
+    turns = spark.createDataFrame(
+        [(1, 1000, "user", "a"), (2, 0, "user", "b"), (2**62, 2**62, "user", "c"), (None, 5, "user", "d")],
+        "conv_id bigint, turn bigint, role string, text string")
+    keys = [r["example_id"] for r in conversation_examples(turns).collect()]
+    assert sorted(keys) == sorted({"1:1000", "2:0", f"{2**62}:{2**62}", ":5"})
+
+
+def test_turns_that_no_example_uses(spark):
+    roles = ["system", "system", "user", "assistant", "assistant", "user", "tool", "assistant", "user"]
+    rows = [(1, i, role, f"t{i}") for i, role in enumerate(roles)] + [(2, 0, "system", "s"), (2, 1, "assistant", "x")]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    left = {(r["conv_id"], r["turn"]): r["reason"] for r in unused_turns(turns).collect()}
+    assert left == {(1, 1): "not the first", (1, 4): "no question before", (1, 6): "unknown role",
+                    (1, 7): "no question before", (2, 0): "no question at all", (2, 1): "no question before"}
+    used = conversation_examples(turns).collect()
+    texts = [t for r in used for t in (r["instruction"], r["output"]) if t is not None] + [
+        s for s in {r["input"] for r in used if r["input"] is not None}]
+    assert len(texts) + len(left) == len(rows)

@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry_points
 from fitledger.functions import tokenize
 from fitledger.operators.vocabulary import build_vocabulary, decode_ids, encode, length_profile
 from fitledger.session import saved
@@ -24,10 +25,9 @@ def ranked(texts):
     return sorted(counts.items(), key=lambda item: (-item[1], item[0]))
 
 
-@pytest.mark.parametrize("size", [1, 2, 3, 5, 11, 100])
-@pytest.mark.parametrize("parts", [1, 4])
-def test_ids_follow_count_then_token(docs, size, parts):
-    got = build_vocabulary(docs, size, parts=parts).collect()
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 11, 100, None])
+def test_ids_follow_count_then_token(docs, size):
+    got = build_vocabulary(docs, size).collect()
     expected = [(t, n, i) for i, (t, n) in enumerate(ranked(TEXTS)[:size])]
     assert sorted(map(tuple, got), key=lambda r: r[2]) == expected
 
@@ -51,11 +51,25 @@ def test_lookup_does_not_shuffle(docs, spark):
     assert "MapInArrow" in plan and "Exchange" not in plan
 
 
-def test_null_lists_stay_null_in_a_lookup(spark, docs):
-    words = saved(build_vocabulary(docs, 6))
-    some = spark.createDataFrame([(1, None), (2, ["a"]), (3, [])], "doc_id bigint, tokens array<string>")
-    got = {r["doc_id"]: r["ids"] for r in encode(some, words, "doc_id").collect()}
-    assert got == {1: None, 2: [0], 3: []}
+@pytest.mark.parametrize("max_words", [1_000, 1])
+def test_rows_stay_apart_in_both_ways(spark, docs, max_words):
+    """Null and empty lists, repeated and null ids, null words: one answer with and without a broadcast."""
+    words = saved(build_vocabulary(docs))
+    rows = [(1, None), (2, ["a"]), (3, []), (4, ["b", "a"]), (4, ["b", "a"]), (4, ["c"]), (None, ["a", None, "nowhere"])]
+    ids = {t: i for i, (t, _) in enumerate(ranked(TEXTS))}
+    some = spark.createDataFrame(rows, "doc_id bigint, tokens array<string>")
+    encoded = encode(some, words, "doc_id", max_words=max_words)
+    expected = [(i, None if ts is None else [ids.get(t, -1) for t in ts]) for i, ts in rows]
+    assert sorted(map(tuple, encoded.collect()), key=repr) == sorted(expected, key=repr)
+    back = decode_ids(encoded, words, "doc_id", max_words=max_words)
+    texts = [(i, None if ts is None else " ".join(t if t in ids else "<unk>" for t in ts)) for i, ts in rows]
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(texts, key=repr)
+
+
+def test_the_text_is_split_once(spark):
+    for name in ("tokenize", "build_vocabulary"):
+        plan = entry_points.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(") <= 1
 
 
 def test_length_profile(spark):
