@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from fitledger.llm.words import chained, is_alphanumeric, slices, words
 from fitledger.session import saved_table
@@ -108,9 +108,11 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def benchmark_hits(documents: DataFrame, benchmark: DataFrame, columns: list[str] | None = None,
                    text_column: str = "text", item_column: str = "item_id", item_text_column: str = "text",
-                   window: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
+                   window: int = WINDOW, part_bytes: int = PART_BYTES, keep_text: bool = False) -> DataFrame:
     """``columns`` (default: doc_id) of each document with n_words, hits (word spans) and items found.
 
+    With ``keep_text`` the text is returned as well.
+
     Words are runs of digits, a-z (A-Z lower-cased) and characters beyond ASCII. A window is ``window``
     neighbouring words of an item; an item with fewer, but not none, is one window. ``hits`` are the merged
     spans [start, end) of document words inside any occurrence; ``items`` the ids, as strings, in order.
@@ -136,14 +138,17 @@ def benchmark_hits(documents: DataFrame, benchmark: DataFrame, columns: list[str
         chosen = known if n_parts == 1 else known.where(
             F.pmod(F.xxhash64("item", "body"), F.lit(n_parts)) == part)
         shared = spark.sparkContext.broadcast([(r.item, r.body) for r in chosen.collect()])
-        state = state.mapInArrow(_scanner(shared, window), state.schema)
-        if part + 1 < n_parts:
+        last = part + 1 == n_parts
+        carried = [f for f in state.schema if f.name != "_text" or keep_text or not last]
+        state = state.mapInArrow(_scanner(shared, window, [f.name for f in carried]), T.StructType(carried))
+        if not last:
             state = saved_table(state, "benchmark-hits")
-    return state.select("_row.*", "n_words", F.col("_hits").alias("hits"),
+    text = [F.col("_text").alias(text_column)] if keep_text else []
+    return state.select("_row.*", *text, "n_words", F.col("_hits").alias("hits"),
                         F.array_sort("_items").alias("items"))
 
 
-def _scanner(shared, window: int):
+def _scanner(shared, window: int, carried: list[str]):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = Search(shared.value, window)
         for batch in batches:
@@ -158,7 +163,7 @@ def _scanner(shared, window: int):
                 fresh = {"n_words": pa.array([n for n, _, _ in found], pa.int64()),
                          "_hits": pa.array(spans, HITS_SCHEMA), "_items": pa.array(items, pa.list_(pa.string()))}
                 yield pa.RecordBatch.from_arrays(
-                    [fresh.get(name, part.column(name)) for name in part.schema.names], part.schema.names)
+                    [fresh.get(name, part.column(name)) for name in carried], carried)
 
     return scan
 

@@ -197,9 +197,11 @@ def fit_language(documents: DataFrame, limit: int = MAX_TRAINING_ROWS, max_bytes
 
 
 def predict_language(documents: DataFrame, net: Network | None, columns: list[str] | None = None,
-                     text_column: str = "text") -> DataFrame:
+                     text_column: str = "text", keep_text: bool = False) -> DataFrame:
     """``columns`` (default: doc_id) with ``lang_pred`` and ``score`` (its pooled probability) for each document.
 
+    With ``keep_text`` the text is returned as well; it goes through Python once either way.
+
     A text that is null or has no letter is ``und`` with score 0, and so is every text when there was nothing
     to learn from. Every byte of every text is labelled; ties go to the first language in code point order.
     """
@@ -222,9 +224,11 @@ def predict_language(documents: DataFrame, net: Network | None, columns: list[st
                     names = [net.languages[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), lettered.tolist())]
                     scores = np.where(lettered, p.max(axis=1), 0.0)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("_row"), pa.array(names, pa.string()), pa.array(scores)],
-                    ["_row", "lang_pred", "score"])
-
-    row = rows.schema["_row"].dataType
-    return rows.mapInArrow(predict, f"_row {row.simpleString()}, lang_pred string, score double").select(
-        "_row.*", "lang_pred", "score")
+                    [*(part.column(c) for c in carried), pa.array(names, pa.string()), pa.array(scores)],
+                    [*carried, "lang_pred", "score"])
+
+    carried = ["_row", "_text"] if keep_text else ["_row"]
+    schema = "".join(f"{c} {rows.schema[c].dataType.simpleString()}, " for c in carried)
+    text = [F.col("_text").alias(text_column)] if keep_text else []
+    return rows.mapInArrow(predict, schema + "lang_pred string, score double").select(
+        "_row.*", *text, "lang_pred", "score")

@@ -154,9 +154,11 @@ def fit_quality(documents: DataFrame, labels: DataFrame, **options) -> np.ndarra
 
 
 def score_quality(documents: DataFrame, weights: np.ndarray, columns: list[str] | None = None,
-                  text_column: str = "text") -> DataFrame:
+                  text_column: str = "text", keep_text: bool = False) -> DataFrame:
     """``columns`` (default: doc_id) and ``score`` in [0, 1] for each document: higher is likelier good.
 
+    With ``keep_text`` the text is returned as well; it goes through Python once either way.
+
     Whole texts are scored as sparse dot products; empty and null texts by the bias alone. Repeated rows
     stay repeated, and an empty table gives no rows.
     """
@@ -168,9 +170,10 @@ def score_quality(documents: DataFrame, weights: np.ndarray, columns: list[str]
         for batch in batches:
             for part in slices(batch, "_text"):
                 z = dot_products(part.column("_text"), shared.value)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("_row"), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], ["_row", "score"])
+                score = pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carried), score], [*carried, "score"])
 
-    row = rows.schema["_row"].dataType
-    out = rows.mapInArrow(scored, f"_row {row.simpleString()}, score double")
-    return out.select("_row.*", "score")
+    carried = ["_row", "_text"] if keep_text else ["_row"]
+    schema = "".join(f"{c} {rows.schema[c].dataType.simpleString()}, " for c in carried) + "score double"
+    text = [F.col("_text").alias(text_column)] if keep_text else []
+    return rows.mapInArrow(scored, schema).select("_row.*", *text, "score")

@@ -109,7 +109,7 @@ def chained(hashes: np.ndarray, n: int) -> np.ndarray:
     return value
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20):
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 19):
     """Cut a batch into parts of some ``limit`` bytes of text, one row at least, to bound memory."""
     lengths = np.array([0 if n is None else n for n in _lengths(batch.column(column))], np.int64)
     start, size = 0, 0
