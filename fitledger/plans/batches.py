@@ -22,6 +22,8 @@ def example_index(df: DataFrame, id_column: str, seed: int = SEED,
     numbers come from a table with one row per part, small enough to broadcast
     at any data size.
     """
+    if not 1 <= hex_digits <= 5:
+        raise ValueError("hex_digits must be 1 to 5: one row per part is broadcast")
     digest = F.md5(F.concat_ws(":", F.lit(seed), F.col(id_column).cast("string")))
     # As bytes the digest sorts like its hex digits and takes half the space.
     hashed = df.withColumns({
