@@ -168,7 +168,8 @@ def document_probabilities(net: Network, column: pa.Array) -> np.ndarray:
         part = slice(k, k + 4096)
         at = np.arange(min(STRETCH, int(lengths[part].max())))[:, None]
         real = at < lengths[part]
-        symbols = np.where(real, data[np.minimum(starts[part] + at, len(data) - 1)], PADDING)
+        # Wider than a byte, so that the padding is a symbol of its own.
+        symbols = np.where(real, data[np.minimum(starts[part] + at, len(data) - 1)].astype(np.int16), np.int16(PADDING))
         p = label_probabilities(net, states(net, symbols)) * real[..., None]
         np.add.at(pooled, owner[part], p.sum(axis=0))
     return pooled / np.maximum(sizes, 1)[:, None]
