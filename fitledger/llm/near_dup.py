@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, functions as F
 from fitledger.llm.words import chained, is_space, mix, slices, words
 from fitledger.session import broadcast_if_small, saved_table
 
-SHINGLE, PERCENT = 3, 85
-# A pair of similarity 0.85 shares no band with a chance below 1e-7.
-BANDS, ROWS = 28, 5
+# Documents are linked by shingles of so many words, of which this share is common.
+SHINGLE, PERCENT = 5, 80
+# A pair of similarity 0.8 shares no band with a chance of 4e-7.
+BANDS, ROWS = 28, 4
 STAR_ROUNDS = 2
 # Members of a crowded bucket are dealt out in parts of about this many for the exact pass.
 PART = 256
@@ -53,7 +54,7 @@ def is_space_free() -> np.ndarray:
     return ~is_space()
 
 
-def signatures(values: np.ndarray, offsets: np.ndarray, bins: int = BANDS * ROWS) -> np.ndarray:
+def signatures(values: np.ndarray, offsets: np.ndarray, bins: int) -> np.ndarray:
     """One-permutation MinHash of each set: the least hash in each bin, empty bins filled by densification.
 
     Optimal densification: an empty bin takes the value of the first full bin in a random sequence of
@@ -83,10 +84,10 @@ def signatures(values: np.ndarray, offsets: np.ndarray, bins: int = BANDS * ROWS
     return table
 
 
-def band_keys(table: np.ndarray) -> np.ndarray:
-    keys = np.tile(np.arange(BANDS, dtype=np.uint64), (len(table), 1))
-    for k in range(ROWS):
-        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + table[:, k::ROWS])
+def band_keys(table: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    keys = np.tile(np.arange(bands, dtype=np.uint64), (len(table), 1))
+    for k in range(rows):
+        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + table[:, k::rows])
     return keys.astype(np.int64)
 
 
@@ -103,17 +104,17 @@ def _digest(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return sums[0], sums[1]
 
 
-def _sketched(with_sets: bool):
+def _sketched(with_sets: bool, shingle: int, bands: int, rows: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
-                values, offsets = shingle_sets(part.column("text"))
+                values, offsets = shingle_sets(part.column("text"), shingle)
                 key1, key2 = _digest(values, offsets)
                 if with_sets:
                     last = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.astype(np.int64)))
                 else:
-                    keys = band_keys(signatures(values, offsets))
-                    counts = np.where(np.diff(offsets) > 0, BANDS, 0)
+                    keys = band_keys(signatures(values, offsets, bands * rows), bands, rows)
+                    counts = np.where(np.diff(offsets) > 0, bands, 0)
                     last = pa.ListArray.from_arrays(
                         pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()),
                         pa.array(keys[counts > 0].reshape(-1)))
@@ -126,14 +127,14 @@ def _sketched(with_sets: bool):
 
 # ---- links and components
 
-def _similar(a, b):
-    """Whether two distinct arrays of shingles are alike: 100 * common >= PERCENT * all."""
+def _similar(a, b, percent: int):
+    """Whether two distinct arrays of shingles are alike: 100 * common >= percent * all."""
     common = F.size(F.array_intersect(a, b))
-    return common * 100 >= (F.size(a) + F.size(b) - common) * PERCENT
+    return common * 100 >= (F.size(a) + F.size(b) - common) * percent
 
 
-def _near_in_size(a, b):
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
+def _near_in_size(a, b, percent: int):
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
 def components(links: DataFrame, label: str = "components") -> DataFrame:
@@ -164,27 +165,28 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
     return found.unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
-def _verified(edges: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The edges (a, b) whose full sets are alike."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b"))
-    return (edges.join(left, "a").join(right, "b").where(_similar(F.col("set_a"), F.col("set_b")))
+    return (edges.join(left, "a").join(right, "b").where(_similar(F.col("set_a"), F.col("set_b"), percent))
             .select("a", "b"))
 
 
-def _stars(members: DataFrame, seed: int) -> DataFrame:
+def _stars(members: DataFrame, seed: int, percent: int) -> DataFrame:
     """Edges of each bucket's members with its centre, the member of the least seeded hash."""
     rows = members.withColumn("h", F.xxhash64("id", F.lit(seed)))
     centres = rows.groupBy("bucket").agg(F.min("h").alias("h"))
     known = rows.join(centres, ["bucket", "h"]).select("bucket", F.col("id").alias("a"), F.col("n").alias("n_a"),
                                                        *([F.col("component").alias("c_a")] if "component" in rows.columns else []))
-    pairs = members.join(known, "bucket").where((F.col("a") != F.col("id")) & _near_in_size(F.col("n"), F.col("n_a")))
+    pairs = members.join(known, "bucket").where((F.col("a") != F.col("id")) & _near_in_size(F.col("n"), F.col("n_a"), percent))
     if "component" in members.columns:
         pairs = pairs.where("component <> c_a")
     return pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
 
 
-def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE,
+                    percent: int = PERCENT, bands: int = BANDS, band_rows: int = ROWS) -> DataFrame:
     """One row (id, n_shingles, component_id, kept) for each document.
 
     Texts with equal sets form a class that its least id stands for. One-permutation MinHash bands put
@@ -193,12 +195,16 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
     pass compares the members outside its largest component with all others, within the join, so only true
     links come out and no link between classes of a common bucket is lost.
 
+    ``shingle`` words make a shingle, and texts are linked from ``percent`` of their shingles in common on. A pair of
+    exactly that similarity s shares no band with a chance of (1 - s ** band_rows) ** bands; a lower ``percent``
+    asks for fewer ``band_rows``.
+
     A text without words (or null) has an empty set and is alone. Rows with one id count as one document for linking.
     Rows with a null id are linked by equal sets only; such a row alone has a null ``component_id`` and is kept.
     An empty table gives no rows; other columns are ignored.
     """
     texts = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    rows = saved_table(texts.mapInArrow(_sketched(False), SKETCH), "near-sketches")
+    rows = saved_table(texts.mapInArrow(_sketched(False, shingle, bands, band_rows), SKETCH), "near-sketches")
     classes = rows.where("n > 0").groupBy("key1", "key2").agg(F.min("id").alias("class"))
     nodes = (rows.where("n > 0 and id is not null").join(classes, ["key1", "key2"])
              .where("id = class").select("id", "n", "key1", "key2", "bands"))
@@ -210,17 +216,17 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
     keys = nodes.select("id", "key1", "key2")
     sets = saved_table(
         texts.where("id is not null").join(broadcast_if_small(wanted), "id", "left_semi")
-        .mapInArrow(_sketched(True), SETS).join(keys, ["id", "key1", "key2"], "left_semi")
+        .mapInArrow(_sketched(True, shingle, bands, band_rows), SETS).join(keys, ["id", "key1", "key2"], "left_semi")
         .dropDuplicates(["id", "key1", "key2"]).select("id", "shingles"), "near-sets")
 
-    links = saved_table(_verified(_stars(members, 0), sets), "near-links")
+    links = saved_table(_verified(_stars(members, 0, percent), sets, percent), "near-links")
     joined = components(links)
     for seed in range(1, STAR_ROUNDS):
-        more = _verified(_stars(_labelled(members, joined), seed), sets)
+        more = _verified(_stars(_labelled(members, joined), seed, percent), sets, percent)
         links = saved_table(joined.select(F.col("id").alias("a"), F.col("component").alias("b"))
                             .unionByName(more), "near-links")
         joined = components(links)
-    more = saved_table(_remaining(_labelled(members, joined), sets), "near-links")
+    more = saved_table(_remaining(_labelled(members, joined), sets, percent), "near-links")
     if not more.isEmpty():
         joined = components(joined.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
 
@@ -241,7 +247,7 @@ def _labelled(members: DataFrame, joined: DataFrame) -> DataFrame:
     return saved_table(rows.join(split, "bucket"), "near-open")
 
 
-def _remaining(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _remaining(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between different components of a bucket: members outside its largest one against all others."""
     sizes = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"))
     # The largest component, ties to the least, in one number that can be aggregated by hash.
@@ -260,5 +266,6 @@ def _remaining(members: DataFrame, sets: DataFrame) -> DataFrame:
         F.col("shingles").alias("set_a"))
     alike = ((outside["bucket"] == others["bucket"]) & (outside["part"] == others["part"])
              & (F.col("c_a") != F.col("c_b")) & (F.col("in_largest") | (F.col("a") < F.col("b")))
-             & _near_in_size(F.col("n_a"), F.col("n_b")) & _similar(F.col("set_a"), F.col("set_b")))
+             & _near_in_size(F.col("n_a"), F.col("n_b"), percent)
+             & _similar(F.col("set_a"), F.col("set_b"), percent))
     return outside.join(others, alike).select("a", "b").distinct()

@@ -80,7 +80,8 @@ def language_predictions(spark, sf_dir):
 def near_duplicate_documents(spark, sf_dir):
     from fitledger.llm.near_dup import near_duplicates
 
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    # A pair of similarity 0.85 shares no band with a chance below 1e-7.
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85, bands=28, band_rows=5)
 
 
 def nearest_vectors(spark, sf_dir):

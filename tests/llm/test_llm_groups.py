@@ -18,16 +18,16 @@ LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, component_id string, kept string"
 
 
-def _sets(texts):
+def _sets(texts, size):
     out = []
     for text in texts:
         w = re.findall("[^\x20\x09-\x0d]+", (text or "").translate(LOWER))
-        out.append(frozenset(tuple(w[i:i + 3]) for i in range(max(1, len(w) - 2))) if w else frozenset())
+        out.append(frozenset(tuple(w[i:i + size]) for i in range(max(1, len(w) - size + 1))) if w else frozenset())
     return out
 
 
-def _brute(ids, texts):
-    sets, parent = _sets(texts), {i: i for i in ids}
+def _brute(ids, texts, size=5, percent=80):
+    sets, parent = _sets(texts, size), {i: i for i in ids}
 
     def root(x):
         while parent[x] != x:
@@ -37,12 +37,13 @@ def _brute(ids, texts):
     for a in range(len(ids)):
         for b in range(a):
             common = len(sets[a] & sets[b])
-            if common and 100 * common >= 85 * (len(sets[a]) + len(sets[b]) - common):
+            if common and 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
                 parent[max(root(ids[a]), root(ids[b]))] = min(root(ids[a]), root(ids[b]))
     return {i: (len(s), root(i), root(i) == i) for i, s in zip(ids, sets)}
 
 
-def test_near_duplicates_against_brute_force(spark):
+@pytest.mark.parametrize("size, percent, band_rows", [(3, 85, 5), (5, 80, 4)])
+def test_near_duplicates_against_brute_force(spark, size, percent, band_rows):
     rng = random.Random(3)
     word = lambda: "".join(rng.choices("abcdefgh", k=4))
     texts = [None, "", " \n", "one", "ONE", "one two", "a b c", "a  b\tc", "x" * 100_000]
@@ -59,21 +60,22 @@ def test_near_duplicates_against_brute_force(spark):
     order = list(range(len(texts)))
     rng.shuffle(order)
     docs = spark.createDataFrame([(i, texts[i], None, "s", None, "clash", "clash") for i in order], DOCS)
-    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(docs).collect()}
-    assert got == _brute(list(range(len(texts))), texts)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(
+        docs, shingle=size, percent=percent, band_rows=band_rows).collect()}
+    assert got == _brute(list(range(len(texts))), texts, size, percent)
 
 
 def test_near_duplicates_of_medium_table(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet").toPandas()
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in QUERIES["op6_near_duplicates"](spark, sf).collect()}
-    assert got == _brute(list(docs.doc_id), list(docs.text))
+    assert got == _brute(list(docs.doc_id), list(docs.text), 3, 85)
 
 
 def test_near_duplicates_of_odd_rows(spark):
     rows = [(None, "p q r s"), (9, "p q r s"), (None, "alone here now"), (4, "t u v w"), (4, "t u v w"), (4, "z"), (None, None)]
     docs = spark.createDataFrame([(i, t, None, None, None, None, None) for i, t in rows], DOCS)
-    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in near_duplicates(docs).collect())
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in near_duplicates(docs, shingle=3, percent=85).collect())
     assert got == sorted([("None", 2, "9", False), ("9", 2, "9", True), ("None", 1, "None", True), ("4", 2, "4", True),
                           ("4", 2, "4", True), ("4", 1, "4", True), ("None", 0, "None", True)])
     assert near_duplicates(docs.limit(0)).count() == 0
