@@ -189,7 +189,8 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
                     percent: int = PERCENT, bands: int = BANDS, band_rows: int = ROWS) -> DataFrame:
     """One row (id, n_shingles, component_id, kept) for each document.
 
-    Texts with equal sets form a class that its least id stands for. One-permutation MinHash bands put
+    Every row has a written number of its own. Rows with equal sets form a class that its least number stands
+    for. One-permutation MinHash bands put
     classes into buckets. In each bucket all members meet one centre, a star, and full sets confirm the links;
     a second star has another centre. Where a bucket's members are still in different components, an exact
     pass compares the members outside its largest component with all others, within the join, so only true
@@ -199,25 +200,34 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
     exactly that similarity s shares no band with a chance of (1 - s ** band_rows) ** bands; a lower ``percent``
     asks for fewer ``band_rows``.
 
-    A text without words (or null) has an empty set and is alone. Rows with one id count as one document for linking.
-    Rows with a null id are linked by equal sets only; such a row alone has a null ``component_id`` and is kept.
-    An empty table gives no rows; other columns are ignored.
+    ``component_id`` is the least id of the component, and rows with that id are kept. A null id is linked like
+    any other and comes last: a component of null ids only has a null ``component_id`` and keeps one row. Rows
+    that repeat an id are linked by their own texts. A text without words (or null) has an empty set, is alone
+    and kept. An empty table gives no rows; other columns are ignored.
     """
     texts = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    rows = saved_table(texts.mapInArrow(_sketched(False, shingle, bands, band_rows), SKETCH), "near-sketches")
-    classes = rows.where("n > 0").groupBy("key1", "key2").agg(F.min("id").alias("class"))
-    nodes = (rows.where("n > 0 and id is not null").join(classes, ["key1", "key2"])
-             .where("id = class").select("id", "n", "key1", "key2", "bands"))
+    rows = saved_table(texts.mapInArrow(_sketched(False, shingle, bands, band_rows), SKETCH)
+                       .withColumn("row", F.monotonically_increasing_id()), "near-sketches")
+    classes = (rows.where("n > 0").groupBy("key1", "key2")
+               .agg(F.min("row").alias("class"), F.min("id").alias("least")))
+    # From here to the components, an id is the number of a class's first row.
+    nodes = (rows.join(classes.select(F.col("class").alias("row")), "row", "left_semi")
+             .select(F.col("row").alias("id"), F.col("id").alias("doc"), "n", "key1", "key2", "bands"))
     banded = nodes.select(F.explode("bands").alias("bucket"), "id", "n")
     crowded = (banded.groupBy("bucket").agg(F.min("id").alias("least"), F.max("id").alias("most"))
                .where("least < most").select("bucket"))
     members = saved_table(banded.join(crowded, "bucket").distinct(), "near-buckets")
     wanted = members.select("id").distinct()
-    keys = nodes.select("id", "key1", "key2")
+    keys = saved_table(nodes.select("id", "doc", "key1", "key2").join(broadcast_if_small(wanted), "id", "left_semi"),
+                       "near-keys")
+    named = keys.where("doc is not null").select(F.col("doc").alias("id")).distinct()
+    # Null ids can't be looked up: their texts go through once more, and equal sets are dropped before any join.
+    again = texts.where("id is not null").join(broadcast_if_small(named), "id", "left_semi")
+    if not keys.where("doc is null").isEmpty():
+        again = again.unionByName(texts.where("id is null"))
     sets = saved_table(
-        texts.where("id is not null").join(broadcast_if_small(wanted), "id", "left_semi")
-        .mapInArrow(_sketched(True, shingle, bands, band_rows), SETS).join(keys, ["id", "key1", "key2"], "left_semi")
-        .dropDuplicates(["id", "key1", "key2"]).select("id", "shingles"), "near-sets")
+        again.mapInArrow(_sketched(True, shingle, bands, band_rows), SETS).select("key1", "key2", "shingles")
+        .dropDuplicates(["key1", "key2"]).join(keys.drop("doc"), ["key1", "key2"]).select("id", "shingles"), "near-sets")
 
     links = saved_table(_verified(_stars(members, 0, percent), sets, percent), "near-links")
     joined = components(links)
@@ -230,13 +240,19 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
     if not more.isEmpty():
         joined = components(joined.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
 
-    by_class = classes.join(joined.withColumnRenamed("id", "class"), "class", "left").select(
-        "key1", "key2", F.coalesce("component", "class").alias("found"))
-    # A repeated id whose texts differ may stand for several classes.
-    out = rows.select("id", "n", "key1", "key2").join(by_class, ["key1", "key2"], "left")
-    component = F.when(F.col("n") > 0, F.coalesce("found", "id")).otherwise(F.col("id"))
+    # The least id of each component of several classes; a class alone has its own.
+    linked = joined.withColumnRenamed("id", "class").join(classes.select("class", "least"), "class")
+    labels = linked.groupBy("component").agg(F.min("least").alias("first_id"))
+    linked = linked.select("class", "component").join(broadcast_if_small(labels), "component")
+    by_class = classes.join(linked, "class", "left").select(
+        "key1", "key2", F.coalesce("component", "class").alias("first_row"),
+        F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("first_id")).alias("found"))
+    out = rows.select("id", "row", "n", "key1", "key2").join(by_class, ["key1", "key2"], "left")
+    component = F.when(F.col("n") > 0, F.col("found")).otherwise(F.col("id"))
+    kept = F.when((F.col("n") > 0) & F.col("found").isNull(), F.col("row") == F.col("first_row")).otherwise(
+        F.col("id").eqNullSafe(component))
     return out.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.col("id").eqNullSafe(component).alias("kept"))
+                      kept.alias("kept"))
 
 
 def _labelled(members: DataFrame, joined: DataFrame) -> DataFrame:

@@ -81,6 +81,16 @@ def test_near_duplicates_of_odd_rows(spark):
     assert near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_near_duplicates_of_null_and_repeated_ids(spark):
+    text = [f"w{i}" for i in range(60)]
+    near, other = " ".join(text[:-1] + ["end"]), " ".join(f"v{i}" for i in range(60))
+    rows = [(None, " ".join(text)), (7, near), (None, other), (None, other + " end"), (3, "p q r s"), (5, "p q r s"), (5, "t u v")]
+    docs = spark.createDataFrame([(i, t, None, None, None, None, None) for i, t in rows], DOCS)
+    got = sorted((str(r.doc_id), str(r.component_id), r.kept) for r in near_duplicates(docs).collect())
+    assert got == sorted([("None", "7", False), ("7", "7", True), ("None", "None", True), ("None", "None", False),
+                          ("3", "3", True), ("5", "3", False), ("5", "5", True)])
+
+
 def test_components(spark):
     rng = random.Random(0)
     pairs = [(i, i + 1) for i in range(100, 160)] + [(rng.randrange(80), rng.randrange(80)) for _ in range(50)] + [(7, 7)]
@@ -226,6 +236,25 @@ def test_pipeline_of_odd_rows(spark):
     assert none.count() == 0
 
 
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline
+
+    base = [f"w{i}" for i in range(60)]
+    text, near = " ".join(base), " ".join(base[:-1] + ["end"])
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+
+    def kept(*rows):
+        docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], schema).repartition(3)
+        return sorted((str(r.doc_id), r.text) for r in corpus_pipeline.near_duplicate_groups(spark, docs, "").collect())
+
+    assert kept((None, text), (None, text), (4, text)) == [("4", text)]
+    assert kept((None, text), (4, near)) == [("4", near)]
+    assert len(kept((None, text), (None, near))) == 1
+    assert kept((2, text), (2, text), (9, text)) == [("2", text)]
+    assert kept((3, "A"), (5, "A"), (5, "B")) == [("3", "A"), ("5", "B")]
+    assert len(kept((None, None), (None, None), (6, ""))) == 3
+
+
 def test_registered_once_each():
     names = [n for n in entry_points.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
