@@ -255,6 +255,18 @@ def test_pipeline_keeps_one_row_of_each_group(spark):
     assert len(kept((None, None), (None, None), (6, ""))) == 3
 
 
+def test_pipeline_without_anything_to_learn(spark, tmp_path):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(i, f"Some plain words, number {i}.", None, "s", 9) for i in range(12)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    for name, labels in (("empty", []), ("null", [(1, None, 0)]), ("both", [(1, 0, 0), (1, 1, 0)])):
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        assert corpus_pipeline.quality(spark, docs, f"{tmp_path}/{name}").exceptAll(docs).count() == 0
+        assert corpus_pipeline.quality(spark, docs, f"{tmp_path}/{name}").count() == 12
+    assert corpus_pipeline.language(spark, docs, str(tmp_path)).count() == 12
+
+
 def test_registered_once_each():
     names = [n for n in entry_points.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
