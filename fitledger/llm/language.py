@@ -179,8 +179,8 @@ def fit_language(documents: DataFrame, limit: int = MAX_TRAINING_ROWS, max_bytes
                  held_out_fold: int = 1, **options) -> Network | None:
     """A network learnt from text and language of about ``limit`` documents per language outside the held-out fold.
 
-    A training text gives its random stretches from its first ``max_bytes`` bytes, which bounds what the
-    driver holds; prediction reads whole texts. Null ids, languages and texts are left out. Languages are told
+    A training text gives its random stretches from ``max_bytes`` bytes at a hashed place of the whole text, which
+    bounds what the driver holds; prediction reads whole texts. Null ids, languages and texts are left out. Languages are told
     from one small aggregate, so their number is bounded by what a network can have as outputs.
     """
     crc = F.crc32(F.col("doc_id").cast("string"))
@@ -192,8 +192,10 @@ def fit_language(documents: DataFrame, limit: int = MAX_TRAINING_ROWS, max_bytes
     chance = F.lit(0)
     for name, n in counts.items():
         chance = F.when(F.col("lang") == name, int(min(1, limit / n) * 1_000_000)).otherwise(chance)
+    places = F.greatest(F.lit(1), F.octet_length("text") - F.lit(max_bytes - 1))
+    start = (F.lit(1) + F.pmod(F.xxhash64("order", F.lit(1)), places)).cast("int")
     sample = known.where(F.pmod("order", F.lit(1_000_000)) < chance).select(
-        "lang", F.substring(F.encode("text", "UTF-8"), 1, max_bytes).alias("body")).toArrow()
+        "lang", F.substring(F.encode("text", "UTF-8"), start, F.lit(max_bytes)).alias("body")).toArrow()
     return train(sample.column("body").to_pylist(), sample.column("lang").to_pylist(), **options)
 
 

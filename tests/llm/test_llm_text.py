@@ -86,6 +86,14 @@ def test_language_of_odd_rows(spark):
     assert language.predict_language(empty, None).count() == 0
 
 
+def test_language_is_learnt_from_all_parts_of_a_text(spark, monkeypatch):
+    monkeypatch.setattr(language, "train", lambda texts, labels: texts)
+    rows = [(i, "a" * 4096 + "b" * 8192 + "c" * 4096, "en") for i in range(200)] + [(300 + i, "é", "fr") for i in range(9)]
+    bodies = language.fit_language(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {len(b) for b in bodies} == {2, 4096}
+    assert {chr(c) for b in bodies for c in b if c < 128} == set("abc")
+
+
 def test_gradients_against_differences():
     net = language.fresh(["a", "b", "c"], 4)
     for name in ("table", "recurrent", "output", "bias"):
