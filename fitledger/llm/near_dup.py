@@ -1,4 +1,13 @@
-"""Near-duplicates: one-permutation MinHash with optimal densification, bands, star-shaped edges, exact links."""
+"""Near-duplicates: one-permutation MinHash with optimal densification, bands, star-shaped edges, exact links.
+
+Rows with equal sets are one class. MinHash bands put classes into buckets, and in each bucket a star of candidate edges goes from its
+least class to the others: as many edges as members, however many pairs they make. The components of
+these edges, the *clusters*, hold every pair that shares a bucket. The full sets of a cluster come together
+once, in blocks of bounded size, and are compared by counting their common shingles in one matrix product.
+A cluster of one block is done then. In a larger one each block also holds the cluster's hubs, the classes with
+most candidate edges; what is still outside its largest component afterwards meets the other
+blocks, pair of blocks by pair of blocks.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +15,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute
+from pyspark.sql import DataFrame, Window, functions as F
 
 from fitledger.llm.words import chained, is_space, mix, slices, words
 from fitledger.session import broadcast_if_small, saved_table
@@ -15,9 +25,12 @@ from fitledger.session import broadcast_if_small, saved_table
 SHINGLE, PERCENT = 5, 80
 # A pair of similarity 0.8 shares no band with a chance of 4e-7.
 BANDS, ROWS = 28, 4
-STAR_ROUNDS = 2
-# Members of a crowded bucket are dealt out in parts of about this many for the exact pass.
-PART = 256
+# A block of a cluster has about so many classes and shingles; a cluster of several has so many hubs.
+BLOCK, BLOCK_SHINGLES, HUBS = 256, 1 << 19, 4
+# Classes whose places go to every executor: some 60 bytes each.
+MAX_KEYS = 1_000_000
+# Shingles that go into the matrix product at once.
+COLUMNS = 1 << 12
 
 
 # ---- sketches, in numpy
@@ -92,7 +105,7 @@ def band_keys(table: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 SKETCH = "id long, n long, key1 long, key2 long, bands array<long>"
-SETS = "id long, n long, key1 long, key2 long, shingles array<long>"
+SETS = "key1 long, key2 long, shingles array<long>"
 
 
 def _digest(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,97 +117,182 @@ def _digest(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return sums[0], sums[1]
 
 
-def _sketched(with_sets: bool, shingle: int, bands: int, rows: int):
+def _lists(lengths: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(values))
+
+
+def _sketched(shingle: int, bands: int, rows: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 values, offsets = shingle_sets(part.column("text"), shingle)
                 key1, key2 = _digest(values, offsets)
-                if with_sets:
-                    last = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.astype(np.int64)))
-                else:
-                    keys = band_keys(signatures(values, offsets, bands * rows), bands, rows)
-                    counts = np.where(np.diff(offsets) > 0, bands, 0)
-                    last = pa.ListArray.from_arrays(
-                        pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()),
-                        pa.array(keys[counts > 0].reshape(-1)))
+                n = np.diff(offsets)
+                keys = band_keys(signatures(values, offsets, bands * rows), bands, rows)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(np.diff(offsets)), pa.array(key1), pa.array(key2), last],
-                    ["id", "n", "key1", "key2", "shingles" if with_sets else "bands"])
+                    [part.column("id"), pa.array(n), pa.array(key1), pa.array(key2),
+                     _lists(np.where(n > 0, bands, 0), keys[n > 0].reshape(-1))], ["id", "n", "key1", "key2", "bands"])
 
     return sketch
 
 
-# ---- links and components
+def _with_sets(shingle: int):
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A task gives each set once, however many rows have it.
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 20):
+                values, offsets = shingle_sets(part.column("text"), shingle)
+                key1, key2 = _digest(values, offsets)
+                new = [i for i, key in enumerate(zip(key1.tolist(), key2.tolist())) if not (key in seen or seen.add(key))]
+                lists = _lists(np.diff(offsets), values.astype(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key1[new]), pa.array(key2[new]), lists.take(pa.array(new, pa.int64()))], ["key1", "key2", "shingles"])
 
-def _similar(a, b, percent: int):
-    """Whether two distinct arrays of shingles are alike: 100 * common >= percent * all."""
-    common = F.size(F.array_intersect(a, b))
-    return common * 100 >= (F.size(a) + F.size(b) - common) * percent
+    return collect
 
 
-def _near_in_size(a, b, percent: int):
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+# ---- blocks of sets
 
+def common_counts(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.ndarray:
+    """How many values each set shares with each other one (with itself only those it shares with others, too):
+    sums of matrix products over parts of the values."""
+    sets = left + (right or [])
+    sizes = [len(s) for s in sets]
+    owner, values = np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets)
+    order = np.argsort(values, kind="stable")
+    owner, values = owner[order], values[order]
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    firsts = np.flatnonzero(new)
+    # A value of one set only is shared by none.
+    shared = np.diff(np.append(firsts, len(values))) > 1
+    column = np.cumsum(new) - 1
+    member = shared[column]
+    owner, column = owner[member], (np.cumsum(shared) - 1)[column[member]]
+    n, found = len(left), np.zeros((len(left), len(right) if right else len(left)), np.int64)
+    for low in range(0, int(shared.sum()), COLUMNS):
+        a, b = np.searchsorted(column, [low, low + COLUMNS])
+        table = np.zeros((len(sets), COLUMNS), np.float32)
+        table[owner[a:b], column[a:b] - low] = 1
+        found += (table[:n] @ table[n if right else 0:].T).astype(np.int64)
+    return found
+
+
+def alike(sizes_a: np.ndarray, sizes_b: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets are alike: 100 * common >= percent * all."""
+    return common * 100 >= (sizes_a[:, None] + sizes_b[None, :] - common) * percent
+
+
+def local_roots(linked: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric table of links the least row that it reaches."""
+    roots = np.arange(len(linked))
+    linked = linked | np.eye(len(linked), dtype=bool)
+    while True:
+        least = np.where(linked, roots[None, :], len(roots)).min(axis=1)
+        least = least[least]
+        if (least == roots).all():
+            return roots
+        roots = least
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each key, from batches sorted by the keys; only one group is held."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = np.stack([batch.column(k).to_numpy() for k in keys], axis=1)
+        cuts = np.concatenate([[0], np.flatnonzero((rows[1:] != rows[:-1]).any(axis=1)) + 1, [len(rows)]])
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if last is not None and (rows[a] != last).any():
+                yield pa.Table.from_batches(held)
+                held = []
+            last = rows[a]
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _rows(group: pa.Table) -> tuple[pa.Table, list[np.ndarray]]:
+    """A group's rows, each class once, in the order of their ids, and their sets."""
+    ids = group.column("id").to_numpy()
+    _, firsts = np.unique(ids, return_index=True)
+    group = group.take(pa.array(firsts)).combine_chunks()
+    lists = group.column("shingles").combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+    return group, [values[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+
+
+def _compared(percent: int):
+    """(id, component) within a block."""
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, ["cluster", "block"]):
+            group, sets = _rows(group)
+            sizes = np.array([len(s) for s in sets])
+            roots = local_roots(alike(sizes, sizes, common_counts(sets), percent))
+            ids = group.column("id").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[roots])], ["id", "component"])
+
+    return compare
+
+
+def _crossed(percent: int):
+    """(a, b): components that a link joins, between the outside rows of a pair of blocks and its others."""
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, ["cluster", "block", "facing"]):
+            sides = []
+            for outside in (True, False):
+                part, sets = _rows(group.filter(pa.compute.equal(group.column("outside"), outside)))
+                sides.append((part.column("component").to_numpy(), sets, np.array([len(s) for s in sets], np.int64)))
+            (names_a, sets_a, sizes_a), (names_b, sets_b, sizes_b) = sides
+            if not sets_a or not sets_b:
+                continue
+            linked = alike(sizes_a, sizes_b, common_counts(sets_a, sets_b), percent)
+            linked &= names_a[:, None] != names_b[None, :]
+            i, j = np.nonzero(linked)
+            pairs = np.unique(np.stack([names_a[i], names_b[j]], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return compare
+
+
+# ---- components
 
 def components(links: DataFrame, label: str = "components") -> DataFrame:
     """(id, component): the least id that is reachable, for all ids in links (a, b).
 
     Large-star and small-star steps in turn: all neighbours of a node move to its least neighbour. Each
-    round is written to the shared folder; only a count and a checksum of the edges reach the driver.
+    round is written to the shared folder; only a count of the nodes that are not yet in a star reaches the driver.
     """
     edges = saved_table(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                         .where("u <> v").distinct(), label)
-    before = None
     while True:
-        # Large star: the larger neighbours of u join the least of u and its neighbours.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u <> v").distinct())
+        seen = both.groupBy("u").agg(F.min("v").alias("v"), F.count_if(F.col("v") < F.col("u")).alias("below"),
+                                     F.count_if(F.col("v") > F.col("u")).alias("above"))
+        # In a star each node but the centre has one neighbour, which is smaller.
+        if seen.where("below > 1 or (below > 0 and above > 0)").agg(F.count(F.lit(1))).first()[0] == 0:
+            break
+        # Large star: the larger neighbours of u join the least of u and its neighbours.
+        least = seen.select("u", F.least("u", "v").alias("m"))
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         # Small star: u and its smaller neighbours join the least of them.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         edges = saved_table(small, label)
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if now == before:
-            break
-        before = now
     found = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return found.unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
-def _verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The edges (a, b) whose full sets are alike."""
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b"))
-    return (edges.join(left, "a").join(right, "b").where(_similar(F.col("set_a"), F.col("set_b"), percent))
-            .select("a", "b"))
-
-
-def _stars(members: DataFrame, seed: int, percent: int) -> DataFrame:
-    """Edges of each bucket's members with its centre, the member of the least seeded hash."""
-    rows = members.withColumn("h", F.xxhash64("id", F.lit(seed)))
-    centres = rows.groupBy("bucket").agg(F.min("h").alias("h"))
-    known = rows.join(centres, ["bucket", "h"]).select("bucket", F.col("id").alias("a"), F.col("n").alias("n_a"),
-                                                       *([F.col("component").alias("c_a")] if "component" in rows.columns else []))
-    pairs = members.join(known, "bucket").where((F.col("a") != F.col("id")) & _near_in_size(F.col("n"), F.col("n_a"), percent))
-    if "component" in members.columns:
-        pairs = pairs.where("component <> c_a")
-    return pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
-
-
 def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE,
                     percent: int = PERCENT, bands: int = BANDS, band_rows: int = ROWS) -> DataFrame:
     """One row (id, n_shingles, component_id, kept) for each document.
 
-    Every row has a written number of its own. Rows with equal sets form a class that its least number stands
-    for. One-permutation MinHash bands put
-    classes into buckets. In each bucket all members meet one centre, a star, and full sets confirm the links;
-    a second star has another centre. Where a bucket's members are still in different components, an exact
-    pass compares the members outside its largest component with all others, within the join, so only true
-    links come out and no link between classes of a common bucket is lost.
+    The method is the module's. Every row has a written number of its own, and a class is known by its least.
+    No link between classes of a common bucket is lost.
 
     ``shingle`` words make a shingle, and texts are linked from ``percent`` of their shingles in common on. A pair of
     exactly that similarity s shares no band with a chance of (1 - s ** band_rows) ** bands; a lower ``percent``
@@ -206,46 +304,32 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
     and kept. An empty table gives no rows; other columns are ignored.
     """
     texts = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    rows = saved_table(texts.mapInArrow(_sketched(False, shingle, bands, band_rows), SKETCH)
+    rows = saved_table(texts.mapInArrow(_sketched(shingle, bands, band_rows), SKETCH)
                        .withColumn("row", F.monotonically_increasing_id()), "near-sketches")
-    classes = (rows.where("n > 0").groupBy("key1", "key2")
-               .agg(F.min("row").alias("class"), F.min("id").alias("least")))
-    # From here to the components, an id is the number of a class's first row.
-    nodes = (rows.join(classes.select(F.col("class").alias("row")), "row", "left_semi")
-             .select(F.col("row").alias("id"), F.col("id").alias("doc"), "n", "key1", "key2", "bands"))
-    banded = nodes.select(F.explode("bands").alias("bucket"), "id", "n")
-    crowded = (banded.groupBy("bucket").agg(F.min("id").alias("least"), F.max("id").alias("most"))
-               .where("least < most").select("bucket"))
-    members = saved_table(banded.join(crowded, "bucket").distinct(), "near-buckets")
-    wanted = members.select("id").distinct()
-    keys = saved_table(nodes.select("id", "doc", "key1", "key2").join(broadcast_if_small(wanted), "id", "left_semi"),
-                       "near-keys")
-    named = keys.where("doc is not null").select(F.col("doc").alias("id")).distinct()
-    # Null ids can't be looked up: their texts go through once more, and equal sets are dropped before any join.
-    again = texts.where("id is not null").join(broadcast_if_small(named), "id", "left_semi")
-    if not keys.where("doc is null").isEmpty():
-        again = again.unionByName(texts.where("id is null"))
-    sets = saved_table(
-        again.mapInArrow(_sketched(True, shingle, bands, band_rows), SETS).select("key1", "key2", "shingles")
-        .dropDuplicates(["key1", "key2"]).join(keys.drop("doc"), ["key1", "key2"]).select("id", "shingles"), "near-sets")
-
-    links = saved_table(_verified(_stars(members, 0, percent), sets, percent), "near-links")
-    joined = components(links)
-    for seed in range(1, STAR_ROUNDS):
-        more = _verified(_stars(_labelled(members, joined), seed, percent), sets, percent)
-        links = saved_table(joined.select(F.col("id").alias("a"), F.col("component").alias("b"))
-                            .unionByName(more), "near-links")
-        joined = components(links)
-    more = saved_table(_remaining(_labelled(members, joined), sets, percent), "near-links")
-    if not more.isEmpty():
-        joined = components(joined.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
+    # From here to the components, an id is the number of a class's first row; ``doc`` is the id of that row.
+    classes = saved_table(
+        rows.where("n > 0").groupBy("key1", "key2").agg(
+            F.min(F.struct("row", F.col("id").alias("doc"))).alias("first"), F.min("id").alias("least"),
+            F.first("n").alias("n"), F.first("bands").alias("bands"))
+        .select(F.col("first.row").alias("id"), F.col("first.doc").alias("doc"), "least", "n", "key1", "key2", "bands"),
+        "near-classes")
+
+    banded = classes.select(F.explode("bands").alias("bucket"), "id")
+    centres = (banded.groupBy("bucket").agg(F.min("id").alias("a"), F.max("id").alias("b"))
+               .where("a < b").select("bucket", "a"))
+    stars = saved_table(
+        banded.join(broadcast_if_small(saved_table(centres, "near-centres")), "bucket").where("id <> a")
+        .select("a", F.col("id").alias("b")).distinct(), "near-stars")
+    clustered = components(stars).withColumnRenamed("component", "cluster")
+    keys = saved_table(classes.drop("bands", "least").join(clustered, "id"), "near-keys")
+    joined = _linked(texts, keys, stars, shingle, percent)
 
     # The least id of each component of several classes; a class alone has its own.
-    linked = joined.withColumnRenamed("id", "class").join(classes.select("class", "least"), "class")
-    labels = linked.groupBy("component").agg(F.min("least").alias("first_id"))
+    linked = joined.withColumnRenamed("id", "class").join(classes.select(F.col("id").alias("class"), "least"), "class")
+    labels = linked.groupBy("component").agg(F.min("least").alias("first_id"), F.count(F.lit(1)).alias("size")).where("size > 1")
     linked = linked.select("class", "component").join(broadcast_if_small(labels), "component")
-    by_class = classes.join(linked, "class", "left").select(
-        "key1", "key2", F.coalesce("component", "class").alias("first_row"),
+    by_class = classes.join(linked, F.col("id") == F.col("class"), "left").select(
+        "key1", "key2", F.coalesce("component", "id").alias("first_row"),
         F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("first_id")).alias("found"))
     out = rows.select("id", "row", "n", "key1", "key2").join(by_class, ["key1", "key2"], "left")
     component = F.when(F.col("n") > 0, F.col("found")).otherwise(F.col("id"))
@@ -255,33 +339,81 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
                       kept.alias("kept"))
 
 
-def _labelled(members: DataFrame, joined: DataFrame) -> DataFrame:
-    """Members with their components, only of buckets that still have more than one."""
-    rows = members.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    split = (rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-             .where("low < high").select("bucket"))
-    return saved_table(rows.join(split, "bucket"), "near-open")
-
-
-def _remaining(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between different components of a bucket: members outside its largest one against all others."""
-    sizes = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"))
-    # The largest component, ties to the least, in one number that can be aggregated by hash.
-    totals = sizes.groupBy("bucket").agg(F.max("size").alias("size"), F.sum("size").alias("total"))
-    largest = (sizes.join(totals, ["bucket", "size"]).groupBy("bucket", "total")
-               .agg(F.min("component").alias("largest"))
-               .withColumn("parts", F.ceil(F.col("total") / PART)))
-    full = members.join(largest, "bucket").join(sets, "id").withColumn(
-        "part", F.pmod(F.xxhash64("id"), F.col("parts")))
-    others = full.select("bucket", "part", F.col("id").alias("b"), F.col("n").alias("n_b"),
-                         F.col("component").alias("c_b"), F.col("shingles").alias("set_b"),
-                         (F.col("component") == F.col("largest")).alias("in_largest"))
-    outside = full.where("component <> largest").select(
-        "bucket", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"),
-        F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"),
-        F.col("shingles").alias("set_a"))
-    alike = ((outside["bucket"] == others["bucket"]) & (outside["part"] == others["part"])
-             & (F.col("c_a") != F.col("c_b")) & (F.col("in_largest") | (F.col("a") < F.col("b")))
-             & _near_in_size(F.col("n_a"), F.col("n_b"), percent)
-             & _similar(F.col("set_a"), F.col("set_b"), percent))
-    return outside.join(others, alike).select("a", "b").distinct()
+def _linked(texts: DataFrame, keys: DataFrame, stars: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(id, component) of the classes in clusters, by exact links."""
+    sizes = keys.groupBy("cluster").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("shingles"))
+    large = saved_table(
+        sizes.withColumn("blocks", F.greatest(F.ceil(F.col("classes") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)))
+        .where("blocks > 1").select("cluster", "blocks"), "near-large")
+    n_large = large.count()
+    placed = keys.select("id", "doc", "key1", "key2", "cluster")
+    if n_large:
+        held = broadcast_if_small(large)
+        edges = stars.select("a").unionByName(stars.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("id")).agg(
+            F.count(F.lit(1)).alias("edges"))
+        first = Window.partitionBy("cluster").orderBy(F.desc("edges"), "id")
+        hubs = (keys.select("id", "cluster").join(held, "cluster").join(edges, "id")
+                .withColumn("place", F.row_number().over(first)).where(F.col("place") <= HUBS)
+                .select("id", F.lit(True).alias("hub")))
+        placed = placed.join(held, "cluster", "left").join(broadcast_if_small(hubs), "id", "left")
+        own = F.array(F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.col("blocks"))))
+        spread = F.when(F.col("hub"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(own)
+    else:
+        spread = F.array(F.lit(0).cast("long"))
+    placed = saved_table(placed.withColumn("spread", spread).select("id", "doc", "key1", "key2", "cluster", "spread"), "near-placed")
+    named = placed.where("doc is not null").select(F.col("doc").alias("id")).distinct()
+    # Null ids can't be looked up: their texts go through once more.
+    again = texts.where("id is not null").join(broadcast_if_small(named), "id", "left_semi")
+    if not placed.where("doc is null").isEmpty():
+        again = again.unionByName(texts.where("id is null"))
+    sets = again.mapInArrow(_with_sets(shingle), SETS).join(
+        broadcast_if_small(placed.drop("doc"), MAX_KEYS), ["key1", "key2"]).drop("key1", "key2")
+    if n_large:
+        sets = saved_table(sets, "near-sets")
+    dealt = sets.select("id", "cluster", "shingles", F.explode("spread").alias("block"))
+    joined = saved_table(_dealt(dealt, "cluster", "block").mapInArrow(_compared(percent), "id long, component long"), "near-links")
+    if not n_large:
+        return joined
+    # Classes in several blocks (hubs) tie the blocks of a cluster together.
+    joined = components(joined.select(F.col("id").alias("a"), F.col("component").alias("b")))
+    return _across(keys, sets, joined, large, percent)
+
+
+def _dealt(rows: DataFrame, *by: str) -> DataFrame:
+    return rows.repartition(*by).sortWithinPartitions(*by)
+
+
+def _across(keys: DataFrame, sets: DataFrame, joined: DataFrame, large: DataFrame, percent: int) -> DataFrame:
+    """Components after the classes outside the largest of a large cluster have met its other blocks."""
+    named = keys.select("id", "cluster", "n").join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    members = named.join(broadcast_if_small(large), "cluster")
+    parts = members.groupBy("cluster", "component").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
+    # The largest component of each cluster, ties to the least, in numbers that a hash aggregate takes.
+    totals = parts.groupBy("cluster").agg(F.max("size").alias("size"), F.sum("size").alias("classes"), F.sum("shingles").alias("all"))
+    largest = parts.join(totals.select("cluster", "size"), ["cluster", "size"]).groupBy("cluster").agg(
+        F.min("component").alias("largest"), F.max("size").alias("size"), F.max("shingles").alias("inside"))
+    rest = (
+        totals.select("cluster", "classes", "all").join(largest, "cluster").join(broadcast_if_small(large), "cluster")
+        .withColumn("facings", F.greatest(F.ceil((F.col("classes") - F.col("size")) / BLOCK),
+                                          F.ceil((F.col("all") - F.col("inside")) / BLOCK_SHINGLES)))
+        .where("classes > size").select("cluster", "largest", "blocks", "facings")
+    )
+    rest = saved_table(rest, "near-rest")
+    open_sets = saved_table(
+        members.select("id", "cluster", "component").join(broadcast_if_small(rest), "cluster")
+        .withColumn("outside", F.col("component") != F.col("largest")), "near-open")
+    full = sets.select("id", "shingles").join(broadcast_if_small(open_sets), "id")
+
+    def whole(count):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+
+    h = F.xxhash64("id")
+    outside = full.where("outside").withColumn("facing", F.pmod(h, F.col("facings"))).withColumn("block", whole("blocks"))
+    others = full.withColumn("outside", F.lit(False)).withColumn("block", F.pmod(h, F.col("blocks"))).withColumn(
+        "facing", whole("facings"))
+    columns = ["cluster", "block", "facing", "outside", "id", "component", "shingles"]
+    met = outside.select(*columns).unionByName(others.select(*columns))
+    more = saved_table(_dealt(met, "cluster", "block", "facing").mapInArrow(_crossed(percent), "a long, b long"), "near-crossed")
+    everything = named.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)
+    return components(everything)
