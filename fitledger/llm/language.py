@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from fitledger.llm.sampling import drawn
 from fitledger.llm.words import slices, text_bytes
 
 HIDDEN = 8
@@ -17,6 +18,8 @@ STRETCH = 128
 PADDING = 256
 # At most about so many documents of each language are fitted on: bounded for the driver.
 MAX_TRAINING_ROWS = 600
+# A network has so many languages at most: the most frequent.
+MAX_LANGUAGES = 200
 UNKNOWN = "und"
 
 
@@ -176,26 +179,26 @@ def document_probabilities(net: Network, column: pa.Array) -> np.ndarray:
 
 
 def fit_language(documents: DataFrame, limit: int = MAX_TRAINING_ROWS, max_bytes: int = 4096, folds: int = 3,
-                 held_out_fold: int = 1, **options) -> Network | None:
+                 held_out_fold: int = 1, max_languages: int = MAX_LANGUAGES, **options) -> Network | None:
     """A network learnt from text and language of about ``limit`` documents per language outside the held-out fold.
 
     A training text gives its random stretches from ``max_bytes`` bytes at a hashed place of the whole text, which
-    bounds what the driver holds; prediction reads whole texts. Null ids, languages and texts are left out. Languages are told
-    from one small aggregate, so their number is bounded by what a network can have as outputs.
+    bounds what the driver holds; prediction reads whole texts. Documents are drawn by a hash of id and
+    text, and equal ones are drawn once, so that neither a repeated id nor a repeated row fills the sample. Null ids, languages and
+    texts are left out. A column of many languages gives the ``max_languages`` most frequent, ties by name.
     """
     crc = F.crc32(F.col("doc_id").cast("string"))
-    known = documents.select("lang", "text", crc.alias("crc"), F.xxhash64("doc_id").alias("order")).where(
-        (F.col("crc") % folds != held_out_fold) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["count"] for r in known.select("lang").groupBy("lang").count().collect()}
-    if not counts:
-        return None
-    chance = F.lit(0)
-    for name, n in counts.items():
-        chance = F.when(F.col("lang") == name, int(min(1, limit / n) * 1_000_000)).otherwise(chance)
+    known = documents.where((crc % folds != held_out_fold) & F.col("lang").isNotNull())
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    counts = counts.orderBy(F.desc("rows"), "lang").limit(max_languages)        # bounded, so it may be broadcast
     places = F.greatest(F.lit(1), F.octet_length("text") - F.lit(max_bytes - 1))
     start = (F.lit(1) + F.pmod(F.xxhash64("order", F.lit(1)), places)).cast("int")
-    sample = known.where(F.pmod("order", F.lit(1_000_000)) < chance).select(
-        "lang", F.substring(F.encode("text", "UTF-8"), start, F.lit(max_bytes)).alias("body")).toArrow()
+    sample = (
+        known.where(F.col("text").isNotNull()).select("lang", "text", F.xxhash64("doc_id", "text").alias("order"))
+        .join(F.broadcast(counts), "lang").where(drawn(F.col("order"), limit, F.col("rows")))
+        .select("lang", "order", F.substring(F.encode("text", "UTF-8"), start, F.lit(max_bytes)).alias("body"))
+        .dropDuplicates(["lang", "order"]).select("lang", "body").toArrow()
+    )
     return train(sample.column("body").to_pylist(), sample.column("lang").to_pylist(), **options)
 
 

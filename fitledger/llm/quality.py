@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from fitledger.llm.sampling import HASH_SPAN, hash63, threshold
 from fitledger.llm.words import LOWERED, chained, is_space, mix, runs, slices, spans_hash, text_bytes
 
 BITS = 18
@@ -68,7 +69,8 @@ def ngrams(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
     for salt, (stream, n) in enumerate(((token, 1), (token, 2), (shape, 1), (shape, 2), (shape, 3)), 1):
         hashes = mix(chained(stream, n) + np.uint64(salt))
         whole = owner[:len(hashes)] == owner[n - 1:] if len(hashes) else np.zeros(0, bool)
-        slots = ((hashes[whole] >> np.uint64(64 - BITS)) | np.uint64(1)).astype(np.int64)
+        # Slot 0 is the bias.
+        slots = np.maximum(hashes[whole] >> np.uint64(64 - BITS), np.uint64(1)).astype(np.int64)
         yield slots, owner[:len(hashes)][whole], VALUE / np.maximum(n_tokens - n + 1, 1)
 
 
@@ -118,20 +120,24 @@ def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epoc
 
 
 def training_rows(documents: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING_ROWS,
-                  folds: int = 4, held_out_fold: int = 2) -> DataFrame:
+                  folds: int = 4, held_out_fold: int = 2, usual_bytes: int = 1 << 14) -> DataFrame:
     """(quality, slots, values) of a seeded sample of about ``limit`` labelled documents outside the held-out fold.
 
-    Documents labelled both ways, null labels and null ids are left out.
+    Documents labelled both ways, null labels and null ids are left out. Of documents that repeat an id one is used, the
+    one with the least hash of its text. Texts beyond ``usual_bytes`` are drawn the less often the longer they are, so that the
+    sample's bytes are bounded like its rows.
     """
     known = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()
                           & (F.crc32(F.col("doc_id").cast("string")) % folds != held_out_fold))
              .groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
              .where("quality = other").select("doc_id", "quality"))
-    total = known.count()
-    if total > limit:
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(limit / total * 1_000_000))
+    known = known.where(hash63(F.xxhash64("doc_id")) <= threshold(limit, known.count()))
     # Bounded by ``limit``, so it goes to every executor and no text is shuffled.
-    chosen = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "quality")
+    found = documents.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(known), "doc_id")
+    rare = F.lit(usual_bytes) / F.greatest(F.lit(usual_bytes), F.octet_length("text"))
+    found = found.where(hash63(F.xxhash64("doc_id", F.lit(1))) <= (rare * F.lit(float(HASH_SPAN - 1024))).cast("long"))
+    chosen = found.groupBy("doc_id").agg(
+        F.min_by(F.struct("text", "quality"), F.xxhash64("text")).alias("row")).select("row.text", "row.quality")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
