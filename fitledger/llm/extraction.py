@@ -5,8 +5,8 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -42,11 +42,16 @@ SENTENCE_END = re.compile(r"[.!?…]['\"»)\]]*$")
 
 @dataclass
 class Block:
-    """A leaf block: its text, the keys of its ancestors (nearest first three apart) and its linked characters."""
+    """A leaf block: its text, the nearest three of its ancestor blocks, and its linked characters.
+
+    All its ancestors' keys are either at hand (``above``, when pages are learnt from) or already weighed
+    (``weight``): a page of many open elements would hold their keys once for each block.
+    """
 
     text: str
     near: tuple[str, ...]
-    above: frozenset
+    above: frozenset | None
+    weight: int
     linked: int
     links: int
 
@@ -61,78 +66,116 @@ def _name_parts(attributes: str) -> list[str]:
     return found
 
 
+class _Open:
+    """An open element in the chain of open elements."""
+
+    __slots__ = ("tag", "keys", "outer", "inner")
+
+    def __init__(self, tag: str, keys: list[str], outer: _Open | None):
+        self.tag, self.keys, self.outer, self.inner = tag, keys, outer, None
+
+
 class _Reader:
-    """Walks a page's markup once and gathers its leaf blocks."""
+    """Walks a page's markup once and gathers its leaf blocks.
 
-    def __init__(self):
+    With ``weights`` the weights of all keys that are open, each counted once, are kept as a running sum of whole numbers.
+    """
+
+    def __init__(self, weights: dict[str, int] | None = None):
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, list[str]]] = []
-        self.tags: Counter = Counter()
+        self.innermost: _Open | None = None
+        self.open: dict[str, list[_Open]] = defaultdict(list)     # of each tag, outermost first
         self.keys: Counter = Counter()
+        self.weights, self.weight = weights, 0
         self.pieces: list[str] = []
         self.linked = self.links = 0
 
     def text(self, raw: str) -> None:
-        if any(self.tags[t] for t in SILENT):
+        if any(self.open.get(t) for t in SILENT):
             return
         plain = html.unescape(raw) if "&" in raw else raw
         self.pieces.append(plain)
-        if self.tags["a"]:
+        if self.open.get("a"):
             self.linked += len(plain.strip())
 
     def flush(self) -> None:
         if self.pieces:
             text = " ".join("".join(self.pieces).split())
             if text:
-                near = tuple(t for t, _ in self.open[:-7:-1] if t in BLOCKS)[:3]
-                above = frozenset(self.keys)
-                self.blocks.append(Block(text, near, above, self.linked, self.links))
+                near, element = [], self.innermost
+                for _ in range(6):
+                    if element is None:
+                        break
+                    if element.tag in BLOCKS:
+                        near.append(element.tag)
+                    element = element.outer
+                above = frozenset(self.keys) if self.weights is None else None
+                self.blocks.append(Block(text, tuple(near[:3]), above, self.weight, self.linked, self.links))
         self.pieces, self.linked, self.links = [], 0, 0
 
     def start(self, tag: str, attributes: str) -> None:
         if tag in BLOCKS:
             self.flush()
-            if self.tags["p"]:
+            if self.open.get("p"):
                 self.end("p")
-        for other in (o for o in ENDS.get(tag, ()) if self.tags[o]):
-            for t, _ in reversed(self.open):
-                if t == other:
+        for other in (o for o in ENDS.get(tag, ()) if self.open.get(o)):
+            element = self.innermost
+            while element is not None:
+                if element.tag == other:
                     self.end(other)
                     break
-                if t in SCOPES and t != tag:
+                if element.tag in SCOPES and element.tag != tag:
                     break
+                element = element.outer
         if tag == "br":
             self.pieces.append(" ")
         if tag in VOID or attributes.endswith("/") and tag not in BLOCKS and tag not in SILENT:
             return
-        keys = ["<" + tag, *_name_parts(attributes)]
+        element = _Open(tag, ["<" + tag, *_name_parts(attributes)], self.innermost)
+        if self.innermost is not None:
+            self.innermost.inner = element
+        self.innermost = element
+        self.open[tag].append(element)
         self.links += tag == "a"
-        self.open.append((tag, keys))
-        self.tags[tag] += 1
-        self.keys.update(keys)
+        for key in element.keys:
+            self.keys[key] += 1
+            if self.weights and self.keys[key] == 1:
+                self.weight += self.weights.get(key, 0)
 
     def end(self, tag: str) -> None:
         if tag in BLOCKS:
             self.flush()
-        if not self.tags[tag]:
+        if not self.open.get(tag):
             return
-        at = len(self.open) - 1
-        while self.open[at][0] != tag:
-            at -= 1
+        last = self.open[tag][-1]
         # The end of a block ends what is open inside; the end of anything else only itself.
-        ended = self.open[at:] if tag in BLOCKS or tag in SILENT else self.open[at:at + 1]
-        del self.open[at:at + len(ended)]
-        for t, keys in ended:
-            self.tags[t] -= 1
-            for key in keys:
-                self.keys[key] -= 1
-                if not self.keys[key]:
-                    del self.keys[key]
-
-
-def leaf_blocks(page: str) -> list[Block]:
+        while tag in BLOCKS or tag in SILENT:
+            element = self.innermost
+            self._drop(element)
+            if element is last:
+                return
+        self._drop(last)
+
+    def _drop(self, element: _Open) -> None:
+        """Take an element, the innermost of its tag, out of the chain."""
+        if element.inner is None:
+            self.innermost = element.outer
+        else:
+            element.inner.outer = element.outer
+        if element.outer is not None:
+            element.outer.inner = element.inner
+        self.open[element.tag].pop()
+        for key in element.keys:
+            self.keys[key] -= 1
+            if not self.keys[key]:
+                del self.keys[key]
+                if self.weights:
+                    self.weight -= self.weights.get(key, 0)
+
+
+def leaf_blocks(page: str, weights: dict[str, int] | None = None) -> list[Block]:
     """The texts between block boundaries in page order; white space is one space, references are decoded."""
-    reader, at, size = _Reader(), 0, len(page)
+    reader, at, size = _Reader(weights), 0, len(page)
     while at < size:
         match = MARKUP.search(page, at)
         if match is None:
@@ -156,13 +199,17 @@ def leaf_blocks(page: str) -> list[Block]:
     return reader.blocks
 
 
+ABOVE = "above:"
+WHOLE = 1 << 40
+
+
 def _bucket(n: float, *edges: float) -> int:
     return sum(n >= e for e in edges)
 
 
-def features(blocks: list[Block]) -> list[list[str]]:
+def features(blocks: list[Block]) -> Iterator[list[str]]:
     """Names of the features that each block has: of its ancestors, its text and its neighbours."""
-    rows, n = [], len(blocks)
+    n = len(blocks)
     tags = [b.near[0] if b.near else "" for b in blocks]
     for i, block in enumerate(blocks):
         text = block.text
@@ -174,13 +221,12 @@ def features(blocks: list[Block]) -> list[list[str]]:
                f"ended={ended}", f"length={length},ended={ended}", f"length={length},tag={tags[i]}",
                f"many={_bucket(block.links, 1, 2, 5)}", f"place={_bucket(i, 1, 3)},{_bucket(n - i, 2, 4)}",
                f"before={tags[i - 1] if i else ''}", f"after={tags[i + 1] if i + 1 < n else ''}"]
-        row += ["above:" + key for key in block.above]
+        row += [ABOVE + key for key in block.above or ()]
         if size < 200:
             row += ["word:" + w for w in set(PARTS.findall(text.lower()))]
         if "©" in text:
             row.append("copyright")
-        rows.append(row)
-    return rows
+        yield row
 
 
 @dataclass
@@ -191,10 +237,14 @@ class Field:
     moves: list[list[float]] = field(default_factory=lambda: [[0.0, 0.0], [0.0, 0.0]])
     ends: list[list[float]] = field(default_factory=lambda: [[0.0, 0.0], [0.0, 0.0]])
 
-    def scores(self, rows: list[list[str]]) -> list[float]:
+    def scores(self, rows: Iterable[list[str]]) -> list[float]:
         known = self.weights.get
         return [sum(known(name, 0.0) for name in row) for row in rows]
 
+    def ancestor_weights(self) -> dict[str, int]:
+        """Weights of ancestors' keys in whole numbers, so that their running sum comes back exactly."""
+        return {name[len(ABOVE):]: round(w * WHOLE) for name, w in self.weights.items() if name.startswith(ABOVE)}
+
 
 def viterbi(model: Field, scores: list[float]) -> list[int]:
     """The likeliest labels (1: main) of a chain of blocks."""
@@ -283,13 +333,15 @@ def fit_extraction(pages: int = TRAINING_PAGES, seed: int = 0) -> Field:
     chains = []
     for page, main in labelled_pages(pages, seed):
         blocks = leaf_blocks(page)
-        chains.append((features(blocks), [int(b.text in main) for b in blocks]))
+        chains.append((list(features(blocks)), [int(b.text in main) for b in blocks]))
     return train(chains)
 
 
-def main_text(model: Field, page: str | None) -> str:
-    blocks = leaf_blocks(page) if page else []
-    labels = viterbi(model, model.scores(features(blocks)))
+def main_text(model: Field, page: str | None, weights: dict[str, int]) -> str:
+    """The blocks labelled main; ``weights`` are the model's :meth:`Field.ancestor_weights`. Time and memory grow with the page."""
+    blocks = leaf_blocks(page, weights) if page else []
+    scores = [s + b.weight / WHOLE for s, b in zip(model.scores(features(blocks)), blocks)]
+    labels = viterbi(model, scores)
     return "\n\n".join(b.text for b, keep in zip(blocks, labels) if keep)
 
 
@@ -304,9 +356,11 @@ def extract_main_text(pages: DataFrame, model: Field, id_column: str = "page_id"
     shared = pages.sparkSession.sparkContext.broadcast(model)       # weights of the training pages' features
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        weights = model.ancestor_weights()
         for batch in batches:
             for part in slices(batch, "_html"):
-                texts = [main_text(shared.value, page) for page in part.column("_html").to_pylist()]
+                texts = [main_text(model, page, weights) for page in part.column("_html").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("_row"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                     ["_row", "text", "n_chars"])

@@ -57,6 +57,31 @@ def test_viterbi_and_marginals_against_all_labellings(model):
         assert main[i] == pytest.approx(sum(math.exp(weight(y)) for y in every if y[i]) / total)
 
 
+def test_memory_of_deep_markup(model):
+    """100,000 open elements with names of their own: time and memory grow with the page, not with its square."""
+    import time
+    import tracemalloc
+
+    page = "".join(f'<div class="n{chr(97 + k % 26)} k{k}"><b>w{k} ' for k in range(50_000)) + "<p>Some words at the end.</p>"
+    weights, start = model.ancestor_weights(), time.time()
+    tracemalloc.start()
+    text = extraction.main_text(model, page, weights)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert isinstance(text, str) and peak < 400 << 20 and time.time() - start < 60
+    # Ends of elements far down in a deep chain.
+    extraction.main_text(model, "<a>" * 30_000 + "<b>" * 30_000 + "</a>" * 30_000 + "<li><i>" * 30_000 + "x", weights)
+
+
+def test_running_weights_are_those_of_the_sets(model):
+    weights = model.ancestor_weights()
+    for page, _ in labelled_pages(40, seed=5):
+        whole, summed = extraction.leaf_blocks(page), extraction.leaf_blocks(page, weights)
+        assert [b.text for b in whole] == [b.text for b in summed]
+        for a, b in zip(whole, summed):
+            assert b.weight == sum(weights.get(key, 0) for key in a.above)
+
+
 def test_extraction_of_odd_rows(spark, model):
     page = "<nav><a href=/>Menu item</a></nav><article><h1>Title here</h1><p>Some words &amp; more.</p></article>"
     rows = [(1, None, None, "clash", "h"), (2, "u", "", None, None), (None, "u", page, None, None),
