@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fitledger.llm.words import slices
+from fitledger.session import broadcast_if_small, saved_table
 
+# Contents of more rows than this are common: there is at most one for so many rows.
+COMMON = 1_000
 CACHE_SCHEMA = "content string, tokenizer string, n_tokens long"
 
 
 def create_cache(spark: SparkSession, path: str) -> None:
-    """An empty cache at ``path``, a Parquet folder that all executors reach."""
-    spark.createDataFrame([], CACHE_SCHEMA).write.parquet(path)
+    """An empty cache at ``path``, a folder that all executors reach; each append is a Parquet folder below it."""
+    spark.createDataFrame([], CACHE_SCHEMA).write.parquet(f"{path}/append=0")
 
 
 def tokenizer_digest(model_path: str) -> str:
@@ -55,6 +59,12 @@ def count_tokens(documents: DataFrame, cache_path: str, model_path: str, id_colu
     text = F.coalesce(F.col(text_column), F.lit(""))
     keyed = documents.select(F.col(id_column).alias(id_column), text.alias("text"),
                              F.sha2(text, 256).alias("content"))
+    narrow = saved_table(
+        keyed.select(id_column, F.octet_length("text").cast("long").alias("n_bytes"), "content"), "token-contents")
+    # Contents of many rows are counted apart: their texts pass each task once, and their counts go to every task.
+    common = saved_table(
+        narrow.groupBy("content").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > COMMON).select("content"),
+        "token-common")
     misses = (keyed.select("content", "text")
               .join(_stored(spark, cache_path, version), "content", "left_anti")
               .dropDuplicates(["content"]))
@@ -68,13 +78,17 @@ def count_tokens(documents: DataFrame, cache_path: str, model_path: str, id_colu
                     [part.column("content"), pa.array([version] * len(counts)), pa.array(counts, pa.int64())],
                     ["content", "tokenizer", "n_tokens"])
 
-    misses.mapInArrow(encode, CACHE_SCHEMA).write.mode("append").parquet(cache_path)
-    narrow = keyed.select(id_column, F.octet_length("text").cast("long").alias("n_bytes"), "content")
-    return narrow.join(_stored(spark, cache_path, version), "content").select(
+    misses.mapInArrow(encode, CACHE_SCHEMA).write.parquet(f"{cache_path}/append={uuid.uuid4().hex}")
+    stored = _stored(spark, cache_path, version)
+    often = broadcast_if_small(saved_table(stored.join(broadcast_if_small(common), "content", "left_semi"), "token-often"))
+    looked = narrow.join(often, "content", "left")
+    rest = looked.where("n_tokens is null").drop("n_tokens").join(stored, "content")
+    return looked.where("n_tokens is not null").unionByName(rest).select(
         id_column, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
 def _stored(spark: SparkSession, path: str, version: str) -> DataFrame:
-    cache = spark.read.schema(CACHE_SCHEMA).parquet(path)
+    # The folders are named one by one: Spark takes two scans of one folder for the same, also when it has grown between.
+    cache = spark.read.schema(CACHE_SCHEMA).parquet(f"{path}/append=*")
     return (cache.where(F.col("tokenizer") == version)
             .groupBy("content").agg(F.min("n_tokens").alias("n_tokens")))

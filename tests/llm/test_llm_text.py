@@ -1,5 +1,6 @@
 """Quality, language, token counts, decontamination."""
 
+import hashlib
 import zlib
 
 import numpy as np
@@ -57,6 +58,45 @@ def test_quality_of_odd_rows(spark):
     assert quality.score_quality(docs.limit(0), weights).count() == 0
 
 
+@pytest.mark.parametrize("rows", [1, 10**6, 10**11, 10**15, 1 << 62])
+def test_draws_at_any_size(rows):
+    from fitledger.llm.sampling import HASH_SPAN, threshold
+
+    expected = min(1.0, 600 / rows)
+    assert threshold(600, rows) / HASH_SPAN == pytest.approx(expected, rel=1e-3 if rows < 1 << 61 else 1)
+    assert threshold(600, rows) >= 1
+
+
+def test_draws_from_many_rows(spark):
+    """Counts of 10**11 rows leave a chance above zero; the hash decides."""
+    from fitledger.llm.sampling import drawn
+
+    few = spark.range(200_000).select(F.xxhash64("id").alias("h")).where(drawn(F.col("h"), 600, F.lit(200_000))).count()
+    assert 450 < few < 750
+    least = spark.range(1).select(drawn(F.lit(1 << 20), 600, F.lit(10**15)).alias("in"), drawn(F.lit(1 << 62), 600, F.lit(10**11)).alias("out")).first()
+    assert least["in"] and not least["out"]
+
+
+def test_repeated_ids_do_not_fill_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(language, "train", lambda texts, labels: texts)
+    rows = [(5, "same text", "en")] * 4000 + [(5, f"other {i}", "en") for i in range(4000)] + [(i, f"text {i}", "fr") for i in range(6, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    bodies = language.fit_language(docs, limit=300, held_out_fold=-1)
+    assert bodies.count(b"same text") <= 1 and 80 < len([b for b in bodies if b.startswith(b"other")]) < 300
+    assert len([b for b in bodies if b.startswith(b"text")]) == 54
+    labels = spark.createDataFrame([(5, 1), (6, 0)], "doc_id long, quality int")
+    found = quality.training_rows(docs, labels, folds=1000).collect()
+    assert sorted(r.quality for r in found) == [0, 1]
+
+
+def test_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(language, "train", lambda texts, labels: sorted(labels))
+    rows = [(i, f"text {i}", f"l{i % 500}") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.fit_language(docs, held_out_fold=-1, max_languages=200)
+    assert len(set(got)) == 200 and got.count("l0") == 3
+
+
 def test_dot_products_are_sums_of_features():
     column = pa.array(["Some text, SOME text.\nAnd more 12", None, "", "a a a a"])
     weights = np.random.default_rng(0).normal(size=1 << quality.BITS).astype(np.float32)
@@ -137,6 +177,20 @@ def test_token_counts_and_cache(spark, model):
     assert token_counts.count_tokens(docs.limit(0), cache, path).count() == 0
 
 
+def test_cached_counts_are_found(spark):
+    """What an earlier call has stored is taken, not encoded again: a planted count comes back."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    cache = scratch_path(spark, "test-cache")
+    token_counts.create_cache(spark, cache)
+    docs = spark.createDataFrame([(i, f"text {i % 3}", None, None, None, None, None, None) for i in range(5000)], DOCS)
+    planted = [(hashlib.sha256(b"text 1").hexdigest(), token_counts.tokenizer_digest(path), 777)]
+    spark.createDataFrame(planted, token_counts.CACHE_SCHEMA).write.parquet(f"{cache}/append=planted")
+    got = token_counts.count_tokens(docs, cache, path).collect()
+    assert len(got) == 5000 and {r.doc_id % 3 for r in got if r.n_tokens == 777} == {1}
+    assert sum(r.n_tokens == 777 for r in got) == 1667
+    assert spark.read.parquet(cache).count() == 3
+
+
 def test_piece_counts_are_the_library_s(spark):
     import sentencepiece
 
