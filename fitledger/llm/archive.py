@@ -15,8 +15,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from fitledger.session import broadcast_if_small, saved_table
+
 RECORDS, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
-READ_BYTES = 4 << 20
+READ_BYTES, MAX_READERS = 4 << 20, 20_000
 MANIFEST_SCHEMA = "path string, n_records long, n_bytes long"
 RECORD_SCHEMA = ("record_id string, url string, record_type string, refers_to string, payload_digest string, "
                  "payload_bytes long, payload binary")
@@ -189,7 +191,10 @@ def read_package(uri: str) -> Iterator[tuple]:
 
 
 def read_archives(manifest: DataFrame, partitions: int | None = None) -> DataFrame:
-    """All records of the packages in a manifest: id, url, type, digest, payload's full length and payload."""
+    """All records of the packages in a manifest: id, url, type, digest, payload's full length and payload.
+
+    Packages are of about one size and are dealt evenly over tasks: one for each, up to ``MAX_READERS`` tasks.
+    """
     names = [part.split()[0] for part in RECORD_SCHEMA.split(", ")]
     schema = pa.schema([(n, pa.binary() if n == "payload" else pa.int64() if n == "payload_bytes" else pa.string())
                         for n in names])
@@ -207,9 +212,9 @@ def read_archives(manifest: DataFrame, partitions: int | None = None) -> DataFra
                 if held:
                     yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in held], schema)
 
-    paths = manifest.select("path")
-    if partitions:
-        paths = paths.repartition(partitions)
+    if partitions is None:
+        partitions = max(1, min(MAX_READERS, manifest.count()))
+    paths = manifest.select("path").repartition(partitions)
     return paths.mapInArrow(read, RECORD_SCHEMA)
 
 
@@ -222,7 +227,8 @@ def with_revisits(pages: DataFrame, id_column: str = "page_id", url_column: str
     The others are revisits that refer to it. Payloads below ``min_bytes`` are always responses, and so
     are rows that share the smallest id, and payloads whose rows have no id at all. The id becomes the last part
     of the record's URN; a null id is left out there. Only ids and digests are grouped, so a payload that a
-    third of the rows share costs one row for each task.
+    third of the rows share costs one row for each task of the grouping; the payloads themselves are shuffled, by digest, only
+    where more than a million of them repeat.
     """
     payload = F.coalesce(F.col(payload_column), F.lit(""))
     rows = pages.select(F.col(id_column).cast("string").alias("id"), F.col(id_column).alias("number"),
@@ -230,6 +236,8 @@ def with_revisits(pages: DataFrame, id_column: str = "page_id", url_column: str
     firsts = (rows.where(F.octet_length("payload") >= min_bytes)
               .groupBy("digest").agg(F.min("number").alias("first"), F.count(F.lit(1)).alias("copies"))
               .where("copies > 1 and first is not null").select("digest", "first"))
+    # Written once, so that counting them is cheap; if they are few, no payload is shuffled.
+    firsts = broadcast_if_small(saved_table(firsts, "archive-firsts"))
     revisit = F.coalesce((F.octet_length("payload") >= min_bytes) & F.col("first").isNotNull()
                          & ~F.col("number").eqNullSafe(F.col("first")), F.lit(False))
     return rows.join(firsts, "digest", "left").select(
