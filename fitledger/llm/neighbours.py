@@ -11,12 +11,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
+from fitledger.llm.sampling import hash63, threshold
 from fitledger.session import saved_table
 
-CURVES, DIMENSIONS, BITS = 12, 8, 6
-# The share of all vectors in a window is set so that a sample's recall reaches this.
-TARGET_RECALL = 0.94
-SHARES = (0.001, 0.002, 0.005, 0.01, 0.02, 0.04, 0.06, 0.08, 0.1, 0.12, 0.15, 0.2, 0.3, 0.5, 1.0)
+# The number of curves and the share of all vectors in a window are those of least work, their product,
+# for which a sample's recall reaches the target.
+CURVES, DIMENSIONS, BITS = (2, 3, 4, 6, 8, 12), 8, 6
+TARGET_RECALL = 0.93
+SHARES = (0.001, 0.002, 0.005, 0.01, 0.02, 0.04, 0.06, 0.08, 0.1, 0.12, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5, 0.55, 0.6,
+          0.65, 0.7, 0.75, 0.8, 0.9, 1.0)
 # Vectors that the index is fitted on; it is a bound for the driver, and every vector is indexed.
 SAMPLE_ROWS, SAMPLE_QUERIES = 4_000, 250
 MAX_BLOCK = 4_096
@@ -98,12 +101,15 @@ def top(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> li
     return out
 
 
-def fit_index(sample: np.ndarray, k: int = 20, target: float = TARGET_RECALL, curves: int = CURVES,
+def fit_index(sample: np.ndarray, k: int = 20, target: float = TARGET_RECALL, choices: tuple[int, ...] = CURVES,
               dimensions: int = DIMENSIONS, seed: int = 0) -> Index:
-    """Seeded projections, ranges from a sample, and the least window share whose recall on it reaches ``target``.
+    """Seeded projections, ranges from a sample, and of the ``choices`` of curves that whose windows reach the
+    ``target`` recall on it with the least work: curves times the share of all vectors in a window.
 
-    Neighbours in a sample are farther than among all vectors, so the recall on all is no lower as a rule.
+    Neighbours in a sample are farther than among all vectors, so the recall on all is no lower as a rule. Clustered vectors
+    get many curves with small windows; for vectors without structure a few curves with large windows are cheaper.
     """
+    curves = max(choices)
     rng, size = np.random.default_rng(seed), sample.shape[1]
     dimensions = min(dimensions, size)
     planes = np.stack([np.linalg.qr(rng.standard_normal((size, size)))[0][:, :dimensions] for _ in range(curves)])
@@ -120,12 +126,14 @@ def fit_index(sample: np.ndarray, k: int = 20, target: float = TARGET_RECALL, cu
     order = np.argsort(index.keys(sample), axis=1, kind="stable")
     place = np.empty_like(order)
     np.put_along_axis(place, order, np.arange(len(sample))[None], axis=1)
-    gap = np.abs(place[:, near] - place[:, queries][:, :, None]).min(axis=0)
-    for share in SHARES:
-        index.share, index.recall = share, float((gap <= share * len(sample) / 2).mean())
-        if index.recall >= target:
-            break
-    return index
+    gaps = np.abs(place[:, near] - place[:, queries][:, :, None])
+    found = []
+    for n in choices:
+        gap = gaps[:n].min(axis=0)
+        recalls = ((share, float((gap <= share * len(sample) / 2).mean())) for share in SHARES)
+        found.append(next((n * share, n, share, recall) for share, recall in recalls if recall >= target or share == SHARES[-1]))
+    _, n, share, recall = min(found)
+    return Index(size, planes[:n], low[:n], span[:n], index.shift[:n], share, recall)
 
 
 def usable(vector: str) -> Column:
@@ -161,8 +169,7 @@ def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, id_column: str
         .withColumn("key", F.xxhash64("vec", "class")), "vector-classes")
     stats = classes.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
     n, size = stats[0], stats[1] or 1
-    chance = min(1.0, SAMPLE_ROWS / max(1, n))
-    drawn = classes.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(chance * 1_000_000)).orderBy("key").select("vec")
+    drawn = classes.where(hash63(F.xxhash64("key")) <= threshold(SAMPLE_ROWS, n)).orderBy("key").select("vec")
     sample = np.zeros((0, size))
     held = [r.vec for r in drawn.collect()] if n else []
     if held:
@@ -174,7 +181,7 @@ def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, id_column: str
     index = fit_index(sample, k, **options)
 
     width = max(1, int(np.ceil(index.share * n / 2)))                  # of a window, to each side
-    block = max(64, min(MAX_BLOCK, -(-width // 2)))
+    block = max(64, min(MAX_BLOCK, -(-width // 4)))
     reach = -(-width // block)
     placed = _placed(classes, index)
     base = _offsets(placed)
