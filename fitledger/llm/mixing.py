@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict, deque
 
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
-from fitledger.session import saved_table
+from fitledger.operators.ordered import numbered, with_row_number
+from fitledger.session import broadcast_if_small, saved_table
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
-# One row per membership pattern is planned on the driver; more patterns than this are an error.
+# Overlapping membership patterns are planned on the driver; more of these than this are an error.
 MAX_PATTERNS = 200_000
 # Seeded hashes are cut into so many bins per pattern, so that no window holds a whole source.
 BINS = 4096
@@ -28,23 +30,28 @@ def word_count(text):
     return F.when(text.isNull(), 0).otherwise(n).cast("long")
 
 
-def targets(sizes: dict, total: float, weights=WEIGHTS, max_repeats: float = MAX_REPEATS) -> dict:
-    """Tokens wanted of each source: shares of the total by weight, never above ``max_repeats`` times its size.
+def targets(sizes: DataFrame, weights=WEIGHTS, max_repeats: float = MAX_REPEATS, total: float | None = None) -> DataFrame:
+    """(source, size, target): words wanted of each source (source, size), shares of the total by weight.
 
-    Sources in code point order (null last) take the weights in turn. What a full source can't
-    take is shared among the others by weight, until none is above its limit.
+    Sources in code point order (null last) take the weights in turn. No target is above ``max_repeats`` times its
+    source's size; what a full source can't take is shared among the others by weight, until none is above
+    its limit. Each round is one aggregate, of which three numbers reach the driver.
     """
-    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode("utf-32-be")))
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
-    fixed: dict = {}
+    # A null sorts last by a column of its own; in bytes of UTF-8 the order is that of code points.
+    named = numbered(sizes.withColumn("void", F.col("source").isNull()), [F.col("void"), F.col("source")], "place", "mix-sources")
+    turn = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    named = saved_table(named.select("source", "size", turn.alias("weight")), "mix-weights")
+    if total is None:
+        total = named.agg(F.sum("size")).first()[0] or 0
+    most, full = F.col("size") * F.lit(float(max_repeats)), F.lit(False)
     while True:
-        open_ = [s for s in names if s not in fixed]
-        rest, share = float(total) - sum(fixed[s] for s in names if s in fixed), sum(weight[s] for s in open_)
-        want = {s: rest * weight[s] / share for s in open_}
-        above = [s for s in open_ if want[s] > max_repeats * sizes[s]]
-        if not above:
-            return {s: fixed.get(s, want.get(s)) for s in names}
-        fixed |= {s: float(max_repeats * sizes[s]) for s in above}
+        fixed, share, n_full = named.agg(
+            F.sum(F.when(full, most)), F.sum(F.when(~full, F.col("weight"))), F.count_if(full)).first()
+        want = F.lit(float(total) - (fixed or 0.0)) * F.col("weight") / F.lit(float(share or 1))
+        above = full | (want > most)
+        if named.agg(F.count_if(above)).first()[0] == n_full:
+            return named.select("source", "size", F.when(full, most).otherwise(want).alias("target"))
+        full = above
 
 
 def min_cost_flow(patterns: list[tuple[frozenset, int]], quotas: dict, max_repeats: int = MAX_REPEATS) -> list[int]:
@@ -152,42 +159,82 @@ def mix(documents: DataFrame, id_column: str = "doc_id", sources_column: str = "
         F.col(id_column).alias(id_column), F.transform(pattern, lambda s: s.cast("string")).alias("pattern"),
         word_count(F.col(text_column)).alias("size"), seeded_hash(F.col(id_column), seed).alias("order"))
     # The texts are read once; what follows is narrow.
-    rows = saved_table(rows.withColumn("bin", F.shiftright("order", HASH_BITS - 12).cast("int")), "mix-sizes")
-    totals = rows.groupBy("pattern").agg(F.sum("size").alias("size"))
-    found = totals.limit(MAX_PATTERNS + 1).collect()
-    if len(found) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns: group sources first")
-    patterns = sorted(((frozenset(r["pattern"]), r["size"], list(r["pattern"])) for r in found),
-                      key=lambda p: [(s is None, s or "") for s in p[2]])
-    sizes: dict = defaultdict(int)
-    for members, size, _ in patterns:
-        for s in members:
-            sizes[s] += size
-    want = targets(sizes, sum(size for _, size, _ in patterns), weights, max_repeats) if patterns else {}
-    given = min_cost_flow([p[:2] for p in patterns], {s: round(t) for s, t in want.items()}, max_repeats)
-    plan = documents.sparkSession.createDataFrame(
-        [(names, sum(sizes[s] for s in members), float(sum(want[s] for s in members)),
-          tokens // size if size else 0, tokens % size if size else 0)
-         for (members, size, names), tokens in zip(patterns, given)],
-        "pattern array<string>, source_size long, target double, rounds long, rest long")
+    rows = saved_table(rows.withColumn("bin", F.shiftright("order", HASH_BITS - 12).cast("int"))
+                       .withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
+    patterns = saved_table(rows.groupBy("pattern").agg(F.sum("size").alias("size")), "mix-patterns")
+    plan = broadcast_if_small(saved_table(_planned(patterns, weights, max_repeats), "mix-plan"))
     # Words before each bin in seeded order: one row for each pattern and bin that has documents.
     earlier = Window.partitionBy("pattern").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = (rows.groupBy("pattern", "bin").agg(F.sum("size").alias("bin_size"))
             .withColumn("before", F.coalesce(F.sum("bin_size").over(earlier), F.lit(0))))
     # Only the bin in which the rest of a pattern ends needs its documents in order.
-    cut = bins.join(F.broadcast(plan.select("pattern", "rest")), "pattern").where(
+    cut = bins.join(plan.select("pattern", "rest"), "pattern").where(
         (F.col("before") < F.col("rest")) & (F.col("before") + F.col("bin_size") >= F.col("rest"))
     ).select("pattern", F.col("bin").alias("cut_bin"), "before")
-    planned = rows.join(F.broadcast(plan), "pattern").join(F.broadcast(cut), "pattern", "left")
-    in_cut = F.coalesce(F.col("bin") == F.col("cut_bin"), F.lit(False))
-    whole = F.col("rounds") * F.col("size")
-    plain = planned.where(~in_cut).select(
-        id_column, "size", "source_size", "target",
-        (whole + F.when(F.col("bin") < F.col("cut_bin"), F.col("size")).otherwise(0)).alias("taken"))
-    ahead = (Window.partitionBy("pattern").orderBy("order", id_column, "size")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    left = F.col("rest") - F.col("before") - F.coalesce(F.sum("size").over(ahead), F.lit(0))
-    ordered = planned.where(in_cut).select(
-        id_column, "size", "source_size", "target",
-        (whole + F.least(F.col("size"), F.greatest(left, F.lit(0)))).alias("taken"))
-    return plain.unionByName(ordered)
+    cut = broadcast_if_small(saved_table(cut, "mix-cut"))
+    planned = rows.join(plan, "pattern").join(cut, "pattern", "left")
+    at = F.struct("order", F.col(id_column).cast("string").alias("id"), "size")
+    # Equal rows are one row here, so neither a repeated id nor a repeated document crowds a bin.
+    alike = rows.join(cut, "pattern").where("bin = cut_bin").groupBy("pattern", "before", at.alias("at")).agg(
+        F.count(F.lit(1)).alias("rows"))
+    ahead = Window.partitionBy("pattern").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    ends = alike.withColumn("left", F.lit(0) - F.col("before") - F.coalesce(
+        F.sum(F.col("rows") * F.col("at.size")).over(ahead), F.lit(0)))
+    ends = ends.join(plan.select("pattern", "rest"), "pattern").withColumn("left", F.col("left") + F.col("rest"))
+    # The place where the rest ends: so many of its equal rows are taken whole and the next one in part.
+    end = ends.where((F.col("left") > 0) & (F.col("left") <= F.col("rows") * F.col("at.size"))).select(
+        "pattern", F.col("at").alias("end"), F.expr("left div at.size").alias("full"), (F.col("left") % F.col("at.size")).alias("part"))
+    end = broadcast_if_small(saved_table(end, "mix-end"))
+    once = F.when(F.col("end").isNull(), F.when(F.col("bin") < F.col("cut_bin"), F.col("size")).otherwise(0)).when(
+        (F.col("bin") < F.col("cut_bin")) | ((F.col("bin") == F.col("cut_bin")) & (at < F.col("end"))), F.col("size")).otherwise(0)
+    placed = planned.join(end, "pattern", "left").withColumn("once", F.coalesce(once, F.lit(0)))
+    on_end = (F.col("bin") == F.col("cut_bin")) & at.eqNullSafe(F.col("end"))
+    on_end = F.coalesce(on_end, F.lit(False))
+    columns = [id_column, "size", "source_size", "target", (F.col("rounds") * F.col("size") + F.col("once")).alias("taken")]
+    last = with_row_number(
+        placed.where(on_end).withColumn("group", F.xxhash64("pattern")), ["group"], ["row"], "nth").withColumn(
+        "once", F.when(F.col("nth") <= F.col("full"), F.col("size")).when(F.col("nth") == F.col("full") + 1, F.col("part")).otherwise(0))
+    return placed.where(~on_end).select(*columns).unionByName(last.select(*columns))
+
+
+def _planned(patterns: DataFrame, weights, max_repeats: int) -> DataFrame:
+    """(pattern, source_size, target, rounds, rest): whole rounds that a pattern gives, and the words beyond them.
+
+    A pattern of one source that no other pattern shares gives its source's rounded target. Only patterns that overlap, and
+    those connected with them by a source, go through the flow on the driver.
+    """
+    members = patterns.select("pattern", "size", F.explode("pattern").alias("source"))
+    sizes = members.groupBy("source").agg(F.sum("size").alias("size"))
+    total = patterns.agg(F.sum("size")).first()[0] or 0
+    wanted = saved_table(targets(sizes, weights, max_repeats, total), "mix-targets")
+    many = members.where(F.size("pattern") > 1).select("source").distinct()
+    many = saved_table(many, "mix-overlaps")
+    alone = patterns.where(F.size("pattern") == 1).withColumn("source", F.element_at("pattern", 1))
+    other = broadcast_if_small(many.withColumnRenamed("source", "other"))
+    same = F.col("source").eqNullSafe(F.col("other"))
+    single = alone.join(other, same, "left_anti").join(
+        broadcast_if_small(wanted.select(F.col("source").alias("named"), "target")), F.col("source").eqNullSafe(F.col("named")))
+    tokens = F.least(F.floor(F.col("target") + 0.5), F.col("size") * max_repeats)
+    plan = single.select("pattern", F.col("size").alias("source_size"), "target", "size", tokens.alias("tokens"))
+    if not many.isEmpty():
+        shared = patterns.where(F.size("pattern") > 1).unionByName(alone.join(other, same, "left_semi").drop("source"))
+        plan = plan.unionByName(_routed(shared, wanted.join(other, same, "left_semi"), max_repeats))
+    return plan.select(
+        "pattern", "source_size", "target",
+        F.when(F.col("size") > 0, F.expr("tokens div size")).otherwise(0).alias("rounds"),
+        F.when(F.col("size") > 0, F.col("tokens") % F.col("size")).otherwise(0).alias("rest"))
+
+
+def _routed(patterns: DataFrame, wanted: DataFrame, max_repeats: int) -> DataFrame:
+    """(pattern, source_size, target, size, tokens) of overlapping patterns, by min-cost flow."""
+    found = patterns.limit(MAX_PATTERNS + 1).collect()
+    if len(found) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} overlapping membership patterns: group sources first")
+    found = sorted(((frozenset(r["pattern"]), r["size"], list(r["pattern"])) for r in found),
+                   key=lambda p: [(s is None, s or "") for s in p[2]])
+    sources = {r["source"]: r for r in wanted.collect()}       # those of the patterns above
+    given = min_cost_flow([p[:2] for p in found], {s: math.floor(r["target"] + 0.5) for s, r in sources.items()}, max_repeats)
+    return patterns.sparkSession.createDataFrame(
+        [(names, sum(sources[s]["size"] for s in members), float(sum(sources[s]["target"] for s in members)), size, tokens)
+         for (members, size, names), tokens in zip(found, given)],
+        "pattern array<string>, source_size long, target double, size long, tokens long")

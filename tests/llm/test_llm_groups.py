@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from fitledger.llm import mixing
+from fitledger.llm import mixing, near_dup
 from fitledger.llm.near_dup import components, near_duplicates
 from fitledger.llm.neighbours import hilbert, nearest
 from fitledger.llm.queries import QUERIES
@@ -65,6 +65,63 @@ def test_near_duplicates_against_brute_force(spark, size, percent, band_rows):
     assert got == _brute(list(range(len(texts))), texts, size, percent)
 
 
+def test_common_counts_against_sets():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 9000, n)) for n in (0, 1, 50, 5000, 8000, 8000, 300)]
+    expected = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    got = near_dup.common_counts(sets)
+    assert [[x for j, x in enumerate(row) if j != i] for i, row in enumerate(got.tolist())] == [
+        [x for j, x in enumerate(row) if j != i] for i, row in enumerate(expected)]
+    assert near_dup.common_counts(sets[:3], sets[3:]).tolist() == [row[3:] for row in expected[:3]]
+
+
+@pytest.mark.parametrize("block, shingles", [(8, 1 << 19), (1 << 10, 900)])
+def test_large_clusters_in_blocks(spark, monkeypatch, block, shingles):
+    """Groups of some hundred near-copies in clusters of many blocks, linked by chains and hubs."""
+    monkeypatch.setattr(near_dup, "BLOCK", block)
+    monkeypatch.setattr(near_dup, "BLOCK_SHINGLES", shingles)
+    rng = random.Random(8)
+    texts = []
+    for n, copies, edits in ((60, 120, 9), (40, 60, 4), (90, 60, 3)):
+        base = [f"{n}x{i}" for i in range(n)]
+        chain = list(base)
+        for _ in range(copies):
+            copy = list(base)
+            for _ in range(rng.randint(0, edits)):
+                copy[rng.randrange(n)] = f"y{rng.random()}"
+            chain[rng.randrange(n)] = f"z{rng.random()}"
+            texts += [" ".join(copy), " ".join(chain)]
+    order = list(range(len(texts)))
+    rng.shuffle(order)
+    docs = spark.createDataFrame([(i, texts[i], None, "s", None, "clash", "clash") for i in order], DOCS)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(docs, shingle=3, percent=85, band_rows=5).collect()}
+    assert got == _brute(list(range(len(texts))), texts, 3, 85)
+
+
+def test_many_unlike_near_copies_in_one_bucket(spark):
+    """5,000 texts that share buckets and are not alike, and some that are alike to one of them."""
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(60)]
+
+    def unlike(k):
+        words = list(base)
+        for at in rng.sample(range(60), 3):
+            words[at] = f"{k}:{at}"
+        return words
+
+    texts = [unlike(k) for k in range(5000)]
+    near = [texts[17][:-1] + ["end"], texts[17][:-2] + ["other", "end"], texts[4321][1:], texts[4321] + ["more"]]
+    every = [" ".join(t) for t in texts + near]
+    docs = spark.createDataFrame([(i, t, None, None, None, None, None) for i, t in enumerate(every)], DOCS)
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs, shingle=3, percent=85, band_rows=5).collect()}
+    assert len(got) == 5004
+    sample = [17, 4321, *range(5000, 5004), *rng.sample(range(5000), 60)]
+    found = _brute(sample, [every[i] for i in sample], 3, 85)
+    for i in sample:
+        assert (got[i] == i) == (found[i][1] == i), i
+    assert {got[5000], got[5001]} == {got[17]} and {got[5002], got[5003]} == {got[4321]}
+
+
 def test_near_duplicates_of_medium_table(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet").toPandas()
@@ -165,9 +222,10 @@ def test_flow_is_least_cost():
     assert sum(given[:3]) == 48 and given[3] == 15 and all(g <= 2 * s for g, (_, s) in zip(given[:3], patterns))
 
 
-def test_targets_stop_at_three_times():
-    got = mixing.targets({"x": 1000, "y": 10, None: 30, "z": 500}, 1540)
-    assert list(got) == ["x", "y", "z", None]
+def test_targets_stop_at_three_times(spark):
+    sizes = spark.createDataFrame([("x", 1000), (None, 30), ("z", 500), ("y", 10)], "source string, size long")
+    got = {r.source: r.target for r in mixing.targets(sizes).collect()}
+    got = {s: got[s] for s in ("x", "y", "z", None)}
     assert got["y"] == 30 and sum(got.values()) == pytest.approx(1540)
     assert all(t <= 3 * s for t, s in zip(got.values(), (1000, 10, 500, 30)))
 
@@ -269,4 +327,4 @@ def test_pipeline_without_anything_to_learn(spark, tmp_path):
 
 def test_registered_once_each():
     names = [n for n in entry_points.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
