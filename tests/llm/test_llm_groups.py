@@ -283,17 +283,42 @@ def test_pipeline_stages(spark):
 
 
 def test_pipeline_of_odd_rows(spark):
+    """Nulls, empty and very long texts, repeated rows, and columns that bear the names of what operators add."""
     sf = "/root/testdata/sf0.001"
     known = spark.read.parquet(f"{sf}/documents.parquet")
+    long = " ".join(known.where("lang = 'en'").limit(40).toPandas().text) * 3
     odd = spark.createDataFrame(
         [(None, None, None, None, None), (None, "Odd text here.", None, None, None), (10**12, "", "en", None, 0),
-         (10**12 + 1, "9 " * 50_000, "de", "s", 1)], known.schema)
-    *_, mixed = _pipeline(spark, known.unionByName(odd).unionByName(odd), sf)
-    assert mixed.count() > 0
-    *_, none = _pipeline(spark, known.limit(0), sf)
+         (10**12 + 1, "9 " * 50_000, "de", "s", 1), (10**12 + 2, long, "en", "s", 1)], known.schema)
+    clashing = {c: F.lit(f"clash {c}") for c in ("score", "hits", "kept", "component_id", "lang_pred", "_row", "taken", "size", "_text")}
+    docs = known.unionByName(odd).unionByName(odd).withColumns(clashing)
+    steps = _pipeline(spark, docs, sf)
+    for before, after in zip(steps[:-1], steps[1:-1]):
+        assert after.columns == docs.columns and after.exceptAll(before).count() == 0
+        assert after.where("score <> 'clash score' or kept <> 'clash kept' or _text <> 'clash _text'").count() == 0
+    good, known_language, single, clean, mixed = ({r.doc_id: r for r in step.select("doc_id").collect()} for step in steps[1:])
+    assert not {10**12, 10**12 + 1} & set(known_language)               # no letters: in no language
+    ids = [r.doc_id for r in steps[3].where("doc_id is not null").select("doc_id").collect()]
+    assert len(ids) == len(set(ids))                                      # repeated rows: one stays
+    assert set(mixed) <= set(clean) <= set(single) <= set(known_language) <= set(good)
+    assert all(r.taken > 0 and r.size > 0 for r in steps[-1].collect())
+    *_, none = _pipeline(spark, docs.limit(0), sf)
     assert none.count() == 0
 
 
+def test_pipeline_rejects_unlearnt_scripts(spark):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    texts = ["Это обычный русский текст о погоде и людях. " * 5, "これは日本語の文章です。今日は天気がいい。" * 5, "Αυτό είναι ένα ελληνικό κείμενο για τον καιρό. " * 5]
+    strange = spark.createDataFrame([(10**12 + i, t, None, "s", 9) for i, t in enumerate(texts)], docs.schema)
+    kept = corpus_pipeline.language(spark, docs.unionByName(strange), sf)
+    assert kept.where("doc_id >= 1000000000000").count() == 0
+    lettered = docs.where("text rlike '\\\\p{L}'")
+    assert kept.count() >= 0.99 * lettered.count()
+
+
 def test_pipeline_keeps_one_row_of_each_group(spark):
     import corpus_pipeline
 
