@@ -1,8 +1,8 @@
 """Registered queries, each beside the SQL that must give the same rows."""
 
-from fitledger.catalog import layout, models, runs, streams, text
+from fitledger.catalog import layout, lines, models, runs, streams, text
 
-_PARTS = (text, layout, runs, streams, models)
+_PARTS = (text, layout, runs, lines, streams, models)
 
 
 def all_queries() -> dict:

@@ -7,13 +7,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from fitledger.catalog.tables import table
 from fitledger.catalog.text import SQL as TEXT_SQL, prompts
 from fitledger.models import (
-    batch_score, load_model, run_per_rank, save_model, score_prompts, supervised_fit,
+    batch_score, foreign_scores, linear_text_model, load_model, loader, run_per_rank, save_model, supervised_fit,
 )
-from fitledger.session import broadcast_if_small, scratch_path
-
-MAX_RANKS = 4
-
+from fitledger.session import broadcast_if_small, saved_table, scratch_path
 
+# Partial sums for each rank.
+SHARES = 16
 FOLDS = 5
 
 
@@ -62,12 +61,26 @@ def scores(spark, sf_dir):
         ((F.col("score") > 0.5) == (F.col("prediction") == 1)).alias("prediction_follows"))
 
 
-def answers(spark, sf_dir):
-    def make_model():
-        # Stands in for a foreign model: answers with the prompt's own first words.
-        return lambda texts, limit: [" ".join(t.split()[:limit]) for t in texts]
-
-    return score_prompts(prompts(spark, sf_dir), make_model, "example_id")
+def foreign_answers(spark, sf_dir):
+    """Prompts scored by the fitted weights outside MLlib, and by MLlib: the same for every prompt."""
+    model = supervised_fit(_labelled(spark, sf_dir), "quality")
+    asked = saved_table(prompts(spark, sf_dir), "prompts")
+    load = loader(spark, linear_text_model(model))
+    outside = foreign_scores(asked, load, "example_id", "prompt", "outside")
+    inside = saved_table(batch_score(asked.withColumnRenamed("prompt", "text"), model, "example_id"), "inside")
+    both = outside.join(inside, "example_id")
+    return both.select(
+        "example_id", (F.abs(F.col("outside") - F.col("score")) < 1e-9).alias("same"),
+        ((F.col("outside") > 0.5) == (F.col("prediction") == 1)).alias("prediction_follows"))
+
+
+def foreign_document_scores(spark, sf_dir):
+    """Every document scored outside MLlib, against ``batch_score``."""
+    model = supervised_fit(_labelled(spark, sf_dir), "quality")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    outside = foreign_scores(documents, loader(spark, linear_text_model(model)), "doc_id", "text", "outside")
+    both = outside.join(saved_table(batch_score(documents, model, "doc_id"), "inside"), "doc_id")
+    return both.select("doc_id", (F.abs(F.col("outside") - F.col("score")) < 1e-9).alias("same"))
 
 
 def rank_sums(spark, sf_dir):
@@ -78,16 +91,19 @@ def rank_sums(spark, sf_dir):
 
         rows = characters = 0
         for batch in batches:
-            rows += len(batch)
-            characters += int(batch["n_chars"].sum())
+            rows += int(batch["documents"].sum())
+            characters += int(batch["characters"].sum())
         shares = [json.loads(s) for s in context.allGather(json.dumps([rows, characters]))]
         return pd.DataFrame({
             "documents": [sum(s[0] for s in shares)],
             "characters": [sum(s[1] for s in shares)],
         })
 
-    world = min(MAX_RANKS, spark.sparkContext.defaultParallelism)
-    sizes = table(spark, sf_dir, "documents").select("n_chars")
+    # A rank for each slot; summed up before, so that a rank gets a few rows however many documents there are.
+    world = spark.sparkContext.defaultParallelism
+    share = F.pmod(F.xxhash64("doc_id", "n_chars"), F.lit(SHARES * world)).alias("share")
+    sizes = table(spark, sf_dir, "documents").groupBy(share).agg(
+        F.count(F.lit(1)).alias("documents"), F.sum("n_chars").alias("characters"))
     return run_per_rank(sizes, add_up, world, "documents bigint, characters bigint")
 
 
@@ -95,7 +111,8 @@ QUERIES = {
     "supervised_fit": fit,
     "save_load_model": saved_model,
     "batch_score": scores,
-    "score_prompts": answers,
+    "score_prompts": foreign_answers,
+    "foreign_scores": foreign_document_scores,
     "run_per_rank": rank_sums,
 }
 
@@ -108,9 +125,8 @@ where ('0x' || substr(md5(cast(doc_id as varchar)), 1, 8))::bigint % 5 = 0""",
     "save_load_model": "select doc_id, true as same from documents join labels using (doc_id)",
     "score_prompts": f"""
 with prompts as ({TEXT_SQL['generation_prompt']})
-select example_id, array_to_string(list_filter(
-  regexp_split_to_array(prompt, '\\s+'), lambda w: w <> '')[1:100], ' ') as answer
-from prompts""",
+select example_id, true as same, true as prediction_follows from prompts""",
+    "foreign_scores": "select doc_id, true as same from documents",
     "run_per_rank": """
 select count(*) as documents, cast(sum(n_chars) as bigint) as characters from documents""",
 }

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fitledger.catalog.tables import entries, logs, table
+from fitledger.catalog.tables import entries, examples, logs, stored, table
 from fitledger.functions import is_number
 from fitledger.operators import checkpoints as ck, metrics as m, registry as reg
+from fitledger.operators.examples import render_examples
 from fitledger.session import saved_table, scratch_path
 from fitledger.sources import sinks
-from fitledger.sources.artifacts import artifact_manifest
-from fitledger.sources.derived import checkpoint_manifest, run_settings
+from fitledger.sources.artifacts import artifact_manifest, file_listing
+from fitledger.sources.derived import run_settings
+from fitledger.sources.log_table import read_logs, store_logs
+from fitledger.sources.sinks import write_training_text
 
 SETTINGS = ["epochs", "per_device_train_batch_size", "grad_accum", "lr",
             "n_events", "max_value", "first_kind", "had_error"]
@@ -21,8 +24,8 @@ def log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def number_types(spark, sf_dir):
-    rows = entries(spark, sf_dir)
-    found = spark.tvf.variant_explode(F.try_parse_json(F.col("logs").outer()))
+    rows = stored(spark, entries(spark, sf_dir))
+    found = spark.tvf.variant_explode(F.col("entry").outer())
     return rows.lateralJoin(found).groupBy("key").agg(
         F.count_if(is_number(F.col("value"))).alias("numbers"),
         F.count_if(~is_number(F.col("value"))).alias("dropped"),
@@ -38,7 +41,7 @@ def snapshots(spark, sf_dir):
 
 
 def loggable_rows(spark, sf_dir):
-    return m.loggable(entries(spark, sf_dir)).select("run_id", "event_id")
+    return m.loggable(stored(spark, entries(spark, sf_dir))).select("run_id", "event_id")
 
 
 def malformed(spark, sf_dir):
@@ -46,7 +49,9 @@ def malformed(spark, sf_dir):
     shape = ["run_id", "event_id", "logs"]
     props = table(spark, sf_dir, "events").select("user_id", "event_id", "props").toDF(*shape)
     prose = table(spark, sf_dir, "documents").select(F.lit(-1).cast("bigint"), "doc_id", "text").toDF(*shape)
-    return m.malformed_logs(props.unionByName(prose)).select("run_id", "event_id")
+    path = scratch_path(spark, "logs")
+    store_logs(props.unionByName(prose), path)
+    return m.malformed_logs(read_logs(spark, path, accepted=False)).select("run_id", "event_id")
 
 
 def _points(rows: DataFrame) -> DataFrame:
@@ -55,30 +60,30 @@ def _points(rows: DataFrame) -> DataFrame:
 
 
 def long_metrics(spark, sf_dir):
-    return _points(m.metrics_long(logs(spark, sf_dir)))
+    return _points(m.metrics_long(stored(spark, logs(spark, sf_dir))))
 
 
 def step_times(spark, sf_dir):
-    return m.time_per_step(logs(spark, sf_dir)).select(
+    return m.time_per_step(stored(spark, entries(spark, sf_dir))).select(
         "run_id", "event_id", F.round("time_per_step", 7).alias("time_per_step"))
 
 
 def step_time_points(spark, sf_dir):
-    return _points(m.timing_metrics(logs(spark, sf_dir)))
+    return _points(m.timing_metrics(stored(spark, logs(spark, sf_dir))))
 
 
 def evaluation(spark, sf_dir):
-    return _points(m.eval_metrics(logs(spark, sf_dir)))
+    return _points(m.eval_metrics(stored(spark, logs(spark, sf_dir))))
 
 
 def final_points(spark, sf_dir):
-    return _points(m.final_metrics(logs(spark, sf_dir)))
+    return _points(m.final_metrics(stored(spark, entries(spark, sf_dir))))
 
 
 def _stored_metrics(spark, sf_dir):
     """The metric table, so that what follows does not parse the logs again."""
     path = scratch_path(spark, "metrics")
-    sinks.append_metrics(m.recorded_metrics(logs(spark, sf_dir)), path)
+    sinks.append_metrics(m.recorded_metrics(stored(spark, logs(spark, sf_dir))), path)
     return sinks.read_metrics(spark, path)
 
 
@@ -124,13 +129,13 @@ def side_by_side(spark, sf_dir):
 
 
 def hooked(spark, sf_dir):
-    return _points(m.log_hook(logs(spark, sf_dir)))
+    return _points(m.log_hook(stored(spark, logs(spark, sf_dir))))
 
 
 def appended_metrics(spark, sf_dir):
     """Two appends, dealt into different numbers of buckets."""
     path = scratch_path(spark, "metrics")
-    rows = logs(spark, sf_dir)
+    rows = stored(spark, logs(spark, sf_dir))
     sinks.append_metrics(m.log_hook(rows), path)
     sinks.append_metrics(m.eval_metrics(m.lead_rank_only(rows)), path, buckets=16)
     return _points(sinks.read_metrics(spark, path))
@@ -158,20 +163,32 @@ def kept_checkpoints(spark, sf_dir):
     return ck.retain_latest(ck.checkpoint_plan(logs(spark, sf_dir)))
 
 
-def _due_rows(spark, sf_dir):
-    """The log rows of due checkpoints, kept so that plan and manifest share one pass."""
-    due = m.every_n_steps(logs(spark, sf_dir), ck.SAVE_STEPS)
-    return saved_table(due.select("run_id", "step", "logs"), "due-rows")
+def _checkpoint_files(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The plan of due checkpoints, and the files that a job has written for them: none where its event is an error."""
+    due = m.every_n_steps(logs(spark, sf_dir), ck.SAVE_STEPS).select("run_id", "step", "event_id", "logs")
+    due = saved_table(due, "due-rows")
+    directory = scratch_path(spark, "checkpoints")
+    kind = F.try_variant_get(F.try_parse_json("logs"), "$.event_type", "string")
+    states = due.filter(kind != "error").select(
+        "run_id", F.format_string(ck.FOLDER_FORMAT, "step").alias("path"), "event_id", "logs")
+    ck.write_checkpoints(states, directory)
+    return ck.checkpoint_plan(due), file_listing(spark, directory)
 
 
 def present_checkpoints(spark, sf_dir):
-    rows = _due_rows(spark, sf_dir)
-    return ck.existing_only(ck.checkpoint_plan(rows), checkpoint_manifest(rows))
+    plan, files = _checkpoint_files(spark, sf_dir)
+    return ck.existing_only(plan, ck.checkpoint_folders(files))
+
+
+def expired_checkpoints(spark, sf_dir):
+    """The folders that retention would remove."""
+    _, files = _checkpoint_files(spark, sf_dir)
+    return ck.expired(ck.steps_of(ck.checkpoint_folders(files)))
 
 
 def pending(spark, sf_dir):
-    rows = _due_rows(spark, sf_dir)
-    return ck.pending_uploads(ck.checkpoint_plan(rows), checkpoint_manifest(rows))
+    plan, files = _checkpoint_files(spark, sf_dir)
+    return ck.pending_uploads(plan, ck.checkpoint_folders(files))
 
 
 def _experiments(spark, sf_dir):
@@ -217,13 +234,18 @@ def run_registry(spark, sf_dir):
 
 
 def artifacts(spark, sf_dir):
-    """The files of a table that a job wrote anyway: all there, none empty, all listed once."""
+    """The files of the training text that a job has written, as listed and as they are read: the same files, the same bytes,
+    and in them all examples."""
     path = scratch_path(spark, "artifacts")
-    table(spark, sf_dir, "labels").write.partitionBy("quality").parquet(path)
-    files = artifact_manifest(spark, path, "run-0", "labels")
-    quality = F.regexp_extract("path", "/quality=([^/]+)/", 1).alias("quality")
-    return files.groupBy("run_id", "artifact_path", quality).agg(
-        (F.min("length") > 0).alias("has_bytes"), (F.count(F.lit(1)) == F.count_distinct("path")).alias("listed_once"),
+    write_training_text(render_examples(examples(spark, sf_dir)), path)
+    listed = artifact_manifest(spark, path, "run-0", "training_text").filter(F.col("path").endswith(".parquet"))
+    read = spark.read.schema("example_id string, text string").parquet(path).groupBy(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")).agg(F.count("text").alias("rows"))
+    both = listed.join(read, "path", "left")
+    return both.groupBy("run_id", "artifact_path").agg(
+        F.sum(F.coalesce("rows", F.lit(0))).alias("examples"), F.bool_and(F.col("length") > 0).alias("has_bytes"),
+        F.bool_and((F.col("length") == F.col("size")) | F.col("size").isNull()).alias("sizes_agree"),
+        (F.count(F.lit(1)) == F.count_distinct("path")).alias("listed_once"),
         (F.count("modificationTime") == F.count(F.lit(1))).alias("timed"))
 
 
@@ -250,6 +272,7 @@ QUERIES = {
     "checkpoint_plan": due_checkpoints,
     "retain_latest": kept_checkpoints,
     "existing_only": present_checkpoints,
+    "expired_checkpoints": expired_checkpoints,
     "pending_uploads": pending,
     "new_experiments": created_experiments,
     "register_experiments": all_experiments,
@@ -391,16 +414,20 @@ with {_PLAN}
 select run_id, step, path from plan p
 where (select count(*) from plan q where q.run_id = p.run_id and q.step > p.step) < 2""",
     "existing_only": f"with {_PLAN} select run_id, step, path from plan where event_type <> 'error'",
+    "expired_checkpoints": f"""
+with {_PLAN},
+there as (select * from plan where event_type <> 'error')
+select run_id, step, path from there p
+where (select count(*) from there q where q.run_id = p.run_id and q.step > p.step) >= 2""",
     "pending_uploads": f"with {_PLAN} select run_id, step, path from plan where event_type = 'error'",
     "new_experiments": f"with {_NAMES} select experiment from created",
     "experiment_name": "select distinct user_id, '~/run-' || user_id as experiment from events",
     "register_runs": """
 select distinct user_id as run_id, 'run-' || user_id as run_name, true as in_own_folder from events""",
     "artifact_manifest": """
-select distinct 'run-0' as run_id, 'labels' as artifact_path,
-  coalesce(cast(quality as varchar), '__HIVE_DEFAULT_PARTITION__') as quality,
-  true as has_bytes, true as listed_once, true as timed
-from labels""",
+select 'run-0' as run_id, 'training_text' as artifact_path, count(*) as examples,
+  true as has_bytes, true as sizes_agree, true as listed_once, true as timed
+from conversations where role = 'user'""",
     "get_or_create": f"with {_NAMES} select experiment from existing union select experiment from created",
     "register_experiments": f"with {_NAMES} select experiment from existing union select experiment from created",
 }

@@ -16,6 +16,9 @@ from fitledger.streaming import (
 from fitledger.streaming.sinks import STEP_TIMES
 
 
+RANKS = 4
+
+
 def _drained(spark: SparkSession, stream: DataFrame, label: str, n_sinks: int = 1) -> list[DataFrame]:
     place = scratch_path(spark, label)
     paths = [f"{place}/table-{i}" for i in range(n_sinks)]
@@ -54,7 +57,12 @@ def carried_step_times(spark, sf_dir):
 
 
 def checkpoint_events(spark, sf_dir):
-    rows, = _drained(spark, stream_checkpoint_events(_log_stream(spark, sf_dir)), "checkpoints")
+    """Each step as four ranks report it, a second apart."""
+    path = scratch_path(spark, "rank-files")
+    ranks = logs(spark, sf_dir).withColumn("rank", F.explode(F.sequence(F.lit(0), F.lit(RANKS - 1))))
+    late = F.make_dt_interval(secs=F.col("rank").cast("decimal(18,6)"))
+    ranks.withColumn("ts", F.col("ts") + late).write.parquet(path)
+    rows, = _drained(spark, stream_checkpoint_events(read_log_stream(spark, path)), "checkpoints")
     return rows
 
 

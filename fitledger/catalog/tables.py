@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fitledger import schemas
 from fitledger.operators.examples import conversation_examples
+from fitledger.session import scratch_path
 from fitledger.sources.derived import log_entries, log_events
+from fitledger.sources.log_table import read_logs, store_logs
 
 SCHEMAS = {
     "conversations": schemas.CONVERSATIONS,
@@ -37,3 +39,10 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_events(table(spark, sf_dir, "events"))
+
+
+def stored(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Log rows as a log table: parsed once, then read as VARIANT."""
+    path = scratch_path(spark, "logs")
+    store_logs(rows, path)
+    return read_logs(spark, path)

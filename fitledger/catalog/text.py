@@ -23,9 +23,11 @@ TOP_WORDS = 2_000
 
 
 def read_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_examples(spark, path_of(sf_dir, "documents"), split="en", split_column="lang",
-                         schema=schemas.DOCUMENTS)
-    return rows.select("doc_id", "source", "n_chars", F.md5("text").alias("text_md5"))
+    """All rows, and those of one split."""
+    path = path_of(sf_dir, "documents")
+    everything = read_examples(spark, path, split=None, schema=schemas.DOCUMENTS).withColumn("split", F.lit("all"))
+    one = read_examples(spark, path, split="en", split_column="lang", schema=schemas.DOCUMENTS).withColumn("split", F.lit("en"))
+    return everything.unionByName(one).select("split", "doc_id", "source", "n_chars", F.md5("text").alias("text_md5"))
 
 
 def conversation_pairs(spark, sf_dir):
@@ -235,7 +237,9 @@ encoded as (
 
 SQL = {
     "read_examples": """
-select doc_id, source, n_chars, md5(text) as text_md5 from documents where lang = 'en'""",
+select 'all' as split, doc_id, source, n_chars, md5(text) as text_md5 from documents
+union all
+select 'en', doc_id, source, n_chars, md5(text) from documents where lang = 'en'""",
     "conversation_examples": f"with {_EXAMPLES} select example_id, instruction, input, output from examples",
     "unused_turns": """
 select conv_id, turn, role, reason from (

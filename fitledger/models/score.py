@@ -1,15 +1,19 @@
-"""Bulk scoring of whole tables."""
+"""Bulk scoring of whole tables, with MLlib models and with models from elsewhere."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DataType, DoubleType, StringType
 
 # Fixed value: the most tokens an answer may add.
 MAX_NEW_TOKENS = 100
+# Rows that a foreign model is given at once.
+BATCH_ROWS = 256
 
 
 def batch_score(df: DataFrame, model: PipelineModel, id_column: str,
@@ -22,25 +26,29 @@ def batch_score(df: DataFrame, model: PipelineModel, id_column: str,
     )
 
 
+def foreign_scores(df: DataFrame, make_predict: Callable[[], Callable[[np.ndarray], np.ndarray]], id_column: str,
+                   input_column: str, out: str = "score", out_type: DataType = DoubleType(),
+                   batch_rows: int = BATCH_ROWS, keep: Sequence[str] = ()) -> DataFrame:
+    """``id, out`` and the kept columns from any Python model.
+
+    ``make_predict`` loads the model and returns a function from an array of inputs to an array of as many results. It
+    runs once in each Python worker process, not for each task, and its batches cross the border as Arrow. A
+    null input reaches the model as None.
+    """
+    predict = predict_batch_udf(make_predict, return_type=out_type, batch_size=batch_rows)
+    return df.select(id_column, *keep, predict(F.col(input_column)).alias(out))
+
+
 def score_prompts(df: DataFrame, make_model: Callable[[], Callable[[Sequence[str], int], Sequence[str]]],
                   id_column: str, prompt_column: str = "prompt",
                   max_new_tokens: int = MAX_NEW_TOKENS) -> DataFrame:
-    """``id, answer`` from any Python model.
+    """``id, answer`` from a model that answers prompts.
 
-    ``make_model`` runs once per task and returns a function from a list of
-    prompts and a token limit to the answers.
+    ``make_model`` returns a function from a list of prompts and a token limit to the answers; it runs as in
+    :func:`foreign_scores`.
     """
-    id_type = dict(df.dtypes)[id_column]
-
-    def answer(batches):
-        import pandas as pd
-
+    def make_predict():
         model = make_model()
-        for batch in batches:
-            yield pd.DataFrame({
-                id_column: batch[id_column],
-                "answer": model(batch[prompt_column].tolist(), max_new_tokens),
-            })
-
-    return df.select(id_column, prompt_column).mapInPandas(
-        answer, f"`{id_column}` {id_type}, answer string")
+        return lambda prompts: np.array(model(list(prompts), max_new_tokens), dtype=object)
+
+    return foreign_scores(df, make_predict, id_column, prompt_column, "answer", StringType())

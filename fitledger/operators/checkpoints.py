@@ -32,15 +32,40 @@ def retain_latest(checkpoints: DataFrame, n: int = SAVE_LIMIT) -> DataFrame:
     )
 
 
+def expired(checkpoints: DataFrame, n: int = SAVE_LIMIT) -> DataFrame:
+    """The checkpoints that retention removes: all but the newest ``n`` of each run."""
+    oldest = retain_latest(checkpoints, n).groupBy("run_id").agg(F.min("step").alias("oldest_kept"))
+    return checkpoints.join(oldest, "run_id").filter(F.col("step") < F.col("oldest_kept")).drop("oldest_kept")
+
+
 def existing_only(plan: DataFrame, manifest: DataFrame) -> DataFrame:
     """Checkpoints whose folder is really there."""
     return plan.join(manifest, ["run_id", "path"], "left_semi")
 
 
-def checkpoint_folders(manifest: DataFrame) -> DataFrame:
-    """``run_id, path`` of the checkpoint folders that hold at least one listed file."""
-    folder = F.regexp_extract("path", "/(checkpoint-[0-9]+)/", 1)
-    return manifest.select("run_id", folder.alias("path")).filter(F.col("path") != "").distinct()
+def write_checkpoints(states: DataFrame, directory: str) -> None:
+    """Write the state of each checkpoint (run_id, path, ..) into a folder of its own, one below its run's.
+
+    Tasks get whole checkpoints, so a folder has one file unless its checkpoint is large; AQE splits one that is.
+    """
+    states.hint("rebalance", "run_id", "path").write.mode("append").partitionBy("run_id", "path").parquet(directory)
+
+
+def checkpoint_folders(files: DataFrame) -> DataFrame:
+    """``run_id, path`` of the checkpoint folders that hold at least one listed file.
+
+    The run is a column of the listing (an artifact manifest), or else the ``run_id=`` folder above the checkpoint's.
+    """
+    folder = F.regexp_extract("path", "/(?:path=)?(checkpoint-[0-9]+)/", 1).alias("path")
+    run = F.col("run_id") if "run_id" in files.columns else F.regexp_extract(
+        "path", "/run_id=([^/]+)/", 1).try_cast("bigint").alias("run_id")
+    return files.select(run, folder).filter(F.col("path") != "").distinct()
+
+
+def steps_of(folders: DataFrame) -> DataFrame:
+    """``run_id, step, path``: the steps that the folders' names tell."""
+    step = F.regexp_extract("path", "^checkpoint-([0-9]+)$", 1).try_cast("bigint")
+    return folders.select("run_id", step.alias("step"), "path").filter(F.col("step").isNotNull())
 
 
 def pending_uploads(started: DataFrame, finished: DataFrame) -> DataFrame:

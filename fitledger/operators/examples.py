@@ -60,24 +60,29 @@ def example_key(conversation: Column, turn: Column) -> Column:
 
 
 def first_system_turns(turns: DataFrame) -> DataFrame:
-    """``conv_id, turn`` of each conversation's first system turn."""
-    return turns.filter(F.col("role") == "system").groupBy("conv_id").agg(F.min("turn").alias("turn"))
+    """``system_conv, system_turn, system_text``: one row for each conversation with a system turn, its first.
+
+    Of several with the first number the one with the least text. Turns without a number come before others. A conversation
+    without an id is one like others, so join the result null-safe.
+    """
+    system = turns.filter(F.col("role") == "system").select("conv_id", "turn", "text")
+    first = system.groupBy("conv_id").agg(F.min("turn").alias("turn"), F.count_if(F.col("turn").isNull()).alias("void"))
+    first = first.select(F.col("conv_id").alias("system_conv"), F.when(F.col("void") == 0, F.col("turn")).alias("system_turn"))
+    # A few rows: only those of the first number are compared by their text.
+    there = system.join(first, F.col("conv_id").eqNullSafe(F.col("system_conv")) & F.col("turn").eqNullSafe(F.col("system_turn")))
+    return there.groupBy("system_conv", "system_turn").agg(F.min("text").alias("system_text"))
 
 
 def conversation_examples(turns: DataFrame, rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
     """One example per user turn: its text, the conversation's system text, the reply.
 
-    The output is null when the next turn is not the assistant's. Turns that no example
-    uses are what :func:`unused_turns` returns.
+    The output is null when the next turn is not the assistant's. No user turn is dropped or doubled, however
+    many system turns there are. Turns that no example uses are what :func:`unused_turns` returns.
     """
-    # The text is joined to the number found by a hash aggregate: an aggregate of texts would sort them.
-    system = (
-        turns.join(first_system_turns(turns), ["conv_id", "turn"]).filter(F.col("role") == "system")
-        .select("conv_id", F.col("text").alias("input"))
-    )
+    system = first_system_turns(turns).select("system_conv", F.col("system_text").alias("input"))
     asked = with_neighbour(turns, ["conv_id"], ["turn"], ["role", "text"], "reply", +1,
                            rows_per_slot).filter(F.col("role") == "user")
-    return asked.join(system, "conv_id", "left").select(
+    return asked.join(system, F.col("conv_id").eqNullSafe(F.col("system_conv")), "left").select(
         example_key(F.col("conv_id"), F.col("turn")).alias("example_id"),
         F.col("text").alias("instruction"),
         "input",
@@ -92,16 +97,17 @@ def unused_turns(turns: DataFrame, rows_per_slot: int = ROWS_PER_SLOT) -> DataFr
     of a conversation in which a user speaks, a user's turn always. Other roles are unknown.
     """
     placed = with_neighbour(turns, ["conv_id"], ["turn"], ["role"], "before", -1, rows_per_slot)
-    asked = turns.filter(F.col("role") == "user").select("conv_id").distinct().withColumn("asked", F.lit(True))
-    first = first_system_turns(turns).select("conv_id", F.col("turn").alias("first_turn"))
+    asked = turns.filter(F.col("role") == "user").select(F.col("conv_id").alias("asking_conv")).distinct().withColumn("asked", F.lit(True))
+    is_first = F.col("turn").eqNullSafe(F.col("system_turn")) & F.col("text").eqNullSafe(F.col("system_text"))
     reason = (
         F.when(F.col("role") == "user", None)
         .when(F.col("role") == "assistant", F.when(~F.coalesce(F.col("before.role") == "user", F.lit(False)), "no question before"))
-        .when(F.col("role") == "system", F.when(F.col("turn") != F.col("first_turn"), "not the first").when(
+        .when(F.col("role") == "system", F.when(~is_first, "not the first").when(
             F.col("asked").isNull(), "no question at all"))
         .otherwise("unknown role")
     )
     return (
-        placed.join(first, "conv_id", "left").join(asked, "conv_id", "left")
+        placed.join(first_system_turns(turns), F.col("conv_id").eqNullSafe(F.col("system_conv")), "left")
+        .join(asked, F.col("conv_id").eqNullSafe(F.col("asking_conv")), "left")
         .select("conv_id", "turn", "role", reason.alias("reason")).filter(F.col("reason").isNotNull())
     )

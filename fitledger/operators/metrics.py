@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fitledger.functions.numbers import is_number, number_of
 from fitledger.operators.ordered import ROWS_PER_SLOT, with_neighbour, with_row_number
@@ -17,6 +18,12 @@ LOG = "log"
 EVALUATE = "evaluate"
 END = "end"
 TIME_PER_STEP = "time_per_step"
+# Why a row of a log table was rejected.
+NOT_JSON = "not JSON"
+
+# Where the log is filed among a run's artifacts.
+SNAPSHOT_FORMAT = "logs/step-%d"
+FINAL_SNAPSHOT = "logs/final"
 
 BLOCK_POINTS = 1_000
 
@@ -31,21 +38,51 @@ def every_n_steps(df: DataFrame, n: int = SNAPSHOT_STEPS, step_column: str = "st
     return df.filter(F.pmod(F.col(step_column), F.lit(n)) == 0)
 
 
+def entry_of(df: DataFrame) -> Column:
+    """The log map of a row: the stored VARIANT ``entry``, or else the text ``logs``, parsed here.
+
+    A log table (:mod:`fitledger.sources.log_table`) has been parsed once; from text each operator parses anew.
+    """
+    return F.col("entry") if "entry" in df.columns else F.try_parse_json("logs")
+
+
+def has_entry(df: DataFrame) -> Column:
+    """Whether the log map is there and not empty."""
+    shape = F.schema_of_variant(entry_of(df))
+    return F.coalesce(shape.startswith("OBJECT<") & (shape != "OBJECT<>"), F.lit(False))
+
+
+def log_snapshots(df: DataFrame, every: int = SNAPSHOT_STEPS, rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
+    """``run_id, step, lines, path``: the log as it is filed at each ``every``-th step and at the end of a run.
+
+    ``lines`` is how many entries the file holds, those up to the step; ``path`` is its place among the run's artifacts.
+    A step of several entries is filed once, with all of them. Rows without a run or a step are in no file.
+    """
+    rows = df.filter(F.col("run_id").isNotNull() & F.col("step").isNotNull()).select("run_id", "step", "event_id")
+    placed = with_row_number(rows, ["run_id"], ["step", "event_id"], "lines", rows_per_slot)
+    due = every_n_steps(placed.filter(F.col("step") > 0), every).groupBy("run_id", "step").agg(F.max("lines").alias("lines"))
+    end = rows.groupBy("run_id").agg(F.max("step").alias("step"), F.count(F.lit(1)).alias("lines"))
+    return due.withColumn("path", F.format_string(SNAPSHOT_FORMAT, "step")).unionByName(
+        end.withColumn("path", F.lit(FINAL_SNAPSHOT)))
+
+
 def loggable(df: DataFrame) -> DataFrame:
     """Rows with a run and a non-empty log map (malformed logs count as empty)."""
-    shape = F.schema_of_variant(F.try_parse_json("logs"))
-    return df.filter(F.col("run_id").isNotNull() & shape.startswith("OBJECT<") & (shape != "OBJECT<>"))
+    return df.filter(F.col("run_id").isNotNull() & has_entry(df))
 
 
 def malformed_logs(df: DataFrame) -> DataFrame:
-    """Rows whose log text is not JSON: kept apart, counted, never failing the job."""
+    """Rows whose log text is not JSON: kept apart, counted, never failing the job. Of a log table its rejected rows."""
+    if "reason" in df.columns:
+        return df.filter(F.col("reason") == NOT_JSON)
     return df.filter(F.col("logs").isNotNull() & F.try_parse_json("logs").isNull())
 
 
 def metrics_long(df: DataFrame, key_prefix: Column | None = None) -> DataFrame:
     """``run_id, event_id, key, value, step, log_time``: one row per number in a log map."""
     prefix = F.lit("") if key_prefix is None else key_prefix
-    entries = df.sparkSession.tvf.variant_explode(F.try_parse_json(F.col("logs").outer()))
+    outer = F.col("entry").outer() if "entry" in df.columns else F.try_parse_json(F.col("logs").outer())
+    entries = df.sparkSession.tvf.variant_explode(outer)
     return (
         df.filter(F.col("run_id").isNotNull())
         .lateralJoin(entries)
@@ -79,17 +116,14 @@ def log_entries_only(df: DataFrame) -> DataFrame:
 def final_metrics(df: DataFrame) -> DataFrame:
     """Numbers of each run's last loggable log entry, recorded without a step of their own (step 0).
 
-    The last time of a run comes from a hash aggregate; only entries of that time are
-    put in order, by event. Entries without a time come before all others.
+    Entries without a time come before all others; those of one time are in the order of their events. The
+    rank filter is applied per task before the shuffle too, so each task sends one row for each run.
     """
-    entries = log_entries_only(df).select("run_id", "event_id", "ts", "logs")
-    micros = F.coalesce(F.unix_micros("ts"), F.lit(-(1 << 63)))
-    timed = entries.withColumn("micros", micros)
-    latest = timed.groupBy("run_id").agg(F.max("micros").alias("micros"))
-    at_last = timed.join(latest, ["run_id", "micros"])
-    newest = at_last.groupBy("run_id").agg(F.max("event_id").alias("event_id"))
-    last = at_last.join(newest, ["run_id", "event_id"])
-    return metrics_long(last.select("run_id", "event_id", "ts", "logs", F.lit(0).cast("bigint").alias("step")))
+    entries = log_entries_only(df)
+    entries = entries.select("run_id", "event_id", "ts", "entry" if "entry" in df.columns else "logs")
+    newest = Window.partitionBy("run_id").orderBy(F.col("ts").desc_nulls_last(), F.col("event_id").desc_nulls_last())
+    last = entries.withColumn("age", F.row_number().over(newest)).filter("age = 1").drop("age")
+    return metrics_long(last.withColumn("step", F.lit(0).cast("bigint")))
 
 
 def elapsed_per_step(micros: Column, logging_steps: int = LOGGING_STEPS) -> Column:
@@ -100,9 +134,7 @@ def elapsed_per_step(micros: Column, logging_steps: int = LOGGING_STEPS) -> Colu
 def clock_events(df: DataFrame) -> DataFrame:
     """Rows that move a run's clock: loggable log entries, and the end events that stop it."""
     timed = df.filter(F.col("run_id").isNotNull() & F.col("ts").isNotNull() & F.col("kind").isin(LOG, END))
-    shape = F.schema_of_variant(F.try_parse_json("logs"))
-    return timed.filter(
-        (F.col("kind") == END) | (shape.startswith("OBJECT<") & (shape != "OBJECT<>")))
+    return timed.filter((F.col("kind") == END) | has_entry(df))
 
 
 def time_per_step(df: DataFrame, logging_steps: int = LOGGING_STEPS,
@@ -168,27 +200,30 @@ def history_blocks(history: DataFrame, block_points: int = BLOCK_POINTS) -> Data
     )
 
 
-def run_summary(metrics: DataFrame, key: str) -> DataFrame:
-    """First, last and best (lowest) value of one metric per run; ties of a step by event.
+def _in_order(step: Column, event: Column) -> Column:
+    """Step, then event, as one number, so that a hash aggregate can keep the least and the greatest.
 
-    Steps and counts come from one hash aggregate, the two values from the rows at the
-    first and last step, which are few.
+    Null comes before all numbers. Steps are told apart up to 4 * 10^18 to either side.
     """
-    rows = metrics.filter(F.col("key") == key).select("run_id", "event_id", "step", "value")
-    spans = rows.groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("points"), F.min("value").alias("best_value"),
-        F.min("step").alias("first_step"), F.max("step").alias("last_step"))
+    low = F.lit(-(1 << 63))
+    bound = F.lit(4 * 10**18)
+    place = F.greatest(F.least(F.coalesce(step.cast("long"), low), bound), -bound - F.when(step.isNull(), 1).otherwise(0))
+    return place.cast("decimal(19,0)") * F.lit(Decimal(2 * 10**19)) + (
+        F.coalesce(event.cast("long"), low).cast("decimal(20,0)") + F.lit(Decimal(1 << 63)))
 
-    def value_at(step: str, pick, out: str) -> DataFrame:
-        ends = rows.join(spans.select("run_id", F.col(step).alias("step")), ["run_id", "step"])
-        chosen = ends.groupBy("run_id").agg(pick("event_id").alias("event_id"))
-        return ends.join(chosen, ["run_id", "event_id"]).groupBy("run_id").agg(pick("value").alias(out))
 
-    return (
-        spans.join(value_at("first_step", F.min, "first_value"), "run_id", "left")
-        .join(value_at("last_step", F.max, "last_value"), "run_id", "left")
-        .select("run_id", "points", "first_value", "last_value", "best_value", "last_step")
-    )
+def run_summary(metrics: DataFrame, key: str) -> DataFrame:
+    """First, last and best (lowest) value of one metric per run; ties of a step by event.
+
+    Points without a step come before all others; a run that has only such has no last step, but a first, last and
+    best value. One hash aggregate over one scan.
+    """
+    rows = metrics.filter(F.col("key") == key).select(
+        "run_id", "step", "value", _in_order(F.col("step"), F.col("event_id")).alias("place"))
+    return rows.groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("points"), F.min_by("value", "place").alias("first_value"),
+        F.max_by("value", "place").alias("last_value"), F.min("value").alias("best_value"),
+        F.max("step").alias("last_step"))
 
 
 def params_side_by_side(params: DataFrame, keys: Sequence[str]) -> DataFrame:

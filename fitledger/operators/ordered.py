@@ -7,7 +7,7 @@ crowded are cut again; the window runs per slot, and what crosses a slot's
 edge comes from a small per-slot summary. With no such group the plan is the
 plain window.
 
-The counting pass reads the keys and one ordering column of ``df``; where those are
+The counting pass reads the keys of ``df``, and the ordering columns as well when a group is large; where those are
 costly to compute, pass a stored table. It runs when the function is called.
 
 The ordering columns by which groups are cut must be numeric or timestamps, the
@@ -26,7 +26,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from fitledger.session import MAX_BROADCAST_ROWS, saved, saved_table
+from fitledger.session import MAX_BROADCAST_ROWS, saved_table
 
 ROWS_PER_SLOT = 1_000_000
 # A slot is cut again when it has this many times its share of rows.
@@ -128,15 +128,18 @@ def _cut_hot_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             lead = F.when(differs, F.when(parts, i)).otherwise(lead)
             low = F.when(differs, F.col(f"__lo{i}")).otherwise(low)
             high = F.when(differs, F.col(f"__hi{i}")).otherwise(high)
-        hot = saved(
+        # One count for each group tells whether any has to be cut; only then are the bounds looked up.
+        most = counted.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0]
+        if (most or 0) <= limit or len(slots) >= MAX_CUTS:
+            return df, slots
+        hot = saved_table(
             counted.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"), *bounds)
             .filter(F.col("__n") > limit)
             .select(*group, "__n", lead.alias("__lead"), low.alias("__lo"), high.alias("__hi"))
             # Nulls sort first and so can be parted from the rest even where the rest is one value.
-            .filter(F.col("__lead").isNotNull())
-        )
+            .filter(F.col("__lead").isNotNull()), "hot-groups")
         n_hot = hot.count()
-        if n_hot == 0 or len(slots) >= MAX_CUTS:
+        if n_hot == 0:
             return df, slots
         # At most rows(df) / rows_per_slot groups are this large.
         if n_hot <= MAX_BROADCAST_ROWS:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fitledger.operators.ordered import numbered
@@ -11,6 +13,8 @@ from fitledger.session import (
     MAX_BROADCAST_ROWS, broadcast_if_small, saved, saved_table, text_fits,
 )
 
+# Tokens that a task's summary holds at least.
+SUMMARY = 1 << 15
 UNKNOWN_ID = -1
 UNKNOWN_TOKEN = "<unk>"
 
@@ -40,6 +44,58 @@ def build_vocabulary(df: DataFrame, size: int | None = None, tokens_column: str
     return ids if size is None else ids.filter(F.col("token_id") < size)
 
 
+def frequent_words(df: DataFrame, size: int, tokens_column: str = "tokens", counters: int | None = None) -> DataFrame:
+    """``token, n, token_id`` of the ``size`` most frequent tokens, ties by token, without shuffling all types.
+
+    Each task keeps a summary of at most ``counters`` tokens: when there are more, the same amount is taken off all and what
+    falls to zero goes. The amount that a task has taken off bounds what it has lost of any token, and the bounds add up
+    over tasks. So a token's true count lies between the sum of its counters and that plus the bound, and one
+    that can't reach the least of the ``size`` best lower limits isn't among the first. The others are counted again, exactly.
+    If there are fewer summed tokens than asked for and something was taken off, the summaries can't
+    tell, and the whole vocabulary is counted.
+    """
+    kept = counters or max(SUMMARY, 8 * size)
+    summaries = saved_table(
+        df.select(tokens_column).mapInArrow(_summary(kept), "token string, n bigint, lost bigint"), "word-summaries")
+    totals = summaries.filter(F.col("token").isNotNull()).groupBy("token").agg(F.sum("n").alias("n"))
+    totals = saved_table(totals, "word-limits")
+    lost = summaries.agg(F.sum("lost")).first()[0] or 0
+    best = totals.orderBy(F.desc("n"), "token").limit(size).agg(F.count(F.lit(1)), F.min("n")).first()
+    if best[0] < size and lost:
+        return build_vocabulary(df, size, tokens_column)
+    least = best[1] if best[0] == size else 0
+    candidates = saved_table(totals.filter(F.col("n") + F.lit(lost) >= least).select("token"), "word-candidates")
+    words = df.select(F.explode_outer(tokens_column).alias("token"))
+    counts = words.join(broadcast_if_small(candidates), "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    # At most ``size`` rows are numbered.
+    first = counts.orderBy(F.desc("n"), "token").limit(size)
+    return first.withColumn("token_id", F.row_number().over(Window.orderBy(F.desc("n"), "token")).cast("bigint") - 1)
+
+
+def _summary(kept: int):
+    """A task's token counters, and one row with what was taken off."""
+    def summarise(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        counts, lost = pa.table({"token": pa.array([], pa.string()), "n": pa.array([], pa.int64())}), 0
+        for batch in batches:
+            words = batch.column(0).flatten()
+            seen = words.drop_null().value_counts()
+            new = pa.table({"token": seen.field("values").cast(pa.string()), "n": seen.field("counts")})
+            counts = pa.concat_tables([counts, new]).group_by("token").aggregate([("n", "sum")]).rename_columns(["token", "n"])
+            if len(counts) > kept:
+                n = counts["n"].to_numpy()
+                off = int(-np.partition(-n, kept)[kept])
+                lost += off
+                counts = pa.table({"token": counts["token"], "n": pa.array(n - off)}).filter(pa.array(n > off))
+        counts = counts.append_column("lost", pa.array([0] * len(counts), pa.int64()))
+        yield from counts.combine_chunks().to_batches()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None], pa.string()), pa.array([0], pa.int64()), pa.array([lost], pa.int64())], ["token", "n", "lost"])
+
+    return summarise
+
+
 def encode(df: DataFrame, vocabulary: DataFrame, id_column: str, tokens_column: str = "tokens",
            max_words: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``id, ids``: token lists as id lists; tokens outside the vocabulary get -1.
@@ -73,15 +129,15 @@ def _look_up(df: DataFrame, words: DataFrame, id_column: str, list_column: str,
              unknown, out: str, out_type: str) -> DataFrame:
     """Replace every list element by the value of its key, a batch at a time."""
     shared = df.sparkSession.sparkContext.broadcast(words.select("key", "value").toArrow())
+    label = uuid.uuid4().hex
     id_type = dict(df.dtypes)[id_column]
 
     def replace(batches):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        # Indexed once per task; a batch asks for each of its different words once.
-        place = {key: i for i, key in enumerate(shared.value["key"].to_pylist())}
-        values = shared.value["value"].combine_chunks()
+        # Indexed once in each worker process; a batch asks for each of its different words once.
+        place, values = _index(label, shared)
         for batch in batches:
             lists = batch.column(1)
             coded = lists.flatten().dictionary_encode()
@@ -97,6 +153,18 @@ def _look_up(df: DataFrame, words: DataFrame, id_column: str, list_column: str,
         replace, f"`{id_column}` {id_type}, {out} {out_type}")
 
 
+# The latest index of this worker process, by its label.
+_INDEXES: dict = {}
+
+
+def _index(label: str, shared):
+    if label not in _INDEXES:
+        _INDEXES.clear()
+        place = {key: i for i, key in enumerate(shared.value["key"].to_pylist())}
+        _INDEXES[label] = place, shared.value["value"].combine_chunks()
+    return _INDEXES[label]
+
+
 def _join_words(df: DataFrame, words: DataFrame, id_column: str, list_column: str,
                 unknown, out: str, out_type: str) -> DataFrame:
     """The same by a join: elements are gathered by a key that each row has for itself."""

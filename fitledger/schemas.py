@@ -47,6 +47,20 @@ LOG_EVENTS = T.StructType([
     T.StructField("logs", T.StringType()),
 ])
 
+# Log rows as they are stored: the entry parsed once, and what could not be read with its text and why.
+LOG_ROWS = T.StructType([
+    T.StructField("run_id", T.LongType()),
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ts", T.TimestampType()),
+    T.StructField("step", T.LongType()),
+    T.StructField("kind", T.StringType()),
+    T.StructField("rank", T.IntegerType()),
+    T.StructField("entry", T.VariantType()),
+    T.StructField("line", T.StringType()),
+    T.StructField("reason", T.StringType()),
+    T.StructField("file", T.StringType()),
+])
+
 METRICS = T.StructType([
     T.StructField("run_id", T.LongType()),
     T.StructField("event_id", T.LongType()),

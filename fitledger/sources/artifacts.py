@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+def file_listing(spark: SparkSession, directory: str) -> DataFrame:
+    """``path, length, modificationTime`` of all files below ``directory``, from the file-metadata column.
+
+    The rows are made by tasks, and no file is read. Trees of many folders are listed by tasks, too.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
+    return files.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"),
+        F.col("_metadata.file_modification_time").alias("modificationTime"))
+
+
 def artifact_manifest(spark: SparkSession, directory: str, run_id: str, artifact_path: str) -> DataFrame:
     """One row per file below ``directory``; file contents are never read."""
-    return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
-        .select(
-            F.lit(run_id).alias("run_id"),
-            F.lit(artifact_path).alias("artifact_path"),
-            "path", "length", "modificationTime",
-        )
-    )
+    return file_listing(spark, directory).select(
+        F.lit(run_id).alias("run_id"), F.lit(artifact_path).alias("artifact_path"), "path", "length", "modificationTime")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from fitledger.functions.schedule import ACCUMULATION, BASE_RATE
-from fitledger.operators.checkpoints import SAVE_STEPS, checkpoint_plan
 from fitledger.operators.metrics import EVALUATE, LOGGING_STEPS
 from fitledger.operators.ordered import ROWS_PER_SLOT, with_row_number
 
@@ -34,12 +33,6 @@ def log_entries(events: DataFrame) -> DataFrame:
     )
 
 
-def checkpoint_manifest(logs: DataFrame, every: int = SAVE_STEPS) -> DataFrame:
-    """Checkpoints that exist: the due ones, but for those whose event is an error."""
-    event_type = F.try_variant_get(F.try_parse_json("logs"), "$.event_type", "string")
-    return checkpoint_plan(logs.filter(event_type != "error"), every).select("run_id", "path")
-
-
 def run_settings(logs: DataFrame) -> DataFrame:
     """One row of typed parameters per run, some fixed by the recipe, some seen in its log."""
     # Parsed once, in a step of its own.
