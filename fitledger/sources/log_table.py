@@ -37,7 +37,11 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     line is lost: accepted and rejected ones add up to all.
     """
     file = F.col("file") if "file" in lines.columns else F.lit(None).cast("string").alias("file")
-    parsed = lines.select(F.col(column).alias("logs"), file, F.try_parse_json(column).alias("whole"))
+    # Within brackets, because the parser takes no notice of what follows a whole value.
+    bracketed = F.try_parse_json(F.concat(F.lit("["), column, F.lit("]")))
+    parsed = lines.select(F.col(column).alias("logs"), file, bracketed.alias("all"))
+    parsed = parsed.select("logs", "file", F.when(
+        F.try_variant_get("all", "$[1]", "variant").isNull(), F.try_variant_get("all", "$[0]", "variant")).alias("whole"))
 
     def part(name: str, kind: str) -> Column:
         return F.try_variant_get("whole", f"$.{name}", kind).alias(name)
