@@ -35,7 +35,7 @@ def merged_profile(sketches: DataFrame, caps: Sequence[int], percentiles: Sequen
     """One row: examples, tokens, longest, percentiles, and how many examples each cap would cut.
 
     Counts, sums and the longest are exact; percentiles and cuts are those of the merged sketch, whose ranks are
-    off by ``RANK_ERROR`` of the examples at most, with a confidence of 99 %.
+    off by ``RANK_ERROR`` of the examples at most, with a confidence of 99 %. Without sketches all is null.
     """
     whole = sketches.agg(
         F.sum("examples").alias("examples"), F.sum("tokens").alias("tokens"), F.max("longest").alias("longest"),
@@ -43,4 +43,6 @@ def merged_profile(sketches: DataFrame, caps: Sequence[int], percentiles: Sequen
     at = {f"p{round(p * 100)}": F.kll_sketch_get_quantile_bigint("lengths", F.lit(float(p))) for p in percentiles}
     over = {f"over_{cap}": F.round(F.col("examples") * (1 - F.kll_sketch_get_rank_bigint("lengths", F.lit(cap).cast("bigint"))))
             .cast("bigint") for cap in caps}
-    return whole.select("examples", "tokens", "longest", *[c.alias(n) for n, c in (at | over).items()])
+    # An empty sketch has no quantiles.
+    some = F.col("examples") > 0
+    return whole.select("examples", "tokens", "longest", *[F.when(some, c).alias(n) for n, c in (at | over).items()])

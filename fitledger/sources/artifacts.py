@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 def file_listing(spark: SparkSession, directory: str) -> DataFrame:
     """``path, length, modificationTime`` of all files below ``directory``, from the file-metadata column.
 
-    The rows are made by tasks, and no file is read. Trees of many folders are listed by tasks, too.
+    The rows are made by tasks, and no file is read. Trees of many folders are listed by tasks, too. Files without
+    a byte are not listed: Spark reads none.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
     return files.select(

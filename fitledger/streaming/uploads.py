@@ -16,8 +16,9 @@ def follow_uploads(started: DataFrame, finished: DataFrame, within: str = WITHIN
     out then. When that time has passed in both streams without an end, its row comes out as pending. The state holds uploads
     of the last ``within`` plus ``lateness`` only. Ends without a start, and rows without a time, give nothing.
     """
-    begun = started.select("run_id", "path", "started_at").withWatermark("started_at", lateness)
-    ended = finished.select(
+    # A row without a time would stay in the state for ever.
+    begun = started.filter("started_at is not null").select("run_id", "path", "started_at").withWatermark("started_at", lateness)
+    ended = finished.filter("finished_at is not null").select(
         F.col("run_id").alias("ended_run"), F.col("path").alias("ended_path"), "finished_at",
     ).withWatermark("finished_at", lateness)
     same = (

@@ -5,7 +5,10 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from fitledger.catalog import tables
-from fitledger.models import batch_score, load_model, run_per_rank, save_model, score_prompts, supervised_fit
+from fitledger.models import (
+    batch_score, foreign_scores, linear_text_model, load_model, loader, run_per_rank, save_model, score_prompts, supervised_fit,
+)
+from fitledger.models.linear import murmur3
 from conftest import MEDIUM, SMALL
 
 
@@ -55,6 +58,49 @@ def test_prompts_reach_the_model_in_batches(spark):
     assert got.count() == 10 and {r["answer"] for r in got.collect()} == {"Q"}
 
 
+def test_weights_score_alike_outside_mllib(spark, labelled, model):
+    odd = spark.createDataFrame([(-1, ""), (-2, " \u3000\t"), (-3, "Ünï cödé 😀 word word"), (-4, "x" * 100_000), (-4, "same id")],
+                                "doc_id bigint, text string")
+    docs = labelled.select("doc_id", "text").unionByName(odd)
+    inside = sorted((r.doc_id, round(r.score, 9)) for r in batch_score(docs, model, "doc_id").collect())
+    outside = foreign_scores(docs, loader(spark, linear_text_model(model)), "doc_id", "text")
+    assert sorted((r.doc_id, round(r.score, 9)) for r in outside.collect()) == inside
+    assert foreign_scores(docs.limit(0), loader(spark, linear_text_model(model)), "doc_id", "text").count() == 0
+    null = spark.createDataFrame([(1, None)], "doc_id bigint, text string")
+    assert foreign_scores(null, loader(spark, linear_text_model(model)), "doc_id", "text").first().score == pytest.approx(
+        [r.score for r in batch_score(odd, model, "doc_id").collect() if r.doc_id == -1][0])
+
+
+def test_hash_of_terms(spark):
+    from pyspark.ml.feature import HashingTF
+
+    terms = ["", "a", "ab", "abc", "abcd", "abcde", "ü€😀", "word" * 100]
+    size = 1 << 16
+    rows = spark.createDataFrame([(t, [t]) for t in terms], "t string, words array<string>")
+    for r in HashingTF(inputCol="words", outputCol="f", numFeatures=size).transform(rows).collect():
+        h = murmur3(r.t.encode())
+        assert list(r.f.indices) == [(h - (1 << 32) if h >> 31 else h) % size]
+
+
+def test_a_model_is_loaded_once_in_each_process(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def make_predict():
+        import os
+        import uuid
+
+        import numpy as np
+
+        open(f"{folder}/{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+        return lambda x: np.array([float(os.getpid())] * len(x))
+
+    df = spark.range(4000).repartition(40).select("id", F.col("id").cast("string").alias("prompt"))
+    processes = {r.score for r in foreign_scores(df, make_predict, "id", "prompt", batch_rows=16).collect()}
+    loads = list(tmp_path.iterdir())
+    assert len(loads) == len({p.name.split("-")[0] for p in loads}) <= 16
+    assert processes <= {float(p.name.split("-")[0]) for p in loads}
+
+
 def test_ranks_share_the_rows_and_one_result_returns(spark):
     def share(context, batches, factor):
         import pandas as pd

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fitledger.catalog import tables
 from fitledger.operators import checkpoints as ck
 from fitledger.operators import registry as reg
-from fitledger.sources.artifacts import artifact_manifest
+from fitledger.sources.artifacts import artifact_manifest, file_listing
 from conftest import MEDIUM
 
 
@@ -53,6 +53,34 @@ def test_folders_of_a_manifest(spark, tmp_path):
     assert sorted(r["step"] for r in there.collect()) == [200, 400]
 
 
+def test_folders_as_they_lie(spark, tmp_path):
+    """Checkpoint folders that a job has written, some missing: what is there, what is pending, what retention removes."""
+    directory = str(tmp_path / "runs")
+    rows = [(r, s, f"checkpoint-{s}") for r in (1, 2, 3) for s in (200, 400, 600, 800)] + [(None, 200, "checkpoint-200")]
+    plan = spark.createDataFrame(rows, "run_id bigint, step bigint, path string")
+    written = plan.filter("not (run_id = 2 and step in (400, 800)) and not (run_id = 3 and step > 200)")
+    states = written.select("run_id", "path", F.explode(F.sequence(F.lit(1), F.lit(50))).alias("weight"))
+    ck.write_checkpoints(states.filter("run_id is not null"), directory)
+    folders = ck.checkpoint_folders(file_listing(spark, directory))
+    there = [(1, 200), (1, 400), (1, 600), (1, 800), (2, 200), (2, 600), (3, 200)]
+    assert sorted((r.run_id, r.step) for r in ck.existing_only(plan, folders).collect()) == there
+    assert sorted((r.run_id, r.step) for r in ck.pending_uploads(plan.filter("run_id > 0"), folders).collect()) == [
+        (2, 400), (2, 800), (3, 400), (3, 600), (3, 800)]
+    assert sorted((r.run_id, r.step) for r in ck.expired(ck.steps_of(folders)).collect()) == [(1, 200), (1, 400)]
+    assert ck.expired(ck.steps_of(folders), 1).count() == 4 and ck.expired(ck.steps_of(folders), 9).isEmpty()
+    assert spark.read.parquet(directory).count() == 50 * len(there)
+
+
+def test_listing_reads_no_file(spark, tmp_path):
+    for i in range(40):
+        folder = tmp_path / f"d{i}"
+        folder.mkdir()
+        (folder / "ü é.bin").write_bytes(b"x" * i)
+    files = file_listing(spark, str(tmp_path))
+    assert sorted(r.length for r in files.collect()) == list(range(1, 40))      # the empty file is not listed
+    assert "content" not in files._jdf.queryExecution().executedPlan().toString()
+
+
 def test_experiments_are_created_once(spark):
     existing = spark.createDataFrame([("a",), ("b",)], "experiment string")
     incoming = spark.createDataFrame([("b",), ("c",), ("c",), ("d",)], "experiment string")

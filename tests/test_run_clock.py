@@ -1,0 +1,97 @@
+"""Step times by keyed state and timers equal the batch form's."""
+
+import datetime as dt
+import random
+
+import pytest
+
+from fitledger import schemas
+from fitledger.operators import metrics as m
+from fitledger.streaming import read_log_stream, read_sink, table_sink, tee_sink
+from fitledger.streaming.run_clock import stream_run_times
+
+START = dt.datetime(2024, 1, 1)
+
+
+def entries(rng, n):
+    """Runs of many lengths: one holds a third of the rows; some end and go on; some rows are no entries."""
+    rows = []
+    for i in range(n):
+        run = 1 if rng.random() < 0.35 else rng.randrange(2, 20)
+        kind = rng.choices(["log", "evaluate", "end"], [20, 2, 1])[0]
+        logs = rng.choices(['{"a":1}', "{}", None, "{bad"], [20, 1, 1, 1])[0]
+        second = rng.randrange(n) if rng.random() < 0.1 else i
+        rows.append((None if rng.random() < 0.02 else run, i, None if rng.random() < 0.02 else START + dt.timedelta(seconds=60 * second),
+                     10, kind, 0, logs))
+    return rows
+
+
+def land(spark, rows, path):
+    spark.createDataFrame(rows, schemas.LOG_EVENTS).coalesce(1).write.mode("append").parquet(path)
+
+
+def run(spark, source, place, **options):
+    times = stream_run_times(read_log_stream(spark, source), **options)
+    query = tee_sink(times, [table_sink(f"{place}/out", "s")], f"{place}/progress", available_now=True)
+    query.awaitTermination()
+    found = sorted(map(tuple, read_sink(spark, f"{place}/out", times.schema, "s").collect()))
+    state = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    return found, state[-1] if state else 0
+
+
+def batch(spark, rows):
+    df = spark.createDataFrame(rows, schemas.LOG_EVENTS)
+    return sorted(map(tuple, m.time_per_step(df).select("run_id", "event_id", "time_per_step").collect()))
+
+
+def test_equal_to_the_batch_form_in_any_order_and_after_restarts(spark, tmp_path):
+    source, place = str(tmp_path / "in"), str(tmp_path / "run")
+    rng = random.Random(5)
+    rows = entries(rng, 600)
+    arriving = list(rows)
+    rng.shuffle(arriving)
+    expected = batch(spark, rows)
+    for part in range(3):       # any order, three runs of the stream: nothing is late within two weeks
+        land(spark, arriving[part * 200:(part + 1) * 200], source)
+        found, _ = run(spark, source, place, lateness="14 days", slice_seconds=1800)
+    assert found == [] or set(found) <= set(expected)
+    closing = [(99, 10_000, START + dt.timedelta(days=25), 10, "log", 0, '{"a":1}')]
+    land(spark, closing, source)
+    found, kept = run(spark, source, place, lateness="14 days", slice_seconds=1800)
+    assert found == expected and len(found) > 200
+    # What stays: the last entry of each running run, and the closing row with its slice.
+    assert kept <= 20 + 3
+
+
+def test_times_come_out_as_time_passes(spark, tmp_path):
+    source, place = str(tmp_path / "in"), str(tmp_path / "run")
+    rows = [(1, i, START + dt.timedelta(minutes=20 * i), 10, "log", 0, '{"a":1}') for i in range(30)]
+    land(spark, rows[:10], source)
+    first, _ = run(spark, source, place, lateness="10 minutes")
+    land(spark, rows[10:], source)
+    second, _ = run(spark, source, place, lateness="10 minutes")
+    expected = batch(spark, rows)
+    assert 0 < len(first) < len(second) < 29 and first == expected[:len(first)] and second == expected[:len(second)]
+    # An event far too late is dropped, and the others' times stay as they are.
+    land(spark, [(1, 500, START + dt.timedelta(minutes=5), 10, "log", 0, '{"a":1}'),
+                 (2, 501, START + dt.timedelta(days=2), 10, "log", 0, '{"a":1}')], source)
+    third, _ = run(spark, source, place, lateness="10 minutes")
+    assert third == expected
+
+
+def test_a_silent_run_is_closed(spark, tmp_path):
+    source, place = str(tmp_path / "in"), str(tmp_path / "run")
+    hours = [0, 1, 2, 40, 41, 200]
+    land(spark, [(1, i, START + dt.timedelta(hours=h), 10, "log", 0, '{"a":1}') for i, h in enumerate(hours)], source)
+    land(spark, [(2, 100, START + dt.timedelta(hours=300), 10, "end", 0, None)], source)
+    found, kept = run(spark, source, place, idle_seconds=24 * 3600)
+    assert [(r, e) for r, e, _ in found] == [(1, 1), (1, 2), (1, 4)]
+    assert kept <= 2
+
+
+@pytest.mark.parametrize("rows", [[], [(None, 1, START, 1, "log", 0, '{"a":1}'), (1, 1, None, 1, "log", 0, '{"a":1}'), (1, 2, START, 1, "log", 0, "{}")]])
+def test_nothing_to_time(spark, tmp_path, rows):
+    source = str(tmp_path / "in")
+    land(spark, [*rows, (5, 9, START, 1, "evaluate", 0, "{}")], source)
+    found, _ = run(spark, source, str(tmp_path / "run"))
+    assert found == []

@@ -188,3 +188,16 @@ def test_turns_that_no_example_uses(spark):
     texts = [t for r in used for t in (r["instruction"], r["output"]) if t is not None] + [
         s for s in {r["input"] for r in used if r["input"] is not None}]
     assert len(texts) + len(left) == len(rows)
+
+
+def test_no_example_is_doubled_by_system_turns(spark):
+    rows = [(3, 0, "system", "y"), (3, 0, "system", "x"), (3, 0, "system", "x"), (3, 1, "user", "q"), (3, 2, "assistant", "a"),
+            (None, 0, "system", "null conversation"), (None, 1, "user", "nq"), (4, None, "system", "no number"), (4, 2, "system", "later"),
+            (4, 3, "user", "q4"), (5, 1, "user", "q5"), (6, 0, "system", None), (6, 1, "user", "q6")]
+    turns = spark.createDataFrame(rows, schemas.CONVERSATIONS)
+    got = sorted((r.example_id, r.instruction, r.input, r.output) for r in conversation_examples(turns).collect())
+    assert got == [("3:1", "q", "x", "a"), ("4:3", "q4", "no number", None), ("5:1", "q5", None, None), ("6:1", "q6", None, None),
+                   (":1", "nq", "null conversation", None)]
+    left = sorted(((r.conv_id, r.turn, r.reason) for r in unused_turns(turns).collect()), key=str)
+    assert left == [(3, 0, "not the first"), (4, 2, "not the first")]
+    assert conversation_examples(turns.limit(0)).count() == 0
