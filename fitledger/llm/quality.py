@@ -57,14 +57,14 @@ def ngrams(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
     form = np.where(n_digit > 0, 4, np.where(n_upper == 0, 0, np.where(
         (n_upper == length) & (length > 1), 2, np.where((n_upper == 1) & (first_upper == 1), 1, 3))))
     form = form * 8 + np.digitize(length, (2, 4, 7, 12, 24))
+    n_tokens = np.diff(firsts)
+    owner = np.repeat(np.arange(n_rows), n_tokens)
     repeats = np.zeros(len(token), np.int64)
-    repeats[1:] += token[1:] == token[:-1]
-    repeats[2:] += 2 * (token[2:] == token[:-2])
+    for back in (1, 2):
+        repeats[back:] += back * ((token[back:] == token[:-back]) & (owner[back:] == owner[:-back]))
     word = (kind[starts] == WORD) if len(starts) else np.zeros(0, bool)
     shape = np.where(word, mix((form * 4 + repeats).astype(np.uint64)), token ^ repeats.astype(np.uint64))
 
-    n_tokens = np.diff(firsts)
-    owner = np.repeat(np.arange(n_rows), n_tokens)
     yield np.zeros(n_rows, np.int64), np.arange(n_rows), np.ones(n_rows)
     for salt, (stream, n) in enumerate(((token, 1), (token, 2), (shape, 1), (shape, 2), (shape, 3)), 1):
         hashes = mix(chained(stream, n) + np.uint64(salt))

@@ -97,6 +97,105 @@ def test_many_languages(spark, monkeypatch):
     assert len(set(got)) == 200 and got.count("l0") == 3
 
 
+M, MASK = 0x9E3779B97F4A7C15 | 1, (1 << 64) - 1
+
+
+def _mixed(x):
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & MASK
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & MASK
+    return x ^ x >> 31
+
+
+def _plain_quality(text, weights):
+    """The score of one text, token by token, in plain Python."""
+    data, tokens = (text or "").encode(), []
+    kind = lambda b: (quality.BREAK if b == 10 else quality.SPACE if b == 32 or 9 <= b <= 13 else
+                      quality.WORD if b >= 128 or chr(b).isalnum() else quality.MARK)
+    for b in data:
+        if tokens and tokens[-1][0] == kind(b):
+            tokens[-1][1].append(b)
+        else:
+            tokens.append((kind(b), [b]))
+    tokens = [(k, bytes(t)) for k, t in tokens if k != quality.SPACE]
+    words, shapes = [], []
+    for i, (k, t) in enumerate(tokens):
+        words.append(_mixed(sum((b + 1) * pow(M, j, 1 << 64) for j, b in enumerate(t.lower() if t.isascii() else bytes(
+            c + 32 if 65 <= c <= 90 else c for c in t))) & MASK))
+        upper, digits = [65 <= b <= 90 for b in t], sum(48 <= b <= 57 for b in t)
+        form = 4 if digits else 0 if not any(upper) else 2 if all(upper) and len(t) > 1 else 1 if sum(upper) == 1 and upper[0] else 3
+        form = form * 8 + sum(len(t) >= edge for edge in (2, 4, 7, 12, 24))
+        again = sum(back * (i >= back and words[i - back] == words[i]) for back in (1, 2))
+        shapes.append(_mixed(form * 4 + again) if k == quality.WORD else words[i] ^ again)
+    total = float(weights[0])
+    for salt, (stream, n) in enumerate(((words, 1), (words, 2), (shapes, 1), (shapes, 2), (shapes, 3)), 1):
+        grams = []
+        for i in range(len(stream) - n + 1):
+            h = stream[i]
+            for other in stream[i + 1:i + n]:
+                h = _mixed((h * M + other) & MASK)
+            grams.append(max(1, _mixed((h + salt) & MASK) >> 64 - quality.BITS))
+        total += sum(float(weights[g]) for g in grams) * quality.VALUE / max(len(stream) - n + 1, 1)
+    return 1 / (1 + np.exp(-min(30, max(-30, total))))
+
+
+def test_quality_query_against_plain_scores(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    weights = quality.fit_quality(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect() if len(r.text or "") < 6000}
+    got = {r.doc_id: r for r in QUERIES["op5_quality_scores"](spark, sf).collect()}
+    assert len(got) == docs.count() and len(texts) > 100
+    for i, text in texts.items():
+        assert got[i].score == pytest.approx(_plain_quality(text, weights), abs=1e-6), i
+        assert got[i].predicted == int(got[i].score >= 0.7)
+        assert got[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2)
+
+
+def test_scores_do_not_depend_on_neighbours():
+    weights = np.random.default_rng(1).normal(size=1 << quality.BITS).astype(np.float32)
+    texts = ["same word", "word same", "", "word", "word word", None, "!! !!", "!!"]
+    together = quality.dot_products(pa.array(texts), weights)
+    alone = [quality.dot_products(pa.array([t], pa.string()), weights)[0] for t in texts]
+    assert together == pytest.approx(alone, abs=1e-6)
+
+
+def _plain_language(net, text):
+    """Mean label probabilities of one text, byte by byte, in both directions."""
+    data, hidden = text.encode(), net.recurrent.shape[1]
+    gate = lambda x: 1 / (1 + np.exp(-x))
+    total = np.zeros(len(net.languages))
+    for start in range(0, len(data), language.STRETCH):
+        part, ways = data[start:start + language.STRETCH], []
+        for way in (0, 1):
+            h, seen = np.zeros(hidden), []
+            for b in part[::-1] if way else part:
+                add, rec = net.table[way][b].astype(float), h @ net.recurrent[way].astype(float)
+                z, r = gate(add[:hidden] + rec[:hidden]), gate(add[hidden:2 * hidden] + rec[hidden:2 * hidden])
+                n = np.tanh(add[2 * hidden:] + r * rec[2 * hidden:])
+                h = n + z * (h - n)
+                seen.append(h)
+            ways.append(seen[::-1] if way else seen)
+        for a, b in zip(*ways):
+            e = np.exp(a @ net.output[0] + b @ net.output[1] + net.bias)
+            total += e / e.sum()
+    return total / max(1, len(data))
+
+
+def test_language_query_against_plain_labels(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    net = language.fit_language(docs)
+    got = {r.doc_id: r for r in QUERIES["op7_language_predictions"](spark, sf).collect()}
+    assert len(got) == docs.count()
+    some = [r for r in docs.select("doc_id", "text").collect() if len(r.text or "") < 1200][:60]
+    for r in some:
+        p = _plain_language(net, r.text or "")[:len(net.learnt())]
+        if any(c.isalpha() for c in r.text or ""):
+            assert got[r.doc_id].lang_pred == net.learnt()[int(p.argmax())] and got[r.doc_id].score == pytest.approx(p.max(), abs=1e-3)
+        else:
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0.0)
+
+
 def test_dot_products_are_sums_of_features():
     column = pa.array(["Some text, SOME text.\nAnd more 12", None, "", "a a a a"])
     weights = np.random.default_rng(0).normal(size=1 << quality.BITS).astype(np.float32)

@@ -57,6 +57,24 @@ def test_viterbi_and_marginals_against_all_labellings(model):
         assert main[i] == pytest.approx(sum(math.exp(weight(y)) for y in every if y[i]) / total)
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_main_texts_against_an_independent_reading(spark, sf):
+    """Every page of the table: the blocks of its article element, found without the operator's reader or model."""
+    import html
+    import re
+
+    pages = spark.read.parquet(f"/root/testdata/{sf}/pages.parquet").select("page_id", "html").collect()
+    got = {r.page_id: r for r in QUERIES["op1_main_texts"](spark, f"/root/testdata/{sf}").collect()}
+    assert len(got) == len(pages)
+    for page in pages:
+        body = re.search("<article>(.*?)(?:</article>|$)", page.html, re.DOTALL)
+        parts = re.split("</?(?:p|h1)>", body[1]) if body else []
+        blocks = [" ".join(html.unescape(re.sub("<[^>]*>", " " if "<br" in part else "", part)).split()) for part in parts]
+        expected = "\n\n".join(b for b in blocks if b)
+        assert got[page.page_id].text == expected, page.page_id
+        assert got[page.page_id].n_chars == len(expected)
+
+
 def test_memory_of_deep_markup(model):
     """100,000 open elements with names of their own: time and memory grow with the page, not with its square."""
     import time
