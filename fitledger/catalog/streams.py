@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fitledger import schemas
 from fitledger.catalog.runs import LOG_SQL, POINTS_SQL
-from fitledger.catalog.tables import logs, path_of
+from fitledger.catalog.tables import entries, logs, path_of
 from fitledger.session import scratch_path
 from fitledger.sources.derived import log_entries
 from fitledger.streaming import (
     drain, read_log_stream, read_sink, step_time_sink, stream_checkpoint_events, stream_metrics,
-    stream_time_per_step, table_sink,
+    stream_run_times, stream_time_per_step, table_sink,
 )
 from fitledger.streaming.sinks import STEP_TIMES
 
@@ -56,6 +56,22 @@ def carried_step_times(spark, sf_dir):
     return rows.select("run_id", "event_id", F.round("time_per_step", 7).alias("time_per_step"))
 
 
+def run_times(spark, sf_dir):
+    """All entries in the order of a hash, by keyed state and timers; one entry long after the last lets time pass."""
+    place = scratch_path(spark, "run-times")
+    rows = entries(spark, sf_dir)
+    closing = rows.agg(F.max("ts").alias("last")).select(
+        F.lit(-1).cast("bigint").alias("run_id"), F.lit(-1).cast("bigint").alias("event_id"),
+        (F.col("last") + F.expr("interval 3 days")).alias("ts"), F.lit("log").alias("kind"), F.lit(0).alias("rank"),
+        F.lit('{"value":1}').alias("logs"))
+    dealt = rows.unionByName(closing).withColumn("order", F.xxhash64("event_id"))
+    dealt.repartition(4, "order").sortWithinPartitions("order").drop("order").write.parquet(f"{place}/files")
+    times = stream_run_times(read_log_stream(spark, f"{place}/files"), slice_seconds=10 * 86_400)
+    drain(times, [table_sink(f"{place}/times", "times")], f"{place}/progress")
+    found = read_sink(spark, f"{place}/times", times.schema, "times")
+    return found.select("run_id", "event_id", F.round("time_per_step", 7).alias("time_per_step"))
+
+
 def checkpoint_events(spark, sf_dir):
     """Each step as four ranks report it, a second apart."""
     path = scratch_path(spark, "rank-files")
@@ -79,6 +95,7 @@ QUERIES = {
     "stream_metrics": metrics,
     "stream_time_per_step": step_times,
     "step_time_sink": carried_step_times,
+    "stream_run_times": run_times,
     "stream_checkpoint_events": checkpoint_events,
     "tee_sink": tee,
 }
@@ -95,6 +112,7 @@ select run_id, event_id, case kind when 'evaluate' then 'eval_' else '' end || k
 from points""",
     "stream_time_per_step": _STEP_TIMES,
     "step_time_sink": _STEP_TIMES,
+    "stream_run_times": _STEP_TIMES,
     "stream_checkpoint_events": f"""
 with {LOG_SQL}
 select run_id, step, 'checkpoint-' || step as path, 'checkpoints/checkpoint-' || step as artifact_path

@@ -43,12 +43,16 @@ def existing_only(plan: DataFrame, manifest: DataFrame) -> DataFrame:
     return plan.join(manifest, ["run_id", "path"], "left_semi")
 
 
-def write_checkpoints(states: DataFrame, directory: str) -> None:
-    """Write the state of each checkpoint (run_id, path, ..) into a folder of its own, one below its run's.
+def write_checkpoints(states: DataFrame, directory: str, files: int = 1) -> None:
+    """Write the state of each checkpoint (run_id, path, ..) into a folder of its own, below its run's.
 
-    Tasks get whole checkpoints, so a folder has one file unless its checkpoint is large; AQE splits one that is.
+    Tasks get whole checkpoints, so a folder has one file, or up to ``files`` of them where states are large. There are
+    as many tasks as shuffle partitions, whatever the bytes: what takes time is making the folders.
     """
-    states.hint("rebalance", "run_id", "path").write.mode("append").partitionBy("run_id", "path").parquet(directory)
+    tasks = int(states.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.pmod(F.xxhash64(*states.columns), F.lit(files))
+    dealt = states.repartition(tasks, "run_id", "path", part) if files > 1 else states.repartition(tasks, "run_id", "path")
+    dealt.write.mode("append").partitionBy("run_id", "path").parquet(directory)
 
 
 def checkpoint_folders(files: DataFrame) -> DataFrame:

@@ -70,7 +70,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; never reused, so never overwritten."""
-    return f"{shared_dir(spark)}/fitledger/{label}-{uuid.uuid4().hex}"
+    return f"{_scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _scratch_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/fitledger/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written to the shared folder by :func:`scratch_path`.
+
+    To be called when nothing that was read from there is needed any more: DataFrames are lazy, and only the
+    caller knows. Other applications' folders stay.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.delete(folder, True)
 
 
 def saved(df: DataFrame) -> DataFrame:

@@ -44,7 +44,8 @@ class RunClock(StatefulProcessor):
             slices = packed["micros"] // (1000 * self.slice)
             for at in np.unique(slices):
                 name = (int(at),)
-                held = self.packs.getValue(name)[0] if self.packs.containsKey(name) else 0
+                found = self.packs.getValue(name)
+                held = found[0] if found else 0
                 if not held:
                     self.handle.registerTimer((int(at) + 1) * self.slice)
                 self.rows.updateValue((int(at), held), (packed[slices == at].tobytes(),))
@@ -52,28 +53,30 @@ class RunClock(StatefulProcessor):
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        # Timers come in the order of their times, so slices come out one after the other.
         passed = expiredTimerInfo.getExpiryTimeInMs()
-        # Timers may come in any order: each brings out all slices that end by then, the earliest first.
-        for at in sorted(s for (s,) in list(self.packs.keys()) if (s + 1) * self.slice <= passed):
-            times = self._pass(at)
+        last = self.last.get()
+        if last is not None and last[0] // 1000 + self.idle < passed:
+            self.last.clear()
+            last = None
+        at, rest = divmod(passed, self.slice)
+        held = self.packs.getValue((at - 1,)) if rest == 0 else None
+        if held:
+            times = self._pass(at - 1, held[0], last)
             if times is not None:
                 times.insert(0, "run_id", key[0])
                 yield times
-        if self.last.exists():
-            silent = self.last.get()[0] // 1000 + self.idle
-            if silent <= passed:
-                self.last.clear()
 
-    def _pass(self, at: int) -> pd.DataFrame | None:
+    def _pass(self, at: int, n: int, last: tuple[int] | None) -> pd.DataFrame | None:
         """Bring out a slice: the step times of its entries; the last one stays for the next."""
-        n = self.packs.getValue((at,))[0]
         rows = np.concatenate([np.frombuffer(self.rows.getValue((at, k))[0], _ROW) for k in range(n)])
         for k in range(n):
             self.rows.removeKey((at, k))
         self.packs.removeKey((at,))
         rows = rows[np.lexsort((rows["event_id"], rows["micros"]))]
-        before = np.concatenate([[self.last.get()[0] if self.last.exists() else -1], rows["micros"][:-1]])
-        fresh = np.concatenate([[not self.last.exists()], rows["ends"][:-1] == 1])
+        before = np.concatenate([[last[0] if last else 0], rows["micros"][:-1]])
+        # Fresh after an end, after a silence, and at the very start.
+        fresh = np.concatenate([[last is None], rows["ends"][:-1] == 1]) | (rows["micros"] - before > 1000 * self.idle)
         timed = ~fresh & (rows["ends"] == 0)
         if rows["ends"][-1]:
             self.last.clear()

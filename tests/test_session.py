@@ -56,3 +56,15 @@ def test_shuffle_settings():
     small, large = s.shuffle_settings(1, 8), s.shuffle_settings(10 << 40, 4000)
     assert small["spark.sql.shuffle.partitions"] == "24"
     assert large["spark.sql.shuffle.partitions"] == str((10 << 40) // (256 << 20))
+
+
+def test_scratch_is_cleared_for_this_application_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(s, "shared_dir", lambda _: str(tmp_path))
+    other = tmp_path / "fitledger" / "another-application"
+    other.mkdir(parents=True)
+    table = s.saved_table(spark.range(3), "x")
+    assert table.count() == 3 and len(list((tmp_path / "fitledger").iterdir())) == 2
+    s.clear_scratch(spark)
+    assert [p.name for p in (tmp_path / "fitledger").iterdir()] == ["another-application"]
+    s.clear_scratch(spark)
+    assert s.saved_table(spark.range(2), "x").count() == 2
