@@ -111,7 +111,9 @@ def lengths_per_append(spark, sf_dir):
     profile = merged_profile(read_lengths(spark, path), CAPS)
     exact = lengths.agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("n_tokens") > cap).alias(f"true_{cap}") for cap in CAPS])
-    both = profile.crossJoin(F.broadcast(exact))        # one row each
+    # One row each, put side by side.
+    both = profile.unionByName(exact, allowMissingColumns=True)
+    both = both.agg(*[F.max(c).alias(c) for c in both.columns])
     return both.select(
         "examples", "tokens", "longest",
         *[(F.abs(F.col(f"over_{cap}") - F.col(f"true_{cap}")) <= RANK_ERROR * F.col("n")).alias(f"near_{cap}") for cap in CAPS])
