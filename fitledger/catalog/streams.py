@@ -62,7 +62,7 @@ def run_times(spark, sf_dir):
     rows = entries(spark, sf_dir)
     closing = rows.agg(F.max("ts").alias("last")).select(
         F.lit(-1).cast("bigint").alias("run_id"), F.lit(-1).cast("bigint").alias("event_id"),
-        (F.col("last") + F.expr("interval 3 days")).alias("ts"), F.lit("log").alias("kind"), F.lit(0).alias("rank"),
+        (F.col("last") + F.expr("interval 15 days")).alias("ts"), F.lit("log").alias("kind"), F.lit(0).alias("rank"),
         F.lit('{"value":1}').alias("logs"))
     dealt = rows.unionByName(closing).withColumn("order", F.xxhash64("event_id"))
     dealt.repartition(4, "order").sortWithinPartitions("order").drop("order").write.parquet(f"{place}/files")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF, RegexTokenizer
 from pyspark.sql import DataFrame, functions as F
 
 from fitledger.functions.tokens import TOKEN_BREAK
+from fitledger.session import scratch_path
 
 
 def supervised_fit(df: DataFrame, label_column: str, text_column: str = "text",
@@ -32,7 +33,11 @@ def supervised_fit(df: DataFrame, label_column: str, text_column: str = "text",
             maxIter=iterations, regParam=0.01, aggregationDepth=tree_depth).fit(prepared)
     finally:
         prepared.unpersist()
-    return PipelineModel(stages=[*preparation.stages, fitted])
+    # As it is loaded again: a fitted model's training summary holds the session, which can't go to
+    # tasks any more once some query of the session has observed its rows.
+    path = scratch_path(df.sparkSession, "fitted")
+    fitted.write().save(path)
+    return PipelineModel(stages=[*preparation.stages, LogisticRegressionModel.load(path)])
 
 
 def save_model(model: PipelineModel, path: str) -> None:

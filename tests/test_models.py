@@ -49,6 +49,17 @@ def test_saved_model_scores_alike(labelled, model, tmp_path):
     assert batch_score(labelled, again, "doc_id").exceptAll(batch_score(labelled, model, "doc_id")).isEmpty()
 
 
+def test_a_model_goes_to_tasks_after_rows_were_observed(spark, labelled, tmp_path):
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).write.parquet(str(tmp_path / "x"))
+    assert seen.get == {"n": 3}
+    fitted = supervised_fit(labelled, "quality")
+    batch_score(labelled, fitted, "doc_id").write.parquet(str(tmp_path / "y"))
+    assert not fitted.stages[-1].hasSummary
+
+
 def test_prompts_reach_the_model_in_batches(spark):
     def make_model():
         return lambda texts, limit: [t.upper()[:limit] for t in texts]
