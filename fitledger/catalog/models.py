@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from fitledger.catalog.tables import table
 from fitledger.catalog.text import SQL as TEXT_SQL, prompts
 from fitledger.models import (
-    batch_score, foreign_scores, linear_text_model, load_model, loader, run_per_rank, save_model, supervised_fit,
+    batch_score, foreign_scores, linear_text_model, load_model, loader, run_per_rank, save_model, score_prompts,
+    supervised_fit,
 )
 from fitledger.session import broadcast_if_small, saved_table, scratch_path
 
@@ -62,15 +63,23 @@ def scores(spark, sf_dir):
 
 
 def foreign_answers(spark, sf_dir):
-    """Prompts scored by the fitted weights outside MLlib, and by MLlib: the same for every prompt."""
+    """Prompts answered, up to the limit of tokens, by a model that repeats them, and scored by the fitted weights outside
+    MLlib and by MLlib: the same for every prompt. Rows are never joined, so prompts that share an id stay apart."""
+    def make_model():
+        import re
+
+        # The white space of SQL's regular expressions.
+        return lambda texts, limit: [" ".join([w for w in re.split("[\t\n\f\r ]+", t) if w][:limit]) for t in texts]
+
     model = supervised_fit(_labelled(spark, sf_dir), "quality")
     asked = saved_table(prompts(spark, sf_dir), "prompts")
+    answered = score_prompts(asked, make_model, "example_id", keep=["prompt"])
     load = loader(spark, linear_text_model(model))
-    outside = foreign_scores(asked, load, "example_id", "prompt", "outside")
-    inside = saved_table(batch_score(asked.withColumnRenamed("prompt", "text"), model, "example_id"), "inside")
-    both = outside.join(inside, "example_id")
+    outside = saved_table(
+        foreign_scores(answered, load, "example_id", "prompt", "outside", keep=["prompt", "answer"]), "outside")
+    both = batch_score(outside.withColumnRenamed("prompt", "text"), model, "example_id", keep=["answer", "outside"])
     return both.select(
-        "example_id", (F.abs(F.col("outside") - F.col("score")) < 1e-9).alias("same"),
+        "example_id", "answer", (F.abs(F.col("outside") - F.col("score")) < 1e-9).alias("same"),
         ((F.col("outside") > 0.5) == (F.col("prediction") == 1)).alias("prediction_follows"))
 
 
@@ -125,7 +134,10 @@ where ('0x' || substr(md5(cast(doc_id as varchar)), 1, 8))::bigint % 5 = 0""",
     "save_load_model": "select doc_id, true as same from documents join labels using (doc_id)",
     "score_prompts": f"""
 with prompts as ({TEXT_SQL['generation_prompt']})
-select example_id, true as same, true as prediction_follows from prompts""",
+select example_id, array_to_string(list_filter(
+  regexp_split_to_array(prompt, '\\s+'), lambda w: w <> '')[1:100], ' ') as answer,
+  true as same, true as prediction_follows
+from prompts""",
     "foreign_scores": "select doc_id, true as same from documents",
     "run_per_rank": """
 select count(*) as documents, cast(sum(n_chars) as bigint) as characters from documents""",

@@ -41,8 +41,8 @@ def foreign_scores(df: DataFrame, make_predict: Callable[[], Callable[[np.ndarra
 
 def score_prompts(df: DataFrame, make_model: Callable[[], Callable[[Sequence[str], int], Sequence[str]]],
                   id_column: str, prompt_column: str = "prompt",
-                  max_new_tokens: int = MAX_NEW_TOKENS) -> DataFrame:
-    """``id, answer`` from a model that answers prompts.
+                  max_new_tokens: int = MAX_NEW_TOKENS, keep: Sequence[str] = ()) -> DataFrame:
+    """``id, answer`` and the kept columns from a model that answers prompts.
 
     ``make_model`` returns a function from a list of prompts and a token limit to the answers; it runs as in
     :func:`foreign_scores`.
@@ -51,4 +51,4 @@ def score_prompts(df: DataFrame, make_model: Callable[[], Callable[[Sequence[str
         model = make_model()
         return lambda prompts: np.array(model(list(prompts), max_new_tokens), dtype=object)
 
-    return foreign_scores(df, make_predict, id_column, prompt_column, "answer", StringType())
+    return foreign_scores(df, make_predict, id_column, prompt_column, "answer", StringType(), keep=keep)

@@ -1,10 +1,12 @@
 """Fitting, scoring, and functions per rank."""
 
+import re
+
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from fitledger.catalog import tables
+from fitledger.catalog import models, tables, text
 from fitledger.models import (
     batch_score, foreign_scores, linear_text_model, load_model, loader, run_per_rank, save_model, score_prompts, supervised_fit,
 )
@@ -69,6 +71,20 @@ def test_prompts_reach_the_model_in_batches(spark):
     assert got.count() == 10 and {r["answer"] for r in got.collect()} == {"Q"}
 
 
+def test_prompts_query_answers_every_prompt(spark, tmp_path):
+    turns = [(1, t, role, text) for t, (role, text) in enumerate(
+        [("user", "one\u00a0two  three"), ("assistant", "yes"), ("user", "word " * 300), ("assistant", "no")])]
+    turns = spark.createDataFrame(turns + turns, tables.SCHEMAS["conversations"])
+    turns.write.parquet(f"{tmp_path}/conversations.parquet")
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{SMALL}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    asked = text.prompts(spark, str(tmp_path)).collect()
+    rows = models.QUERIES["score_prompts"](spark, str(tmp_path)).collect()
+    assert sorted((r.example_id, r.answer) for r in rows) == sorted(
+        (a.example_id, " ".join(re.findall("[^\t\n\f\r ]+", a.prompt)[:100])) for a in asked)
+    assert all(r.same and r.prediction_follows for r in rows) and max(len(r.answer.split(" ")) for r in rows) == 100
+
+
 def test_weights_score_alike_outside_mllib(spark, labelled, model):
     odd = spark.createDataFrame([(-1, ""), (-2, " \u3000\t"), (-3, "Ünï cödé 😀 word word"), (-4, "x" * 100_000), (-4, "same id")],
                                 "doc_id bigint, text string")
