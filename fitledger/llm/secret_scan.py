@@ -26,8 +26,10 @@ from fitledger.llm.words import slices
 SPANS = "array<struct<kind:string,start:long,end:long>>"
 KINDS = ("assign", "access", "hex", "literal")
 LEAST_VALUE, LEAST_SCORE = 8, 0.5
-# A value put together from more literals is a text, not a key.
+# A value put together from more literals is carried as a whole, not piece by piece.
 MOST_PIECES = 64
+# Characters at the ends of such a value that are kept: more than any placeholder has.
+REACH = 16
 
 _OPERATOR = re.compile("[:=]")
 _OPERATOR_OR_FLAG = re.compile("[:=]|--[A-Za-z]")
@@ -47,6 +49,8 @@ _ABOUT = {"type", "count", "counts", "length", "len", "name", "field", "file", "
           "format", "env", "header", "index", "class", "min", "max", "algorithm", "placeholder", "title", "text"}
 _PLACEHOLDERS = re.compile(r"changeme|change_me|example|sample|dummy|placeholder|your|insert|redacted|todo|fixme|xxxx|\*\*\*|"
                            r"\.\.\.|lorem|foobar|null|undefined|none|true|false|test|default|12345678", re.IGNORECASE)
+_UNFIT = re.compile(r"\s|\$\{|\{\{|://|" + _PLACEHOLDERS.pattern, re.IGNORECASE)
+_STARTS = re.compile(r"[$<{%(/~]|\./")
 _DECLARING = {"export", "const", "let", "var", "val", "final", "static", "public", "private", "protected", "readonly", "set",
               "string", "str", "auto", "my", "local", "global", "define", "setenv"}
 
@@ -81,16 +85,20 @@ def key_likeness(value: str, quoted: bool) -> float:
 
     White space, references to variables and placeholders give 0, and so does a bare value without a digit.
     """
-    if len(value) < LEAST_VALUE or re.search(r"\s", value) or _PLACEHOLDERS.search(value):
+    if len(value) < LEAST_VALUE or _UNFIT.search(value) or _STARTS.match(value):
         return 0.0
-    if value[0] in "$<{%(" or "${" in value or "{{" in value or "://" in value or value.startswith(("/", "./", "~")):
-        return 0.0
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    if not quoted and not (re.search("[0-9]", value) and re.search("[A-Za-z]", value)):
+    return _likeness(len(value), Counter(value), quoted)
+
+
+def _likeness(length: int, counts: Counter, quoted: bool) -> float:
+    """The same from the number of each character, for a value that has passed the other tests."""
+    letters = "".join(counts)
+    kinds = sum(bool(re.search(p, letters)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    if not quoted and not (re.search("[0-9]", letters) and re.search("[A-Za-z]", letters)):
         return 0.0
-    counts = Counter(value)
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
-    return min(1.0, 0.25 * kinds + 0.15 * min(entropy, 4.0) + (0.1 if len(value) >= 16 else 0.0) - 0.2)
+    shares = [n / length for n in counts.values()]
+    entropy = -sum(share * math.log2(share) for share in shares if share)
+    return min(1.0, 0.25 * kinds + 0.15 * min(entropy, 4.0) + (0.1 if length >= 16 else 0.0) - 0.2)
 
 
 def _lines(text: str, wanted: re.Pattern) -> Iterator[tuple[int, str]]:
@@ -127,10 +135,67 @@ class _Line:
 Piece = tuple[int, int, str, bool]
 
 
-def _value(tokens: _Line, at: int, begin: int, known: dict[str, list[Piece]]) -> tuple[list[Piece], int]:
+class Joined:
+    """Many pieces in a row as one: what they were put together from, and what judging needs to know of the whole.
+
+    A value that takes itself up again and again has exponentially many pieces, but few parts, each of them held once.
+    """
+
+    __slots__ = ("parts", "length", "counts", "quoted", "head", "tail", "unfit", "listed")
+
+    def __init__(self, parts: list[Piece | Joined]):
+        self.parts, self.length, self.counts, self.quoted = parts, 0, Counter(), True
+        self.head, self.tail, self.unfit, self.listed = "", "", False, False
+        for part in parts:
+            if isinstance(part, Joined):
+                length, counts, quoted, head, tail, unfit = (
+                    part.length, part.counts, part.quoted, part.head, part.tail, part.unfit)
+            else:
+                value, quoted = part[2], part[3]
+                length, counts, head, tail = len(value), Counter(value), value[:REACH], value[-REACH:]
+                unfit = _UNFIT.search(value) is not None
+            # What makes a value unfit is shorter than the ends, so it lies inside a part or where ends meet.
+            self.unfit = self.unfit or unfit or _UNFIT.search(self.tail + head) is not None
+            self.head, self.tail = (self.head + head)[:REACH] if len(self.head) < REACH else self.head, (self.tail + tail)[-REACH:]
+            self.length, self.quoted = self.length + length, self.quoted and quoted
+            for letter, n in counts.items():
+                self.counts[letter] += n
+
+    def key_likeness(self) -> float:
+        if self.length < LEAST_VALUE or self.unfit or _STARTS.match(self.head):
+            return 0.0
+        return _likeness(self.length, self.counts, self.quoted)
+
+
+def _folded(pieces: list[Piece | Joined]) -> list[Piece | Joined]:
+    return [Joined(pieces)] if len(pieces) > MOST_PIECES else pieces
+
+
+def _whole_likeness(pieces: list[Piece | Joined]) -> float:
+    """How much the whole value looks like a key."""
+    if any(isinstance(p, Joined) for p in pieces):
+        return Joined(pieces).key_likeness()
+    return key_likeness("".join(p[2] for p in pieces), all(p[3] for p in pieces))
+
+
+def _spans(pieces: list[Piece | Joined]) -> Iterator[tuple[int, int]]:
+    """(start, end) of the literals that aren't empty; those of joined pieces only when first asked for."""
+    left = list(pieces)
+    while left:
+        part = left.pop()
+        if not isinstance(part, Joined):
+            if part[2]:
+                yield part[0], part[1]
+        elif not part.listed:
+            part.listed = True
+            left += part.parts
+
+
+def _value(tokens: _Line, at: int, begin: int, known: dict[str, list[Piece | Joined]]) -> tuple[list[Piece | Joined], int]:
     """The pieces of the value that starts at ``begin``, and where it ends."""
     line, pieces = tokens.text, []
     while True:
+        pieces = _folded(pieces)
         match = tokens.token(begin)
         if match is None:
             return pieces, len(line)
@@ -160,9 +225,12 @@ def _value(tokens: _Line, at: int, begin: int, known: dict[str, list[Piece]]) ->
         begin = follows.end()
 
 
-def name_literal_pairs(text: str) -> Iterator[tuple[str, list[Piece]]]:
-    """(name, pieces of its value) of all assignments, line by line; names resolve to what earlier lines set."""
-    known: dict[str, list[Piece]] = {}
+def name_literal_pairs(text: str) -> Iterator[tuple[str, list[Piece | Joined]]]:
+    """(name, pieces of its value) of all assignments, line by line; names resolve to what earlier lines set.
+
+    However many pieces a value has, it is followed and comes out; many are joined into one.
+    """
+    known: dict[str, list[Piece | Joined]] = {}
     for at, line in _lines(text, _OPERATOR_OR_FLAG):
         tokens, begin = _Line(line), 0
         names: list[str] = []           # what may be the target: the last name, string or subscript, and a declared type
@@ -187,9 +255,9 @@ def name_literal_pairs(text: str) -> Iterator[tuple[str, list[Piece]]]:
                 pieces, begin = _value(tokens, at, begin, known)
                 name = names[-1].strip("$@{}")
                 known.pop(name, None)
-                if 0 < len(pieces) <= MOST_PIECES:
-                    known[name] = pieces
-                    yield name, pieces
+                if pieces:
+                    known[name] = _folded(pieces)
+                    yield name, known[name]
                 names = []
             elif token == "]":
                 pass
@@ -216,9 +284,8 @@ def secret_spans(text: str) -> list[tuple[int, int, int]]:
         weight = sensitivity(name)
         if not weight:
             continue
-        whole, quoted = "".join(p[2] for p in pieces), all(p[3] for p in pieces)
-        if weight * key_likeness(whole, quoted) >= LEAST_SCORE:
-            added.update((start, end) for start, end, value, _ in pieces if value)
+        if weight * _whole_likeness(pieces) >= LEAST_SCORE:
+            added.update(_spans(pieces))
     reach, starts = [], []
     top = 0
     for start, end, _ in spans:

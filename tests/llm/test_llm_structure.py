@@ -13,7 +13,7 @@ from fitledger.llm import conversation_repair as repair
 from fitledger.llm.conversation_repair import repair_conversations, turn_gaps
 from fitledger.llm.periodic_runs import _numbered, find_runs, periodic_runs
 from fitledger.llm.queries import QUERIES
-from fitledger.llm.secret_scan import KINDS, base_spans, find_secrets, secret_spans
+from fitledger.llm.secret_scan import KINDS, Joined, base_spans, find_secrets, key_likeness, secret_spans
 
 SF = "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string, lang string, runs string, spans string, id string, collapsed string, n_words long"
@@ -216,6 +216,30 @@ def test_literals_of_sensitive_names(text, found):
     assert [text[s:e] for s, e, k in secret_spans(text) if KINDS[k] == "literal"] == found
 
 
+def test_values_of_many_pieces_are_followed():
+    def literals(text):
+        return [text[s:e] for s, e, k in secret_spans(text) if KINDS[k] == "literal"]
+
+    parts = [f"{'aZ'[n % 2]}{n}" for n in range(300)]
+    lines = ['k = "b7"'] + [f'k = k + "{p}"' for p in parts]
+    for follow in (["clientSecret = k"], ["m = k + k", "m = m + m", "clientSecret = m"], ["k = k + k"] * 3_000 + ["clientSecret = k"]):
+        assert literals("\n".join(lines + follow)) == ["b7", *parts]
+    assert literals("clientSecret = " + " + ".join(f'"{p}"' for p in parts)) == parts
+    # A placeholder where two literals meet, and one over three of them, makes the whole no key.
+    for broken in (["chan", "geme"], ["re", "dac", "ted"], ["a ", "b"], ["$", "{V}"]):
+        assert literals("\n".join(lines + [f'k = k + "{b}"' for b in broken] + ["k = k + k"] * 9 + ["clientSecret = k"])) == []
+
+
+def test_joined_pieces_are_judged_as_the_whole():
+    rng = random.Random(5)
+    parts = ["", "a", "B7", "chan", "geme", "9", "x" * 20, "-", "$", "{", ":", "//", "ſ", "aB3dE5fG7hJ9", " ", ".", "/", "~"]
+    for _ in range(5_000):
+        pieces = [(0, 0, v, rng.random() < 0.9) for v in rng.choices(parts, rng.choice([[1] * 18, [9] * 6 + [0] * 12]), k=rng.randint(1, 9))]
+        cuts = sorted(rng.choices(range(len(pieces) + 1), k=2))
+        nested = [*pieces[:cuts[0]], Joined(pieces[cuts[0]:cuts[1]]), *pieces[cuts[1]:]]
+        assert Joined(nested).key_likeness() == key_likeness("".join(p[2] for p in pieces), all(p[3] for p in pieces))
+
+
 def test_scan_of_odd_rows(spark):
     long = "x = 1\n" + 'pwd = "unclosed \\"' * 30_000 + "\n" + "k" * 300_000 + " AKIAABCDEFGHIJKL"
     rows = [(1, None), (None, ""), (2, "😀 token=abcdefgh"), (2, "😀 token=abcdefgh"), (3, long), (4, "a=a+a\n" * 2000)]
