@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
+from collections.abc import Iterator
+
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fitledger.operators.metrics import every_n_steps
@@ -10,6 +16,8 @@ from fitledger.operators.metrics import every_n_steps
 SAVE_STEPS = 200
 SAVE_LIMIT = 2
 FOLDER_FORMAT = "checkpoint-%d"
+# Characters that Spark writes as %XX in the names of folders.
+_ESCAPED = re.compile(r"""[\x01-\x1F"#%'*/:=?\\\x7F{\[\]^]""")
 
 
 def checkpoint_plan(df: DataFrame, every: int = SAVE_STEPS) -> DataFrame:
@@ -48,11 +56,63 @@ def write_checkpoints(states: DataFrame, directory: str, files: int = 1) -> None
 
     Tasks get whole checkpoints, so a folder has one file, or up to ``files`` of them where states are large. There are
     as many tasks as shuffle partitions, whatever the bytes: what takes time is making the folders.
+    On a mounted file system tasks write the files through Arrow: Hadoop's local file system starts two processes
+    for each. A file gets its name when it is whole, the same name when its task runs again.
     """
-    tasks = int(states.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = states.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     part = F.pmod(F.xxhash64(*states.columns), F.lit(files))
     dealt = states.repartition(tasks, "run_id", "path", part) if files > 1 else states.repartition(tasks, "run_id", "path")
-    dealt.write.mode("append").partitionBy("run_id", "path").parquet(directory)
+    place = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    mounted = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme() == "file"
+    # Types that Arrow does not carry as they are go through Spark's writer, too.
+    if not mounted or re.search("variant|interval|void|char", states.schema.simpleString()):
+        dealt.write.mode("append").partitionBy("run_id", "path").parquet(directory)
+        return
+    local = place.toUri().getPath()
+    os.makedirs(local, exist_ok=True)
+    names = [F.col(c).cast("string").alias(f"_{c}") for c in ("run_id", "path")]
+    rows = dealt.sortWithinPartitions("run_id", "path").select(
+        *names, *[c for c in states.columns if c not in ("run_id", "path")])
+    rows.mapInArrow(_folder_writer(local, uuid.uuid4().hex), "files bigint").agg(F.sum("files")).collect()
+
+
+def _folder_writer(directory: str, label: str):
+    """Write sorted rows, of which the first two columns name the folder, into a file for each folder."""
+    def folder(run: str | None, path: str | None) -> str:
+        named = (_ESCAPED.sub(lambda c: f"%{ord(c.group()):02X}", v) if v else "__HIVE_DEFAULT_PARTITION__" for v in (run, path))
+        return "{}/run_id={}/path={}".format(directory, *named)
+
+    def write(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        task = TaskContext.get()
+        name = f"part-{task.partitionId():05d}-{label}.snappy.parquet"
+        draft, at, writer, written = f".{name}-{task.taskAttemptId()}", None, None, 0
+
+        def finish() -> None:
+            writer.close()
+            os.replace(f"{at}/{draft}", f"{at}/{name}")
+
+        for batch in batches:
+            keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            rows = pa.RecordBatch.from_arrays(batch.columns[2:], schema=pa.schema(list(batch.schema)[2:]))
+            starts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
+            for start, end in zip(starts, [*starts[1:], len(keys)]):
+                place = folder(*keys[start])
+                if place != at:
+                    if writer:
+                        finish()
+                    os.makedirs(place, exist_ok=True)
+                    at, writer = place, pq.ParquetWriter(f"{place}/{draft}", rows.schema)
+                    written += 1
+                writer.write_batch(rows.slice(start, end - start))
+        if writer:
+            finish()
+        yield pa.RecordBatch.from_arrays([pa.array([written], pa.int64())], ["files"])
+
+    return write
 
 
 def checkpoint_folders(files: DataFrame) -> DataFrame:

@@ -71,6 +71,26 @@ def test_folders_as_they_lie(spark, tmp_path):
     assert spark.read.parquet(directory).count() == 50 * len(there)
 
 
+def test_folders_are_those_of_sparks_writer_without_its_processes(spark, tmp_path):
+    runs = ["a", "", None, "x y", "ü/é:=%", "q?*[{^"]
+    rows = [(r, p, i, dt.datetime(2024, 1, 1, i % 24)) for i, (r, p) in enumerate(
+        (r, p) for r in runs for p in ["checkpoint-200", "checkpoint-400", None] for _ in range(3))]
+    states = spark.createDataFrame(rows, "run_id string, path string, weight int, at timestamp")
+    ours, theirs = str(tmp_path / "ours"), str(tmp_path / "theirs")
+    for _ in range(2):
+        ck.write_checkpoints(states, ours)
+    states.unionByName(states).write.partitionBy("run_id", "path").parquet(theirs)
+    folders = [sorted(str(p.relative_to(d)) for p in (tmp_path / d).rglob("*") if p.is_dir()) for d in (ours, theirs)]
+    assert folders[0] == folders[1] and len(folders[0]) == 5 + 5 * 3
+    assert spark.read.parquet(ours).exceptAll(spark.read.parquet(theirs)).isEmpty()
+    assert spark.read.parquet(ours).count() == 2 * len(rows)
+    # Hadoop's local file system makes a .crc of each file, and starts processes for both.
+    assert not list((tmp_path / "ours").rglob("*.crc")) and list((tmp_path / "theirs").rglob("*.crc"))
+    empty = str(tmp_path / "empty")
+    ck.write_checkpoints(states.limit(0), empty)
+    assert file_listing(spark, empty).isEmpty()
+
+
 def test_listing_reads_no_file(spark, tmp_path):
     for i in range(40):
         folder = tmp_path / f"d{i}"
