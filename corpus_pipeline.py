@@ -53,14 +53,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in a language that the corpus names; a null or empty text, or one without letters, is in none.
 
-    The score that a document needs is taken from documents that the network was not fitted on. Where
+    The score that a document needs is taken from all documents of the fold that the network was not fitted on. Where
     the corpus names no language to learn, all documents stay, those without letters, too.
     """
     network = fit_language(docs)
     if network is None:
         return docs
-    needed = LANGUAGE_MARGIN * least_score(docs, network)
-    predicted = predict_language(_packed(docs), network, ["_doc"], keep_text=True)
+    # Written out: the threshold is read off the predictions that it is then applied to.
+    predicted = saved_table(predict_language(_packed(docs), network, ["_doc"], keep_text=True), "language")
+    needed = LANGUAGE_MARGIN * least_score(predicted.select("_doc.doc_id", "_doc.lang", "lang_pred", "score"), network)
     kept = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= needed)
     return _unpacked(predicted.where(kept), docs)
 

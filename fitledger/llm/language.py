@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -9,8 +10,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fitledger.llm.sampling import drawn, hash63, threshold
+from fitledger.llm.sampling import drawn
 from fitledger.llm.words import slices, text_bytes
+from fitledger.operators.ordered import numbered
 
 HIDDEN = 8
 # A text is read in stretches of so many bytes, each from a fresh state; all stretches of all texts are read.
@@ -229,20 +231,21 @@ def fit_language(documents: DataFrame, limit: int = MAX_TRAINING_ROWS, max_bytes
     return train(sample.column("body").to_pylist(), sample.column("lang").to_pylist(), **options)
 
 
-def least_score(documents: DataFrame, net: Network, limit: int = 2_000, folds: int = 3, held_out_fold: int = 1,
+def least_score(predicted: DataFrame, net: Network, folds: int = 3, held_out_fold: int = 1,
                 quantile: float = 0.001) -> float:
     """The score that all but a ``quantile`` of rightly labelled documents reach.
 
-    It is measured on about ``limit`` documents of the fold that the network has not seen; 0 if there are none. It moves with
-    the number of languages and with how sure the network is, as a fixed score would not.
+    It is the score of exactly that rank among all documents (doc_id, lang, lang_pred, score) of the fold that the network
+    has not seen; 0 if there are none. It moves with the number of languages and with how sure the network is, as a fixed
+    score would not. The scores are numbered by ranges, so no task holds them all.
     """
     crc = F.crc32(F.col("doc_id").cast("string"))
-    held = documents.where((crc % folds == held_out_fold) & F.col("lang").isin(net.learnt()))
-    rows = held.agg(F.count(F.lit(1))).first()[0]
-    some = held.select("doc_id", "lang", "text").where(hash63(F.xxhash64("doc_id", "text")) <= threshold(limit, rows))
-    right = predict_language(some, net, ["lang"]).where("lang = lang_pred")
-    found = right.agg(F.percentile_approx("score", quantile, 10_000)).first()[0]
-    return found or 0.0
+    right = predicted.where(
+        (crc % folds == held_out_fold) & F.col("lang").isin(net.learnt()) & (F.col("lang") == F.col("lang_pred")))
+    places = numbered(right.select("score"), [F.asc("score")], "place", "language-scores")
+    rank = math.ceil(quantile * places.count())
+    found = places.where(F.col("place") == max(rank, 1) - 1).first()
+    return found["score"] if found else 0.0
 
 
 def predict_language(documents: DataFrame, net: Network | None, columns: list[str] | None = None,

@@ -89,6 +89,18 @@ def test_repeated_ids_do_not_fill_the_sample(spark, monkeypatch):
     assert sorted(r.quality for r in found) == [0, 1]
 
 
+def test_least_score_is_that_of_its_rank_among_all_held_out_rows(spark):
+    rows = [(i, "en" if i % 5 else "de", "en" if i % 7 else "de", (i * 7919 % 60_000) / 60_000) for i in range(60_000)]
+    odd = [(None, "en", "en", 0.0), (1, None, "en", 0.0), (1, "xx", "xx", 0.0), (1, "und", "und", 0.0)]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, lang string, lang_pred string, score double").repartition(7)
+    net = language.fresh(["de", "en", language.OTHER])
+    right = sorted(s for i, truth, guess, s in rows if zlib.crc32(str(i).encode()) % 3 == 1 and truth == guess)
+    assert language.least_score(docs, net) == right[-(-len(right) // 1000) - 1]
+    assert language.least_score(docs, net, quantile=0.5) == right[-(-len(right) // 2) - 1]
+    assert language.least_score(docs.where("doc_id = 1 and score = 0"), net, quantile=1e-9) == 0.0
+    assert language.least_score(docs.limit(0), net) == 0.0
+
+
 def test_many_languages(spark, monkeypatch):
     monkeypatch.setattr(language, "train", lambda texts, labels: sorted(labels))
     rows = [(i, f"text {i}", f"l{i % 500}") for i in range(1200)]
