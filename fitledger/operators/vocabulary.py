@@ -15,6 +15,10 @@ from fitledger.session import (
 
 # Tokens that a task's summary holds at least.
 SUMMARY = 1 << 15
+# List elements that are coded, joined and replaced together.
+CHUNK = 1 << 20
+# Token lists that a summary is given at once.
+LISTS, BATCH_ROWS = 1_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 UNKNOWN_ID = -1
 UNKNOWN_TOKEN = "<unk>"
 
@@ -55,8 +59,7 @@ def frequent_words(df: DataFrame, size: int, tokens_column: str = "tokens", coun
     tell, and the whole vocabulary is counted.
     """
     kept = counters or max(SUMMARY, 8 * size)
-    summaries = saved_table(
-        df.select(tokens_column).mapInArrow(_summary(kept), "token string, n bigint, lost bigint"), "word-summaries")
+    summaries = _summaries(df.select(tokens_column), kept)
     totals = summaries.filter(F.col("token").isNotNull()).groupBy("token").agg(F.sum("n").alias("n"))
     totals = saved_table(totals, "word-limits")
     lost = summaries.agg(F.sum("lost")).first()[0] or 0
@@ -72,6 +75,18 @@ def frequent_words(df: DataFrame, size: int, tokens_column: str = "tokens", coun
     return first.withColumn("token_id", F.row_number().over(Window.orderBy(F.desc("n"), "token")).cast("bigint") - 1)
 
 
+def _summaries(lists: DataFrame, kept: int) -> DataFrame:
+    """All tasks' summaries, written. Lists reach Python some at a time: 10,000 long ones at once, Spark's own number,
+    would be what a task's memory goes to."""
+    settings = lists.sparkSession.conf
+    before = settings.get(BATCH_ROWS)
+    settings.set(BATCH_ROWS, min(int(before), LISTS) if int(before) > 0 else LISTS)
+    try:
+        return saved_table(lists.mapInArrow(_summary(kept), "token string, n bigint, lost bigint"), "word-summaries")
+    finally:
+        settings.set(BATCH_ROWS, before)
+
+
 def _summary(kept: int):
     """A task's token counters, and one row with what was taken off."""
     def summarise(batches: Iterator) -> Iterator:
@@ -134,7 +149,6 @@ def _look_up(df: DataFrame, words: DataFrame, id_column: str, list_column: str,
 
     def replace(batches):
         import pyarrow as pa
-        import pyarrow.compute as pc
 
         # Indexed once in each worker process; a batch asks for each of its different words once.
         place, values = _index(label, shared)
@@ -143,11 +157,7 @@ def _look_up(df: DataFrame, words: DataFrame, id_column: str, list_column: str,
             coded = lists.flatten().dictionary_encode()
             known = pa.array([place.get(word) for word in coded.dictionary.to_pylist()], pa.int64())
             found = values.take(known.take(coded.indices)).fill_null(unknown)
-            lengths = pc.fill_null(pc.list_value_length(lists), 0)
-            ends = pc.cumulative_sum(lengths.cast(pa.int32()))
-            offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
-            replaced = pa.ListArray.from_arrays(offsets, found, mask=lists.is_null())
-            yield pa.RecordBatch.from_arrays([batch.column(0), replaced], [id_column, out])
+            yield pa.RecordBatch.from_arrays([batch.column(0), _refilled(lists, found)], [id_column, out])
 
     return df.select(id_column, list_column).mapInArrow(
         replace, f"`{id_column}` {id_type}, {out} {out_type}")
@@ -165,20 +175,86 @@ def _index(label: str, shared):
     return _INDEXES[label]
 
 
+def _refilled(lists, elements):
+    """An Arrow array of lists as long as these, null where these are, with other elements."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(lists), 0).cast(pa.int32()))
+    offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
+    return pa.ListArray.from_arrays(offsets, elements, mask=lists.is_null())
+
+
 def _join_words(df: DataFrame, words: DataFrame, id_column: str, list_column: str,
                 unknown, out: str, out_type: str) -> DataFrame:
-    """The same by a join: elements are gathered by a key that each row has for itself."""
-    # Written out, so that the key is the same whenever the rows are read.
-    rows = saved_table(
-        df.select(F.col(id_column).alias("id"), F.col(list_column).alias("list"))
-        .withColumn("row", F.monotonically_increasing_id()), "rows-to-replace")
-    elements = rows.select("row", F.posexplode("list").alias("pos", "key"))
-    found = elements.join(words, "key", "left").select(
-        "row", F.struct("pos", F.coalesce("value", F.lit(unknown)).alias("value")).alias("placed"))
-    gathered = found.groupBy("row").agg(F.sort_array(F.collect_list("placed")).alias("placed"))
-    replaced = F.coalesce(F.transform("placed", lambda x: x["value"]), F.array().cast(out_type))
-    return rows.join(gathered, "row", "left").select(
-        F.col("id").alias(id_column), F.when(F.col("list").isNotNull(), replaced).alias(out))
+    """The same by a join: rows are held in chunks, and each chunk's different elements are joined once.
+
+    Lists become places in their chunk's dictionary, the dictionaries are joined with the words, and each chunk meets its
+    own dictionary again. So what is shuffled are the different elements of each chunk and lists of small numbers, and a
+    task holds one chunk at a time.
+    """
+    id_type, key_type = dict(df.dtypes)[id_column], dict(words.dtypes)["key"]
+    rows = df.select(F.col(id_column).alias("id"), F.col(list_column).alias("list"))
+    # Written out, so that a chunk is the same whenever it is read.
+    coded = saved_table(rows.mapInArrow(
+        _in_chunks(CHUNK), f"chunk bigint, id {id_type}, codes array<int>, code int, key {key_type}"), "coded-lists")
+    found = coded.filter(F.col("code").isNotNull()).select("chunk", "code", "key").join(words, "key", "left").select(
+        F.col("chunk").alias("of"), "code", F.coalesce("value", F.lit(unknown)).alias("value"))
+    lists = coded.filter(F.col("code").isNull()).select("chunk", "id", "codes")
+
+    def refill(lists, found):
+        import pyarrow as pa
+
+        code = found["code"].to_numpy()
+        place = np.zeros(int(code.max()) + 1 if len(code) else 0, np.int64)
+        place[code] = np.arange(len(code))
+        codes = lists["codes"].combine_chunks()
+        elements = found["value"].combine_chunks().take(pa.array(place)).take(codes.flatten()).fill_null(unknown)
+        return pa.table({id_column: lists["id"].combine_chunks(), out: _refilled(codes, elements)})
+
+    return lists.groupBy("chunk").cogroup(found.groupBy("of")).applyInArrow(
+        refill, f"`{id_column}` {id_type}, {out} {out_type}")
+
+
+def _in_chunks(elements: int):
+    """Rows (id, list) as chunks of some ``elements``: rows with lists of codes, and rows with what the codes stand for."""
+    def code(batches: Iterator) -> Iterator:
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+
+        # The task's number in the upper bits.
+        held, size, chunk = [], 0, TaskContext.get().partitionId() << 33
+        for batch in batches:
+            lengths = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            ends = size + np.cumsum(lengths.astype(np.int64) + 1)
+            cuts = np.flatnonzero(np.diff(ends // elements, prepend=0)).tolist()
+            for k, (start, end) in enumerate(zip([0, *cuts], [*cuts, batch.num_rows])):
+                if k and held:
+                    yield from _coded(held, chunk)
+                    held, chunk = [], chunk + 1
+                if end > start:
+                    held.append(batch.slice(start, end - start))
+            size = int(ends[-1] % elements) if len(ends) else size
+        if held:
+            yield from _coded(held, chunk)
+
+    return code
+
+
+def _coded(held: list, chunk: int) -> Iterator:
+    import pyarrow as pa
+
+    rows = pa.Table.from_batches(held)
+    lists = rows.column(1).combine_chunks()
+    coded = lists.flatten().dictionary_encode()
+    n, id_type, key_type = len(coded.dictionary), rows.schema.field(0).type, coded.dictionary.type
+    names = ["chunk", "id", "codes", "code", "key"]
+    yield pa.RecordBatch.from_arrays([
+        pa.array(np.full(len(rows), chunk)), rows.column(0).combine_chunks(), _refilled(lists, coded.indices),
+        pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), key_type)], names)
+    yield pa.RecordBatch.from_arrays([
+        pa.array(np.full(n, chunk)), pa.nulls(n, id_type), pa.nulls(n, pa.list_(pa.int32())),
+        pa.array(np.arange(n, dtype=np.int32)), coded.dictionary], names)
 
 
 def length_profile(df: DataFrame, caps: Sequence[int], percentiles: Sequence[float] = (0.5, 0.9, 0.99),

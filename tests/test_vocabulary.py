@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from fitledger.functions import tokenize
+from fitledger.operators import vocabulary
 from fitledger.operators.vocabulary import build_vocabulary, decode_ids, encode, length_profile
-from fitledger.session import saved
+from fitledger.session import saved, saved_table
 
 TEXTS = ["a b a c", "", "b a d e f g", "zz y x w v u t", "a a a", "é ü 日本 a b", "one"]
 
@@ -66,6 +67,24 @@ def test_rows_stay_apart_in_both_ways(spark, docs, max_words):
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(texts, key=repr)
 
 
+@pytest.mark.parametrize("chunk", [1, 50, 1 << 20])
+def test_a_large_vocabulary_is_joined_once_for_each_chunk(spark, monkeypatch, chunk):
+    """Not every occurrence of a word is shuffled: what is written are the rows and each chunk's different words."""
+    texts = [" ".join(f"w{(i * j) % 97}" for j in range(i % 60)) for i in range(600)] + ["w1 " * 5_000]
+    words = saved(build_vocabulary(spark.createDataFrame(enumerate(texts), "doc_id bigint, text string").select(
+        tokenize(F.col("text")).alias("tokens"))))
+    some = spark.createDataFrame([(i % 7, t.split(), ) for i, t in enumerate(texts)], "doc_id bigint, tokens array<string>")
+    written = []
+    monkeypatch.setattr(vocabulary, "CHUNK", chunk)
+    monkeypatch.setattr(vocabulary, "saved_table", lambda df, label: written.append(saved_table(df, label)) or written[-1])
+    encoded = encode(some.repartition(3), words, "doc_id", max_words=1)
+    back = decode_ids(encoded, words, "doc_id", max_words=1)
+    assert sorted(map(tuple, back.collect())) == sorted((i % 7, " ".join(t.split())) for i, t in enumerate(texts))
+    assert sorted(map(repr, encoded.collect())) == sorted(map(repr, encode(some, words, "doc_id").collect()))
+    tokens = sum(len(t.split()) for t in texts)
+    assert len(written) == 2 and (chunk < 97 or all(w.count() <= len(texts) + 3 * 97 < tokens / 10 for w in written))
+
+
 def test_the_text_is_split_once(spark):
     for name in ("tokenize", "build_vocabulary"):
         plan = entry_points.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
