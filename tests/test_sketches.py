@@ -73,6 +73,26 @@ def test_summaries_bound_the_shuffle(spark, tmp_path, monkeypatch):
     assert frequent_words(spark.createDataFrame([(1, ["x", "y", "x"])], "id int, tokens array<string>"), 10).count() == 2
 
 
+def test_summaries_are_given_some_lists_at_a_time(spark, monkeypatch):
+    summary = vocabulary._summary
+
+    def watched(kept):
+        def summarise(batches):
+            def small():
+                for batch in batches:
+                    assert batch.num_rows <= 1_000
+                    yield batch
+
+            return summary(kept)(small())
+
+        return summarise
+
+    monkeypatch.setattr(vocabulary, "_summary", watched)
+    before = spark.conf.get(vocabulary.BATCH_ROWS)
+    df = spark.range(0, 5_000, 1, 1).select(F.array(F.lit("a"), F.col("id").cast("string")).alias("tokens"))
+    assert frequent_words(df, 1).first()["n"] == 5_000 and spark.conf.get(vocabulary.BATCH_ROWS) == before
+
+
 def test_tables_by_run_meet_without_an_exchange(spark, tmp_path):
     points = spark.range(2000).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("run_id"), F.col("id").alias("event_id"),
