@@ -29,6 +29,10 @@ BANDS, ROWS = 28, 4
 BLOCK, BLOCK_SHINGLES, HUBS = 256, 1 << 19, 4
 # Classes whose places go to every executor: some 60 bytes each.
 MAX_KEYS = 1_000_000
+# Links of which a task makes stars at once.
+LINKS = 1 << 20
+# A file of an intermediate table has at least so many values, unless the cores want more files.
+FILE_VALUES = 1 << 20
 # Shingles that go into the matrix product at once.
 COLUMNS = 1 << 12
 
@@ -260,31 +264,67 @@ def _crossed(percent: int):
 
 # ---- components
 
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, least node that it reaches) for each node of the links that is not itself the least."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    left, right = ends[:len(a)], ends[len(a):]
+    roots = np.arange(len(nodes))
+    while True:
+        over, under = np.maximum(roots[left], roots[right]), np.minimum(roots[left], roots[right])
+        apart = over != under
+        if not apart.any():
+            inner = roots != np.arange(len(nodes))
+            return nodes[inner], nodes[roots[inner]]
+        np.minimum.at(roots, over[apart], under[apart])
+        while True:
+            further = roots[roots]
+            if (further == roots).all():
+                break
+            roots = further
+
+
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stars with the same components as a task's links (u, v), taken LINKS at a time."""
+    held, n = [], 0
+    for batch in batches:
+        held.append([c.to_numpy() for c in batch.columns])
+        n += batch.num_rows
+        if n >= LINKS:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in forest(*map(np.concatenate, zip(*held)))], ["u", "v"])
+            held, n = [], 0
+    if n:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in forest(*map(np.concatenate, zip(*held)))], ["u", "v"])
+
+
+def _few_files(rows: DataFrame, values: int) -> DataFrame:
+    """A table of ``values`` numbers at most in as many partitions as it needs, where a shuffle has made more."""
+    return rows.coalesce(max(2 * rows.sparkSession.sparkContext.defaultParallelism, -(-values // FILE_VALUES)))
+
+
 def components(links: DataFrame, label: str = "components") -> DataFrame:
-    """(id, component): the least id that is reachable, for all ids in links (a, b).
+    """(id, component): the least id that is reachable, for all ids in links (a, b) with another one.
 
-    Large-star and small-star steps in turn: all neighbours of a node move to its least neighbour. Each
-    round is written to the shared folder; only a count of the nodes that are not yet in a star reaches the driver.
+    Small-star steps with a jump: a node and its smaller neighbours move to the least of them, and further to that
+    one's least neighbour. Before each step every task makes stars of the links that it has at hand, so a node's smaller
+    neighbours are as many as the tasks at most. A round is one shuffle: each node's neighbourhood is written to the
+    shared folder, and the next round starts from there. The driver learns only whether all nodes are in stars.
     """
-    edges = saved_table(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                        .where("u <> v").distinct(), label)
+    edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v")
+    n_links = links.count()
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        seen = both.groupBy("u").agg(F.min("v").alias("v"), F.count_if(F.col("v") < F.col("u")).alias("below"),
-                                     F.count_if(F.col("v") > F.col("u")).alias("above"))
+        stars = edges.mapInArrow(_forests, "u long, v long")
+        both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        smaller = F.when(F.col("v") < F.col("u"), F.col("v"))
+        nodes = both.groupBy("u").agg(F.collect_set(smaller).alias("below"), F.max(F.col("v") > F.col("u")).alias("above"))
+        nodes = saved_table(_few_files(nodes, 4 * n_links), label)
         # In a star each node but the centre has one neighbour, which is smaller.
-        if seen.where("below > 1 or (below > 0 and above > 0)").agg(F.count(F.lit(1))).first()[0] == 0:
-            break
-        # Large star: the larger neighbours of u join the least of u and its neighbours.
-        least = seen.select("u", F.least("u", "v").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        # Small star: u and its smaller neighbours join the least of them.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        edges = saved_table(small, label)
-    found = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    return found.unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+        if nodes.where("size(below) > 1 or (size(below) > 0 and above)").isEmpty():
+            return nodes.select(F.col("u").alias("id"), F.coalesce(F.array_min("below"), "u").alias("component"))
+        # A node and its smaller neighbours join the least of them, or the least neighbour which that one has itself.
+        ends = nodes.where("size(below) > 0").select("u", "below", F.array_min("below").alias("least"))
+        inner = nodes.where("size(below) > 0 and above").select(F.col("u").alias("least"), F.array_min("below").alias("further"))
+        edges = ends.join(broadcast_if_small(inner), "least", "left").select(
+            F.explode(F.array_append("below", F.col("u"))).alias("u"), F.coalesce("further", "least").alias("v")).where("u <> v")
 
 
 def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE,
@@ -307,28 +347,32 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
     rows = saved_table(texts.mapInArrow(_sketched(shingle, bands, band_rows), SKETCH)
                        .withColumn("row", F.monotonically_increasing_id()), "near-sketches")
     # From here to the components, an id is the number of a class's first row; ``doc`` is the id of that row.
-    classes = saved_table(
+    classes = (
         rows.where("n > 0").groupBy("key1", "key2").agg(
             F.min(F.struct("row", F.col("id").alias("doc"))).alias("first"), F.min("id").alias("least"),
             F.first("n").alias("n"), F.first("bands").alias("bands"))
-        .select(F.col("first.row").alias("id"), F.col("first.doc").alias("doc"), "least", "n", "key1", "key2", "bands"),
-        "near-classes")
+        .select(F.col("first.row").alias("id"), F.col("first.doc").alias("doc"), "least", "n", "key1", "key2", "bands"))
+    classes = saved_table(_few_files(classes, rows.count() * bands), "near-classes")
+    n_banded = classes.count() * bands
 
     banded = classes.select(F.explode("bands").alias("bucket"), "id")
     centres = (banded.groupBy("bucket").agg(F.min("id").alias("a"), F.max("id").alias("b"))
                .where("a < b").select("bucket", "a"))
-    stars = saved_table(
-        banded.join(broadcast_if_small(saved_table(centres, "near-centres")), "bucket").where("id <> a")
-        .select("a", F.col("id").alias("b")).distinct(), "near-stars")
+    stars = (
+        banded.join(broadcast_if_small(saved_table(_few_files(centres, n_banded), "near-centres")), "bucket").where("id <> a")
+        .select("a", F.col("id").alias("b")).distinct())
+    stars = saved_table(_few_files(stars, 2 * n_banded), "near-stars")
     clustered = components(stars).withColumnRenamed("component", "cluster")
-    keys = saved_table(classes.drop("bands", "least").join(clustered, "id"), "near-keys")
+    keys = saved_table(classes.drop("bands", "least").join(broadcast_if_small(clustered), "id"), "near-keys")
     joined = _linked(texts, keys, stars, shingle, percent)
 
     # The least id of each component of several classes; a class alone has its own.
-    linked = joined.withColumnRenamed("id", "class").join(classes.select(F.col("id").alias("class"), "least"), "class")
+    joined = broadcast_if_small(joined.withColumnRenamed("id", "class"))
+    linked = classes.select(F.col("id").alias("class"), "least").join(joined, "class")
     labels = linked.groupBy("component").agg(F.min("least").alias("first_id"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    labels = saved_table(_few_files(labels, n_banded), "near-labels")
     linked = linked.select("class", "component").join(broadcast_if_small(labels), "component")
-    by_class = classes.join(linked, F.col("id") == F.col("class"), "left").select(
+    by_class = classes.join(broadcast_if_small(linked), F.col("id") == F.col("class"), "left").select(
         "key1", "key2", F.coalesce("component", "id").alias("first_row"),
         F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("first_id")).alias("found"))
     out = rows.select("id", "row", "n", "key1", "key2").join(by_class, ["key1", "key2"], "left")
@@ -342,9 +386,11 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
 def _linked(texts: DataFrame, keys: DataFrame, stars: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(id, component) of the classes in clusters, by exact links."""
     sizes = keys.groupBy("cluster").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("shingles"))
-    large = saved_table(
+    n_keys = keys.count()
+    large = (
         sizes.withColumn("blocks", F.greatest(F.ceil(F.col("classes") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)))
-        .where("blocks > 1").select("cluster", "blocks"), "near-large")
+        .where("blocks > 1").select("cluster", "blocks"))
+    large = saved_table(_few_files(large, 2 * n_keys), "near-large")
     n_large = large.count()
     placed = keys.select("id", "doc", "key1", "key2", "cluster")
     if n_large:
@@ -355,6 +401,7 @@ def _linked(texts: DataFrame, keys: DataFrame, stars: DataFrame, shingle: int, p
         hubs = (keys.select("id", "cluster").join(held, "cluster").join(edges, "id")
                 .withColumn("place", F.row_number().over(first)).where(F.col("place") <= HUBS)
                 .select("id", F.lit(True).alias("hub")))
+        hubs = saved_table(_few_files(hubs, HUBS * n_large), "near-hubs")
         placed = placed.join(held, "cluster", "left").join(broadcast_if_small(hubs), "id", "left")
         own = F.array(F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.col("blocks"))))
         spread = F.when(F.col("hub"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(own)
@@ -375,7 +422,7 @@ def _linked(texts: DataFrame, keys: DataFrame, stars: DataFrame, shingle: int, p
     if not n_large:
         return joined
     # Classes in several blocks (hubs) tie the blocks of a cluster together.
-    joined = components(joined.select(F.col("id").alias("a"), F.col("component").alias("b")))
+    joined = components(joined.toDF("a", "b"))
     return _across(keys, sets, joined, large, percent)
 
 
@@ -385,21 +432,25 @@ def _dealt(rows: DataFrame, *by: str) -> DataFrame:
 
 def _across(keys: DataFrame, sets: DataFrame, joined: DataFrame, large: DataFrame, percent: int) -> DataFrame:
     """Components after the classes outside the largest of a large cluster have met its other blocks."""
-    named = keys.select("id", "cluster", "n").join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = saved_table(keys.select("id", "cluster", "n").join(broadcast_if_small(joined), "id", "left")
+                        .withColumn("component", F.coalesce("component", "id")), "near-named")
     members = named.join(broadcast_if_small(large), "cluster")
     parts = members.groupBy("cluster", "component").agg(
         F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
-    # The largest component of each cluster, ties to the least, in numbers that a hash aggregate takes.
-    totals = parts.groupBy("cluster").agg(F.max("size").alias("size"), F.sum("size").alias("classes"), F.sum("shingles").alias("all"))
-    largest = parts.join(totals.select("cluster", "size"), ["cluster", "size"]).groupBy("cluster").agg(
-        F.min("component").alias("largest"), F.max("size").alias("size"), F.max("shingles").alias("inside"))
+    # The largest component of each cluster, ties to the least.
+    totals = parts.groupBy("cluster").agg(
+        F.max(F.struct("size", (-F.col("component")).alias("down"), "shingles")).alias("top"),
+        F.sum("size").alias("classes"), F.sum("shingles").alias("all"))
     rest = (
-        totals.select("cluster", "classes", "all").join(largest, "cluster").join(broadcast_if_small(large), "cluster")
+        totals.select("cluster", "classes", "all", (-F.col("top.down")).alias("largest"), "top.size", F.col("top.shingles").alias("inside"))
+        .join(broadcast_if_small(large), "cluster")
         .withColumn("facings", F.greatest(F.ceil((F.col("classes") - F.col("size")) / BLOCK),
                                           F.ceil((F.col("all") - F.col("inside")) / BLOCK_SHINGLES)))
         .where("classes > size").select("cluster", "largest", "blocks", "facings")
     )
-    rest = saved_table(rest, "near-rest")
+    rest = saved_table(_few_files(rest, 4 * large.count()), "near-rest")
+    if rest.isEmpty():
+        return named.select("id", "component")
     open_sets = saved_table(
         members.select("id", "cluster", "component").join(broadcast_if_small(rest), "cluster")
         .withColumn("outside", F.col("component") != F.col("largest")), "near-open")
@@ -415,5 +466,7 @@ def _across(keys: DataFrame, sets: DataFrame, joined: DataFrame, large: DataFram
     columns = ["cluster", "block", "facing", "outside", "id", "component", "shingles"]
     met = outside.select(*columns).unionByName(others.select(*columns))
     more = saved_table(_dealt(met, "cluster", "block", "facing").mapInArrow(_crossed(percent), "a long, b long"), "near-crossed")
-    everything = named.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)
-    return components(everything)
+    # Links between components join these whole.
+    merged = components(more).select(F.col("id").alias("component"), F.col("component").alias("into"))
+    return saved_table(named.select("id", "component").join(broadcast_if_small(merged), "component", "left")
+                       .select("id", F.coalesce("into", "component").alias("component")), "near-joined")

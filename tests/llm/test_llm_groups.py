@@ -13,6 +13,7 @@ from fitledger.llm import mixing, near_dup
 from fitledger.llm.near_dup import components, near_duplicates
 from fitledger.llm.neighbours import hilbert, nearest
 from fitledger.llm.queries import QUERIES
+from fitledger.session import saved_table
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, component_id string, kept string"
@@ -162,6 +163,29 @@ def test_components(spark):
     assert all(got.get(x, x) == root(x) for x in parent)
 
 
+def test_components_take_few_rounds_and_write_few_files(spark, monkeypatch):
+    """A chain of links, each in a task of its own, in any order of ids."""
+    written, rng = [], random.Random(3)
+    monkeypatch.setattr(near_dup, "saved_table", lambda df, label: written.append(df.rdd.getNumPartitions()) or saved_table(df, label))
+    ids = rng.sample(range(10_000), 120)
+    links = spark.createDataFrame(list(zip(ids, ids[1:])) + [(20_000, 20_001)], "a long, b long").repartition(60)
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 100)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = {r.id: r.component for r in components(links).collect()}
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert got == dict.fromkeys(ids, min(ids)) | {20_000: 20_000, 20_001: 20_000}
+    assert max(written) <= 2 * spark.sparkContext.defaultParallelism and len(written) <= 7, written
+
+
+def test_forest_gives_the_least_of_each_component():
+    u, v = near_dup.forest(np.array([5, 9, 7, 3, 8]), np.array([3, 7, 5, 3, 8]))
+    assert dict(zip(u.tolist(), v.tolist())) == {5: 3, 7: 3, 9: 3}
+
+
 def test_hilbert_neighbours_touch():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     keys = hilbert(grid, 3)
