@@ -65,8 +65,10 @@ def run_times(spark, sf_dir):
         (F.col("last") + F.expr("interval 15 days")).alias("ts"), F.lit("log").alias("kind"), F.lit(0).alias("rank"),
         F.lit('{"value":1}').alias("logs"))
     dealt = rows.unionByName(closing).withColumn("order", F.xxhash64("event_id"))
-    dealt.repartition(4, "order").sortWithinPartitions("order").drop("order").write.parquet(f"{place}/files")
-    times = stream_run_times(read_log_stream(spark, f"{place}/files"), slice_seconds=10 * 86_400)
+    dealt.repartition("order").sortWithinPartitions("order").drop("order").write.parquet(f"{place}/files")
+    # One micro-batch: of two, all of the second would be late.
+    arriving = read_log_stream(spark, f"{place}/files", max_bytes_per_trigger=1 << 62)
+    times = stream_run_times(arriving, slice_seconds=10 * 86_400)
     drain(times, [table_sink(f"{place}/times", "times")], f"{place}/progress")
     found = read_sink(spark, f"{place}/times", times.schema, "times")
     return found.select("run_id", "event_id", F.round("time_per_step", 7).alias("time_per_step"))

@@ -1,8 +1,8 @@
 """Step times by keyed state with timers: each run has its last entry and the rows whose time has not yet passed.
 
-Rows may come late and in any order within ``lateness``. A run's rows are held in slices of time, packed, and a timer
-for the end of a slice brings them out in order once the watermark has passed it. So a task holds one slice of one run at
-a time, however large the run; the rest lies in the state store. What comes later than that is dropped by Spark, which
+Rows may come late and in any order within ``lateness``. A run's rows are held packed, beyond ``FEW_ROWS`` by slices of
+time, and a timer for the end of a slice brings them out in order once the watermark has passed it. So a task holds one
+slice of one run and some few rows at a time, however large the run; the rest lies in the state store. What comes later than that is dropped by Spark, which
 counts it (``numRowsDroppedByWatermark``).
 """
 
@@ -20,74 +20,99 @@ from fitledger.operators.metrics import END, LOGGING_STEPS, TIME_PER_STEP, clock
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 LATENESS, SLICE_SECONDS, IDLE_SECONDS = "1 hour", 3_600, 30 * 86_400
 OUT = f"run_id bigint, event_id bigint, {TIME_PER_STEP} double"
+# Waiting rows of a run that are kept in its value, some 17 bytes each.
+FEW_ROWS = 1_024
 _ROW = np.dtype([("micros", "<i8"), ("event_id", "<i8"), ("ends", "i1")])
 
 
 class RunClock(StatefulProcessor):
-    """Seconds per step since a run's last entry; an end event, or a long silence, closes the run."""
+    """Seconds per step since a run's last entry; an end event, or a long silence, closes the run.
+
+    A run has one value, which is read and written once a call: its last entry, the rows that wait while they are few, and
+    otherwise the slices that hold them with the number of their packs. Its next timer is the end of its first slice.
+    """
 
     def __init__(self, logging_steps: int, slice_seconds: int, idle_seconds: int):
         self.steps, self.slice, self.idle = 1e6 * max(logging_steps, 1), 1000 * slice_seconds, 1000 * idle_seconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "micros bigint")
-        # Slices that hold rows, with the number of their packs; and the packs.
-        self.packs = handle.getMapState("packs", "slice bigint", "packs int")
+        # few: rows in any order; packs: (slice, number of packs) of all others; due: the timer that is set.
+        self.run = handle.getValueState("run", "last bigint, due bigint, few binary, packs binary")
         self.rows = handle.getMapState("rows", "slice bigint, pack int", "body binary")
 
+    def _read(self) -> tuple[int | None, int | None, np.ndarray, dict[int, int]]:
+        found = self.run.get()
+        if found is None:
+            return None, None, np.empty(0, _ROW), {}
+        last, due, few, packs = found
+        return last, due, np.frombuffer(few, _ROW), dict(np.frombuffer(packs, "<i8").reshape(-1, 2).tolist())
+
+    def _write(self, last: int | None, due: int | None, few: np.ndarray, packs: dict[int, int]) -> None:
+        """Keep the run, with a timer for what comes first: the end of a slice, or else the end of its silence."""
+        starts = [*packs, *([int(few["micros"].min()) // (1000 * self.slice)] if len(few) else [])]
+        if not starts and last is None:
+            self.run.clear()
+            return
+        next_due = (min(starts) + 1) * self.slice if starts else last // 1000 + self.idle + 1
+        if due is None or next_due != due:
+            self.handle.registerTimer(next_due)
+        self.run.update((last, next_due, few.tobytes(), np.array([*packs.items()], "<i8").tobytes()))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        last, due, few, packs = self._read()
         for frame in rows:
             packed = np.empty(len(frame), _ROW)
             packed["micros"], packed["event_id"] = frame["micros"].to_numpy(), frame["event_id"].to_numpy()
             packed["ends"] = frame["ends"].to_numpy()
-            slices = packed["micros"] // (1000 * self.slice)
-            for at in np.unique(slices):
-                name = (int(at),)
-                found = self.packs.getValue(name)
-                held = found[0] if found else 0
-                if not held:
-                    self.handle.registerTimer((int(at) + 1) * self.slice)
-                self.rows.updateValue((int(at), held), (packed[slices == at].tobytes(),))
-                self.packs.updateValue(name, (held + 1,))
+            few = np.concatenate([few, packed])
+            if len(few) > FEW_ROWS:
+                slices = few["micros"] // (1000 * self.slice)
+                for at in np.unique(slices).tolist():
+                    self.rows.updateValue((at, packs.get(at, 0)), (few[slices == at].tobytes(),))
+                    packs[at] = packs.get(at, 0) + 1
+                few = few[:0]
+        self._write(last, due, few, packs)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        # Timers come in the order of their times, so slices come out one after the other.
-        passed = expiredTimerInfo.getExpiryTimeInMs()
-        last = self.last.get()
-        if last is not None and last[0] // 1000 + self.idle < passed:
-            self.last.clear()
-            last = None
-        at, rest = divmod(passed, self.slice)
-        held = self.packs.getValue((at - 1,)) if rest == 0 else None
-        if held:
-            times = self._pass(at - 1, held[0], last)
+        last, due, few, packs = self._read()
+        expired, now = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
+        if due is None or expired != due:       # a timer that an earlier one has taken the place of
+            return
+        ends = (few["micros"] // (1000 * self.slice) + 1) * self.slice
+        passed = (ends <= expired) | (ends < now)
+        if not packs:
+            groups = [(few[passed], 0, 0)] if passed.any() else []
+        else:       # large: all slices that have passed, one after the other
+            starts = sorted({*packs, *(ends[passed] // self.slice - 1).tolist()})
+            starts = [at for at in starts if (at + 1) * self.slice <= expired or (at + 1) * self.slice < now]
+            groups = [(few[ends == (at + 1) * self.slice], at, packs.pop(at, 0)) for at in starts]
+        few = few[~passed]
+        for rows, at, n in groups:
+            held = [rows]
+            for k in range(n):
+                held.append(np.frombuffer(self.rows.getValue((at, k))[0], _ROW))
+                self.rows.removeKey((at, k))
+            times, last = self._pass(key[0], np.concatenate(held), last)
             if times is not None:
-                times.insert(0, "run_id", key[0])
                 yield times
+        if last is not None and not packs and not len(few) and last // 1000 + self.idle < max(now, expired):
+            last = None
+        self._write(last, due, few, packs)
 
-    def _pass(self, at: int, n: int, last: tuple[int] | None) -> pd.DataFrame | None:
-        """Bring out a slice: the step times of its entries; the last one stays for the next."""
-        rows = np.concatenate([np.frombuffer(self.rows.getValue((at, k))[0], _ROW) for k in range(n)])
-        for k in range(n):
-            self.rows.removeKey((at, k))
-        self.packs.removeKey((at,))
+    def _pass(self, run_id: int, rows: np.ndarray, last: int | None) -> tuple[pd.DataFrame | None, int | None]:
+        """The step times of one or more slices, and the last entry for the next one."""
         rows = rows[np.lexsort((rows["event_id"], rows["micros"]))]
-        before = np.concatenate([[last[0] if last else 0], rows["micros"][:-1]])
+        before = np.concatenate([[last or 0], rows["micros"][:-1]])
         # Fresh after an end, after a silence, and at the very start.
         fresh = np.concatenate([[last is None], rows["ends"][:-1] == 1]) | (rows["micros"] - before > 1000 * self.idle)
         timed = ~fresh & (rows["ends"] == 0)
-        if rows["ends"][-1]:
-            self.last.clear()
-        else:
-            latest = int(rows["micros"][-1])
-            self.last.update((latest,))
-            self.handle.registerTimer(latest // 1000 + self.idle + 1)
+        last = None if rows["ends"][-1] else int(rows["micros"][-1])
         if not timed.any():
-            return None
-        return pd.DataFrame({"event_id": rows["event_id"][timed],
-                             TIME_PER_STEP: (rows["micros"][timed] - before[timed]) / self.steps})
+            return None, last
+        return pd.DataFrame({"run_id": run_id, "event_id": rows["event_id"][timed],
+                             TIME_PER_STEP: (rows["micros"][timed] - before[timed]) / self.steps}), last
 
     def close(self) -> None:
         pass

@@ -3,12 +3,14 @@
 import datetime as dt
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from fitledger import schemas
 from fitledger.operators import metrics as m
 from fitledger.streaming import read_log_stream, read_sink, table_sink, tee_sink
-from fitledger.streaming.run_clock import stream_run_times
+from fitledger.streaming.run_clock import RunClock, stream_run_times
 
 START = dt.datetime(2024, 1, 1)
 
@@ -95,3 +97,70 @@ def test_nothing_to_time(spark, tmp_path, rows):
     land(spark, [*rows, (5, 9, START, 1, "evaluate", 0, "{}")], source)
     found, _ = run(spark, source, str(tmp_path / "run"))
     assert found == []
+
+
+class Store:
+    """A run's state in memory, which counts what is asked of it."""
+
+    def __init__(self):
+        self.calls, self.values, self.timers, self.watermark = 0, {}, set(), 0
+
+    def getValueState(self, name, schema):
+        return Store.One(self, name)
+
+    def getMapState(self, name, *schemas):
+        return Store.One(self, name)
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+    class One:
+        def __init__(self, store, name):
+            self.store, self.name = store, name
+
+        def getValue(self, key=None):
+            self.store.calls += 1
+            return self.store.values.get((self.name, key))
+
+        def updateValue(self, key, value):
+            self.store.calls += 1
+            self.store.values[self.name, key] = value
+
+        def removeKey(self, key=None):
+            self.store.calls += 1
+            self.store.values.pop((self.name, key), None)
+
+        def update(self, value):
+            self.updateValue(None, value)
+
+        get, clear = getValue, removeKey
+
+
+class Timer:
+    def __init__(self, at):
+        self.getExpiryTimeInMs = lambda: at
+
+
+@pytest.mark.parametrize("n,most", [(90, 12), (5_000, 4_000)])
+def test_a_run_asks_little_of_its_state(n, most):
+    """Rows of 300 slices in any order, in two calls; all timers that the watermark passes, in order."""
+    store, clock, rng = Store(), RunClock(10, 3_600, 30 * 86_400), np.random.default_rng(1)
+    clock.init(store)
+    micros = rng.permutation(np.sort(rng.integers(0, 300 * 3_600_000_000, n)))
+    frame = pd.DataFrame({"micros": micros, "event_id": np.arange(n), "ends": 0})
+    for part in (frame[:n // 2], frame[n // 2:]):
+        assert not list(clock.handleInputRows((1,), iter([part[k::4] for k in range(4)]), store))
+    store.watermark, found = 400 * 3_600_000, []
+    while due := sorted(t for t in store.timers if t < store.watermark):
+        store.timers -= set(due)
+        for at in due:
+            found += clock.handleExpiredTimer((1,), store, Timer(at))
+    found = pd.concat(found)
+    ordered = frame.sort_values(["micros", "event_id"])
+    assert found["event_id"].tolist() == ordered["event_id"].tolist()[1:]
+    assert np.allclose(found["time_per_step"], np.diff(ordered["micros"]) / 1e7)
+    assert len(store.values) == 1 and store.calls <= most
